@@ -1,0 +1,21 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Default row bound for hinting a broadcast of a lookup side.
+BROADCAST_MAX_ROWS = 200_000
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Hint a broadcast only after proving ``df`` holds at most ``max_rows`` rows.
+
+    The proof is a ``limit(max_rows + 1).count()`` on the (small) lookup side,
+    which stops reading as soon as the bound is exceeded. Beyond the bound
+    the side is returned unhinted, so the planner (and AQE with runtime
+    sizes) falls back to a shuffle join.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
