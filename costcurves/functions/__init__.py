@@ -12,7 +12,7 @@ from .joins import broadcast_if_bounded
 from .percent import (
     TIE_PERCENT,
     curve_percent_key,
-    first_day_of_percent,
+    explode_percent_first_days,
     leading_code,
     schedule_percent_key,
 )
@@ -24,7 +24,7 @@ __all__ = [
     "broadcast_if_bounded",
     "curve_percent_key",
     "duration_days",
-    "first_day_of_percent",
+    "explode_percent_first_days",
     "for_report",
     "key_as_string",
     "leading_code",

@@ -14,7 +14,7 @@ Away from ties ``k = floor(100 * i / d + 1/2)``. At an exact half-percent
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -52,20 +52,47 @@ def schedule_percent_key(day: Column, duration: Column) -> Column:
     return F.when(is_tie, _tie_lookup(t)).otherwise(_idiv(scaled + d, d * 2)).cast("long")
 
 
-def first_day_of_percent(k: Column, duration: Column) -> Column:
-    """First day ``i`` whose percent key is at least ``k`` (k >= 0).
+def _tie_rounds_down(k: int) -> bool:
+    """Whether the exact half-percent just below key ``k`` rounds down to ``k - 1``."""
+    return 1 <= k <= MAX_PERCENT_KEY and TIE_PERCENT[k - 1] != k
 
-    For k >= 1 that is ``ceil((2k - 1) * d / 200)``, one later when that day is
-    an exact tie that rounds down. The caller keeps it only if ``i < d`` and
-    the day's key is exactly ``k`` (short schedules skip some keys).
+
+def _first_day(k: Column, tie_down: Column, d: Column) -> Column:
+    """First day ``i >= 0`` whose percent key is at least ``k``.
+
+    For k >= 1 that is ``ceil((2k - 1) * d / 200)``, one later when that day
+    is an exact tie that rounds down; for k = 0 it is day 0.
     """
-    kk = k.cast("long")
-    d = duration.cast("long")
-    n = (kk * 2 - 1) * d
-    ceil_day = _idiv(n + 199, F.lit(200).cast("long"))
-    tie_rounds_down = (F.pmod(n, F.lit(200)) == 0) & (_tie_lookup(kk * 2 - 1) != kk)
-    first = ceil_day + F.when(tie_rounds_down, 1).otherwise(0)
-    return F.when(kk == 0, F.lit(0).cast("long")).otherwise(first)
+    n = (k * 2 - 1) * d
+    first = _idiv(n + 199, F.lit(200).cast("long")) + F.when(
+        (F.pmod(n, F.lit(200)) == 0) & tie_down, 1).otherwise(0)
+    return F.when(k == 0, F.lit(0).cast("long")).otherwise(first)
+
+
+def explode_percent_first_days(df: DataFrame, duration: str) -> DataFrame:
+    """Each row of ``df`` once per percent key that occurs in its ``duration``-day
+    schedule, with ``PCT_KEY`` and ``DAY``, the first day carrying that key.
+
+    Keys are non-decreasing in the day, so with ``i_k`` the first day whose key
+    is at least ``k``, day ``i_k`` carries key ``k`` exactly when ``i_k < d``
+    and ``i_k < i_(k+1)`` (or k = 100). Both days come from the closed form
+    above, with the tie flags of k and k + 1 attached to the key as literals:
+    at most 101 rows per input row and no per-day rows.
+    """
+    keys = F.array(*[
+        F.struct(F.lit(k).cast("long").alias("PCT_KEY"),
+                 F.lit(_tie_rounds_down(k)).alias("_TIE_K"),
+                 F.lit(_tie_rounds_down(k + 1)).alias("_TIE_NEXT"))
+        for k in range(MAX_PERCENT_KEY + 1)])
+    d = F.col(duration).cast("long")
+    k = F.col("PCT_KEY")
+    return (
+        df.select("*", F.inline(keys))
+        .withColumn("DAY", _first_day(k, F.col("_TIE_K"), d))
+        .withColumn("_NEXT_DAY", _first_day(k + 1, F.col("_TIE_NEXT"), d))
+        .filter((F.col("DAY") < d) & ((k == MAX_PERCENT_KEY) | (F.col("DAY") < F.col("_NEXT_DAY"))))
+        .drop("_TIE_K", "_TIE_NEXT", "_NEXT_DAY")
+    )
 
 
 def curve_percent_key(percent: Column) -> Column:

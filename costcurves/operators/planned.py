@@ -16,9 +16,8 @@ from pyspark.sql import functions as F
 from ..functions.dates import add_days, duration_days
 from ..functions.joins import broadcast_if_bounded
 from ..functions.percent import (
-    MAX_PERCENT_KEY,
     curve_percent_key,
-    first_day_of_percent,
+    explode_percent_first_days,
     leading_code,
     schedule_percent_key,
 )
@@ -110,14 +109,8 @@ def planned_daily(budget: DataFrame, schedule: DataFrame, curve: DataFrame) -> D
 def _percent_first_days(budget: DataFrame, schedule: DataFrame) -> DataFrame:
     """At most 101 rows per key: the first day of each percent key 0..100."""
     keyed = _plannable(planned_inputs(budget, schedule)).select(
-        *KEY, "BUDGET_CURRENT_APPROVED", "CURRENTSTART", "DURATION",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(MAX_PERCENT_KEY).cast("long"))).alias("PCT_KEY"))
-    day = first_day_of_percent(F.col("PCT_KEY"), F.col("DURATION"))
-    return (
-        keyed.withColumn("DAY", day)
-        .filter((F.col("DAY") < F.col("DURATION"))
-                & (schedule_percent_key(F.col("DAY"), F.col("DURATION")) == F.col("PCT_KEY")))
-    )
+        *KEY, "BUDGET_CURRENT_APPROVED", "CURRENTSTART", "DURATION")
+    return explode_percent_first_days(keyed, "DURATION")
 
 
 def dedup_and_accumulate(daily: DataFrame) -> DataFrame:

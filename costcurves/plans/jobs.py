@@ -13,12 +13,15 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators.actuals import actual_value
+from ..operators import quality as q
+from ..operators.actuals import actual_value, budget_rollup
 from ..operators.combine import combined_curves
 from ..operators.forecast import forecast_value
 from ..operators.planned import planned_value
-from ..schema import ACTUAL_TABLE, COMBINED_TABLE, FORECAST_TABLE, PLANNED_TABLE
+from ..schema import ACTUAL_TABLE, COMBINED_TABLE, FORECAST_TABLE, KEY, PLANNED_TABLE
+from ..session import checkpoint_dir
 from ..sources.sinks import preview, write_table
 from ..sources.tables import CostInputs
 
@@ -59,3 +62,55 @@ def run_curves(spark: SparkSession, inputs: CostInputs, as_of=None,
     forecast = spark.table(names["forecast"])
     write_table(combined_curves(actual, planned, forecast), names["combined"])
     return preview(spark.table(names["combined"]), 10)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut the lineage of ``df``: an eager, reliable checkpoint into the shared
+    folder named by ``spark.checkpoint.dir`` (never a local checkpoint, so a
+    lost executor does not lose the data)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def materialized_curves(inputs: CostInputs, as_of=None, planned_method: str = "bucket") -> Curves:
+    """The three curves computed once and checkpointed; the combined view on top."""
+    actual = materialize(actual_value([inputs.invoice, inputs.pay_app, inputs.pay_req],
+                                      inputs.budget, inputs.schedule))
+    planned = materialize(planned_value(inputs.budget, inputs.schedule, inputs.norm_curve,
+                                        method=planned_method))
+    forecast = materialize(forecast_value(planned, actual, as_of))
+    return Curves(actual, planned, forecast, combined_curves(actual, planned, forecast))
+
+
+def quality_checks(inputs: CostInputs, curves: Curves, as_of=None) -> dict[str, tuple[DataFrame, DataFrame]]:
+    """Every scored check as (population, failures)."""
+    c = curves
+    sources = [inputs.invoice, inputs.pay_app, inputs.pay_req]
+    expected = budget_rollup(inputs.budget).select(*KEY).dropna()
+    dated = {name: (df, "INVOICE_DATE") for name, df in inputs.cost_sources().items()}
+    dated["ACTUALVALUE"] = (c.actual, "INVOICE_DATE")
+    pvb = q.planned_vs_budget(c.planned, inputs.budget)
+    fcont = q.forecast_continuity(c.actual, c.forecast)
+    cont = q.continuity_check(c.actual, c.forecast)
+    ctl = q.control_totals(sources, c.actual)
+    fresh = q.freshness(dated, as_of)
+    align = q.budget_alignment(c.actual, c.forecast)
+    return {
+        "monotone": (c.actual, q.monotone_violations(c.actual)),
+        "planned_vs_budget": (pvb, pvb.filter(F.col("STATUS") == "FAIL")),
+        "forecast_continuity": (fcont, fcont.filter(F.col("STATUS") == "FAIL")),
+        "continuity": (cont, cont.filter(F.col("continuity_check") == "FAIL")),
+        "missing_keys": (expected.select(F.explode(F.array(F.lit(1), F.lit(2), F.lit(3)))),
+                         q.missing_keys(inputs.budget, c.actual, c.planned, c.forecast)),
+        "control_totals": (ctl, ctl.filter(F.col("STATUS") == "MISMATCH")),
+        "freshness": (fresh, fresh.filter(F.col("status") == "STALE")),
+        "budget_alignment": (align, align.filter(F.col("STATUS") == "FAIL")),
+        "timeline": (c.actual, q.timeline_check(c.actual)),
+    }
+
+
+def quality_score(inputs: CostInputs, as_of=None, curves: Curves | None = None) -> DataFrame:
+    """D9 over checkpointed curves (or the given, e.g. stored, curves)."""
+    c = curves or materialized_curves(inputs, as_of)
+    checks = quality_checks(inputs, c, as_of)
+    return q.score([(name, pop, bad) for name, (pop, bad) in checks.items()])

@@ -21,6 +21,7 @@ from ..schema import KEY
 from ..sources.fixtures import AS_OF, fixture_inputs
 from ..sources.sinks import preview, recent_rows
 from ..sources.tables import CostInputs, select_cost_source
+from . import jobs
 from .jobs import build_curves
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -190,26 +191,8 @@ def timeline_check(spark, sf_dir):
 
 
 def quality_score(spark, sf_dir):
-    i, c = _curves(spark, sf_dir)
-    expected = act.budget_rollup(i.budget).select(*KEY).dropna()
-    fcont = q.forecast_continuity(c.actual, c.forecast)
-    pvb = q.planned_vs_budget(c.planned, i.budget)
-    cont = q.continuity_check(c.actual, c.forecast)
-    ctl = q.control_totals(_sources(i), c.actual)
-    fresh = q.freshness(_dated(i, c.actual), AS_OF)
-    align = q.budget_alignment(c.actual, c.forecast)
-    return q.score([
-        ("monotone", c.actual, q.monotone_violations(c.actual)),
-        ("planned_vs_budget", pvb, pvb.filter(F.col("STATUS") == "FAIL")),
-        ("forecast_continuity", fcont, fcont.filter(F.col("STATUS") == "FAIL")),
-        ("continuity", cont, cont.filter(F.col("continuity_check") == "FAIL")),
-        ("missing_keys", expected.select(F.explode(F.array(F.lit(1), F.lit(2), F.lit(3)))),
-         q.missing_keys(i.budget, c.actual, c.planned, c.forecast)),
-        ("control_totals", ctl, ctl.filter(F.col("STATUS") == "MISMATCH")),
-        ("freshness", fresh, fresh.filter(F.col("status") == "STALE")),
-        ("budget_alignment", align, align.filter(F.col("STATUS") == "FAIL")),
-        ("timeline", c.actual, q.timeline_check(c.actual)),
-    ])
+    i = _inputs(spark, sf_dir)
+    return jobs.quality_score(i, AS_OF)
 
 
 QUERIES: dict[str, Query] = {

@@ -32,13 +32,15 @@ def local_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession, default: str | None = None) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) is ``default`` installed.
+    A cluster names it in its configuration; only when the session has none
+    (local runs, tests) is one installed: ``default``, else a folder under the
+    session's warehouse directory (shared storage whenever the warehouse is).
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        return current
-    if default is None:
-        raise RuntimeError("spark.checkpoint.dir is not set and no default was given")
-    spark.conf.set("spark.checkpoint.dir", default)
-    spark.sparkContext.setCheckpointDir(default)
-    return default
+    sc = spark.sparkContext
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not current:
+        current = default or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+        spark.conf.set("spark.checkpoint.dir", current)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
+    return current

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from costcurves.functions.percent import (
     TIE_PERCENT,
     curve_percent_key,
-    first_day_of_percent,
+    explode_percent_first_days,
     schedule_percent_key,
 )
 
@@ -42,13 +42,9 @@ def test_first_day_matches_brute_force(spark):
     for d in range(1, MAX_D + 1):
         for i in range(d):
             expected.setdefault((d, _py_key(i, d)), i)
-    keys = (spark.range(1, MAX_D + 1).withColumnRenamed("id", "d")
-            .select("d", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(100).cast("long"))).alias("k")))
-    day = first_day_of_percent(F.col("k"), F.col("d"))
-    got = (keys.withColumn("i", day)
-           .filter((F.col("i") < F.col("d")) & (schedule_percent_key(F.col("i"), F.col("d")) == F.col("k")))
-           .select("d", "k", "i").collect())
-    assert {(r.d, r.k): r.i for r in got} == expected
+    durations = spark.range(1, MAX_D + 1).withColumnRenamed("id", "d")
+    got = explode_percent_first_days(durations, "d").collect()
+    assert {(r.d, r.PCT_KEY): r.DAY for r in got} == expected
 
 
 def test_curve_key_is_numpy_rounding(spark):
