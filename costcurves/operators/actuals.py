@@ -88,6 +88,8 @@ def net_actuals(actuals: DataFrame, budget_by_key: DataFrame, schedule: DataFram
         .transform(lambda df: _keys_present(df, ["INVOICE_DATE"]))
         .groupBy(*KEY, "INVOICE_DATE")
         .agg(F.sum("ACTUALS_COST").alias("ACTUALS_COST"))
+        # the multiplier below is >= 1, so zero nets can go before the joins
+        .filter(F.col("ACTUALS_COST") != 0)
     )
     sched = schedule_for_actuals(schedule)
     return (
@@ -99,7 +101,6 @@ def net_actuals(actuals: DataFrame, budget_by_key: DataFrame, schedule: DataFram
             .cast(MONEY).alias("ACTUALS_COST"),
             "BUDGET_CURRENT_APPROVED", "CURRENTSTART", "CURRENTEND",
         )
-        .filter(F.col("ACTUALS_COST") != 0)
     )
 
 

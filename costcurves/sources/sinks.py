@@ -16,9 +16,22 @@ def _as_of_date(as_of) -> Column:
     return F.lit(str(as_of)).cast("date")
 
 
-def write_table(df: DataFrame, name: str, mode: str = "overwrite", path: str | None = None) -> None:
-    """Replace (or append to) a catalog table with ``df``."""
-    writer = df.write.mode(mode).format("parquet")
+def write_table(df: DataFrame, name: str, mode: str = "overwrite", path: str | None = None,
+                bucket_by: list[str] | None = None, buckets: int | None = None) -> None:
+    """Replace (or append to) a catalog table with ``df``.
+
+    With ``bucket_by`` the table is hash-bucketed on those columns (``buckets``
+    defaults to ``spark.sql.shuffle.partitions``). The rows are first
+    repartitioned with the same hash, so each task writes one file, and later
+    joins, aggregates and windows on those columns read co-located buckets
+    without a shuffle.
+    """
+    if bucket_by:
+        n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        writer = (df.repartition(n, *bucket_by).write.mode(mode).format("parquet")
+                  .bucketBy(n, *bucket_by))
+    else:
+        writer = df.write.mode(mode).format("parquet")
     if path is not None:
         writer = writer.option("path", path)
     writer.saveAsTable(name)

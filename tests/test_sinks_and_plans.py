@@ -41,6 +41,22 @@ def test_run_curves_writes_four_tables(spark, sf_dir):
         assert stored.exceptAll(df).count() == 0 and df.exceptAll(stored).count() == 0
 
 
+def test_forecast_over_bucketed_curves_needs_no_shuffle(spark, sf_dir):
+    run_curves(spark, fixture_inputs(spark, sf_dir), as_of=AS_OF,
+               tables={"actual": "B_ACT", "planned": "B_PLAN",
+                       "forecast": "B_FC", "combined": "B_COMB"}, buckets=4)
+    # at scale neither side is broadcastable: check the sort-merge path
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(forecast_value(spark.table("B_PLAN"), spark.table("B_ACT"), as_of=AS_OF))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange" not in plan
+    assert "SortMergeJoin" in plan and "Window" in plan
+
+
 def test_backup_and_refresh(spark, sf_dir):
     inv = fixture_inputs(spark, sf_dir).invoice
     write_table(inv, "T_INVOICE")
