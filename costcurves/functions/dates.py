@@ -9,15 +9,17 @@ from pyspark.sql import functions as F
 def duration_days(start: Column, end: Column) -> Column:
     """Whole 24-hour periods from start to end, plus one (inclusive day count).
 
-    ``timestampdiff(DAY)`` floors elapsed time like ``timedelta.days``; a
-    calendar ``datediff`` would count 18:00 -> 06:00 two days later as 2.
+    ``end - start`` on timestamp_ntz is a day-time interval (no time zone
+    involved); its DAY field floors elapsed time like ``timedelta.days``,
+    where a calendar ``datediff`` would count 18:00 -> 06:00 two days later
+    as 2. For start <= end.
     """
-    return F.timestamp_diff("DAY", start, end) + 1
+    return F.extract(F.lit("DAY"), end - start).cast("long") + 1
 
 
 def add_days(ts: Column, days: Column) -> Column:
-    """``ts + days`` keeping the time of day."""
-    return F.timestamp_add("DAY", days, ts)
+    """``ts + days`` keeping the time of day (interval arithmetic, zone-free)."""
+    return ts + F.make_dt_interval(days=days.cast("int"))
 
 
 def as_timestamp_literal(value) -> Column:

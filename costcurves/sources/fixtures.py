@@ -107,7 +107,7 @@ def fixture_inputs(spark: SparkSession, sf_dir: str) -> CostInputs:
     per_key = (
         base.groupBy("sk", "project", "stage", "sub")
         .agg(F.max("d").alias("e"))
-        .withColumn("s", F.timestamp_add("DAY", -span, F.col("e")))
+        .withColumn("s", F.col("e") - F.make_dt_interval(days=span))
     )
     null_end = _mod10("sk", NULL_END_MOD) & (F.col("stage") == "N")
     first_rows = per_key.select(
@@ -121,7 +121,7 @@ def fixture_inputs(spark: SparkSession, sf_dir: str) -> CostInputs:
         F.col("project").alias("PROJECTID"),
         F.col("stage").alias("STAGECODE"),
         F.col("sub").alias("STAGESUBSTAGECODE"),
-        F.timestamp_add("DAY", F.lit(REPEAT_SHIFT_DAYS), F.col("s")).alias("CURRENTSTART"),
+        (F.col("s") + F.make_dt_interval(days=F.lit(REPEAT_SHIFT_DAYS))).alias("CURRENTSTART"),
         F.col("e").alias("CURRENTEND"),
     )
     schedule = first_rows.unionByName(repeated)

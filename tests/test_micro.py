@@ -244,3 +244,18 @@ def test_net_actuals_matches_row_level_grouping(spark, sf_dir):
             .agg(F.sum("ACTUALS_COST").cast("decimal(38,2)").alias("ACTUALS_COST"))
             .filter("ACTUALS_COST != 0"))
     assert net.exceptAll(rows).count() == 0 and rows.exceptAll(net).count() == 0
+
+
+def test_results_do_not_depend_on_session_time_zone(spark, sf_dir):
+    """timestamp_ntz arithmetic only: a zone with midnight DST gaps changes nothing."""
+    from costcurves.plans.registry import queries
+
+    names = ["actual_value", "planned_value", "forecast_value", "planned_daily"]
+    base = {n: sorted(tuple(r) for r in queries()[n](spark, sf_dir).collect()) for n in names}
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        for n in names:
+            assert sorted(tuple(r) for r in queries()[n](spark, sf_dir).collect()) == base[n], n
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
