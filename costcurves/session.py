@@ -29,18 +29,26 @@ def local_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
-def checkpoint_dir(spark: SparkSession, default: str | None = None) -> str:
+def checkpoint_dir(spark: SparkSession, default: str | None = None) -> str | None:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     A cluster names it in its configuration; only when the session has none
     (local runs, tests) is one installed: ``default``, else a folder under the
     session's warehouse directory (shared storage whenever the warehouse is).
+    Returns None when the session exposes no SparkContext (a remote session
+    manages checkpoints on the server).
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote session: no driver-side context to configure
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
         current = default or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
-        spark.conf.set("spark.checkpoint.dir", current)
+        try:
+            spark.conf.set("spark.checkpoint.dir", current)
+        except Exception:  # core setting not modifiable here; the context setting below suffices
+            pass
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return current
