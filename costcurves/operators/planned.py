@@ -142,8 +142,3 @@ def planned_value(budget: DataFrame, schedule: DataFrame, curve: DataFrame,
     if method != "bucket":
         raise ValueError(f"unknown method {method!r}")
     return dedup_and_accumulate(_apply_curve(_percent_first_days(budget, schedule), curve))
-
-
-def schedule_rows(schedule: DataFrame) -> DataFrame:
-    """Schedule in canonical names (exported for quality checks)."""
-    return select_schedule(schedule)

@@ -43,11 +43,48 @@ def build_curves(inputs: CostInputs, as_of=None, planned_method: str = "bucket")
     return Curves(actual, planned, forecast, combined_curves(actual, planned, forecast))
 
 
+def _buckets(spark: SparkSession, buckets: int | None) -> int:
+    return buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def run_actual_stage(spark: SparkSession, inputs: CostInputs, table: str = ACTUAL_TABLE,
+                     buckets: int | None = None) -> None:
+    """Stage 1: write the actual curve (bucketed on the key)."""
+    df = actual_value([inputs.invoice, inputs.pay_app, inputs.pay_req], inputs.budget, inputs.schedule)
+    write_table(df, table, bucket_by=KEY, buckets=_buckets(spark, buckets))
+
+
+def run_planned_stage(spark: SparkSession, inputs: CostInputs, table: str = PLANNED_TABLE,
+                      planned_method: str = "bucket", buckets: int | None = None) -> None:
+    """Stage 2: write the planned curve (bucketed on the key)."""
+    df = planned_value(inputs.budget, inputs.schedule, inputs.norm_curve, method=planned_method)
+    write_table(df, table, bucket_by=KEY, buckets=_buckets(spark, buckets))
+
+
+def run_forecast_stage(spark: SparkSession, as_of=None, actual_table: str = ACTUAL_TABLE,
+                       planned_table: str = PLANNED_TABLE, table: str = FORECAST_TABLE,
+                       buckets: int | None = None) -> None:
+    """Stage 3: read the two written curves and write the forecast curve."""
+    df = forecast_value(spark.table(planned_table), spark.table(actual_table), as_of)
+    write_table(df, table, bucket_by=KEY, buckets=_buckets(spark, buckets))
+
+
+def run_combined_stage(spark: SparkSession, actual_table: str = ACTUAL_TABLE,
+                       planned_table: str = PLANNED_TABLE, forecast_table: str = FORECAST_TABLE,
+                       table: str = COMBINED_TABLE) -> DataFrame:
+    """Stage 4: stack the three written curves; returns a 10-row preview."""
+    df = combined_curves(spark.table(actual_table), spark.table(planned_table),
+                         spark.table(forecast_table))
+    write_table(df, table)
+    return preview(spark.table(table), 10)
+
+
 def run_curves(spark: SparkSession, inputs: CostInputs, as_of=None,
                tables: dict[str, str] | None = None,
                planned_method: str = "bucket", buckets: int | None = None) -> DataFrame:
-    """Write ACTUALVALUE, PLANNEDVALUE, FORECASTVALUE, COMBINED_CURVES (overwrite),
-    each stage reading its inputs from the tables written before it.
+    """All four stages in order: ACTUALVALUE, PLANNEDVALUE, FORECASTVALUE,
+    COMBINED_CURVES (overwrite), each later stage reading the tables written
+    before it.
 
     The three curves are bucketed on the key with one bucket count, so the
     forecast stage (join on the key, per-key aggregate and windows) reads
@@ -55,20 +92,12 @@ def run_curves(spark: SparkSession, inputs: CostInputs, as_of=None,
     of the combined table."""
     names = {"actual": ACTUAL_TABLE, "planned": PLANNED_TABLE,
              "forecast": FORECAST_TABLE, "combined": COMBINED_TABLE, **(tables or {})}
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-    write_table(actual_value([inputs.invoice, inputs.pay_app, inputs.pay_req],
-                             inputs.budget, inputs.schedule),
-                names["actual"], bucket_by=KEY, buckets=n)
-    write_table(planned_value(inputs.budget, inputs.schedule, inputs.norm_curve,
-                              method=planned_method),
-                names["planned"], bucket_by=KEY, buckets=n)
-    actual = spark.table(names["actual"])
-    planned = spark.table(names["planned"])
-    write_table(forecast_value(planned, actual, as_of), names["forecast"], bucket_by=KEY, buckets=n)
-    forecast = spark.table(names["forecast"])
-    write_table(combined_curves(actual, planned, forecast), names["combined"])
-    return preview(spark.table(names["combined"]), 10)
+    n = _buckets(spark, buckets)
+    run_actual_stage(spark, inputs, names["actual"], buckets=n)
+    run_planned_stage(spark, inputs, names["planned"], planned_method=planned_method, buckets=n)
+    run_forecast_stage(spark, as_of, names["actual"], names["planned"], names["forecast"], buckets=n)
+    return run_combined_stage(spark, names["actual"], names["planned"], names["forecast"],
+                              names["combined"])
 
 
 def materialize(df: DataFrame) -> DataFrame:

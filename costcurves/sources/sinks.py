@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,7 +65,3 @@ def preview(df: DataFrame, n: int = 10, order_by: list[str] | None = None) -> Da
     if order_by:
         df = df.orderBy(*order_by)
     return df.limit(n)
-
-
-def default_as_of() -> _dt.date:
-    return _dt.date.today()
