@@ -84,11 +84,13 @@ def fixture_inputs(spark: SparkSession, sf_dir: str) -> CostInputs:
         actual_rows.filter((F.col("ln") == 1) & (F.col("stage") == "R")),
         -F.col("cost"))
 
+    # One pass over the base rows feeds both the budget and the schedule.
+    per_fund = base.groupBy("sk", "project", "stage", "sub", "fund").agg(
+        F.sum("cost").alias("total"), F.max("d").alias("last_day"))
+
     budget_pct = F.lit(BUDGET_PCT_BASE) + F.pmod(F.col("sk") * BUDGET_PCT_MULT, F.lit(BUDGET_PCT_SPAN))
     budget = (
-        base.filter(~_mod10("sk", NO_BUDGET_MOD))
-        .groupBy("sk", "project", "stage", "sub", "fund")
-        .agg(F.sum("cost").alias("total"))
+        per_fund.filter(~_mod10("sk", NO_BUDGET_MOD))
         .select(
             F.col("project").alias("PROJECT_NUMBER"),
             F.col("stage").alias("STAGE"),
@@ -105,8 +107,8 @@ def fixture_inputs(spark: SparkSession, sf_dir: str) -> CostInputs:
         + F.pmod(F.col("sk") * SCHEDULE_SK_MULT + F.ascii("stage") * SCHEDULE_STAGE_MULT,
                  F.lit(SCHEDULE_SPAN)))
     per_key = (
-        base.groupBy("sk", "project", "stage", "sub")
-        .agg(F.max("d").alias("e"))
+        per_fund.groupBy("sk", "project", "stage", "sub")
+        .agg(F.max("last_day").alias("e"))
         .withColumn("s", F.col("e") - F.make_dt_interval(days=span))
     )
     null_end = _mod10("sk", NULL_END_MOD) & (F.col("stage") == "N")
