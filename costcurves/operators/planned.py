@@ -79,21 +79,12 @@ def planned_inputs(budget: DataFrame, schedule: DataFrame) -> DataFrame:
 def _plannable(inputs: DataFrame) -> DataFrame:
     """P6 + P14: keep start < end (nulls drop) and add the inclusive day count.
 
-    The rows are then spread over ``spark.sql.shuffle.partitions`` key
-    ranges. Each key expands afterwards (to at most 101 percent rows, or to
-    one row per day), so the work follows the expanded size, while AQE sizes
-    partitions by the few shuffled bytes per key and would coalesce them into
-    very few tasks. An explicit partition count is not coalesced, and a range
-    partitioning (unlike a hash repartition equal to the join's own, which
-    the planner drops as redundant) survives planning; it still clusters the
-    key, so the dedup aggregate and the window add no exchange.
+    The rows stay hash-partitioned on the key (from the per-key join), which
+    is what the dedup aggregate, the window and the forecast's join need, so
+    the expansion that follows adds no exchange.
     """
-    n = int(inputs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (
-        inputs.filter(F.col("CURRENTSTART") < F.col("CURRENTEND"))
-        .withColumn("DURATION", duration_days(F.col("CURRENTSTART"), F.col("CURRENTEND")))
-        .repartitionByRange(n, *KEY)
-    )
+    return inputs.filter(F.col("CURRENTSTART") < F.col("CURRENTEND")).withColumn(
+        "DURATION", duration_days(F.col("CURRENTSTART"), F.col("CURRENTEND")))
 
 
 def _apply_curve(days: DataFrame, curve: DataFrame) -> DataFrame:
