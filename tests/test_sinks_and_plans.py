@@ -141,3 +141,29 @@ def test_curve_broadcast_is_size_checked(spark):
     big = spark.range(1000)
     assert "broadcast" in str(broadcast_if_bounded(small, 100)._jdf.queryExecution().logical()).lower()
     assert "broadcast" not in str(broadcast_if_bounded(big, 100)._jdf.queryExecution().logical()).lower()
+
+
+def test_stages_from_catalog_tables(spark, sf_dir):
+    """The six inputs as catalog tables under their upstream names, the four
+    stages run one by one reading each other's tables by name."""
+    from costcurves.plans.jobs import (
+        run_actual_stage,
+        run_combined_stage,
+        run_forecast_stage,
+        run_planned_stage,
+    )
+    from costcurves.sources.tables import DEFAULT_TABLES, CostInputs
+
+    fixture = fixture_inputs(spark, sf_dir)
+    names = {field: f"C_{table}" for field, table in DEFAULT_TABLES.items()}
+    for field, table in names.items():
+        write_table(getattr(fixture, field), table)
+    inputs = CostInputs.from_catalog(spark, names)
+    run_actual_stage(spark, inputs, "C_ACT")
+    run_planned_stage(spark, inputs, "C_PLAN")
+    run_forecast_stage(spark, AS_OF, "C_ACT", "C_PLAN", "C_FC")
+    head = run_combined_stage(spark, "C_ACT", "C_PLAN", "C_FC", "C_COMB")
+    assert len(head.collect()) == 10
+    expected = build_curves(fixture, as_of=AS_OF).combined
+    got = spark.table("C_COMB")
+    assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
