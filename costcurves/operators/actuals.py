@@ -2,9 +2,10 @@
 
 Plan shape (see ``actual_value``): the cost sources are aggregated to one row
 per (key, day) with map-side partial sums *before* any join, so the large
-fact rows never cross the network; budget and schedule are reduced to one
-row per key and joined to the aggregated rows; the running total is a window
-on the key, which reuses the join's partitioning.
+fact rows are never shuffled whole; budget and schedule are reduced to one
+row per key, joined to each other, and joined once to the aggregated rows;
+the running total is a window on the key, which reuses the join's
+partitioning.
 """
 
 from __future__ import annotations
@@ -45,11 +46,16 @@ def enrich_actuals(actuals: DataFrame, budget_by_key: DataFrame, schedule: DataF
 
     A key with two schedule rows yields each cost row twice; this is the
     row-level form (the net curve uses the equivalent multiplier instead).
+
+    ``a LEFT JOIN b LEFT JOIN s`` equals ``a LEFT JOIN (b FULL JOIN s)`` when
+    ``b`` has one row per key, so the two small per-key tables are joined
+    first and the fact rows meet a single join: one shuffle of the facts (or
+    none, if AQE broadcasts the per-key side), and AQE's skew-join splitting
+    applies to it, which it cannot for the second join of a chain.
     """
-    s = select_schedule(schedule)
+    per_key = budget_by_key.join(_keys_present(select_schedule(schedule)), KEY, "full")
     return (
-        actuals.join(budget_by_key, KEY, "left")
-        .join(s, KEY, "left")
+        actuals.join(per_key, KEY, "left")
         .select(*KEY, "INVOICE_DATE", "ACTUALS_COST", "BUDGET_CURRENT_APPROVED",
                 "CURRENTSTART", "CURRENTEND")
     )
@@ -91,10 +97,11 @@ def net_actuals(actuals: DataFrame, budget_by_key: DataFrame, schedule: DataFram
         # the multiplier below is >= 1, so zero nets can go before the joins
         .filter(F.col("ACTUALS_COST") != 0)
     )
-    sched = schedule_for_actuals(schedule)
+    # budget and schedule summary are both one row per key: join them first,
+    # so the (key, day) rows meet a single join
+    per_key = budget_by_key.join(schedule_for_actuals(schedule), KEY, "full")
     return (
-        costs.join(budget_by_key, KEY, "left")
-        .join(sched, KEY, "left")
+        costs.join(per_key, KEY, "left")
         .select(
             *KEY, "INVOICE_DATE",
             (F.col("ACTUALS_COST") * F.coalesce(F.col("SCHEDULE_ROWS"), F.lit(1)))
