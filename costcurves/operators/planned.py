@@ -5,7 +5,7 @@ Day ``i`` of a ``d``-day schedule gets the curve value at percent
 curve value. Only the first day of each percent key can survive that
 dedup, so the default plan (``method="bucket"``) generates at most 101
 candidate days per key directly, instead of one row per schedule day
-(``method="daily"``, kept as the readable reference form).
+(``method="daily"``, kept as the readable per-day form).
 """
 
 from __future__ import annotations
