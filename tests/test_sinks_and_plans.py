@@ -167,3 +167,21 @@ def test_stages_from_catalog_tables(spark, sf_dir):
     expected = build_curves(fixture, as_of=AS_OF).combined
     got = spark.table("C_COMB")
     assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
+
+
+def test_command_line_runs_stages_and_score(spark, sf_dir):
+    from costcurves.__main__ import main
+    from costcurves.sources.tables import DEFAULT_TABLES
+
+    fixture = fixture_inputs(spark, sf_dir)
+    args = []
+    for field in DEFAULT_TABLES:
+        write_table(getattr(fixture, field), f"M_{field.upper()}")
+        args += [f"--{field.replace('_', '-')}-table", f"M_{field.upper()}"]
+    outs = ["--actual-output", "M_ACT", "--planned-output", "M_PLAN",
+            "--forecast-output", "M_FC", "--combined-output", "M_COMB"]
+    main(["all", "--as-of", str(AS_OF), *args, *outs], spark=spark)
+    main(["quality", "--as-of", str(AS_OF), "--output", "M_SCORE", *args, *outs], spark=spark)
+    assert spark.table("M_COMB").count() == build_curves(fixture, as_of=AS_OF).combined.count()
+    score = {r.check: r for r in spark.table("M_SCORE").collect()}
+    assert "OVERALL" in score and score["OVERALL"].checked > 0
