@@ -259,3 +259,15 @@ def test_results_do_not_depend_on_session_time_zone(spark, sf_dir):
             assert sorted(tuple(r) for r in queries()[n](spark, sf_dir).collect()) == base[n], n
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_recent_rows_window_is_calendar_years_inclusive(spark):
+    from costcurves.sources.sinks import recent_rows
+
+    src = spark.createDataFrame([
+        ("P", "S", "X", D(2022, 2, 27, 23), Decimal("1")),
+        ("P", "S", "X", D(2022, 2, 28), Decimal("1")),
+        ("P", "S", "X", D(2024, 2, 29, 8), Decimal("1")),
+    ], COST_SOURCE)
+    got = [r.INVOICE_DATE for r in recent_rows(src, as_of=dt.date(2024, 2, 29)).orderBy("INVOICE_DATE").collect()]
+    assert got == [D(2022, 2, 28), D(2024, 2, 29, 8)]
