@@ -185,3 +185,36 @@ def test_command_line_runs_stages_and_score(spark, sf_dir):
     assert spark.table("M_COMB").count() == build_curves(fixture, as_of=AS_OF).combined.count()
     score = {r.check: r for r in spark.table("M_SCORE").collect()}
     assert "OVERALL" in score and score["OVERALL"].checked > 0
+
+
+def test_plain_sql_over_written_tables(spark, sf_dir):
+    """Checks written as SQL against the default table names give what the
+    DataFrame checks give."""
+    from costcurves.operators import quality as q
+
+    fixture = fixture_inputs(spark, sf_dir)
+    run_curves(spark, fixture, as_of=AS_OF)
+    by_sql = spark.sql("""
+        SELECT 'ACTUAL' AS source, COUNT(DISTINCT PROJECT_NUMBER) AS project_count FROM ACTUALVALUE
+        UNION ALL SELECT 'PLANNED', COUNT(DISTINCT PROJECT_NUMBER) FROM PLANNEDVALUE
+        UNION ALL SELECT 'FORECAST', COUNT(DISTINCT PROJECT_NUMBER) FROM FORECASTVALUE""")
+    by_df = q.completeness_check(spark.table("ACTUALVALUE"), spark.table("PLANNEDVALUE"),
+                                 spark.table("FORECASTVALUE"))
+    assert sorted(by_sql.collect()) == sorted(by_df.collect())
+
+    cont_sql = spark.sql("""
+        WITH a AS (SELECT PROJECT_NUMBER, MAX(INVOICE_DATE) AS max_actual_date
+                   FROM ACTUALVALUE GROUP BY PROJECT_NUMBER),
+             f AS (SELECT PROJECT_NUMBER, MIN(FORECAST_DATE) AS min_forecast_date
+                   FROM FORECASTVALUE GROUP BY PROJECT_NUMBER)
+        SELECT a.PROJECT_NUMBER, max_actual_date, min_forecast_date,
+               IF(min_forecast_date > max_actual_date, 'PASS', 'FAIL') AS continuity_check
+        FROM a JOIN f ON a.PROJECT_NUMBER = f.PROJECT_NUMBER""")
+    cont_df = q.continuity_check(spark.table("ACTUALVALUE"), spark.table("FORECASTVALUE"))
+    assert sorted(cont_sql.collect()) == sorted(cont_df.collect())
+
+    write_table(fixture.invoice, "SQL_INVOICE")
+    recent_sql = spark.sql(f"""
+        SELECT COUNT(*) FROM SQL_INVOICE
+        WHERE INVOICE_DATE >= DATEADD(YEAR, -2, DATE'{AS_OF}')""").first()[0]
+    assert recent_sql == recent_rows(spark.table("SQL_INVOICE"), as_of=AS_OF).count()
