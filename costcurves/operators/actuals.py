@@ -111,15 +111,48 @@ def net_actuals(actuals: DataFrame, budget_by_key: DataFrame, schedule: DataFram
     )
 
 
-def with_running_cost(net: DataFrame) -> DataFrame:
-    """Running cost per key in invoice-date order (one row per key and day)."""
-    w = (Window.partitionBy(*KEY).orderBy("INVOICE_DATE")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return net.withColumn("CUMULATIVE_ACTUAL_COST",
-                          F.sum("ACTUALS_COST").over(w).cast(MONEY)).select(*ACTUAL_COLUMNS)
+_RUNNING = Window.unboundedPreceding, Window.currentRow
 
 
-def actual_value(cost_sources: list[DataFrame], budget: DataFrame, schedule: DataFrame) -> DataFrame:
-    """The ACTUALVALUE curve."""
+def with_running_cost(net: DataFrame, split_hot_keys: int | None = None,
+                      block: str = "DAY") -> DataFrame:
+    """Running cost per key in invoice-date order (one row per key and date).
+
+    A key reaches the window as one row per distinct invoice date, so the
+    window's largest group is bounded by the calendar for date-valued
+    invoice dates. With ``split_hot_keys=n``, keys with more than ``n`` rows
+    (possible when invoice dates carry times of day) take a two-level prefix
+    sum instead: a running sum inside each ``block`` (``date_trunc`` unit)
+    plus the total of the key's earlier blocks, so no task holds a whole hot
+    key. Other keys keep the single window; the result is the same.
+    """
+    w = Window.partitionBy(*KEY).orderBy("INVOICE_DATE").rowsBetween(*_RUNNING)
+    if split_hot_keys is None:
+        return net.withColumn("CUMULATIVE_ACTUAL_COST",
+                              F.sum("ACTUALS_COST").over(w).cast(MONEY)).select(*ACTUAL_COLUMNS)
+
+    sizes = net.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_KEY_ROWS"))
+    tagged = net.join(sizes, KEY)
+    cold = tagged.filter(F.col("_KEY_ROWS") <= split_hot_keys).drop("_KEY_ROWS")
+    hot = (tagged.filter(F.col("_KEY_ROWS") > split_hot_keys).drop("_KEY_ROWS")
+           .withColumn("_BLOCK", F.date_trunc(block, F.col("INVOICE_DATE"))))
+
+    in_block = Window.partitionBy(*KEY, "_BLOCK").orderBy("INVOICE_DATE").rowsBetween(*_RUNNING)
+    earlier = Window.partitionBy(*KEY).orderBy("_BLOCK").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (hot.groupBy(*KEY, "_BLOCK").agg(F.sum("ACTUALS_COST").alias("_BLOCK_TOTAL"))
+               .select(*KEY, "_BLOCK", F.coalesce(F.sum("_BLOCK_TOTAL").over(earlier),
+                                                  F.lit(0).cast(MONEY)).alias("_OFFSET")))
+    hot_out = (hot.withColumn("_IN_BLOCK", F.sum("ACTUALS_COST").over(in_block))
+               .join(offsets, KEY + ["_BLOCK"])
+               .withColumn("CUMULATIVE_ACTUAL_COST",
+                           (F.col("_OFFSET") + F.col("_IN_BLOCK")).cast(MONEY)))
+    cold_out = cold.withColumn("CUMULATIVE_ACTUAL_COST", F.sum("ACTUALS_COST").over(w).cast(MONEY))
+    return cold_out.select(*ACTUAL_COLUMNS).unionByName(hot_out.select(*ACTUAL_COLUMNS))
+
+
+def actual_value(cost_sources: list[DataFrame], budget: DataFrame, schedule: DataFrame,
+                 split_hot_keys: int | None = None) -> DataFrame:
+    """The ACTUALVALUE curve (see ``with_running_cost`` for ``split_hot_keys``)."""
     actuals = union_cost_sources(*cost_sources)
-    return with_running_cost(net_actuals(actuals, budget_rollup(budget), schedule))
+    return with_running_cost(net_actuals(actuals, budget_rollup(budget), schedule),
+                             split_hot_keys=split_hot_keys)

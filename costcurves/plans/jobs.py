@@ -48,9 +48,10 @@ def _buckets(spark: SparkSession, buckets: int | None) -> int:
 
 
 def run_actual_stage(spark: SparkSession, inputs: CostInputs, table: str = ACTUAL_TABLE,
-                     buckets: int | None = None) -> None:
+                     buckets: int | None = None, split_hot_keys: int | None = None) -> None:
     """Stage 1: write the actual curve (bucketed on the key)."""
-    df = actual_value([inputs.invoice, inputs.pay_app, inputs.pay_req], inputs.budget, inputs.schedule)
+    df = actual_value([inputs.invoice, inputs.pay_app, inputs.pay_req], inputs.budget, inputs.schedule,
+                      split_hot_keys=split_hot_keys)
     write_table(df, table, bucket_by=KEY, buckets=_buckets(spark, buckets))
 
 
@@ -81,7 +82,8 @@ def run_combined_stage(spark: SparkSession, actual_table: str = ACTUAL_TABLE,
 
 def run_curves(spark: SparkSession, inputs: CostInputs, as_of=None,
                tables: dict[str, str] | None = None,
-               planned_method: str = "bucket", buckets: int | None = None) -> DataFrame:
+               planned_method: str = "bucket", buckets: int | None = None,
+               split_hot_keys: int | None = None) -> DataFrame:
     """All four stages in order: ACTUALVALUE, PLANNEDVALUE, FORECASTVALUE,
     COMBINED_CURVES (overwrite), each later stage reading the tables written
     before it.
@@ -93,7 +95,7 @@ def run_curves(spark: SparkSession, inputs: CostInputs, as_of=None,
     names = {"actual": ACTUAL_TABLE, "planned": PLANNED_TABLE,
              "forecast": FORECAST_TABLE, "combined": COMBINED_TABLE, **(tables or {})}
     n = _buckets(spark, buckets)
-    run_actual_stage(spark, inputs, names["actual"], buckets=n)
+    run_actual_stage(spark, inputs, names["actual"], buckets=n, split_hot_keys=split_hot_keys)
     run_planned_stage(spark, inputs, names["planned"], planned_method=planned_method, buckets=n)
     run_forecast_stage(spark, as_of, names["actual"], names["planned"], names["forecast"], buckets=n)
     return run_combined_stage(spark, names["actual"], names["planned"], names["forecast"],

@@ -448,8 +448,10 @@ FROM (
            + (SELECT COUNT(*) FROM timeline WHERE ISSUE IS NOT NULL) AS failed))""",
 }
 
-# Same query as planned_value, reached by the day explosion on the Spark side.
+# Same queries as planned_value / actual_value, reached on the Spark side by
+# the day explosion and by the split running total.
 _FINAL["planned_value_by_day"] = _FINAL["planned_value"]
+_FINAL["actual_value_hot_split"] = _FINAL["actual_value"]
 
 
 def oracle_sql() -> dict[str, str]:

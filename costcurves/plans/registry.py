@@ -24,6 +24,8 @@ from .jobs import build_curves
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+HOT_SPLIT_ROWS = 25
+
 
 def _inputs(spark: SparkSession, sf_dir: str) -> CostInputs:
     return fixture_inputs(spark, sf_dir)
@@ -59,6 +61,13 @@ def actual_value(spark, sf_dir):
     return act.actual_value(_sources(i), i.budget, i.schedule)
 
 
+def actual_value_hot_split(spark, sf_dir):
+    """actual_value with keys above 25 (key, date) rows through the two-level
+    prefix sum (about two thirds of the fixture's keys), to check both paths."""
+    i = _inputs(spark, sf_dir)
+    return act.actual_value(_sources(i), i.budget, i.schedule, split_hot_keys=HOT_SPLIT_ROWS)
+
+
 def norm_curve(spark, sf_dir):
     return pl.norm_curve_points(_inputs(spark, sf_dir).norm_curve).drop("RAW_PERCENT")
 
@@ -199,6 +208,7 @@ QUERIES: dict[str, Query] = {
     "actuals_enriched": actuals_enriched,
     "actuals_net": actuals_net,
     "actual_value": actual_value,
+    "actual_value_hot_split": actual_value_hot_split,
     "norm_curve": norm_curve,
     "planned_inputs": planned_inputs,
     "planned_daily": planned_daily,

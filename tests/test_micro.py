@@ -271,3 +271,26 @@ def test_recent_rows_window_is_calendar_years_inclusive(spark):
     ], COST_SOURCE)
     got = [r.INVOICE_DATE for r in recent_rows(src, as_of=dt.date(2024, 2, 29)).orderBy("INVOICE_DATE").collect()]
     assert got == [D(2022, 2, 28), D(2024, 2, 29, 8)]
+
+
+@pytest.mark.parametrize("threshold", [0, 3, 1000])
+def test_split_hot_keys_gives_the_same_running_total(spark, sf_dir, threshold):
+    """Hot keys through the two-level prefix sum equal the single window,
+    on the fixture (date-valued) and on intra-day timestamps."""
+    from costcurves.operators.actuals import with_running_cost
+    from costcurves.sources.fixtures import fixture_inputs
+
+    i = fixture_inputs(spark, sf_dir)
+    u = union_cost_sources(i.invoice, i.pay_app, i.pay_req)
+    net = net_actuals(u, budget_rollup(i.budget), i.schedule)
+    plain = with_running_cost(net)
+    split = with_running_cost(net, split_hot_keys=threshold)
+    assert split.exceptAll(plain).count() == 0 and plain.exceptAll(split).count() == 0
+
+    times = spark.createDataFrame(
+        [("P", "S", "X", D(2020, 1, 1 + d // 24, d % 24), Decimal(d % 7 - 2)) for d in range(24 * 5)]
+        + [("Q", "S", "X", D(2020, 1, 2), Decimal("1"))], COST_SOURCE)
+    tnet = net_actuals(union_cost_sources(times), budget_rollup(_budget(spark)), _schedule(spark, []))
+    a = sorted(tuple(r) for r in with_running_cost(tnet).collect())
+    b = sorted(tuple(r) for r in with_running_cost(tnet, split_hot_keys=threshold, block="DAY").collect())
+    assert a == b and len(a) > 24
