@@ -1,9 +1,9 @@
 """A direct, row-at-a-time Python model of the four stages, for small inputs.
 
-It follows the literal algorithm (join, group, per-day loop with
-``round(i / d, 2)`` and a scan of the curve for every day) with the
-orderings this package fixes for "first". Used only by the tests as a
-brute-force oracle on random inputs.
+Brute force over every schedule day: ``round(i / d, 2)`` in Python, a
+first-match lookup of the curve, first date per value, running sums in plain
+Decimal arithmetic, with the orderings this package fixes for "first". Used
+only by the tests as an oracle on random inputs.
 """
 
 from __future__ import annotations
@@ -86,36 +86,32 @@ def _code(label):
 
 def planned_value(budget_rows, schedule_rows, curve_rows):
     bk = budget_by_key(budget_rows)
-    curve = []
-    for c in curve_rows:
+    # first curve point per (code, rounded percent), in (percent, value) order
+    lookup = {}
+    for c in sorted(curve_rows, key=lambda c: _nulls_last(c["PERCENT_COMPLETIONTIME"],
+                                                          c["NORM_PERCENT_CUMSPENT"])):
         p = c["PERCENT_COMPLETIONTIME"]
-        curve.append((_code(c["SUBSTAGES"]), None if p is None else float(np.round(p, 2)),
-                      p, c["NORM_PERCENT_CUMSPENT"]))
-    curve.sort(key=lambda c: _nulls_last(c[2], c[3]))
+        if p is not None:
+            lookup.setdefault((_code(c["SUBSTAGES"]), float(np.round(p, 2))), c["NORM_PERCENT_CUMSPENT"])
     firsts = {}
     for s in sorted(schedule_rows, key=lambda s: _nulls_last(s["CURRENTSTART"], s["CURRENTEND"])):
         k = _key(s)
-        if k in bk and k not in firsts:
-            firsts[k] = s
-    daily = []
+        if k in bk and None not in k:
+            firsts.setdefault(k, s)
+    earliest = {}
     for k, s in firsts.items():
-        budget = bk[k] if bk[k] is not None else Decimal(0)
         start, end = s["CURRENTSTART"], s["CURRENTEND"]
-        if start is None or end is None or start >= end:
+        if start is None or end is None or not start < end:
             continue
-        duration = (end - start).days + 1
-        for i in range(duration):
-            pct = round(i / duration, 2)
-            match = [c for c in curve if c[0] == k[2] and c[1] == pct]
-            norm = match[0][3] if match else Decimal(0)
-            daily.append((k, start + dt.timedelta(days=i), norm,
-                          None if norm is None else norm * budget))
-    first = {}
-    for k, d, norm, val in sorted(daily, key=lambda x: (x[0], x[1])):
-        if norm is not None and (k, norm) not in first:
-            first[(k, norm)] = (d, val)
-    out = [dict(zip(K, k), NORMALIZED_PERCENT=norm, DATE=d, PLANNED_CURVE_VALUE=v)
-           for (k, norm), (d, v) in first.items()]
+        d = (end - start).days + 1
+        budget = Decimal(0) if bk[k] is None else bk[k]
+        percents = [round(i / d, 2) for i in range(d)]
+        values = [lookup.get((k[2], pct), Decimal(0)) for pct in percents]
+        for i, v in enumerate(values):
+            if v is not None and (k, v) not in earliest:
+                earliest[(k, v)] = (start + dt.timedelta(days=i), v * budget)
+    out = [dict(zip(K, k), NORMALIZED_PERCENT=v, DATE=when, PLANNED_CURVE_VALUE=amount)
+           for (k, v), (when, amount) in earliest.items()]
     out.sort(key=lambda r: (_key(r), r["DATE"]))
     run, last = Decimal(0), None
     for r in out:
