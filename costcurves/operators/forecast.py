@@ -42,13 +42,15 @@ def actuals_summary(actual: DataFrame) -> DataFrame:
 
 
 def last_cumulative(actual: DataFrame) -> DataFrame:
-    """Latest row per key by invoice date (top-1 per group)."""
-    w = Window.partitionBy(*KEY).orderBy(F.col("INVOICE_DATE").desc())
-    return (
-        actual.select(*KEY, "INVOICE_DATE", "CUMULATIVE_ACTUAL_COST")
-        .withColumn("_rn", F.row_number().over(w))
-        .filter(F.col("_rn") == 1)
-        .drop("_rn")
+    """Latest row per key by invoice date (top-1 per group).
+
+    An aggregate rather than a ranking window: ``max_by`` keeps one candidate
+    per key in each map task, so a key's rows are never gathered in one place
+    (invoice dates are unique per key, so the latest row is well defined).
+    """
+    return actual.groupBy(*KEY).agg(
+        F.max("INVOICE_DATE").alias("INVOICE_DATE"),
+        F.max_by("CUMULATIVE_ACTUAL_COST", F.col("INVOICE_DATE")).alias("CUMULATIVE_ACTUAL_COST"),
     )
 
 
