@@ -1,8 +1,9 @@
 """Benchmark: run the registered queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Each query is executed to completion with the no-op sink (full computation,
-nothing collected to the driver); every query derives its inputs from
-lineitem + part itself. The staged job (four tables written and read back) is
+nothing collected to the driver), $BENCH_REPEATS times (default 1), and the
+fastest run is reported; every query derives its inputs from lineitem + part
+itself. The staged job (four tables written and read back) is
 timed as ``curves_job``. ``stored_inputs`` times the four stages again over
 the six inputs stored as parquet tables, as they are in production (engine
 time without the test-table adapter). Prints one JSON line.
@@ -45,11 +46,18 @@ def main() -> None:
     # Warm the JVM on the smallest fixture (not timed).
     _run(qs["combined_curves"](spark, "/root/testdata/sf0.001"))
 
+    # Each query runs BENCH_REPEATS times (default 1) and the fastest run is
+    # kept, which damps interference from other load on the host.
+    repeats = max(1, int(os.environ.get("BENCH_REPEATS", "1")))
     times: dict[str, float] = {}
     for name, fn in qs.items():
-        t0 = time.perf_counter()
-        _run(fn(spark, sf_dir))
-        times[name] = round(time.perf_counter() - t0, 3)
+        best = None
+        for _ in range(repeats):
+            t0 = time.perf_counter()
+            _run(fn(spark, sf_dir))
+            elapsed = time.perf_counter() - t0
+            best = elapsed if best is None else min(best, elapsed)
+        times[name] = round(best, 3)
 
     t0 = time.perf_counter()
     run_curves(spark, fixture_inputs(spark, sf_dir), as_of=AS_OF).collect()
@@ -64,9 +72,13 @@ def main() -> None:
     curves = build_curves(CostInputs(**stored), as_of=AS_OF)
     stage_times: dict[str, float] = {}
     for name in ("actual", "planned", "forecast", "combined"):
-        t0 = time.perf_counter()
-        _run(getattr(curves, name))
-        stage_times[name] = round(time.perf_counter() - t0, 3)
+        best = None
+        for _ in range(repeats):
+            t0 = time.perf_counter()
+            _run(getattr(curves, name))
+            elapsed = time.perf_counter() - t0
+            best = elapsed if best is None else min(best, elapsed)
+        stage_times[name] = round(best, 3)
 
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(json.dumps({
@@ -78,6 +90,7 @@ def main() -> None:
         "stored_inputs": stage_times,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,
+        "repeats": repeats,
     }))
     spark.stop()
 
