@@ -73,10 +73,13 @@ def run_forecast_stage(spark: SparkSession, as_of=None, actual_table: str = ACTU
 def run_combined_stage(spark: SparkSession, actual_table: str = ACTUAL_TABLE,
                        planned_table: str = PLANNED_TABLE, forecast_table: str = FORECAST_TABLE,
                        table: str = COMBINED_TABLE) -> DataFrame:
-    """Stage 4: stack the three written curves; returns a 10-row preview."""
+    """Stage 4: stack the three written curves; returns a 10-row preview.
+
+    The reporting table is partitioned by TYPE (three values), so readers
+    filtering on one curve type read only its folder."""
     df = combined_curves(spark.table(actual_table), spark.table(planned_table),
                          spark.table(forecast_table))
-    write_table(df, table)
+    write_table(df, table, partition_by=["TYPE"])
     return preview(spark.table(table), 10)
 
 

@@ -15,14 +15,16 @@ def _as_of_date(as_of) -> Column:
 
 
 def write_table(df: DataFrame, name: str, mode: str = "overwrite", path: str | None = None,
-                bucket_by: list[str] | None = None, buckets: int | None = None) -> None:
+                bucket_by: list[str] | None = None, buckets: int | None = None,
+                partition_by: list[str] | None = None) -> None:
     """Replace (or append to) a catalog table with ``df``.
 
     With ``bucket_by`` the table is hash-bucketed on those columns (``buckets``
     defaults to ``spark.sql.shuffle.partitions``). The rows are first
     repartitioned with the same hash, so each task writes one file, and later
     joins, aggregates and windows on those columns read co-located buckets
-    without a shuffle.
+    without a shuffle. ``partition_by`` lays the table out in one folder per
+    value of low-cardinality columns, so filters on them prune whole folders.
     """
     if bucket_by:
         n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -30,6 +32,8 @@ def write_table(df: DataFrame, name: str, mode: str = "overwrite", path: str | N
                   .bucketBy(n, *bucket_by))
     else:
         writer = df.write.mode(mode).format("parquet")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     if path is not None:
         writer = writer.option("path", path)
     writer.saveAsTable(name)

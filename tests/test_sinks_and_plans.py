@@ -218,3 +218,12 @@ def test_plain_sql_over_written_tables(spark, sf_dir):
         SELECT COUNT(*) FROM SQL_INVOICE
         WHERE INVOICE_DATE >= DATEADD(YEAR, -2, DATE'{AS_OF}')""").first()[0]
     assert recent_sql == recent_rows(spark.table("SQL_INVOICE"), as_of=AS_OF).count()
+
+
+def test_combined_table_prunes_by_type(spark, sf_dir):
+    run_curves(spark, fixture_inputs(spark, sf_dir), as_of=AS_OF,
+               tables={"actual": "P_ACT", "planned": "P_PLAN", "forecast": "P_FC", "combined": "P_COMB"})
+    table = spark.table("P_COMB")
+    assert table.columns == ["PROJECT_NUMBER", "STAGE", "SUB_STAGE", "DATE", "VALUE", "TYPE"]
+    plan = _plan(table.filter(F.col("TYPE") == "FORECAST").select("VALUE"))
+    assert "PartitionFilters: [isnotnull(TYPE" in plan and "(TYPE#" in plan
