@@ -150,11 +150,15 @@ def budget_alignment(actual: DataFrame, forecast: DataFrame) -> DataFrame:
 
 def missing_keys(budget: DataFrame, actual: DataFrame, planned: DataFrame,
                  forecast: DataFrame) -> DataFrame:
-    """Budgeted keys absent from a curve (anti joins on the key)."""
+    """Budgeted keys absent from a curve (anti joins on the key).
+
+    Each curve is reduced to its distinct keys first (map-side partial
+    aggregation), so only keys, not curve rows, are shuffled for the join.
+    """
     expected = budget_rollup(budget).select(*KEY).dropna()
     parts = [("ACTUAL", actual), ("PLANNED", planned), ("FORECAST", forecast)]
     return _union_all([
-        expected.join(df.select(*KEY), KEY, "left_anti").withColumn("MISSING_FROM", F.lit(name))
+        expected.join(df.select(*KEY).distinct(), KEY, "left_anti").withColumn("MISSING_FROM", F.lit(name))
         for name, df in parts
     ])
 
