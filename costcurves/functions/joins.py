@@ -9,13 +9,16 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 200_000
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                         witness: DataFrame | None = None) -> DataFrame:
     """Hint a broadcast only after proving ``df`` holds at most ``max_rows`` rows.
 
-    The proof is a ``limit(max_rows + 1).count()`` on the (small) lookup side,
-    which stops reading as soon as the bound is exceeded. Beyond the bound
-    the side is returned unhinted, so the planner (and AQE with runtime
-    sizes) falls back to a shuffle join.
+    The proof is a ``limit(max_rows + 1).count()``, which stops reading as soon
+    as the bound is exceeded. It is taken on ``witness`` when given: an
+    upstream DataFrame that ``df`` cannot outgrow (``df`` is a filter or an
+    aggregate of it), so the check reads the raw rows without running the
+    aggregation. Beyond the bound the side is returned unhinted, so the
+    planner (and AQE with runtime sizes) falls back to a shuffle join.
     """
-    n = df.limit(max_rows + 1).count()
+    n = (df if witness is None else witness).limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df

@@ -89,7 +89,8 @@ def _plannable(inputs: DataFrame) -> DataFrame:
 
 def _apply_curve(days: DataFrame, curve: DataFrame) -> DataFrame:
     """J4 + P15 + P16: curve value of each (key, day index) and its planned value."""
-    lookup = broadcast_if_bounded(curve_lookup(curve))
+    # the lookup has at most one row per curve point: the raw curve bounds it
+    lookup = broadcast_if_bounded(curve_lookup(curve), witness=curve)
     norm = F.when(F.col("MATCHED").isNull(), F.lit(0).cast(NORM)).otherwise(F.col("CURVE_VALUE"))
     return (
         days.join(lookup, ["SUB_STAGE", "PCT_KEY"], "left")

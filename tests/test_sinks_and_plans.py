@@ -227,3 +227,14 @@ def test_combined_table_prunes_by_type(spark, sf_dir):
     assert table.columns == ["PROJECT_NUMBER", "STAGE", "SUB_STAGE", "DATE", "VALUE", "TYPE"]
     plan = _plan(table.filter(F.col("TYPE") == "FORECAST").select("VALUE"))
     assert "PartitionFilters: [isnotnull(TYPE" in plan and "(TYPE#" in plan
+
+
+def test_broadcast_bound_through_a_witness(spark):
+    from costcurves.functions.joins import broadcast_if_bounded
+
+    raw = spark.range(1000)
+    agg = raw.groupBy((raw.id % 10).alias("k")).count()     # 10 rows, but its source has 1000
+    hinted = broadcast_if_bounded(agg, 100)
+    unproven = broadcast_if_bounded(agg, 100, witness=raw)
+    assert "broadcast" in str(hinted._jdf.queryExecution().logical()).lower()
+    assert "broadcast" not in str(unproven._jdf.queryExecution().logical()).lower()
