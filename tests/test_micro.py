@@ -294,3 +294,19 @@ def test_split_hot_keys_gives_the_same_running_total(spark, sf_dir, threshold):
     a = sorted(tuple(r) for r in with_running_cost(tnet).collect())
     b = sorted(tuple(r) for r in with_running_cost(tnet, split_hot_keys=threshold, block="DAY").collect())
     assert a == b and len(a) > 24
+
+
+def test_decimal_percent_column_matches_double(spark):
+    """The curve's completion percent may arrive as a decimal."""
+    dec_schema = T.StructType([
+        T.StructField("SUBSTAGES", T.StringType()),
+        T.StructField("PERCENT_COMPLETIONTIME", T.DecimalType(5, 4)),
+        T.StructField("NORM_PERCENT_CUMSPENT", T.DecimalType(9, 6)),
+    ])
+    rows = [("SS - x", k, Decimal(k * k) / 10000) for k in range(101)]
+    as_double = _curve(spark, [(c, k / 100, v) for c, k, v in rows])
+    as_decimal = spark.createDataFrame([(c, Decimal(k) / 100, v) for c, k, v in rows], dec_schema)
+    sched = _schedule(spark, [("P", "S", "SS", D(2020, 1, 1), D(2020, 4, 9))])
+    a = sorted(tuple(r) for r in planned_value(_budget(spark), sched, as_double).collect())
+    b = sorted(tuple(r) for r in planned_value(_budget(spark), sched, as_decimal).collect())
+    assert a == b and len(a) > 50
