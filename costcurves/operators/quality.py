@@ -90,12 +90,16 @@ def continuity_check(actual: DataFrame, forecast: DataFrame) -> DataFrame:
         _pass_fail(F.col("min_forecast_date") > F.col("max_actual_date")).alias("continuity_check"))
 
 
+def _with_previous(actual: DataFrame) -> DataFrame:
+    w = Window.partitionBy(*KEY).orderBy("INVOICE_DATE")
+    return actual.select(*KEY, "INVOICE_DATE", "CUMULATIVE_ACTUAL_COST",
+                         F.lag("CUMULATIVE_ACTUAL_COST").over(w).alias("PREVIOUS_CUMULATIVE"))
+
+
 def monotone_violations(actual: DataFrame) -> DataFrame:
     """Days where the running cost falls below the previous day's (credits)."""
-    w = Window.partitionBy(*KEY).orderBy("INVOICE_DATE")
     return (
-        actual.select(*KEY, "INVOICE_DATE", "CUMULATIVE_ACTUAL_COST",
-                      F.lag("CUMULATIVE_ACTUAL_COST").over(w).alias("PREVIOUS_CUMULATIVE"))
+        _with_previous(actual)
         .filter(F.col("CUMULATIVE_ACTUAL_COST") < F.col("PREVIOUS_CUMULATIVE"))
         .select(*KEY, "INVOICE_DATE", "PREVIOUS_CUMULATIVE", "CUMULATIVE_ACTUAL_COST")
     )
@@ -195,31 +199,67 @@ def freshness(dated: dict[str, tuple[DataFrame, str]], as_of=None,
         .alias("status"))
 
 
+def _timeline_issue() -> Column:
+    d, s, e = F.col("INVOICE_DATE"), F.col("CURRENTSTART"), F.col("CURRENTEND")
+    return (F.when(s.isNull() | e.isNull(), F.lit("NO_SCHEDULE"))
+            .when(d < s, F.lit("BEFORE_START"))
+            .when(d > e, F.lit("AFTER_END")))
+
+
 def timeline_check(actual: DataFrame) -> DataFrame:
     """Actual days outside the key's schedule window."""
-    d, s, e = F.col("INVOICE_DATE"), F.col("CURRENTSTART"), F.col("CURRENTEND")
-    issue = (F.when(s.isNull() | e.isNull(), F.lit("NO_SCHEDULE"))
-             .when(d < s, F.lit("BEFORE_START"))
-             .when(d > e, F.lit("AFTER_END")))
     return actual.select(*KEY, "INVOICE_DATE", "CURRENTSTART", "CURRENTEND",
-                         issue.alias("ISSUE")).filter(F.col("ISSUE").isNotNull())
+                         _timeline_issue().alias("ISSUE")).filter(F.col("ISSUE").isNotNull())
+
 
+# ---- scoring (D9) -------------------------------------------------------------
 
-def score(counted: list[tuple[str, DataFrame, DataFrame]]) -> DataFrame:
-    """``counted`` holds (check, population, failures) triples.
+def flagged(rows: DataFrame, failed: Column) -> DataFrame:
+    """A check as scored rows: each row of ``rows`` is one item checked, failed
+    when ``failed`` is true (NULL counts as passed)."""
+    return rows.select(F.lit(1).cast("bigint").alias("checked"),
+                       F.coalesce(failed, F.lit(False)).cast("bigint").alias("failed"))
 
-    Each population and failure set is reduced to a global count (partial
-    counts, no row shuffle); the overall row pools all checks.
+
+def monotone_scored(actual: DataFrame) -> DataFrame:
+    """D1 as scored rows: every actual day is checked against the previous one."""
+    prev = _with_previous(actual)
+    return flagged(prev, F.col("CUMULATIVE_ACTUAL_COST") < F.col("PREVIOUS_CUMULATIVE"))
+
+
+def timeline_scored(actual: DataFrame) -> DataFrame:
+    """D11 as scored rows: every actual day is checked against its schedule."""
+    return flagged(actual, _timeline_issue().isNotNull())
+
+
+def missing_keys_scored(budget: DataFrame, actual: DataFrame, planned: DataFrame,
+                        forecast: DataFrame) -> DataFrame:
+    """D6 as scored rows: each budgeted key is checked once per curve (3 items),
+    failing once for every curve it is missing from. One pass: the budgeted
+    keys left-joined to each curve's distinct keys."""
+    scored = budget_rollup(budget).select(*KEY).dropna()
+    missing = F.lit(0)
+    for i, df in enumerate((actual, planned, forecast)):
+        present = df.select(*KEY).distinct().withColumn(f"_in_{i}", F.lit(True))
+        scored = scored.join(present, KEY, "left")
+        missing = missing + F.when(F.col(f"_in_{i}").isNull(), 1).otherwise(0)
+    return scored.select(F.lit(3).cast("bigint").alias("checked"), missing.cast("bigint").alias("failed"))
+
+
+def score(checks: list[tuple[str, DataFrame]]) -> DataFrame:
+    """Pass rate per check and overall, against the 99.9% target.
+
+    Each check is a DataFrame of scored rows (``checked``, ``failed``), so every
+    population is read once and reduced to two sums (partial aggregation, no
+    row shuffle); the overall row pools all checks.
     """
-    counts = _union_all(
-        [pop.agg(F.count(F.lit(1)).alias("n")).select(
-            F.lit(name).alias("check"), F.col("n").alias("checked"), F.lit(0).cast("bigint").alias("failed"))
-         for name, pop, _ in counted]
-        + [bad.agg(F.count(F.lit(1)).alias("n")).select(
-            F.lit(name).alias("check"), F.lit(0).cast("bigint").alias("checked"), F.col("n").alias("failed"))
-           for name, _, bad in counted])
-    per_check = counts.groupBy("check").agg(F.sum("checked").alias("checked"),
-                                            F.sum("failed").alias("failed"))
+    per_check = _union_all([
+        df.agg(F.sum("checked").alias("checked"), F.sum("failed").alias("failed")).select(
+            F.lit(name).alias("check"),
+            F.coalesce(F.col("checked"), F.lit(0)).cast("bigint").alias("checked"),
+            F.coalesce(F.col("failed"), F.lit(0)).cast("bigint").alias("failed"))
+        for name, df in checks
+    ])
     total = per_check.agg(F.sum("checked").alias("checked"), F.sum("failed").alias("failed")).select(
         F.lit("OVERALL").alias("check"), "checked", "failed")
     both = per_check.unionByName(total)

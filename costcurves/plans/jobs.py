@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import quality as q
-from ..operators.actuals import actual_value, budget_rollup
+from ..operators.actuals import actual_value
 from ..operators.combine import combined_curves
 from ..operators.forecast import forecast_value
 from ..operators.planned import planned_value
@@ -123,35 +123,30 @@ def materialized_curves(inputs: CostInputs, as_of=None, planned_method: str = "b
     return Curves(actual, planned, forecast, combined_curves(actual, planned, forecast))
 
 
-def quality_checks(inputs: CostInputs, curves: Curves, as_of=None) -> dict[str, tuple[DataFrame, DataFrame]]:
-    """Every scored check as (population, failures)."""
+def quality_checks(inputs: CostInputs, curves: Curves, as_of=None) -> dict[str, DataFrame]:
+    """Every scored check as a DataFrame of (checked, failed) rows."""
     c = curves
     sources = [inputs.invoice, inputs.pay_app, inputs.pay_req]
-    expected = budget_rollup(inputs.budget).select(*KEY).dropna()
     dated = {name: (df, "INVOICE_DATE") for name, df in inputs.cost_sources().items()}
     dated["ACTUALVALUE"] = (c.actual, "INVOICE_DATE")
-    pvb = q.planned_vs_budget(c.planned, inputs.budget)
-    fcont = q.forecast_continuity(c.actual, c.forecast)
-    cont = q.continuity_check(c.actual, c.forecast)
-    ctl = q.control_totals(sources, c.actual)
-    fresh = q.freshness(dated, as_of)
-    align = q.budget_alignment(c.actual, c.forecast)
     return {
-        "monotone": (c.actual, q.monotone_violations(c.actual)),
-        "planned_vs_budget": (pvb, pvb.filter(F.col("STATUS") == "FAIL")),
-        "forecast_continuity": (fcont, fcont.filter(F.col("STATUS") == "FAIL")),
-        "continuity": (cont, cont.filter(F.col("continuity_check") == "FAIL")),
-        "missing_keys": (expected.select(F.explode(F.array(F.lit(1), F.lit(2), F.lit(3)))),
-                         q.missing_keys(inputs.budget, c.actual, c.planned, c.forecast)),
-        "control_totals": (ctl, ctl.filter(F.col("STATUS") == "MISMATCH")),
-        "freshness": (fresh, fresh.filter(F.col("status") == "STALE")),
-        "budget_alignment": (align, align.filter(F.col("STATUS") == "FAIL")),
-        "timeline": (c.actual, q.timeline_check(c.actual)),
+        "monotone": q.monotone_scored(c.actual),
+        "planned_vs_budget": q.flagged(q.planned_vs_budget(c.planned, inputs.budget),
+                                       F.col("STATUS") == "FAIL"),
+        "forecast_continuity": q.flagged(q.forecast_continuity(c.actual, c.forecast),
+                                         F.col("STATUS") == "FAIL"),
+        "continuity": q.flagged(q.continuity_check(c.actual, c.forecast),
+                                F.col("continuity_check") == "FAIL"),
+        "missing_keys": q.missing_keys_scored(inputs.budget, c.actual, c.planned, c.forecast),
+        "control_totals": q.flagged(q.control_totals(sources, c.actual), F.col("STATUS") == "MISMATCH"),
+        "freshness": q.flagged(q.freshness(dated, as_of), F.col("status") == "STALE"),
+        "budget_alignment": q.flagged(q.budget_alignment(c.actual, c.forecast),
+                                      F.col("STATUS") == "FAIL"),
+        "timeline": q.timeline_scored(c.actual),
     }
 
 
 def quality_score(inputs: CostInputs, as_of=None, curves: Curves | None = None) -> DataFrame:
     """D9 over checkpointed curves (or the given, e.g. stored, curves)."""
     c = curves or materialized_curves(inputs, as_of)
-    checks = quality_checks(inputs, c, as_of)
-    return q.score([(name, pop, bad) for name, (pop, bad) in checks.items()])
+    return q.score(list(quality_checks(inputs, c, as_of).items()))

@@ -77,6 +77,16 @@ def test_control_totals_full_outer(spark):
                    "Z": (Decimal("0.00"), Decimal("3.00"), "MISMATCH")}
 
 
+def test_missing_keys_scored_counts_pairs(spark):
+    budget = spark.createDataFrame([("P", "S", "X", Decimal("1")), ("Q", "S", "X", None)], BUDGET_SOURCE)
+    actual = _actual(spark, [_a(("P", "S", "X"), 1, "1", "1"), _a(("P", "S", "X"), 2, "1", "2")])
+    planned = spark.createDataFrame([("Q", "S", "X", Decimal("0"), D(2020, 1, 1), Decimal("0"), Decimal("0"))],
+                                    PLANNED)
+    fc = spark.createDataFrame([], FORECAST)
+    r = q.score([("m", q.missing_keys_scored(budget, actual, planned, fc))]).collect()[0]
+    assert (r.checked, r.failed) == (6, 4)
+
+
 def test_missing_keys_per_curve(spark):
     budget = spark.createDataFrame([("P", "S", "X", Decimal("1")), ("Q", "S", "X", None)], BUDGET_SOURCE)
     actual = _actual(spark, [_a(("P", "S", "X"), 1, "1", "1")])
@@ -88,10 +98,12 @@ def test_missing_keys_per_curve(spark):
 
 
 def test_score_pools_checks_and_handles_empty_population(spark):
+    from pyspark.sql import functions as F
+
     pop = spark.range(1000)
-    bad = spark.range(1)
     empty = spark.range(0)
-    got = {r.check: r for r in q.score([("a", pop, bad), ("b", empty, empty)]).collect()}
+    got = {r.check: r for r in q.score([("a", q.flagged(pop, F.col("id") == 7)),
+                                        ("b", q.flagged(empty, F.lit(True)))]).collect()}
     assert (got["a"].checked, got["a"].failed, got["a"].pass_rate, got["a"].meets_target) == (1000, 1, 0.999, True)
     assert (got["b"].checked, got["b"].pass_rate, got["b"].meets_target) == (0, 1.0, True)
     assert (got["OVERALL"].checked, got["OVERALL"].failed) == (1000, 1)
