@@ -7,7 +7,7 @@ from .coerce import (
     to_double_or_zero,
     to_timestamp_strict,
 )
-from .dates import add_days, as_timestamp_literal, duration_days
+from .dates import add_days, as_of_date, as_of_midnight, duration_days
 from .joins import broadcast_if_bounded
 from .percent import (
     TIE_PERCENT,
@@ -20,7 +20,8 @@ from .percent import (
 __all__ = [
     "TIE_PERCENT",
     "add_days",
-    "as_timestamp_literal",
+    "as_of_date",
+    "as_of_midnight",
     "broadcast_if_bounded",
     "curve_percent_key",
     "duration_days",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,6 +24,17 @@ def add_days(ts: Column, days: Column) -> Column:
     return ts + F.make_dt_interval(days=days.cast("int"))
 
 
-def as_timestamp_literal(value) -> Column:
-    """A date / datetime / ISO string as a timestamp_ntz literal (midnight for dates)."""
-    return F.lit(str(value)).cast("timestamp_ntz")
+def as_of_date(as_of=None) -> Column:
+    """The as-of day as a date: a date, datetime, ISO string or Column; today when None."""
+    if as_of is None:
+        return F.current_date()
+    if isinstance(as_of, Column):
+        return as_of.cast("date")
+    if isinstance(as_of, _dt.datetime):
+        as_of = as_of.date()
+    return F.lit(str(as_of)).cast("date")
+
+
+def as_of_midnight(as_of=None) -> Column:
+    """Midnight of the as-of day as timestamp_ntz (``DATE > as_of`` keeps 08:00 today)."""
+    return as_of_date(as_of).cast("timestamp_ntz")

@@ -13,24 +13,13 @@ come from one window on the key (no self-join to a per-key total).
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.dates import as_timestamp_literal
+from ..functions.dates import as_of_midnight
 from ..schema import AMOUNT, FORECAST_COLUMNS, KEY, MONEY, PLANNED
 
 
-def _as_of(as_of) -> Column:
-    """``DATE > as_of`` compares against midnight of the as-of day."""
-    if as_of is None:
-        return F.current_date().cast("timestamp_ntz")
-    if isinstance(as_of, Column):
-        return as_of.cast("date").cast("timestamp_ntz")
-    if isinstance(as_of, _dt.datetime):
-        as_of = as_of.date()
-    return as_timestamp_literal(as_of)
 
 
 def actuals_summary(actual: DataFrame) -> DataFrame:
@@ -68,7 +57,7 @@ def future_weights(planned: DataFrame, actual: DataFrame, as_of=None) -> DataFra
     """J5 + P7: future planned rows of keys that have actuals (inner joins),
     with the key's actual position. The date predicate is pushed below the
     join into the planned scan."""
-    future = planned.filter(F.col("DATE") > _as_of(as_of)).select(
+    future = planned.filter(F.col("DATE") > as_of_midnight(as_of)).select(
         *KEY, "DATE", "NORMALIZED_PERCENT", "PLANNED_CURVE_VALUE", "CUMULATIVE_PLANNED_CURVE")
     return future.join(actual_position(actual), KEY, "inner")
 

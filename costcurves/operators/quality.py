@@ -8,7 +8,6 @@ partial aggregation; none collects rows to the driver.
 
 from __future__ import annotations
 
-import datetime as _dt
 from decimal import Decimal
 from functools import reduce
 
@@ -16,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.coerce import to_decimal_or_zero
+from ..functions.dates import as_of_date
 from ..schema import AMOUNT, GAP, KEY, MONEY
 from ..sources.tables import select_cost_source
 from .actuals import budget_rollup
@@ -26,14 +26,6 @@ FORECAST_TOLERANCE = 0.01       # |final forecast - max(budget, spent)| toleranc
 FRESHNESS_DAYS = 7              # weekly refresh
 
 
-def _as_of_date(as_of) -> Column:
-    if as_of is None:
-        return F.current_date()
-    if isinstance(as_of, Column):
-        return as_of.cast("date")
-    if isinstance(as_of, _dt.datetime):
-        as_of = as_of.date()
-    return F.lit(str(as_of)).cast("date")
 
 
 def _union_all(dfs: list[DataFrame]) -> DataFrame:
@@ -187,7 +179,7 @@ def control_totals(cost_sources: list[DataFrame], actual: DataFrame) -> DataFram
 def freshness(dated: dict[str, tuple[DataFrame, str]], as_of=None,
               max_age_days: int = FRESHNESS_DAYS) -> DataFrame:
     """Latest date of each table vs ``as_of``; stale beyond ``max_age_days``."""
-    today = _as_of_date(as_of)
+    today = as_of_date(as_of)
     rows = _union_all([
         df.agg(F.max(col).alias("latest_date")).select(F.lit(name).alias("source"), "latest_date")
         for name, (df, col) in dated.items()

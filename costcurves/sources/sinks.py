@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.dates import as_of_date
+
 
-def _as_of_date(as_of) -> Column:
-    if as_of is None:
-        return F.current_date()
-    if isinstance(as_of, Column):
-        return as_of.cast("date")
-    return F.lit(str(as_of)).cast("date")
 
 
 def write_table(df: DataFrame, name: str, mode: str = "overwrite", path: str | None = None,
@@ -54,7 +50,7 @@ def recent_rows(df: DataFrame, date_col: str = "INVOICE_DATE", as_of=None, years
     The comparison is a plain column-vs-constant predicate, so it reaches the
     parquet scan as a pushed filter.
     """
-    since = F.add_months(_as_of_date(as_of), -12 * years).cast("timestamp_ntz")
+    since = F.add_months(as_of_date(as_of), -12 * years).cast("timestamp_ntz")
     return df.filter(F.col(date_col) >= since)
 
 
