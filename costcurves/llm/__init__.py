@@ -1 +1,8 @@
 """Operators of a training-data pipeline over a table of documents."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this subpackage travel to the Python workers by value, so executors need no copy of it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_chunks, pii_boost, poisson_mix, rendezvous, spotsigs, stream_dedup
+from . import line_chunks, pii_boost, pivot_join, poisson_mix, rendezvous, spotsigs, stream_dedup
 from .common import documents
 
 #: Blocks of row ranges for each shuffle partition, so that block sizes follow the cluster's setting.
@@ -30,6 +30,10 @@ def op2_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("clean_text").cast("binary"), 256).alias("clean_sha256"))
 
 
+def op3_pivot_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_join.linked_documents(documents(spark, sf_dir))
+
+
 def op4_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = poisson_mix.mixed(documents(spark, sf_dir))
     return rows.select("doc_id", "text", "lang", "source", F.round("mix_rate", 6).alias("rate"),
@@ -55,7 +59,7 @@ def op10_pii_boost(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_spotsigs, op2_line_chunks, op4_poisson_mix, op5_rendezvous, op9_stream_dedup,
+    return {f.__name__: f for f in (op1_spotsigs, op2_line_chunks, op3_pivot_join, op4_poisson_mix, op5_rendezvous, op9_stream_dedup,
                                     op10_pii_boost)}
 
 
