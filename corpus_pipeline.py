@@ -1,33 +1,66 @@
-"""A training-data pipeline over ``documents``, one operator a stage."""
+"""A training-data pipeline over ``documents``, one operator a stage.
+
+Each stage reads all that the one before it kept, and its decisions take effect: documents that
+the classifier rejects go, of equal texts the row with the smallest id stays, of linked
+documents the one with the smallest id, each remaining one appears as often as its Poisson count
+says, and every copy is encoded.
+
+Defined cases: null texts and metadata pass through as the operators define them. Rows with null ids
+are classified, are never duplicates of a row with an id and never linked. Rows equal in id and text
+share their fate. An empty table gives an empty result. Columns besides those of ``documents`` are left out.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costcurves.llm import poisson_mix, stream_dedup
+from costcurves.llm import cotraining, pivot_join, poisson_mix, spm_tokenizers, stream_dedup
 from costcurves.llm.common import documents, stored
+from costcurves.llm.queries import spm_model
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the co-trained classifier accepts."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return cotraining.accepted(docs.select(*COLUMNS), labels)
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row with the smallest id stays."""
-    found = stored(stream_dedup.deduplicated(docs), "pipeline-copies")
-    return docs.join(found.filter("not kept").select("doc_id"), "doc_id", "left_anti").select(*COLUMNS)
+    """Of equal texts the row with the smallest id."""
+    gone = stored(stream_dedup.deduplicated(docs).filter("not kept").select("doc_id"), "pipeline-copies")
+    return docs.join(gone.distinct(), "doc_id", "left_anti").select(*COLUMNS)
+
+
+def drop_linked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by their shingles the one with the smallest id."""
+    found = pivot_join.linked_documents(docs).filter("component_id != doc_id").select("doc_id")
+    gone = stored(found, "pipeline-linked")
+    return docs.join(gone.distinct(), "doc_id", "left_anti").select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its Poisson count says, in one global pseudo-random order."""
-    return poisson_mix.mixed(docs).select(*COLUMNS)
+    return poisson_mix.mixed(docs.select(*COLUMNS)).select(*COLUMNS)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """SentencePiece ids of every copy; ``round_trip``: the ids decode to the text."""
+    rows = spm_tokenizers.encoded(docs, spm_model())
+    return rows.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", "round_trip", "parity")
 
 
-STAGES = [("exact_dedup", drop_copies), ("mixing", mix_sources)]
+STAGES = [("quality_classifier", keep_quality), ("exact_dedup", drop_copies), ("jaccard_join", drop_linked),
+          ("mixing", mix_sources), ("sentencepiece", encode)]
+#: Stages with a fitted model and a tokenizer have no SQL; tests/llm/test_pipeline.py holds the brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages in order over ``documents``, each written and read again."""
     docs = documents(spark, sf_dir)
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_chunks, pii_boost, pivot_join, poisson_mix, rendezvous, spotsigs, stream_dedup
-from .common import documents
+from . import cotraining, line_chunks, pii_boost, pivot_join, poisson_mix, record_files, rendezvous, spm_tokenizers, spotsigs, stream_dedup
+from .common import documents, shared_folder
 
 #: Blocks of row ranges for each shuffle partition, so that block sizes follow the cluster's setting.
 BLOCKS_PER_PARTITION = 8
@@ -45,6 +46,31 @@ def op5_rendezvous(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rendezvous.sharded(documents(spark, sf_dir), [1.0] * rendezvous.SHARDS, rendezvous.BLOCKS)
 
 
+def op6_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotraining.scored(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op7_record_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocks = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    folder = shared_folder(spark, "records")
+    manifest = record_files.write_records(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), folder,
+                                          blocks)
+    return record_files.read_back(manifest, blocks).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def spm_model() -> bytes:
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as f:
+        return f.read()
+
+
+def op8_spm_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spm_tokenizers.encoded(documents(spark, sf_dir), spm_model())
+    return rows.select(
+        "doc_id", F.size("ids").cast("long").alias("n_ids"), F.crc32(F.array_join("ids", ",").cast("binary")).alias("ids_crc32"),
+        F.length("decoded").cast("long").alias("decoded_chars"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), "parity")
+
+
 def op9_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stream_dedup.deduplicated(documents(spark, sf_dir))
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
@@ -59,8 +85,9 @@ def op10_pii_boost(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_spotsigs, op2_line_chunks, op3_pivot_join, op4_poisson_mix, op5_rendezvous, op9_stream_dedup,
-                                    op10_pii_boost)}
+    return {f.__name__: f for f in (
+        op1_spotsigs, op2_line_chunks, op3_pivot_join, op4_poisson_mix, op5_rendezvous, op6_cotraining,
+        op7_record_files, op8_spm_tokenizers, op9_stream_dedup, op10_pii_boost)}
 
 
 def oracle_sql() -> dict[str, str]:
