@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from . import cotraining, line_chunks, pii_boost, pivot_join, poisson_mix, record_files, rendezvous, spm_tokenizers, spotsigs, stream_dedup
 from .common import documents, shared_folder
+from .oracle_sql import oracle_sql
+
+__all__ = ["oracle_sql", "queries"]
 
 #: Blocks of row ranges for each shuffle partition, so that block sizes follow the cluster's setting.
 BLOCKS_PER_PARTITION = 8
@@ -89,6 +92,3 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op1_spotsigs, op2_line_chunks, op3_pivot_join, op4_poisson_mix, op5_rendezvous, op6_cotraining,
         op7_record_files, op8_spm_tokenizers, op9_stream_dedup, op10_pii_boost)}
 
-
-def oracle_sql() -> dict[str, str]:
-    return {}
