@@ -120,7 +120,9 @@ def merges(model: Model) -> list[tuple[str, str]]:
 def rebuilt(model: Model) -> Tokenizer:
     unknown = next(i for i, p in enumerate(model.pieces) if p[2] == UNKNOWN)
     if model.kind == UNIGRAM:
-        core = models.Unigram([(p, s) for p, s, _ in model.pieces], unknown, model.byte_fallback)
+        # Names of control pieces are no text: written like this none is found in one.
+        core = models.Unigram([(p if t in (NORMAL, USER, BYTE) else "\0" + p, s) for p, s, t in model.pieces], unknown,
+                              model.byte_fallback)
     else:
         core = models.BPE({p: i for i, (p, _, _) in enumerate(model.pieces)}, merges(model),
                           unk_token=model.pieces[unknown][0], fuse_unk=True, byte_fallback=model.byte_fallback)
