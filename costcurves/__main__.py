@@ -30,10 +30,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--as-of", type=dt.date.fromisoformat, default=None,
                    help="forecast cut-off and freshness date (default: today)")
     p.add_argument("--buckets", type=int, default=None,
-                   help="buckets of the curve tables (default: spark.sql.shuffle.partitions)")
+                   help="buckets of the planned and forecast tables (default: spark.sql.shuffle.partitions)")
     p.add_argument("--planned-method", choices=["bucket", "daily"], default="bucket")
-    p.add_argument("--split-hot-keys", type=int, default=None, metavar="ROWS",
-                   help="running totals of keys with more rows than this use time blocks")
     for field, table in DEFAULT_TABLES.items():
         p.add_argument(f"--{field.replace('_', '-')}-table", default=table, dest=f"src_{field}")
     for name, table in [("actual", ACTUAL_TABLE), ("planned", PLANNED_TABLE),
@@ -54,10 +52,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
 
     if args.stage == "all":
         jobs.run_curves(spark, inputs(), args.as_of, tables=out, planned_method=args.planned_method,
-                        buckets=args.buckets, split_hot_keys=args.split_hot_keys).show()
+                        buckets=args.buckets).show()
     elif args.stage == "actual":
-        jobs.run_actual_stage(spark, inputs(), out["actual"], buckets=args.buckets,
-                              split_hot_keys=args.split_hot_keys)
+        jobs.run_actual_stage(spark, inputs(), out["actual"])
     elif args.stage == "planned":
         jobs.run_planned_stage(spark, inputs(), out["planned"], args.planned_method, args.buckets)
     elif args.stage == "forecast":

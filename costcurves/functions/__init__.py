@@ -8,11 +8,10 @@ from .coerce import (
     to_timestamp_strict,
 )
 from .dates import add_days, as_of_date, as_of_midnight, duration_days
-from .joins import broadcast_if_bounded
 from .percent import (
     TIE_PERCENT,
     curve_percent_key,
-    explode_percent_first_days,
+    percent_first_days,
     leading_code,
     schedule_percent_key,
 )
@@ -22,10 +21,9 @@ __all__ = [
     "add_days",
     "as_of_date",
     "as_of_midnight",
-    "broadcast_if_bounded",
     "curve_percent_key",
     "duration_days",
-    "explode_percent_first_days",
+    "percent_first_days",
     "for_report",
     "key_as_string",
     "leading_code",

@@ -14,7 +14,7 @@ Away from ties ``k = floor(100 * i / d + 1/2)``. At an exact half-percent
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
@@ -69,30 +69,27 @@ def _first_day(k: Column, tie_down: Column, d: Column) -> Column:
     return F.when(k == 0, F.lit(0).cast("long")).otherwise(first)
 
 
-def explode_percent_first_days(df: DataFrame, duration: str) -> DataFrame:
-    """Each row of ``df`` once per percent key that occurs in its ``duration``-day
-    schedule, with ``PCT_KEY`` and ``DAY``, the first day carrying that key.
+def percent_first_days(duration: Column) -> Column:
+    """array<(PCT_KEY, DAY)>: each percent key that occurs in a ``duration``-day schedule
+    with the first day that carries it.
 
     Keys are non-decreasing in the day, so with ``i_k`` the first day whose key
     is at least ``k``, day ``i_k`` carries key ``k`` exactly when ``i_k < d``
     and ``i_k < i_(k+1)`` (or k = 100). Both days come from the closed form
     above, with the tie flags of k and k + 1 attached to the key as literals:
-    at most 101 rows per input row and no per-day rows.
+    at most 101 entries and no per-day rows.
     """
+    d = duration.cast("long")
     keys = F.array(*[
         F.struct(F.lit(k).cast("long").alias("PCT_KEY"),
-                 F.lit(_tie_rounds_down(k)).alias("_TIE_K"),
-                 F.lit(_tie_rounds_down(k + 1)).alias("_TIE_NEXT"))
+                 F.lit(_tie_rounds_down(k)).alias("TIE_K"),
+                 F.lit(_tie_rounds_down(k + 1)).alias("TIE_NEXT"))
         for k in range(MAX_PERCENT_KEY + 1)])
-    d = F.col(duration).cast("long")
-    k = F.col("PCT_KEY")
-    return (
-        df.select("*", F.inline(keys))
-        .withColumn("DAY", _first_day(k, F.col("_TIE_K"), d))
-        .withColumn("_NEXT_DAY", _first_day(k + 1, F.col("_TIE_NEXT"), d))
-        .filter((F.col("DAY") < d) & ((k == MAX_PERCENT_KEY) | (F.col("DAY") < F.col("_NEXT_DAY"))))
-        .drop("_TIE_K", "_TIE_NEXT", "_NEXT_DAY")
-    )
+    days = F.transform(keys, lambda x: F.struct(
+        x["PCT_KEY"].alias("PCT_KEY"), _first_day(x["PCT_KEY"], x["TIE_K"], d).alias("DAY"),
+        _first_day(x["PCT_KEY"] + 1, x["TIE_NEXT"], d).alias("NEXT_DAY")))
+    kept = F.filter(days, lambda x: (x["DAY"] < d) & ((x["PCT_KEY"] == MAX_PERCENT_KEY) | (x["DAY"] < x["NEXT_DAY"])))
+    return F.transform(kept, lambda x: F.struct(x["PCT_KEY"].alias("PCT_KEY"), x["DAY"].alias("DAY")))
 
 
 def curve_percent_key(percent: Column) -> Column:

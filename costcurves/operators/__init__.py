@@ -7,7 +7,6 @@ from .actuals import (
     net_actuals,
     schedule_for_actuals,
     union_cost_sources,
-    with_running_cost,
 )
 from .combine import CURVE_TYPES, combined_curves
 from .forecast import (
@@ -50,5 +49,4 @@ __all__ = [
     "remaining_amount",
     "schedule_for_actuals",
     "union_cost_sources",
-    "with_running_cost",
 ]

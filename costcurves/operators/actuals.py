@@ -1,20 +1,21 @@
 """Actual cost curve: union of cost sources -> net cost per key and day -> running total.
 
 Plan shape (see ``actual_value``): the cost sources are aggregated to one row
-per (key, day) with map-side partial sums *before* any join, so the large
-fact rows are never shuffled whole; budget and schedule are reduced to one
-row per key, joined to each other, and joined once to the aggregated rows;
-the running total is a window on the key, which reuses the join's
-partitioning.
+per (key, invoice date) with map-side partial sums *before* any join, so the
+large fact rows are never shuffled whole, and those rows in turn are only ever
+shuffled by (key, day). Budget, schedule and the totals of earlier days reach
+them through one row per (key, day): a key that holds a third of all costs is
+spread over its days.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.coerce import to_decimal_or_zero, to_timestamp_strict
-from ..schema import ACTUAL_COLUMNS, BUDGET, KEY, MONEY
+from ..schema import ACTUAL_COLUMNS, KEY, MONEY_DIGITS, amount_type
 from ..sources.tables import select_budget, select_cost_source, select_schedule
 
 
@@ -26,19 +27,43 @@ def _keys_present(df: DataFrame, extra: list[str] | None = None) -> DataFrame:
 
 
 def union_cost_sources(*sources: DataFrame) -> DataFrame:
-    """The cost sources stacked (union all) in canonical names."""
+    """The cost sources stacked (union all) in canonical names.
+
+    Sources of one type keep it. Where types differ (a source with text costs,
+    say), costs are coerced first: exact decimals at the largest scale, bad
+    values 0 (P8).
+    """
     selected = [select_cost_source(s) for s in sources]
+    kinds = [s.schema["ACTUALS_COST"].dataType for s in selected]
+    if len(set(kinds)) > 1:
+        exact = T.DecimalType(MONEY_DIGITS, max(amount_type(k).scale for k in kinds))
+        selected = [s.withColumn("ACTUALS_COST", to_decimal_or_zero(s, "ACTUALS_COST", exact)) for s in selected]
+    dates = {s.schema["INVOICE_DATE"].dataType for s in selected}
+    if len(dates) > 1:
+        selected = [s.withColumn("INVOICE_DATE", to_timestamp_strict(s, "INVOICE_DATE")) for s in selected]
     out = selected[0]
     for s in selected[1:]:
         out = out.unionByName(s)
     return out
 
 
+def cost_amounts(actuals: DataFrame) -> Column:
+    """ACTUALS_COST as an exact decimal at the source's scale, bad values 0."""
+    return to_decimal_or_zero(actuals, "ACTUALS_COST", amount_type(actuals.schema["ACTUALS_COST"].dataType))
+
+
 def budget_rollup(budget: DataFrame) -> DataFrame:
-    """A1: budget summed over funds, one row per key (all-NULL funds -> NULL)."""
+    """A1: budget summed over funds, one row per key (all-NULL funds -> NULL).
+
+    A double or text budget is summed as an exact decimal, so the order of
+    addition does not matter; unreadable text counts as missing.
+    """
     b = select_budget(budget)
-    return b.groupBy(*KEY).agg(
-        F.sum("BUDGET_CURRENT_APPROVED").cast(BUDGET).alias("BUDGET_CURRENT_APPROVED"))
+    kind = b.schema["BUDGET_CURRENT_APPROVED"].dataType
+    amount = F.col("BUDGET_CURRENT_APPROVED")
+    if not isinstance(kind, T.DecimalType):
+        amount = amount.try_cast(amount_type(kind))
+    return b.groupBy(*KEY).agg(F.sum(amount).alias("BUDGET_CURRENT_APPROVED"))
 
 
 def enrich_actuals(actuals: DataFrame, budget_by_key: DataFrame, schedule: DataFrame) -> DataFrame:
@@ -80,79 +105,62 @@ def schedule_for_actuals(schedule: DataFrame) -> DataFrame:
     )
 
 
-def net_actuals(actuals: DataFrame, budget_by_key: DataFrame, schedule: DataFrame) -> DataFrame:
-    """A2 + P4: net cost per key and invoice day; zero nets removed.
-
-    Equal to grouping the joined rows: every cost row of a key is repeated
-    once per schedule row of that key, so the day's sum is the source sum
-    times the schedule row count. Rows with a null key or date are dropped.
-    """
-    costs = (
-        actuals.select(*KEY,
-                       to_timestamp_strict(actuals, "INVOICE_DATE").alias("INVOICE_DATE"),
-                       to_decimal_or_zero(actuals, "ACTUALS_COST", MONEY).alias("ACTUALS_COST"))
+def _daily_costs(actuals: DataFrame) -> DataFrame:
+    """A2 + P4: source cost per key and invoice date; zero sums removed, null keys and dates dropped."""
+    return (
+        actuals.select(*KEY, to_timestamp_strict(actuals, "INVOICE_DATE").alias("INVOICE_DATE"),
+                       cost_amounts(actuals).alias("ACTUALS_COST"))
         .transform(lambda df: _keys_present(df, ["INVOICE_DATE"]))
-        .groupBy(*KEY, "INVOICE_DATE")
-        .agg(F.sum("ACTUALS_COST").alias("ACTUALS_COST"))
-        # the multiplier below is >= 1, so zero nets can go before the joins
+        .groupBy(*KEY, "INVOICE_DATE").agg(F.sum("ACTUALS_COST").alias("ACTUALS_COST"))
         .filter(F.col("ACTUALS_COST") != 0)
     )
-    # budget and schedule summary are both one row per key: join them first,
-    # so the (key, day) rows meet a single join
-    per_key = budget_by_key.join(schedule_for_actuals(schedule), KEY, "full")
-    return (
-        costs.join(per_key, KEY, "left")
-        .select(
-            *KEY, "INVOICE_DATE",
-            (F.col("ACTUALS_COST") * F.coalesce(F.col("SCHEDULE_ROWS"), F.lit(1)))
-            .cast(MONEY).alias("ACTUALS_COST"),
-            "BUDGET_CURRENT_APPROVED", "CURRENTSTART", "CURRENTEND",
-        )
-    )
 
 
-_RUNNING = Window.unboundedPreceding, Window.currentRow
+def _per_key(budget_by_key: DataFrame, schedule: DataFrame) -> DataFrame:
+    return budget_by_key.join(schedule_for_actuals(schedule), KEY, "full")
+
+
+def _times(cost: Column, rows: Column, kind: T.DecimalType) -> Column:
+    """``cost`` once per schedule row of its key, at the cost's scale (27 + 10 + 1 = 38 digits)."""
+    n = F.coalesce(rows, F.lit(1)).cast("decimal(10,0)")
+    return (cost.cast(T.DecimalType(27, min(kind.scale, 26))) * n).cast(kind)
+
+
+def net_actuals(actuals: DataFrame, budget_by_key: DataFrame, schedule: DataFrame) -> DataFrame:
+    """A2 + P4: net cost per key and invoice date; zero nets removed.
+
+    Equal to grouping the joined rows: every cost row of a key is repeated
+    once per schedule row of that key, so the date's sum is the source sum
+    times the schedule row count.
+    """
+    costs = _daily_costs(actuals)
+    kind = costs.schema["ACTUALS_COST"].dataType
+    return costs.join(_per_key(budget_by_key, schedule), KEY, "left").select(
+        *KEY, "INVOICE_DATE", _times(F.col("ACTUALS_COST"), F.col("SCHEDULE_ROWS"), kind).alias("ACTUALS_COST"),
+        "BUDGET_CURRENT_APPROVED", "CURRENTSTART", "CURRENTEND")
 
 
-def with_running_cost(net: DataFrame, split_hot_keys: int | None = None,
-                      block: str = "DAY") -> DataFrame:
-    """Running cost per key in invoice-date order (one row per key and date).
+def actual_value(cost_sources: list[DataFrame], budget: DataFrame, schedule: DataFrame) -> DataFrame:
+    """The ACTUALVALUE curve: net cost per key and date with its running total.
 
-    A key reaches the window as one row per distinct invoice date, so the
-    window's largest group is bounded by the calendar for date-valued
-    invoice dates. With ``split_hot_keys=n``, keys with more than ``n`` rows
-    (possible when invoice dates carry times of day) take a two-level prefix
-    sum instead: a running sum inside each ``block`` (``date_trunc`` unit)
-    plus the total of the key's earlier blocks, so no task holds a whole hot
-    key. Other keys keep the single window; the result is the same.
+    The running total has two levels. Rows are summed to (key, day) totals; one
+    window per key over those, at most one row a calendar day, gives what came
+    before each day; and the rows of a day are accumulated inside it. The
+    (key, date) rows are joined to their day, with the key's budget and
+    schedule on it, by (key, day): no task holds the rows of a whole key.
     """
-    w = Window.partitionBy(*KEY).orderBy("INVOICE_DATE").rowsBetween(*_RUNNING)
-    if split_hot_keys is None:
-        return net.withColumn("CUMULATIVE_ACTUAL_COST",
-                              F.sum("ACTUALS_COST").over(w).cast(MONEY)).select(*ACTUAL_COLUMNS)
-
-    sizes = net.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_KEY_ROWS"))
-    tagged = net.join(sizes, KEY)
-    cold = tagged.filter(F.col("_KEY_ROWS") <= split_hot_keys).drop("_KEY_ROWS")
-    hot = (tagged.filter(F.col("_KEY_ROWS") > split_hot_keys).drop("_KEY_ROWS")
-           .withColumn("_BLOCK", F.date_trunc(block, F.col("INVOICE_DATE"))))
-
-    in_block = Window.partitionBy(*KEY, "_BLOCK").orderBy("INVOICE_DATE").rowsBetween(*_RUNNING)
-    earlier = Window.partitionBy(*KEY).orderBy("_BLOCK").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (hot.groupBy(*KEY, "_BLOCK").agg(F.sum("ACTUALS_COST").alias("_BLOCK_TOTAL"))
-               .select(*KEY, "_BLOCK", F.coalesce(F.sum("_BLOCK_TOTAL").over(earlier),
-                                                  F.lit(0).cast(MONEY)).alias("_OFFSET")))
-    hot_out = (hot.withColumn("_IN_BLOCK", F.sum("ACTUALS_COST").over(in_block))
-               .join(offsets, KEY + ["_BLOCK"])
-               .withColumn("CUMULATIVE_ACTUAL_COST",
-                           (F.col("_OFFSET") + F.col("_IN_BLOCK")).cast(MONEY)))
-    cold_out = cold.withColumn("CUMULATIVE_ACTUAL_COST", F.sum("ACTUALS_COST").over(w).cast(MONEY))
-    return cold_out.select(*ACTUAL_COLUMNS).unionByName(hot_out.select(*ACTUAL_COLUMNS))
-
-
-def actual_value(cost_sources: list[DataFrame], budget: DataFrame, schedule: DataFrame,
-                 split_hot_keys: int | None = None) -> DataFrame:
-    """The ACTUALVALUE curve (see ``with_running_cost`` for ``split_hot_keys``)."""
-    actuals = union_cost_sources(*cost_sources)
-    return with_running_cost(net_actuals(actuals, budget_rollup(budget), schedule),
-                             split_hot_keys=split_hot_keys)
+    costs = _daily_costs(union_cost_sources(*cost_sources)).withColumn(
+        "_DAY", F.date_trunc("DAY", F.col("INVOICE_DATE")).cast("timestamp_ntz"))
+    kind = costs.schema["ACTUALS_COST"].dataType
+    earlier = Window.partitionBy(*KEY).orderBy("_DAY").rowsBetween(Window.unboundedPreceding, -1)
+    days = costs.groupBy(*KEY, "_DAY").agg(F.sum("ACTUALS_COST").alias("_TOTAL"))
+    days = days.withColumn("_BEFORE", F.coalesce(F.sum("_TOTAL").over(earlier), F.lit(0)).cast(kind)).drop("_TOTAL")
+    days = days.join(_per_key(budget_rollup(budget), schedule), KEY, "left")
+    inside = Window.partitionBy(*KEY, "_DAY").orderBy("INVOICE_DATE").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    rows = F.col("SCHEDULE_ROWS")
+    running = (F.sum("ACTUALS_COST").over(inside) + F.col("_BEFORE")).cast(kind)
+    return costs.join(days, [*KEY, "_DAY"]).withColumns({
+        "CUMULATIVE_ACTUAL_COST": _times(running, rows, kind),
+        "ACTUALS_COST": _times(F.col("ACTUALS_COST"), rows, kind),
+    }).select(*ACTUAL_COLUMNS)

@@ -17,40 +17,32 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_of_midnight
-from ..schema import AMOUNT, FORECAST_COLUMNS, KEY, MONEY, PLANNED
+from ..schema import AMOUNT, FORECAST_COLUMNS, KEY
 
-
-
-
-def actuals_summary(actual: DataFrame) -> DataFrame:
-    """A5: per key, total actual cost and the (max) approved budget."""
-    return actual.groupBy(*KEY).agg(
-        F.sum("ACTUALS_COST").cast(MONEY).alias("TOTAL_ACTUAL_COST"),
-        F.max("BUDGET_CURRENT_APPROVED").alias("BUDGET_CURRENT_APPROVED"),
-    )
-
-
-def last_cumulative(actual: DataFrame) -> DataFrame:
-    """Latest row per key by invoice date (top-1 per group).
+def actual_position(actual: DataFrame) -> DataFrame:
+    """A5 and W3 fused: per key, total actual cost, (max) approved budget, last date and
+    last running cost, in one partial-aggregatable pass over the actual curve.
 
     An aggregate rather than a ranking window: ``max_by`` keeps one candidate
     per key in each map task, so a key's rows are never gathered in one place
     (invoice dates are unique per key, so the latest row is well defined).
     """
     return actual.groupBy(*KEY).agg(
+        F.sum("ACTUALS_COST").alias("TOTAL_ACTUAL_COST"),
+        F.max("BUDGET_CURRENT_APPROVED").alias("BUDGET_CURRENT_APPROVED"),
         F.max("INVOICE_DATE").alias("INVOICE_DATE"),
         F.max_by("CUMULATIVE_ACTUAL_COST", F.col("INVOICE_DATE")).alias("CUMULATIVE_ACTUAL_COST"),
     )
 
 
-def actual_position(actual: DataFrame) -> DataFrame:
-    """A5 and W3 fused: one partial-aggregatable pass over the actual curve."""
-    return actual.groupBy(*KEY).agg(
-        F.sum("ACTUALS_COST").cast(MONEY).alias("TOTAL_ACTUAL_COST"),
-        F.max("BUDGET_CURRENT_APPROVED").alias("BUDGET_CURRENT_APPROVED"),
-        F.max("INVOICE_DATE").alias("INVOICE_DATE"),
-        F.max_by("CUMULATIVE_ACTUAL_COST", F.col("INVOICE_DATE")).alias("CUMULATIVE_ACTUAL_COST"),
-    )
+def actuals_summary(actual: DataFrame) -> DataFrame:
+    """A5: per key, total actual cost and the (max) approved budget."""
+    return actual_position(actual).select(*KEY, "TOTAL_ACTUAL_COST", "BUDGET_CURRENT_APPROVED")
+
+
+def last_cumulative(actual: DataFrame) -> DataFrame:
+    """Latest row per key by invoice date (top-1 per group)."""
+    return actual_position(actual).select(*KEY, "INVOICE_DATE", "CUMULATIVE_ACTUAL_COST")
 
 
 def future_weights(planned: DataFrame, actual: DataFrame, as_of=None) -> DataFrame:
@@ -70,7 +62,7 @@ def _share(part: Column, total: Column) -> Column:
 def remaining_amount(budget: Column, spent: Column) -> Column:
     """max(0, budget - spent); NULL when either side is NULL."""
     return F.when(budget.isNull() | spent.isNull(), F.lit(None)).otherwise(
-        F.greatest(F.lit(0).cast(AMOUNT), (budget - spent).cast(AMOUNT)))
+        F.greatest(F.lit(0).cast(AMOUNT), (budget.cast(AMOUNT) - spent.cast(AMOUNT)).cast(AMOUNT)))
 
 
 def forecast_value(planned: DataFrame, actual: DataFrame, as_of=None) -> DataFrame:
@@ -89,8 +81,8 @@ def forecast_value(planned: DataFrame, actual: DataFrame, as_of=None) -> DataFra
     remaining = remaining_amount(F.col("BUDGET_CURRENT_APPROVED"), F.col("TOTAL_ACTUAL_COST"))
     staged = fw.select(
         *KEY, "DATE", "PLANNED_CURVE_VALUE", "CUMULATIVE_ACTUAL_COST",
-        F.sum("PLANNED_CURVE_VALUE").over(whole).cast(PLANNED).alias("FUTURE_PLANNED_TOTAL"),
-        F.sum("PLANNED_CURVE_VALUE").over(running).cast(PLANNED).alias("RUNNING_PLANNED"),
+        F.sum("PLANNED_CURVE_VALUE").over(whole).alias("FUTURE_PLANNED_TOTAL"),
+        F.sum("PLANNED_CURVE_VALUE").over(running).alias("RUNNING_PLANNED"),
         remaining.alias("REMAINING_AMOUNT"),
     )
     total = F.col("FUTURE_PLANNED_TOTAL")

@@ -6,22 +6,29 @@ curve value. Only the first day of each percent key can survive that
 dedup, so the default plan (``method="bucket"``) generates at most 101
 candidate days per key directly, instead of one row per schedule day
 (``method="daily"``, kept as the readable per-day form).
+
+The curve is reduced to one row per sub-stage that holds its 101 points, and
+meets the one-row-per-key inputs before they are expanded; the value of a day
+is then read from the row itself. Curve values keep their source type: they
+are only copied and compared, and a decimal value's product with the budget is
+exact.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.dates import add_days, duration_days
-from ..functions.joins import broadcast_if_bounded
 from ..functions.percent import (
+    MAX_PERCENT_KEY,
     curve_percent_key,
-    explode_percent_first_days,
     leading_code,
+    percent_first_days,
     schedule_percent_key,
 )
-from ..schema import BUDGET, KEY, NORM, PLANNED, PLANNED_COLUMNS
+from ..schema import KEY, PLANNED_COLUMNS
 from ..sources.tables import select_norm_curve, select_schedule
 from .actuals import budget_rollup
 
@@ -35,26 +42,37 @@ def norm_curve_points(curve: DataFrame) -> DataFrame:
         key.alias("PCT_KEY"),
         (key / F.lit(100)).cast("double").alias("PERCENT_COMPLETIONTIME"),
         F.col("PERCENT_COMPLETIONTIME").cast("double").alias("RAW_PERCENT"),
-        F.col("NORM_PERCENT_CUMSPENT").cast(NORM).alias("NORM_PERCENT_CUMSPENT"),
+        _curve_value(c).alias("NORM_PERCENT_CUMSPENT"),
     )
 
 
+def _curve_value(curve: DataFrame) -> Column:
+    """The curve value in its source type; text is read as double."""
+    value = F.col("NORM_PERCENT_CUMSPENT")
+    if isinstance(curve.schema["NORM_PERCENT_CUMSPENT"].dataType, T.DecimalType):
+        return value
+    return F.nanvl(value.try_cast("double"), F.lit(None).cast("double"))
+
+
 def curve_lookup(curve: DataFrame) -> DataFrame:
-    """One curve value per (SUB_STAGE, PCT_KEY): the first point in
-    (unrounded percent, value) order, nulls last. ``MATCHED`` separates a
-    point whose value is NULL from a missing point (which counts as 0).
+    """One row per SUB_STAGE: ``POINTS[k]`` is the value of percent key k = 0..100.
 
-    At most 101 rows per sub-stage code, so this is the bounded side of the
-    curve join.
+    The value of a key is that of its first point in (unrounded percent, value)
+    order, nulls last: 0 where the curve has no such point, NULL where the
+    point's value is.
     """
     pts = norm_curve_points(curve).filter(
-        F.col("SUB_STAGE").isNotNull() & F.col("PCT_KEY").isNotNull())
+        F.col("SUB_STAGE").isNotNull() & F.col("PCT_KEY").between(0, MAX_PERCENT_KEY))
     order = F.struct(F.col("RAW_PERCENT"), F.col("NORM_PERCENT_CUMSPENT").isNull(),
                      F.col("NORM_PERCENT_CUMSPENT"))
-    return pts.groupBy("SUB_STAGE", "PCT_KEY").agg(
-        F.min_by("NORM_PERCENT_CUMSPENT", order).alias("CURVE_VALUE"),
-        F.lit(True).alias("MATCHED"),
-    )
+    firsts = pts.groupBy("SUB_STAGE", "PCT_KEY").agg(
+        F.min_by("NORM_PERCENT_CUMSPENT", order).alias("VALUE"))
+    by_stage = firsts.groupBy("SUB_STAGE").agg(
+        F.map_from_entries(F.collect_list(F.struct("PCT_KEY", "VALUE"))).alias("FOUND"))
+    zero = F.lit(0).cast(firsts.schema["VALUE"].dataType)
+    return by_stage.select("SUB_STAGE", F.transform(
+        F.sequence(F.lit(0).cast("long"), F.lit(MAX_PERCENT_KEY).cast("long")),
+        lambda k: F.when(F.map_contains_key("FOUND", k), F.try_element_at("FOUND", k)).otherwise(zero)).alias("POINTS"))
 
 
 def planned_inputs(budget: DataFrame, schedule: DataFrame) -> DataFrame:
@@ -62,9 +80,9 @@ def planned_inputs(budget: DataFrame, schedule: DataFrame) -> DataFrame:
     one row per key: the first schedule row in (CURRENTSTART, CURRENTEND) order,
     nulls last. Both sides are per-key aggregates, so they arrive co-partitioned.
     """
-    b = budget_rollup(budget).select(
-        *KEY, F.coalesce(F.col("BUDGET_CURRENT_APPROVED"), F.lit(0).cast(BUDGET))
-        .alias("BUDGET_CURRENT_APPROVED"))
+    b = budget_rollup(budget)
+    kind = b.schema["BUDGET_CURRENT_APPROVED"].dataType
+    b = b.select(*KEY, F.coalesce(F.col("BUDGET_CURRENT_APPROVED"), F.lit(0).cast(kind)).alias("BUDGET_CURRENT_APPROVED"))
     s = select_schedule(schedule)
     first_row = F.min_by(
         F.struct("CURRENTSTART", "CURRENTEND"),
@@ -76,47 +94,48 @@ def planned_inputs(budget: DataFrame, schedule: DataFrame) -> DataFrame:
         *KEY, "BUDGET_CURRENT_APPROVED", "CURRENTSTART", "CURRENTEND")
 
 
-def _plannable(inputs: DataFrame) -> DataFrame:
-    """P6 + P14: keep start < end (nulls drop) and add the inclusive day count.
+def _plannable(budget: DataFrame, schedule: DataFrame, curve: DataFrame) -> DataFrame:
+    """P6 + P14 + J4: keep start < end (nulls drop), with the inclusive day count and the
+    sub-stage's curve points (all 0 where it has no curve).
 
-    The rows stay hash-partitioned on the key (from the per-key join), which
-    is what the dedup aggregate, the window and the forecast's join need, so
-    the expansion that follows adds no exchange.
+    Both sides are small here, one row per key and one per sub-stage; the
+    planner and AQE choose the join by their measured sizes.
     """
-    return inputs.filter(F.col("CURRENTSTART") < F.col("CURRENTEND")).withColumn(
+    lookup = curve_lookup(curve)
+    value = lookup.schema["POINTS"].dataType.elementType
+    none = F.array_repeat(F.lit(0).cast(value), MAX_PERCENT_KEY + 1)
+    inputs = planned_inputs(budget, schedule).filter(F.col("CURRENTSTART") < F.col("CURRENTEND")).withColumn(
         "DURATION", duration_days(F.col("CURRENTSTART"), F.col("CURRENTEND")))
+    return inputs.join(lookup, "SUB_STAGE", "left").withColumn("POINTS", F.coalesce("POINTS", none))
 
 
-def _apply_curve(days: DataFrame, curve: DataFrame) -> DataFrame:
-    """J4 + P15 + P16: curve value of each (key, day index) and its planned value."""
-    # the lookup has at most one row per curve point: the raw curve bounds it
-    lookup = broadcast_if_bounded(curve_lookup(curve), witness=curve)
-    norm = F.when(F.col("MATCHED").isNull(), F.lit(0).cast(NORM)).otherwise(F.col("CURVE_VALUE"))
-    return (
-        days.join(lookup, ["SUB_STAGE", "PCT_KEY"], "left")
-        .select(
-            *KEY,
-            add_days(F.col("CURRENTSTART"), F.col("DAY")).alias("DATE"),
-            norm.alias("NORMALIZED_PERCENT"),
-            (norm * F.col("BUDGET_CURRENT_APPROVED")).cast(PLANNED).alias("PLANNED_CURVE_VALUE"),
-        )
-    )
+def _planned_amount(value: Column, kind: T.DataType, budget: Column) -> Column:
+    """Value x budget; exact for a decimal curve (p + (37 - p) + 1 = 38 digits), else in double."""
+    if isinstance(kind, T.DecimalType) and kind.precision <= 25:
+        return value * budget.cast(T.DecimalType(min(28, 37 - kind.precision), 4))
+    return value.cast("double") * budget.cast("double")
+
+
+def _valued(rows: DataFrame, days: Column) -> DataFrame:
+    """P15 + P16: one row per (DAY, VALUE) of ``days``, without carrying the points along."""
+    kind = rows.schema["POINTS"].dataType.elementType
+    return rows.select(*KEY, "BUDGET_CURRENT_APPROVED", "CURRENTSTART", F.inline(days)).select(
+        *KEY, add_days(F.col("CURRENTSTART"), F.col("DAY")).alias("DATE"), F.col("VALUE").alias("NORMALIZED_PERCENT"),
+        _planned_amount(F.col("VALUE"), kind, F.col("BUDGET_CURRENT_APPROVED")).alias("PLANNED_CURVE_VALUE"))
 
 
 def planned_daily(budget: DataFrame, schedule: DataFrame, curve: DataFrame) -> DataFrame:
-    """One row per schedule day with its percent, curve value and planned value."""
-    days = _plannable(planned_inputs(budget, schedule)).select(
-        *KEY, "BUDGET_CURRENT_APPROVED", "CURRENTSTART", "DURATION",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("DURATION") - 1)).alias("DAY"))
-    days = days.withColumn("PCT_KEY", schedule_percent_key(F.col("DAY"), F.col("DURATION")))
-    return _apply_curve(days, curve)
+    """One row per schedule day with its curve value and planned value."""
+    days = F.transform(F.sequence(F.lit(0).cast("long"), F.col("DURATION") - 1), lambda i: F.struct(
+        i.alias("DAY"), F.get("POINTS", schedule_percent_key(i, F.col("DURATION")).cast("int")).alias("VALUE")))
+    return _valued(_plannable(budget, schedule, curve), days)
 
 
-def _percent_first_days(budget: DataFrame, schedule: DataFrame) -> DataFrame:
+def _planned_firsts(budget: DataFrame, schedule: DataFrame, curve: DataFrame) -> DataFrame:
     """At most 101 rows per key: the first day of each percent key 0..100."""
-    keyed = _plannable(planned_inputs(budget, schedule)).select(
-        *KEY, "BUDGET_CURRENT_APPROVED", "CURRENTSTART", "DURATION")
-    return explode_percent_first_days(keyed, "DURATION")
+    days = F.transform(percent_first_days(F.col("DURATION")), lambda x: F.struct(
+        x["DAY"].alias("DAY"), F.get("POINTS", x["PCT_KEY"].cast("int")).alias("VALUE")))
+    return _valued(_plannable(budget, schedule, curve), days)
 
 
 def dedup_and_accumulate(daily: DataFrame) -> DataFrame:
@@ -136,7 +155,7 @@ def dedup_and_accumulate(daily: DataFrame) -> DataFrame:
     w = (Window.partitionBy(*KEY).orderBy("DATE")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return firsts.withColumn(
-        "CUMULATIVE_PLANNED_CURVE", F.sum("PLANNED_CURVE_VALUE").over(w).cast(PLANNED)
+        "CUMULATIVE_PLANNED_CURVE", F.sum("PLANNED_CURVE_VALUE").over(w)
     ).select(*PLANNED_COLUMNS)
 
 
@@ -147,4 +166,4 @@ def planned_value(budget: DataFrame, schedule: DataFrame, curve: DataFrame,
         return dedup_and_accumulate(planned_daily(budget, schedule, curve))
     if method != "bucket":
         raise ValueError(f"unknown method {method!r}")
-    return dedup_and_accumulate(_apply_curve(_percent_first_days(budget, schedule), curve))
+    return dedup_and_accumulate(_planned_firsts(budget, schedule, curve))

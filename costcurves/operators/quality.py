@@ -11,21 +11,20 @@ from __future__ import annotations
 from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.coerce import to_decimal_or_zero
 from ..functions.dates import as_of_date
-from ..schema import AMOUNT, GAP, KEY, MONEY
-from ..sources.tables import select_cost_source
-from .actuals import budget_rollup
+from ..schema import AMOUNT, KEY
+from .actuals import budget_rollup, cost_amounts, union_cost_sources
+from .forecast import actual_position
 
 QUALITY_TARGET = 0.999          # pass rate the quality score is measured against
 PLANNED_TOLERANCE = "0.01"      # |budget - final planned| tolerance
 FORECAST_TOLERANCE = 0.01       # |final forecast - max(budget, spent)| tolerance
 FRESHNESS_DAYS = 7              # weekly refresh
-
-
+CURVES = ("ACTUAL", "PLANNED", "FORECAST")
 
 
 def _union_all(dfs: list[DataFrame]) -> DataFrame:
@@ -82,19 +81,20 @@ def continuity_check(actual: DataFrame, forecast: DataFrame) -> DataFrame:
         _pass_fail(F.col("min_forecast_date") > F.col("max_actual_date")).alias("continuity_check"))
 
 
-def _with_previous(actual: DataFrame) -> DataFrame:
-    w = Window.partitionBy(*KEY).orderBy("INVOICE_DATE")
-    return actual.select(*KEY, "INVOICE_DATE", "CUMULATIVE_ACTUAL_COST",
-                         F.lag("CUMULATIVE_ACTUAL_COST").over(w).alias("PREVIOUS_CUMULATIVE"))
-
-
 def monotone_violations(actual: DataFrame) -> DataFrame:
-    """Days where the running cost falls below the previous day's (credits)."""
-    return (
-        _with_previous(actual)
-        .filter(F.col("CUMULATIVE_ACTUAL_COST") < F.col("PREVIOUS_CUMULATIVE"))
-        .select(*KEY, "INVOICE_DATE", "PREVIOUS_CUMULATIVE", "CUMULATIVE_ACTUAL_COST")
-    )
+    """Days where the running cost falls below the previous day's (credits).
+
+    The previous running cost is the day's own less its cost, so a day violates
+    when its cost is negative and it is not the key's first: no ordering of a
+    key's rows, only a join of the credits with one date per key.
+    """
+    credits = actual.filter(F.col("ACTUALS_COST") < 0)
+    firsts = actual.groupBy(*KEY).agg(F.min("INVOICE_DATE").alias("FIRST_DATE"))
+    kind = actual.schema["CUMULATIVE_ACTUAL_COST"].dataType
+    return credits.join(firsts, KEY).filter(F.col("INVOICE_DATE") > F.col("FIRST_DATE")).select(
+        *KEY, "INVOICE_DATE",
+        (F.col("CUMULATIVE_ACTUAL_COST") - F.col("ACTUALS_COST")).cast(kind).alias("PREVIOUS_CUMULATIVE"),
+        "CUMULATIVE_ACTUAL_COST")
 
 
 def planned_vs_budget(planned: DataFrame, budget: DataFrame) -> DataFrame:
@@ -102,19 +102,18 @@ def planned_vs_budget(planned: DataFrame, budget: DataFrame) -> DataFrame:
     b = budget_rollup(budget).select(
         *KEY, F.coalesce("BUDGET_CURRENT_APPROVED", F.lit(0)).alias("BUDGET_CURRENT_APPROVED"))
     p = planned.groupBy(*KEY).agg(F.max("PLANNED_CURVE_VALUE").alias("MAX_PLANNED"))
-    gap = (F.col("BUDGET_CURRENT_APPROVED").cast(GAP) - F.col("MAX_PLANNED").cast(GAP)).cast(GAP)
+    kind = p.schema["MAX_PLANNED"].dataType
+    exact = T.DecimalType(37, max(kind.scale, 4)) if isinstance(kind, T.DecimalType) else AMOUNT
+    gap = F.col("BUDGET_CURRENT_APPROVED").cast(exact) - F.col("MAX_PLANNED").cast(exact)
     return p.join(b, KEY, "inner").select(
         *KEY, "MAX_PLANNED", "BUDGET_CURRENT_APPROVED", gap.alias("GAP"),
         _pass_fail(F.abs(gap) < F.lit(Decimal(PLANNED_TOLERANCE))).alias("STATUS"))
 
 
 def _last_actual(actual: DataFrame) -> DataFrame:
-    return actual.groupBy(*KEY).agg(
-        F.max("INVOICE_DATE").alias("LAST_ACTUAL_DATE"),
-        F.max_by("CUMULATIVE_ACTUAL_COST", F.col("INVOICE_DATE")).alias("LAST_ACTUAL"),
-        F.sum("ACTUALS_COST").cast(MONEY).alias("TOTAL_ACTUAL_COST"),
-        F.max("BUDGET_CURRENT_APPROVED").alias("BUDGET_CURRENT_APPROVED"),
-    )
+    return actual_position(actual).select(
+        *KEY, F.col("INVOICE_DATE").alias("LAST_ACTUAL_DATE"), F.col("CUMULATIVE_ACTUAL_COST").alias("LAST_ACTUAL"),
+        "TOTAL_ACTUAL_COST", "BUDGET_CURRENT_APPROVED")
 
 
 def forecast_continuity(actual: DataFrame, forecast: DataFrame) -> DataFrame:
@@ -144,35 +143,37 @@ def budget_alignment(actual: DataFrame, forecast: DataFrame) -> DataFrame:
         .alias("STATUS"))
 
 
-def missing_keys(budget: DataFrame, actual: DataFrame, planned: DataFrame,
-                 forecast: DataFrame) -> DataFrame:
-    """Budgeted keys absent from a curve (anti joins on the key).
+def _presence(budget: DataFrame, keys: list[str], curves: tuple[DataFrame, ...]) -> DataFrame:
+    """The budgeted ``keys`` once each, with ``MISSING``: the curves that lack them.
 
-    Each curve is reduced to its distinct keys first (map-side partial
-    aggregation), so only keys, not curve rows, are shuffled for the join.
+    Curves and budget are stacked as distinct keys (map-side partial
+    aggregation) and grouped once.
     """
-    expected = budget_rollup(budget).select(*KEY).dropna()
-    parts = [("ACTUAL", actual), ("PLANNED", planned), ("FORECAST", forecast)]
-    return _union_all([
-        expected.join(df.select(*KEY).distinct(), KEY, "left_anti").withColumn("MISSING_FROM", F.lit(name))
-        for name, df in parts
-    ])
+    parts = [budget_rollup(budget).select(*keys).dropna().distinct().withColumn("_IN", F.lit("BUDGET"))]
+    parts += [df.select(*keys).distinct().withColumn("_IN", F.lit(name)) for name, df in zip(CURVES, curves)]
+    found = _union_all(parts).groupBy(*keys).agg(F.collect_set("_IN").alias("_SEEN"))
+    return found.filter(F.array_contains("_SEEN", "BUDGET")).select(
+        *keys, F.array_except(F.array(*[F.lit(c) for c in CURVES]), F.col("_SEEN")).alias("MISSING"))
+
+
+def missing_keys(budget: DataFrame, actual: DataFrame, planned: DataFrame,
+                 forecast: DataFrame) -> DataFrame:
+    """Budgeted keys absent from a curve."""
+    found = _presence(budget, KEY, (actual, planned, forecast))
+    return found.select(*KEY, F.explode("MISSING").alias("MISSING_FROM"))
 
 
 def control_totals(cost_sources: list[DataFrame], actual: DataFrame) -> DataFrame:
     """Per key, source cost total vs the actual curve's total (full outer join)."""
-    src = reduce(lambda a, b: a.unionByName(b), [select_cost_source(s) for s in cost_sources])
-    src_tot = (
-        src.select(*KEY, to_decimal_or_zero(src, "ACTUALS_COST", MONEY).alias("c"))
-        .dropna(subset=KEY)
-        .groupBy(*KEY).agg(F.sum("c").cast(MONEY).alias("SOURCE_TOTAL"))
-    )
-    cur_tot = actual.groupBy(*KEY).agg(F.sum("ACTUALS_COST").cast(MONEY).alias("CURVE_TOTAL"))
-    zero = F.lit(0).cast(MONEY)
-    s = F.coalesce(F.col("SOURCE_TOTAL"), zero)
-    c = F.coalesce(F.col("CURVE_TOTAL"), zero)
+    src = union_cost_sources(*cost_sources)
+    src_tot = src.select(*KEY, cost_amounts(src).alias("c")).dropna(subset=KEY).groupBy(*KEY).agg(
+        F.sum("c").alias("SOURCE_TOTAL"))
+    cur_tot = actual.groupBy(*KEY).agg(F.sum("ACTUALS_COST").alias("CURVE_TOTAL"))
+    zero = F.lit(0).cast(AMOUNT)
+    s = F.coalesce(F.col("SOURCE_TOTAL").cast(AMOUNT), zero)
+    c = F.coalesce(F.col("CURVE_TOTAL").cast(AMOUNT), zero)
     return src_tot.join(cur_tot, KEY, "full").select(
-        *KEY, s.alias("SOURCE_TOTAL"), c.alias("CURVE_TOTAL"), (c - s).cast(MONEY).alias("DIFFERENCE"),
+        *KEY, s.alias("SOURCE_TOTAL"), c.alias("CURVE_TOTAL"), (c - s).alias("DIFFERENCE"),
         F.when(c == s, F.lit("MATCH")).otherwise(F.lit("MISMATCH")).alias("STATUS"))
 
 
@@ -214,9 +215,14 @@ def flagged(rows: DataFrame, failed: Column) -> DataFrame:
 
 
 def monotone_scored(actual: DataFrame) -> DataFrame:
-    """D1 as scored rows: every actual day is checked against the previous one."""
-    prev = _with_previous(actual)
-    return flagged(prev, F.col("CUMULATIVE_ACTUAL_COST") < F.col("PREVIOUS_CUMULATIVE"))
+    """D1 as scored rows: every actual day is an item, a credit after the key's first day a failure."""
+    firsts = actual.groupBy(*KEY).agg(F.min("INVOICE_DATE").alias("FIRST_DATE"), F.count(F.lit(1)).alias("DAYS"))
+    credits = actual.filter(F.col("ACTUALS_COST") < 0).groupBy(*KEY).agg(
+        F.count(F.lit(1)).alias("CREDITS"), F.min("INVOICE_DATE").alias("FIRST_CREDIT"))
+    opening = F.when(F.col("FIRST_CREDIT") == F.col("FIRST_DATE"), 1).otherwise(0)
+    return firsts.join(credits, KEY, "left").select(
+        F.col("DAYS").cast("bigint").alias("checked"),
+        (F.coalesce("CREDITS", F.lit(0)) - opening).cast("bigint").alias("failed"))
 
 
 def timeline_scored(actual: DataFrame) -> DataFrame:
@@ -226,38 +232,36 @@ def timeline_scored(actual: DataFrame) -> DataFrame:
 
 def missing_keys_scored(budget: DataFrame, actual: DataFrame, planned: DataFrame,
                         forecast: DataFrame) -> DataFrame:
-    """D6 as scored rows: each budgeted key is checked once per curve (3 items),
-    failing once for every curve it is missing from. One pass: the budgeted
-    keys left-joined to each curve's distinct keys."""
-    scored = budget_rollup(budget).select(*KEY).dropna()
-    missing = F.lit(0)
-    for i, df in enumerate((actual, planned, forecast)):
-        present = df.select(*KEY).distinct().withColumn(f"_in_{i}", F.lit(True))
-        scored = scored.join(present, KEY, "left")
-        missing = missing + F.when(F.col(f"_in_{i}").isNull(), 1).otherwise(0)
-    return scored.select(F.lit(3).cast("bigint").alias("checked"), missing.cast("bigint").alias("failed"))
+    """D6 as scored rows: each budgeted key is checked once per curve (3 items)."""
+    return _presence_scored(budget, KEY, (actual, planned, forecast))
+
+
+def completeness_scored(budget: DataFrame, actual: DataFrame, planned: DataFrame,
+                        forecast: DataFrame) -> DataFrame:
+    """D4 as scored rows: each budgeted project is checked once per curve (3 items)."""
+    return _presence_scored(budget, ["PROJECT_NUMBER"], (actual, planned, forecast))
+
+
+def _presence_scored(budget: DataFrame, keys: list[str], curves: tuple[DataFrame, ...]) -> DataFrame:
+    return _presence(budget, keys, curves).select(
+        F.lit(len(CURVES)).cast("bigint").alias("checked"), F.size("MISSING").cast("bigint").alias("failed"))
 
 
 def score(checks: list[tuple[str, DataFrame]]) -> DataFrame:
     """Pass rate per check and overall, against the 99.9% target.
 
-    Each check is a DataFrame of scored rows (``checked``, ``failed``), so every
-    population is read once and reduced to two sums (partial aggregation, no
-    row shuffle); the overall row pools all checks.
+    Each check is a DataFrame of scored rows (``checked``, ``failed``) summed
+    to one row (partial aggregation, no row shuffle); one rollup over the check
+    names gives the overall row, which pools all checks. A check without rows
+    has rate 1.
     """
-    per_check = _union_all([
-        df.agg(F.sum("checked").alias("checked"), F.sum("failed").alias("failed")).select(
-            F.lit(name).alias("check"),
-            F.coalesce(F.col("checked"), F.lit(0)).cast("bigint").alias("checked"),
-            F.coalesce(F.col("failed"), F.lit(0)).cast("bigint").alias("failed"))
+    sums = _union_all([
+        df.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in ("checked", "failed")]).select(
+            F.lit(name).alias("check"), "checked", "failed")
         for name, df in checks
     ])
-    total = per_check.agg(F.sum("checked").alias("checked"), F.sum("failed").alias("failed")).select(
-        F.lit("OVERALL").alias("check"), "checked", "failed")
-    both = per_check.unionByName(total)
+    both = sums.rollup("check").agg(F.sum("checked").alias("checked"), F.sum("failed").alias("failed")).withColumn(
+        "check", F.coalesce("check", F.lit("OVERALL")))
     rate = F.when(F.col("checked") == 0, F.lit(1.0)).otherwise(
         F.lit(1.0) - F.col("failed").cast("double") / F.col("checked").cast("double"))
-    return both.select(
-        "check", F.col("checked").cast("bigint").alias("checked"),
-        F.col("failed").cast("bigint").alias("failed"), rate.alias("pass_rate"),
-        (rate >= QUALITY_TARGET).alias("meets_target"))
+    return both.select("check", "checked", "failed", rate.alias("pass_rate"), (rate >= QUALITY_TARGET).alias("meets_target"))

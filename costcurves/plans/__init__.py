@@ -3,23 +3,23 @@
 from .jobs import (
     Curves,
     build_curves,
-    materialize,
     quality_score,
     run_actual_stage,
     run_combined_stage,
     run_curves,
     run_forecast_stage,
     run_planned_stage,
+    stored_curves,
 )
 
 __all__ = [
     "Curves",
     "build_curves",
-    "materialize",
     "quality_score",
     "run_actual_stage",
     "run_combined_stage",
     "run_curves",
     "run_forecast_stage",
     "run_planned_stage",
+    "stored_curves",
 ]

@@ -10,7 +10,6 @@ sources.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +21,7 @@ from ..operators.combine import combined_curves
 from ..operators.forecast import forecast_value
 from ..operators.planned import planned_value
 from ..schema import ACTUAL_TABLE, COMBINED_TABLE, FORECAST_TABLE, KEY, PLANNED_TABLE
-from ..session import checkpoint_dir
+from ..session import shared_folder
 from ..sources.sinks import preview, write_table
 from ..sources.tables import CostInputs
 
@@ -48,12 +47,9 @@ def _buckets(spark: SparkSession, buckets: int | None) -> int:
     return buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def run_actual_stage(spark: SparkSession, inputs: CostInputs, table: str = ACTUAL_TABLE,
-                     buckets: int | None = None, split_hot_keys: int | None = None) -> None:
-    """Stage 1: write the actual curve (bucketed on the key)."""
-    df = actual_value([inputs.invoice, inputs.pay_app, inputs.pay_req], inputs.budget, inputs.schedule,
-                      split_hot_keys=split_hot_keys)
-    write_table(df, table, bucket_by=KEY, buckets=_buckets(spark, buckets))
+def run_actual_stage(spark: SparkSession, inputs: CostInputs, table: str = ACTUAL_TABLE) -> None:
+    """Stage 1: write the actual curve. It is not bucketed: one key may hold a third of its rows."""
+    write_table(actual_value([inputs.invoice, inputs.pay_app, inputs.pay_req], inputs.budget, inputs.schedule), table)
 
 
 def run_planned_stage(spark: SparkSession, inputs: CostInputs, table: str = PLANNED_TABLE,
@@ -86,58 +82,53 @@ def run_combined_stage(spark: SparkSession, actual_table: str = ACTUAL_TABLE,
 
 def run_curves(spark: SparkSession, inputs: CostInputs, as_of=None,
                tables: dict[str, str] | None = None,
-               planned_method: str = "bucket", buckets: int | None = None,
-               split_hot_keys: int | None = None) -> DataFrame:
+               planned_method: str = "bucket", buckets: int | None = None) -> DataFrame:
     """All four stages in order: ACTUALVALUE, PLANNEDVALUE, FORECASTVALUE,
     COMBINED_CURVES (overwrite), each later stage reading the tables written
     before it.
 
-    The three curves are bucketed on the key with one bucket count, so the
-    forecast stage (join on the key, per-key aggregate and windows) reads
-    co-located buckets and runs without a shuffle. Returns a 10-row preview
-    of the combined table."""
+    Planned and forecast curves have at most 101 rows per key and are bucketed
+    on the key with one bucket count, so the forecast stage reads co-located
+    buckets and shuffles only the actual curve's per-key sums. Returns a
+    10-row preview of the combined table."""
     names = {"actual": ACTUAL_TABLE, "planned": PLANNED_TABLE,
              "forecast": FORECAST_TABLE, "combined": COMBINED_TABLE, **(tables or {})}
     n = _buckets(spark, buckets)
-    run_actual_stage(spark, inputs, names["actual"], buckets=n, split_hot_keys=split_hot_keys)
+    run_actual_stage(spark, inputs, names["actual"])
     run_planned_stage(spark, inputs, names["planned"], planned_method=planned_method, buckets=n)
     run_forecast_stage(spark, as_of, names["actual"], names["planned"], names["forecast"], buckets=n)
     return run_combined_stage(spark, names["actual"], names["planned"], names["forecast"],
                               names["combined"])
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df``: an eager, reliable checkpoint into the shared
-    folder named by ``spark.checkpoint.dir`` (never a local checkpoint, so a
-    lost executor does not lose the data)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def materialized_curves(inputs: CostInputs, as_of=None, planned_method: str = "bucket") -> Curves:
-    """The three curves computed once and checkpointed; the combined view on top.
-
-    The actual and planned curves do not depend on each other, so their two
-    checkpoint jobs are submitted together (two driver threads) and share the
-    cluster; the forecast follows once both are written.
-    """
-    actual_df = actual_value([inputs.invoice, inputs.pay_app, inputs.pay_req],
-                             inputs.budget, inputs.schedule)
-    planned_df = planned_value(inputs.budget, inputs.schedule, inputs.norm_curve, method=planned_method)
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        actual_job = pool.submit(materialize, actual_df)
-        planned_job = pool.submit(materialize, planned_df)
-        actual, planned = actual_job.result(), planned_job.result()
-    forecast = materialize(forecast_value(planned, actual, as_of))
+def stored_curves(inputs: CostInputs, as_of=None, planned_method: str = "bucket") -> Curves:
+    """The three curves written as Parquet to a new shared folder and read back: the checks
+    then scan typed, column-pruned files, and a lost executor recomputes at most one curve."""
+    spark = inputs.invoice.sparkSession
+    folder = shared_folder(spark, "curves")
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+    actual = stored(actual_value([inputs.invoice, inputs.pay_app, inputs.pay_req], inputs.budget, inputs.schedule),
+                    "actual")
+    planned = stored(planned_value(inputs.budget, inputs.schedule, inputs.norm_curve, method=planned_method), "planned")
+    forecast = stored(forecast_value(planned, actual, as_of), "forecast")
     return Curves(actual, planned, forecast, combined_curves(actual, planned, forecast))
 
 
+def dated_tables(inputs: CostInputs, actual: DataFrame) -> dict[str, tuple[DataFrame, str]]:
+    """The tables whose freshness is checked, with their date column."""
+    out = {name: (df, "INVOICE_DATE") for name, df in inputs.cost_sources().items()}
+    out["ACTUALVALUE"] = (actual, "INVOICE_DATE")
+    return out
+
+
 def quality_checks(inputs: CostInputs, curves: Curves, as_of=None) -> dict[str, DataFrame]:
     """Every scored check as a DataFrame of (checked, failed) rows."""
     c = curves
     sources = [inputs.invoice, inputs.pay_app, inputs.pay_req]
-    dated = {name: (df, "INVOICE_DATE") for name, df in inputs.cost_sources().items()}
-    dated["ACTUALVALUE"] = (c.actual, "INVOICE_DATE")
     return {
         "monotone": q.monotone_scored(c.actual),
         "planned_vs_budget": q.flagged(q.planned_vs_budget(c.planned, inputs.budget),
@@ -146,9 +137,10 @@ def quality_checks(inputs: CostInputs, curves: Curves, as_of=None) -> dict[str,
                                          F.col("STATUS") == "FAIL"),
         "continuity": q.flagged(q.continuity_check(c.actual, c.forecast),
                                 F.col("continuity_check") == "FAIL"),
+        "completeness": q.completeness_scored(inputs.budget, c.actual, c.planned, c.forecast),
         "missing_keys": q.missing_keys_scored(inputs.budget, c.actual, c.planned, c.forecast),
         "control_totals": q.flagged(q.control_totals(sources, c.actual), F.col("STATUS") == "MISMATCH"),
-        "freshness": q.flagged(q.freshness(dated, as_of), F.col("status") == "STALE"),
+        "freshness": q.flagged(q.freshness(dated_tables(inputs, c.actual), as_of), F.col("status") == "STALE"),
         "budget_alignment": q.flagged(q.budget_alignment(c.actual, c.forecast),
                                       F.col("STATUS") == "FAIL"),
         "timeline": q.timeline_scored(c.actual),
@@ -156,6 +148,6 @@ def quality_checks(inputs: CostInputs, curves: Curves, as_of=None) -> dict[str,
 
 
 def quality_score(inputs: CostInputs, as_of=None, curves: Curves | None = None) -> DataFrame:
-    """D9 over checkpointed curves (or the given, e.g. stored, curves)."""
-    c = curves or materialized_curves(inputs, as_of)
+    """D9 over the written stage tables; without them the curves are written first."""
+    c = curves or stored_curves(inputs, as_of)
     return q.score(list(quality_checks(inputs, c, as_of).items()))

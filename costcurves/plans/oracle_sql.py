@@ -3,19 +3,17 @@
 The SQL is written in the direct, row-level form: the actual curve groups
 the fanned-out join rows, the planned curve explodes every schedule day and
 the forecast joins rows to their per-key total. The Spark plans use the
-optimized forms (pre-aggregation, percent-key jump, windows), so agreement
+optimized forms (pre-aggregation, percent-key jump, day totals), so agreement
 checks the rewrites too. Exact decimals are cast to DOUBLE in the final
 projection, as the Spark side reports them.
 """
 
 from __future__ import annotations
 
-from ..functions.percent import TIE_PERCENT
 from ..sources.fixtures import AS_OF
 
 _AS_OF_TS = f"TIMESTAMP '{AS_OF.isoformat()} 00:00:00'"
 _AS_OF_DATE = f"DATE '{AS_OF.isoformat()}'"
-_TIE_LIST = "[" + ", ".join(str(v) for v in TIE_PERCENT) + "]"
 _K = "PROJECT_NUMBER, STAGE, SUB_STAGE"
 _KW = f"PARTITION BY {_K}"
 
@@ -30,20 +28,24 @@ base AS (
   SELECT l.l_suppkey AS sk, CAST(l.l_suppkey AS VARCHAR) AS project, l.l_returnflag AS stage,
          p.p_type AS sub, l.l_linestatus AS fund,
          CAST(CAST(l.l_shipdate AS DATE) AS TIMESTAMP) AS d, l.l_linenumber AS ln,
-         CAST(l.l_extendedprice AS DECIMAL(18,2)) AS cost
+         CAST(CAST(l.l_extendedprice AS DECIMAL(16,2)) + l.l_linenumber * 0.0013 AS DECIMAL(18,4)) AS cost
   FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey),
 act_rows AS (
-  SELECT * FROM base WHERE d <= {_AS_OF_TS} AND NOT (sk % 10 = 1 AND stage = 'N')),
+  SELECT * FROM base WHERE (d <= {_AS_OF_TS} OR sk % 10 = 4) AND NOT (sk % 10 = 1 AND stage = 'N')),
 invoice_t AS (
-  SELECT project AS PROJECTID, stage AS STAGEPHASE_CODE, sub AS SUBSTAGEACTIVITY_CODE,
-         d AS INVOICE_DATE, cost AS ACTUALS_COST FROM act_rows WHERE ln <= 3),
+  SELECT CASE WHEN NOT (sk % 10 = 0 AND ln = 3 AND stage = 'N') THEN project END AS PROJECTID,
+         stage AS STAGEPHASE_CODE, sub AS SUBSTAGEACTIVITY_CODE,
+         CASE WHEN NOT (sk % 10 = 0 AND ln = 3 AND stage = 'A') THEN d END AS INVOICE_DATE,
+         cost AS ACTUALS_COST FROM act_rows WHERE ln <= 3),
 pay_app_t AS (
-  SELECT project AS PROJECTID, stage AS STAGEPHASE_CODE, sub AS SUBSTAGEACTIVITY_CODE,
-         d AS INVOICE_DATE, cost AS ACTUALS_COST FROM act_rows WHERE ln >= 4),
+  SELECT project AS PROJECTID, stage AS STAGEPHASE_CODE, sub AS SUBSTAGEACTIVITY_CODE, d AS INVOICE_DATE,
+         CASE WHEN sk % 10 = 1 AND ln = 5 THEN 'n/a' ELSE CAST(cost AS VARCHAR) END AS ACTUALS_COST
+  FROM act_rows WHERE ln >= 4 AND d <= {_AS_OF_TS} - INTERVAL 30 DAY),
 pay_req_t AS (
   SELECT project AS PROJECTID, stage AS STAGEPHASE_CODE, sub AS SUBSTAGEACTIVITY_CODE,
-         d AS INVOICE_DATE, CAST(-cost AS DECIMAL(18,2)) AS ACTUALS_COST
-  FROM act_rows WHERE ln = 1 AND stage = 'R'),
+         d AS INVOICE_DATE,
+         CAST(CASE WHEN ln = 1 AND stage = 'R' THEN -cost ELSE cost * -1.5 END AS DECIMAL(18,4)) AS ACTUALS_COST
+  FROM act_rows WHERE (ln = 1 AND stage = 'R') OR (ln = 2 AND stage = 'A' AND sk % 10 = 2)),
 budget_t AS (
   SELECT project AS PROJECT_NUMBER, stage AS STAGE, sub AS SUB_STAGE, fund AS FUND,
          CAST(CASE WHEN sk % 10 = 3 THEN NULL
@@ -51,7 +53,8 @@ budget_t AS (
            AS BUDGET_CURRENT_APPROVED
   FROM base WHERE sk % 10 <> 7 GROUP BY sk, project, stage, sub, fund),
 sched_keys AS (
-  SELECT sk, project, stage, sub, MAX(d) AS e,
+  SELECT sk, project, stage, sub,
+         CASE WHEN sk % 10 = 6 THEN MAX(d) - INTERVAL 40 DAY ELSE MAX(d) END AS e,
          CASE WHEN sk % 10 = 9 THEN 0 ELSE 60 + (sk * 37 + ascii(stage) * 11) % 500 END AS n
   FROM base GROUP BY sk, project, stage, sub),
 schedule_t AS (
@@ -65,18 +68,23 @@ schedule_t AS (
 curve_k AS (
   SELECT p_type, unnest(range(0, 101)) AS k FROM (SELECT DISTINCT p_type FROM part)),
 curve_t AS (
-  SELECT p_type || ' - phase' AS SUBSTAGES, k / 100 AS PERCENT_COMPLETIONTIME,
+  SELECT p_type || ' - phase' AS SUBSTAGES,
+         k / 100 + CASE WHEN k % 2 = 1 THEN CAST(0.002 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS PERCENT_COMPLETIONTIME,
          CASE WHEN p_type = 'PROMO' AND k = 50 THEN NULL
-              ELSE CAST(CAST(k * k * (300 - 2 * k) AS DECIMAL(9,0)) * 0.000001 AS DECIMAL(9,6)) END
+              ELSE CAST(CAST(k * k * (300 - 2 * k) AS DECIMAL(9,0)) * 0.000001 + k * 0.0000000123 AS DECIMAL(18,10)) END
            AS NORM_PERCENT_CUMSPENT
-  FROM curve_k WHERE NOT (p_type = 'SMALL' AND k = 37)),
+  FROM curve_k WHERE NOT (p_type = 'SMALL' AND k = 37)
+  UNION ALL
+  SELECT p_type || ' - phase', k / 100 + CAST(0.004 AS DOUBLE), CAST(0.9 AS DECIMAL(18,10))
+  FROM curve_k WHERE k % 10 = 0),
 actuals_u AS (
   SELECT PROJECTID AS PROJECT_NUMBER, STAGEPHASE_CODE AS STAGE, SUBSTAGEACTIVITY_CODE AS SUB_STAGE,
-         INVOICE_DATE, ACTUALS_COST FROM invoice_t
+         INVOICE_DATE, CAST(ACTUALS_COST AS DECIMAL(38,10)) AS ACTUALS_COST FROM invoice_t
   UNION ALL
-  SELECT PROJECTID, STAGEPHASE_CODE, SUBSTAGEACTIVITY_CODE, INVOICE_DATE, ACTUALS_COST FROM pay_app_t
+  SELECT PROJECTID, STAGEPHASE_CODE, SUBSTAGEACTIVITY_CODE, INVOICE_DATE,
+         COALESCE(TRY_CAST(ACTUALS_COST AS DECIMAL(38,10)), 0) FROM pay_app_t
   UNION ALL
-  SELECT PROJECTID, STAGEPHASE_CODE, SUBSTAGEACTIVITY_CODE, INVOICE_DATE, ACTUALS_COST FROM pay_req_t),
+  SELECT PROJECTID, STAGEPHASE_CODE, SUBSTAGEACTIVITY_CODE, INVOICE_DATE, CAST(ACTUALS_COST AS DECIMAL(38,10)) FROM pay_req_t),
 budget_k AS (
   SELECT {_K}, CAST(SUM(BUDGET_CURRENT_APPROVED) AS DECIMAL(28,4)) AS BUDGET_CURRENT_APPROVED
   FROM budget_t GROUP BY {_K}),
@@ -91,7 +99,7 @@ enriched AS (
   LEFT JOIN schedule_c s ON {_on('a', 's')}),
 net AS (
   SELECT {_K}, INVOICE_DATE,
-         CAST(SUM(COALESCE(ACTUALS_COST, 0)) AS DECIMAL(38,2)) AS ACTUALS_COST,
+         CAST(SUM(COALESCE(ACTUALS_COST, 0)) AS DECIMAL(38,10)) AS ACTUALS_COST,
          first(BUDGET_CURRENT_APPROVED ORDER BY CURRENTSTART NULLS LAST, CURRENTEND NULLS LAST)
            FILTER (WHERE BUDGET_CURRENT_APPROVED IS NOT NULL) AS BUDGET_CURRENT_APPROVED,
          first(CURRENTSTART ORDER BY CURRENTSTART NULLS LAST, CURRENTEND NULLS LAST)
@@ -106,7 +114,7 @@ net AS (
 actual_v AS (
   SELECT {_K}, INVOICE_DATE, ACTUALS_COST, BUDGET_CURRENT_APPROVED, CURRENTSTART, CURRENTEND,
          CAST(SUM(ACTUALS_COST) OVER ({_KW} ORDER BY INVOICE_DATE
-              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DECIMAL(38,2))
+              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DECIMAL(38,10))
            AS CUMULATIVE_ACTUAL_COST
   FROM net),
 curve_pts AS (
@@ -135,17 +143,15 @@ p_exp AS (
   FROM p_days),
 p_key AS (
   SELECT *,
-         CASE WHEN (200 * DAY) % DURATION = 0 AND ((200 * DAY) // DURATION) % 2 = 1
-              THEN {_TIE_LIST}[((200 * DAY) // DURATION + 1) // 2]
-              ELSE (200 * DAY + DURATION) // (2 * DURATION) END AS PCT_KEY
+         CAST(round(CAST(printf('%.2f', CAST(DAY AS DOUBLE) / DURATION) AS DOUBLE) * 100) AS BIGINT) AS PCT_KEY
   FROM p_exp),
 p_daily AS (
   SELECT k.PROJECT_NUMBER, k.STAGE, k.SUB_STAGE,
          k.CURRENTSTART + to_days(CAST(k.DAY AS INTEGER)) AS DATE,
-         CASE WHEN c.PCT_KEY IS NULL THEN CAST(0 AS DECIMAL(9,6)) ELSE c.CURVE_VALUE END
+         CASE WHEN c.PCT_KEY IS NULL THEN CAST(0 AS DECIMAL(18,10)) ELSE c.CURVE_VALUE END
            AS NORMALIZED_PERCENT,
-         CAST((CASE WHEN c.PCT_KEY IS NULL THEN CAST(0 AS DECIMAL(9,6)) ELSE c.CURVE_VALUE END)
-              * k.BUDGET_CURRENT_APPROVED AS DECIMAL(38,10)) AS PLANNED_CURVE_VALUE
+         CAST((CASE WHEN c.PCT_KEY IS NULL THEN CAST(0 AS DECIMAL(18,10)) ELSE c.CURVE_VALUE END)
+              * CAST(k.BUDGET_CURRENT_APPROVED AS DECIMAL(19,4)) AS DECIMAL(38,14)) AS PLANNED_CURVE_VALUE
   FROM p_key k LEFT JOIN curve_lk c ON k.SUB_STAGE = c.SUB_STAGE AND k.PCT_KEY = c.PCT_KEY),
 p_first AS (
   SELECT {_K}, NORMALIZED_PERCENT, MIN(DATE) AS DATE,
@@ -155,11 +161,11 @@ p_first AS (
 planned_v AS (
   SELECT {_K}, NORMALIZED_PERCENT, DATE, PLANNED_CURVE_VALUE,
          CAST(SUM(PLANNED_CURVE_VALUE) OVER ({_KW} ORDER BY DATE
-              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DECIMAL(38,10))
+              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DECIMAL(38,14))
            AS CUMULATIVE_PLANNED_CURVE
   FROM p_first),
 a_sum AS (
-  SELECT {_K}, CAST(SUM(ACTUALS_COST) AS DECIMAL(38,2)) AS TOTAL_ACTUAL_COST,
+  SELECT {_K}, CAST(SUM(ACTUALS_COST) AS DECIMAL(38,10)) AS TOTAL_ACTUAL_COST,
          MAX(BUDGET_CURRENT_APPROVED) AS BUDGET_CURRENT_APPROVED
   FROM actual_v GROUP BY {_K}),
 a_last AS (
@@ -175,16 +181,16 @@ f_join AS (
   JOIN a_last l ON {_on('p', 'l')}
   WHERE p.DATE > {_AS_OF_TS}),
 f_dist AS (
-  SELECT {_K}, CAST(SUM(PLANNED_CURVE_VALUE) AS DECIMAL(38,10)) AS FUTURE_PLANNED_TOTAL
+  SELECT {_K}, CAST(SUM(PLANNED_CURVE_VALUE) AS DECIMAL(38,14)) AS FUTURE_PLANNED_TOTAL
   FROM f_join GROUP BY {_K}),
 f_calc AS (
   SELECT j.*, d.FUTURE_PLANNED_TOTAL,
          CAST(SUM(j.PLANNED_CURVE_VALUE) OVER (PARTITION BY j.PROJECT_NUMBER, j.STAGE, j.SUB_STAGE
-              ORDER BY j.DATE ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DECIMAL(38,10))
+              ORDER BY j.DATE ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DECIMAL(38,14))
            AS RUNNING_PLANNED,
          CASE WHEN j.BUDGET_CURRENT_APPROVED IS NULL OR j.TOTAL_ACTUAL_COST IS NULL THEN NULL
-              ELSE greatest(CAST(0 AS DECIMAL(38,4)),
-                            CAST(j.BUDGET_CURRENT_APPROVED - j.TOTAL_ACTUAL_COST AS DECIMAL(38,4))) END
+              ELSE greatest(CAST(0 AS DECIMAL(38,10)),
+                            CAST(j.BUDGET_CURRENT_APPROVED - j.TOTAL_ACTUAL_COST AS DECIMAL(38,10))) END
            AS REMAINING_AMOUNT
   FROM f_join j JOIN f_dist d ON {_on('j', 'd')}),
 forecast_v AS (
@@ -214,16 +220,16 @@ combined_v AS (
 last_actual AS (
   SELECT {_K}, MAX(INVOICE_DATE) AS LAST_ACTUAL_DATE,
          arg_max(CUMULATIVE_ACTUAL_COST, INVOICE_DATE) AS LAST_ACTUAL,
-         CAST(SUM(ACTUALS_COST) AS DECIMAL(38,2)) AS TOTAL_ACTUAL_COST,
+         CAST(SUM(ACTUALS_COST) AS DECIMAL(38,10)) AS TOTAL_ACTUAL_COST,
          MAX(BUDGET_CURRENT_APPROVED) AS BUDGET_CURRENT_APPROVED
   FROM actual_v GROUP BY {_K}),
 pvb AS (
   SELECT p.PROJECT_NUMBER, p.STAGE, p.SUB_STAGE, p.MAX_PLANNED,
          COALESCE(b.BUDGET_CURRENT_APPROVED, 0) AS BUDGET_CURRENT_APPROVED,
-         CAST(CAST(COALESCE(b.BUDGET_CURRENT_APPROVED, 0) AS DECIMAL(30,10))
-              - CAST(p.MAX_PLANNED AS DECIMAL(30,10)) AS DECIMAL(30,10)) AS GAP,
-         CASE WHEN abs(CAST(COALESCE(b.BUDGET_CURRENT_APPROVED, 0) AS DECIMAL(30,10))
-                       - CAST(p.MAX_PLANNED AS DECIMAL(30,10))) < 0.01
+         CAST(CAST(COALESCE(b.BUDGET_CURRENT_APPROVED, 0) AS DECIMAL(38,14))
+              - CAST(p.MAX_PLANNED AS DECIMAL(38,14)) AS DECIMAL(38,14)) AS GAP,
+         CASE WHEN abs(CAST(COALESCE(b.BUDGET_CURRENT_APPROVED, 0) AS DECIMAL(38,14))
+                       - CAST(p.MAX_PLANNED AS DECIMAL(38,14))) < 0.01
               THEN 'PASS' ELSE 'FAIL' END AS STATUS
   FROM (SELECT {_K}, MAX(PLANNED_CURVE_VALUE) AS MAX_PLANNED FROM planned_v GROUP BY {_K}) p
   JOIN budget_k b ON {_on('p', 'b')}),
@@ -253,17 +259,27 @@ missing AS (
   UNION ALL
   SELECT e.*, 'FORECAST' FROM expected_k e
   WHERE NOT EXISTS (SELECT 1 FROM forecast_v x WHERE {_on('x', 'e')})),
+expected_p AS (SELECT DISTINCT PROJECT_NUMBER FROM budget_k WHERE PROJECT_NUMBER IS NOT NULL),
+missing_p AS (
+  SELECT e.PROJECT_NUMBER FROM expected_p e
+  WHERE NOT EXISTS (SELECT 1 FROM actual_v x WHERE x.PROJECT_NUMBER = e.PROJECT_NUMBER)
+  UNION ALL
+  SELECT e.PROJECT_NUMBER FROM expected_p e
+  WHERE NOT EXISTS (SELECT 1 FROM planned_v x WHERE x.PROJECT_NUMBER = e.PROJECT_NUMBER)
+  UNION ALL
+  SELECT e.PROJECT_NUMBER FROM expected_p e
+  WHERE NOT EXISTS (SELECT 1 FROM forecast_v x WHERE x.PROJECT_NUMBER = e.PROJECT_NUMBER)),
 ctl AS (
   SELECT {_K},
          COALESCE(s.SOURCE_TOTAL, 0) AS SOURCE_TOTAL, COALESCE(c.CURVE_TOTAL, 0) AS CURVE_TOTAL,
-         CAST(COALESCE(c.CURVE_TOTAL, 0) - COALESCE(s.SOURCE_TOTAL, 0) AS DECIMAL(38,2)) AS DIFFERENCE,
+         CAST(COALESCE(c.CURVE_TOTAL, 0) - COALESCE(s.SOURCE_TOTAL, 0) AS DECIMAL(38,10)) AS DIFFERENCE,
          CASE WHEN COALESCE(c.CURVE_TOTAL, 0) = COALESCE(s.SOURCE_TOTAL, 0) THEN 'MATCH' ELSE 'MISMATCH' END
            AS STATUS
-  FROM (SELECT {_K}, CAST(SUM(COALESCE(ACTUALS_COST, 0)) AS DECIMAL(38,2)) AS SOURCE_TOTAL
+  FROM (SELECT {_K}, CAST(SUM(COALESCE(ACTUALS_COST, 0)) AS DECIMAL(38,10)) AS SOURCE_TOTAL
         FROM actuals_u
         WHERE PROJECT_NUMBER IS NOT NULL AND STAGE IS NOT NULL AND SUB_STAGE IS NOT NULL
         GROUP BY {_K}) s
-  FULL OUTER JOIN (SELECT {_K}, CAST(SUM(ACTUALS_COST) AS DECIMAL(38,2)) AS CURVE_TOTAL
+  FULL OUTER JOIN (SELECT {_K}, CAST(SUM(ACTUALS_COST) AS DECIMAL(38,10)) AS CURVE_TOTAL
                    FROM actual_v GROUP BY {_K}) c
   USING (PROJECT_NUMBER, STAGE, SUB_STAGE)),
 fresh AS (
@@ -279,12 +295,12 @@ fresh AS (
 align AS (
   SELECT f.PROJECT_NUMBER, f.STAGE, f.SUB_STAGE, f.LAST_FORECAST_DATE, f.LAST_FORECAST,
          CAST(CASE WHEN a.BUDGET_CURRENT_APPROVED IS NOT NULL
-                   THEN greatest(CAST(a.BUDGET_CURRENT_APPROVED AS DECIMAL(38,4)),
-                                 CAST(a.TOTAL_ACTUAL_COST AS DECIMAL(38,4))) END AS DOUBLE)
+                   THEN greatest(CAST(a.BUDGET_CURRENT_APPROVED AS DECIMAL(38,10)),
+                                 CAST(a.TOTAL_ACTUAL_COST AS DECIMAL(38,10))) END AS DOUBLE)
            AS EXPECTED_FINAL,
          CASE WHEN abs(f.LAST_FORECAST - CAST(CASE WHEN a.BUDGET_CURRENT_APPROVED IS NOT NULL
-                   THEN greatest(CAST(a.BUDGET_CURRENT_APPROVED AS DECIMAL(38,4)),
-                                 CAST(a.TOTAL_ACTUAL_COST AS DECIMAL(38,4))) END AS DOUBLE)) < 0.01
+                   THEN greatest(CAST(a.BUDGET_CURRENT_APPROVED AS DECIMAL(38,10)),
+                                 CAST(a.TOTAL_ACTUAL_COST AS DECIMAL(38,10))) END AS DOUBLE)) < 0.01
               THEN 'PASS' ELSE 'FAIL' END AS STATUS
   FROM (SELECT {_K}, MAX(FORECAST_DATE) AS LAST_FORECAST_DATE,
                arg_max(FORECAST_FINAL_VALUE, FORECAST_DATE) AS LAST_FORECAST
@@ -423,6 +439,7 @@ FROM (
            (SELECT COUNT(*) FROM fcont WHERE STATUS = 'FAIL')
     UNION ALL SELECT 'continuity', (SELECT COUNT(*) FROM cont),
            (SELECT COUNT(*) FROM cont WHERE continuity_check = 'FAIL')
+    UNION ALL SELECT 'completeness', (SELECT 3 * COUNT(*) FROM expected_p), (SELECT COUNT(*) FROM missing_p)
     UNION ALL SELECT 'missing_keys', (SELECT 3 * COUNT(*) FROM expected_k),
            (SELECT COUNT(*) FROM missing)
     UNION ALL SELECT 'control_totals', (SELECT COUNT(*) FROM ctl),
@@ -436,22 +453,20 @@ FROM (
   UNION ALL
   SELECT 'OVERALL', CAST(SUM(checked) AS BIGINT), CAST(SUM(failed) AS BIGINT) FROM (
     SELECT (SELECT COUNT(*) FROM actual_v) + (SELECT COUNT(*) FROM pvb) + (SELECT COUNT(*) FROM fcont)
-           + (SELECT COUNT(*) FROM cont) + (SELECT 3 * COUNT(*) FROM expected_k)
+           + (SELECT COUNT(*) FROM cont) + (SELECT 3 * COUNT(*) FROM expected_p) + (SELECT 3 * COUNT(*) FROM expected_k)
            + (SELECT COUNT(*) FROM ctl) + (SELECT COUNT(*) FROM fresh) + (SELECT COUNT(*) FROM align)
            + (SELECT COUNT(*) FROM actual_v) AS checked,
            (SELECT COUNT(*) FROM monotone) + (SELECT COUNT(*) FROM pvb WHERE STATUS = 'FAIL')
            + (SELECT COUNT(*) FROM fcont WHERE STATUS = 'FAIL')
            + (SELECT COUNT(*) FROM cont WHERE continuity_check = 'FAIL')
-           + (SELECT COUNT(*) FROM missing) + (SELECT COUNT(*) FROM ctl WHERE STATUS = 'MISMATCH')
+           + (SELECT COUNT(*) FROM missing_p) + (SELECT COUNT(*) FROM missing) + (SELECT COUNT(*) FROM ctl WHERE STATUS = 'MISMATCH')
            + (SELECT COUNT(*) FROM fresh WHERE status = 'STALE')
            + (SELECT COUNT(*) FROM align WHERE STATUS = 'FAIL')
            + (SELECT COUNT(*) FROM timeline WHERE ISSUE IS NOT NULL) AS failed))""",
 }
 
-# Same queries as planned_value / actual_value, reached on the Spark side by
-# the day explosion and by the split running total.
+# The same query, reached on the Spark side by the day explosion.
 _FINAL["planned_value_by_day"] = _FINAL["planned_value"]
-_FINAL["actual_value_hot_split"] = _FINAL["actual_value"]
 
 
 def oracle_sql() -> dict[str, str]:

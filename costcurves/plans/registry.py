@@ -24,8 +24,6 @@ from .jobs import build_curves
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-HOT_SPLIT_ROWS = 25
-
 
 def _inputs(spark: SparkSession, sf_dir: str) -> CostInputs:
     return fixture_inputs(spark, sf_dir)
@@ -61,13 +59,6 @@ def actual_value(spark, sf_dir):
     return act.actual_value(_sources(i), i.budget, i.schedule)
 
 
-def actual_value_hot_split(spark, sf_dir):
-    """actual_value with keys above 25 (key, date) rows through the two-level
-    prefix sum (about two thirds of the fixture's keys), to check both paths."""
-    i = _inputs(spark, sf_dir)
-    return act.actual_value(_sources(i), i.budget, i.schedule, split_hot_keys=HOT_SPLIT_ROWS)
-
-
 def norm_curve(spark, sf_dir):
     return pl.norm_curve_points(_inputs(spark, sf_dir).norm_curve).drop("RAW_PERCENT")
 
@@ -98,13 +89,11 @@ def _curves(spark, sf_dir):
 
 
 def actuals_summary(spark, sf_dir):
-    _, c = _curves(spark, sf_dir)
-    return fc.actuals_summary(c.actual)
+    return fc.actuals_summary(actual_value(spark, sf_dir))
 
 
 def last_cumulative(spark, sf_dir):
-    _, c = _curves(spark, sf_dir)
-    return fc.last_cumulative(c.actual)
+    return fc.last_cumulative(actual_value(spark, sf_dir))
 
 
 def future_weights(spark, sf_dir):
@@ -152,13 +141,11 @@ def continuity_check(spark, sf_dir):
 
 
 def monotone_violations(spark, sf_dir):
-    _, c = _curves(spark, sf_dir)
-    return q.monotone_violations(c.actual)
+    return q.monotone_violations(actual_value(spark, sf_dir))
 
 
 def planned_vs_budget(spark, sf_dir):
-    i, c = _curves(spark, sf_dir)
-    return q.planned_vs_budget(c.planned, i.budget)
+    return q.planned_vs_budget(planned_value(spark, sf_dir), _inputs(spark, sf_dir).budget)
 
 
 def forecast_continuity(spark, sf_dir):
@@ -172,19 +159,13 @@ def missing_keys(spark, sf_dir):
 
 
 def control_totals(spark, sf_dir):
-    i, c = _curves(spark, sf_dir)
-    return q.control_totals(_sources(i), c.actual)
-
-
-def _dated(i: CostInputs, actual: DataFrame) -> dict[str, tuple[DataFrame, str]]:
-    out = {name: (df, "INVOICE_DATE") for name, df in i.cost_sources().items()}
-    out["ACTUALVALUE"] = (actual, "INVOICE_DATE")
-    return out
+    i = _inputs(spark, sf_dir)
+    return q.control_totals(_sources(i), act.actual_value(_sources(i), i.budget, i.schedule))
 
 
 def freshness(spark, sf_dir):
-    i, c = _curves(spark, sf_dir)
-    return q.freshness(_dated(i, c.actual), AS_OF)
+    i = _inputs(spark, sf_dir)
+    return q.freshness(jobs.dated_tables(i, act.actual_value(_sources(i), i.budget, i.schedule)), AS_OF)
 
 
 def budget_alignment(spark, sf_dir):
@@ -193,8 +174,7 @@ def budget_alignment(spark, sf_dir):
 
 
 def timeline_check(spark, sf_dir):
-    _, c = _curves(spark, sf_dir)
-    return q.timeline_check(c.actual)
+    return q.timeline_check(actual_value(spark, sf_dir))
 
 
 def quality_score(spark, sf_dir):
@@ -208,7 +188,6 @@ QUERIES: dict[str, Query] = {
     "actuals_enriched": actuals_enriched,
     "actuals_net": actuals_net,
     "actual_value": actual_value,
-    "actual_value_hot_split": actual_value_hot_split,
     "norm_curve": norm_curve,
     "planned_inputs": planned_inputs,
     "planned_daily": planned_daily,

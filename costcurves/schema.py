@@ -1,8 +1,10 @@
 """Column names and types shared by every stage.
 
-The source system declares no DDL, so the types are ours: money is carried as
-exact decimals end to end (sums, zero-sum removal and running totals must not
-depend on summation order), and only the forecast ratio is computed in double.
+The source system declares no DDL, so the types are ours. Money is carried as
+exact decimals (sums, zero-sum removal and running totals must not depend on
+summation order) at the scale of the source; text and double amounts get
+``FREE_SCALE`` decimal places. Curve values keep their source type. Only the
+forecast ratio is computed in double.
 """
 
 from __future__ import annotations
@@ -12,14 +14,21 @@ from pyspark.sql import types as T
 # Common grouping key of every curve: project, stage, sub-stage.
 KEY = ["PROJECT_NUMBER", "STAGE", "SUB_STAGE"]
 
-COST = T.DecimalType(18, 2)        # one invoice line
-MONEY = T.DecimalType(38, 2)       # summed / running actual cost
-BUDGET = T.DecimalType(28, 4)      # budget rolled up over funds
-NORM = T.DecimalType(9, 6)         # normalized cumulative spend, 0..1
-PLANNED = T.DecimalType(38, 10)    # NORM x BUDGET, exact (9+28+1 = 38 digits)
-AMOUNT = T.DecimalType(38, 4)      # budget vs spent comparisons (both arguments cast:
-                                   # greatest() of mixed decimals may drop scale)
-GAP = T.DecimalType(30, 10)        # budget vs planned difference, exact
+COST = T.DecimalType(18, 2)        # one invoice line, as the source catalog types it
+FREE_SCALE = 10                    # decimal places of amounts that come as text or double
+MONEY_DIGITS = 38                  # digits of sums and running totals
+AMOUNT = T.DecimalType(37, 10)     # budget vs spent comparisons (a difference has 38 digits)
+NORM = T.DecimalType(9, 6)         # normalized cumulative spend 0..1, as the source catalog types it
+
+
+def amount_type(source: T.DataType) -> T.DecimalType:
+    """Exact type of summed amounts of a source column: its own scale, or FREE_SCALE."""
+    if isinstance(source, T.DecimalType):
+        return T.DecimalType(MONEY_DIGITS, source.scale)
+    if isinstance(source, T.IntegralType):
+        return T.DecimalType(MONEY_DIGITS, 0)
+    return T.DecimalType(MONEY_DIGITS, FREE_SCALE)
+
 
 # Source schemas as read from the catalog (names as the upstream systems spell them).
 COST_SOURCE = T.StructType([

@@ -6,6 +6,8 @@ setting the cluster already made.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 LOCAL_CONF = {
@@ -32,26 +34,20 @@ def local_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
-def checkpoint_dir(spark: SparkSession, default: str | None = None) -> str | None:
-    """The shared folder named by ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for the intermediate tables of one run.
 
-    A cluster names it in its configuration; only when the session has none
-    (local runs, tests) is one installed: ``default``, else a folder under the
-    session's warehouse directory (shared storage whenever the warehouse is).
-    Returns None when the session exposes no SparkContext (a remote session
-    manages checkpoints on the server).
+    It lies under ``spark.checkpoint.dir``, the folder that the cluster names for
+    what all executors must see. Only a local session may have none; its
+    folders lie beside its tables, in the warehouse. The folder is removed
+    when the driver's JVM ends.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # remote session: no driver-side context to configure
-        return spark.conf.get("spark.checkpoint.dir", None)
-    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not current:
-        current = default or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
-        try:
-            spark.conf.set("spark.checkpoint.dir", current)
-        except Exception:  # core setting not modifiable here; the context setting below suffices
-            pass
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(current)
-    return current
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    folder = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder

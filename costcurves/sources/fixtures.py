@@ -17,10 +17,11 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import COST, NORM
 from .tables import CostInputs
 
 # Fixed values of the adapter (FIXTURES.md section 2).
+FINE_COST = "decimal(18,4)"              # costs are finer than cents
+FINE_NORM = "decimal(18,10)"             # curve values are finer than six decimals
 AS_OF = _dt.date(2001, 3, 1)            # "today" of the fixture
 BUDGET_PCT_BASE = 80                     # budget = cost * (80 + (sk*7) % 50) %
 BUDGET_PCT_MULT = 7
@@ -36,8 +37,17 @@ EMPTY_SCHEDULE_MOD = 9                   # sk % 10 = 9 -> start = end
 NULL_END_MOD = 8                         # sk % 10 = 8 and stage 'N' -> end NULL
 REPEAT_SCHEDULE_MOD = 5                  # sk % 10 = 5 and stage 'A' -> second row, start + 5 days
 REPEAT_SHIFT_DAYS = 5
+SHORT_END_MOD = 6                        # sk % 10 = 6 -> schedule ends 40 days before the last cost
+SHORT_END_DAYS = 40
+LATE_ACTUALS_MOD = 4                     # sk % 10 = 4 -> actuals after AS_OF are kept
+PAY_APP_LAG_DAYS = 30                    # pay_app has nothing in the last 30 days before AS_OF
+NO_KEY_MOD = 0                           # sk % 10 = 0, line 3: no project (stage N), no date (stage A)
+CREDIT_MOD = 2                           # sk % 10 = 2, stage A, line 2: credit of 1.5 times the cost
+BAD_COST_MOD = 1                         # sk % 10 = 1, line 5: cost text 'n/a'
 CURVE_MISSING = ("SMALL", 37)            # curve point absent
 CURVE_NULL = ("PROMO", 50)               # curve point present with NULL value
+CURVE_OFF_GRID = 0.002                   # odd points lie so far above k / 100
+CURVE_SECOND = 0.004                     # every tenth point has a second one so far above, with value 0.9
 
 
 def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +64,8 @@ def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_linestatus").alias("fund"),
         F.to_date("l_shipdate").cast("timestamp_ntz").alias("d"),
         F.col("l_linenumber").alias("ln"),
-        F.col("l_extendedprice").cast(COST).alias("cost"),
+        (F.col("l_extendedprice").cast("decimal(16,2)") + F.col("l_linenumber").cast("int") * F.lit(Decimal("0.0013"))
+         ).cast(FINE_COST).alias("cost"),
     )
 
 
@@ -62,13 +73,13 @@ def _mod10(c: str, m: int) -> Column:
     return F.pmod(F.col(c), F.lit(10)) == m
 
 
-def _cost_source(df: DataFrame, cost: Column) -> DataFrame:
+def _cost_source(df: DataFrame, cost: Column, project: Column | None = None, day: Column | None = None) -> DataFrame:
     return df.select(
-        F.col("project").alias("PROJECTID"),
+        (F.col("project") if project is None else project).alias("PROJECTID"),
         F.col("stage").alias("STAGEPHASE_CODE"),
         F.col("sub").alias("SUBSTAGEACTIVITY_CODE"),
-        F.col("d").alias("INVOICE_DATE"),
-        cost.cast(COST).alias("ACTUALS_COST"),
+        (F.col("d") if day is None else day).alias("INVOICE_DATE"),
+        cost.alias("ACTUALS_COST"),
     )
 
 
@@ -77,12 +88,24 @@ def fixture_inputs(spark: SparkSession, sf_dir: str) -> CostInputs:
     as_of = F.lit(AS_OF.isoformat()).cast("timestamp_ntz")
 
     actual_rows = base.filter(
-        (F.col("d") <= as_of) & ~(_mod10("sk", NO_ACTUALS_MOD) & (F.col("stage") == "N")))
-    invoice = _cost_source(actual_rows.filter(F.col("ln") <= 3), F.col("cost"))
-    pay_app = _cost_source(actual_rows.filter(F.col("ln") >= 4), F.col("cost"))
+        ((F.col("d") <= as_of) | _mod10("sk", LATE_ACTUALS_MOD))
+        & ~(_mod10("sk", NO_ACTUALS_MOD) & (F.col("stage") == "N")))
+    no_key = _mod10("sk", NO_KEY_MOD) & (F.col("ln") == 3)
+    invoice = _cost_source(
+        actual_rows.filter(F.col("ln") <= 3), F.col("cost"),
+        F.when(~(no_key & (F.col("stage") == "N")), F.col("project")),
+        F.when(~(no_key & (F.col("stage") == "A")), F.col("d")))
+    # Costs of this source come as text, some of it no number.
+    text_cost = F.when(_mod10("sk", BAD_COST_MOD) & (F.col("ln") == 5), F.lit("n/a")).otherwise(
+        F.col("cost").cast("string"))
+    pay_app = _cost_source(
+        actual_rows.filter((F.col("ln") >= 4) & (F.col("d") <= as_of - F.make_dt_interval(days=F.lit(PAY_APP_LAG_DAYS)))),
+        text_cost)
+    reversed_cost = (F.col("ln") == 1) & (F.col("stage") == "R")
+    credit = (F.col("ln") == 2) & (F.col("stage") == "A") & _mod10("sk", CREDIT_MOD)
     pay_req = _cost_source(
-        actual_rows.filter((F.col("ln") == 1) & (F.col("stage") == "R")),
-        -F.col("cost"))
+        actual_rows.filter(reversed_cost | credit),
+        F.when(reversed_cost, -F.col("cost")).otherwise(F.col("cost") * F.lit(Decimal("-1.5"))).cast(FINE_COST))
 
     # One pass over the base rows feeds both the budget and the schedule.
     per_fund = base.groupBy("sk", "project", "stage", "sub", "fund").agg(
@@ -109,6 +132,8 @@ def fixture_inputs(spark: SparkSession, sf_dir: str) -> CostInputs:
     per_key = (
         per_fund.groupBy("sk", "project", "stage", "sub")
         .agg(F.max("last_day").alias("e"))
+        .withColumn("e", F.when(_mod10("sk", SHORT_END_MOD), F.col("e") - F.make_dt_interval(
+            days=F.lit(SHORT_END_DAYS))).otherwise(F.col("e")))
         .withColumn("s", F.col("e") - F.make_dt_interval(days=span))
     )
     null_end = _mod10("sk", NULL_END_MOD) & (F.col("stage") == "N")
@@ -126,21 +151,27 @@ def fixture_inputs(spark: SparkSession, sf_dir: str) -> CostInputs:
         (F.col("s") + F.make_dt_interval(days=F.lit(REPEAT_SHIFT_DAYS))).alias("CURRENTSTART"),
         F.col("e").alias("CURRENTEND"),
     )
-    schedule = first_rows.unionByName(repeated)
+    # Schedule dates come as text.
+    schedule = first_rows.unionByName(repeated).withColumns(
+        {c: F.col(c).cast("string") for c in ("CURRENTSTART", "CURRENTEND")})
 
     k = F.col("k")
     types = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_type").distinct()
-    raw_value = (k * k * (F.lit(300) - k * 2)).cast("decimal(9,0)") * F.lit(Decimal("0.000001"))
-    norm_curve = (
+    raw_value = ((k * k * (F.lit(300) - k * 2)).cast("decimal(9,0)") * F.lit(Decimal("0.000001"))
+                 + k * F.lit(Decimal("0.0000000123"))).cast(FINE_NORM)
+    off_grid = F.when(k % 2 == 1, F.lit(CURVE_OFF_GRID)).otherwise(F.lit(0.0))
+    points = (
         types.select("p_type", F.explode(F.sequence(F.lit(0), F.lit(100))).alias("k"))
         .filter(~((F.col("p_type") == CURVE_MISSING[0]) & (k == CURVE_MISSING[1])))
-        .select(
-            F.concat(F.col("p_type"), F.lit(" - phase")).alias("SUBSTAGES"),
-            (k / F.lit(100)).cast("double").alias("PERCENT_COMPLETIONTIME"),
-            F.when((F.col("p_type") == CURVE_NULL[0]) & (k == CURVE_NULL[1]), F.lit(None))
-            .otherwise(raw_value).cast(NORM).alias("NORM_PERCENT_CUMSPENT"),
-        )
     )
+    label = F.concat(F.col("p_type"), F.lit(" - phase")).alias("SUBSTAGES")
+    norm_curve = points.select(
+        label, (k / F.lit(100) + off_grid).cast("double").alias("PERCENT_COMPLETIONTIME"),
+        F.when((F.col("p_type") == CURVE_NULL[0]) & (k == CURVE_NULL[1]), F.lit(None))
+        .otherwise(raw_value).cast(FINE_NORM).alias("NORM_PERCENT_CUMSPENT"),
+    ).unionByName(points.filter(k % 10 == 0).select(
+        label, (k / F.lit(100) + F.lit(CURVE_SECOND)).cast("double").alias("PERCENT_COMPLETIONTIME"),
+        F.lit(Decimal("0.9")).cast(FINE_NORM).alias("NORM_PERCENT_CUMSPENT")))
 
     return CostInputs(invoice=invoice, pay_app=pay_app, pay_req=pay_req,
                       budget=budget, schedule=schedule, norm_curve=norm_curve)

@@ -2,37 +2,65 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_of_date
 
 
-
-
 def write_table(df: DataFrame, name: str, mode: str = "overwrite", path: str | None = None,
                 bucket_by: list[str] | None = None, buckets: int | None = None,
                 partition_by: list[str] | None = None) -> None:
     """Replace (or append to) a catalog table with ``df``.
 
+    An overwrite writes a staging table first and swaps names when it is whole,
+    so a failed write leaves the old table as it was and readers never find
+    none for longer than the renames take. A table at a fixed ``path`` is
+    overwritten in place, and one with partition folders, which the catalog
+    keeps by location, from the whole staging table.
+
     With ``bucket_by`` the table is hash-bucketed on those columns (``buckets``
     defaults to ``spark.sql.shuffle.partitions``). The rows are first
     repartitioned with the same hash, so each task writes one file, and later
     joins, aggregates and windows on those columns read co-located buckets
-    without a shuffle. ``partition_by`` lays the table out in one folder per
-    value of low-cardinality columns, so filters on them prune whole folders.
+    without a shuffle: for keys of bounded size only. ``partition_by`` lays the
+    table out in one folder per value of low-cardinality columns, so filters on
+    them prune whole folders.
     """
-    if bucket_by:
-        n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        writer = (df.repartition(n, *bucket_by).write.mode(mode).format("parquet")
-                  .bucketBy(n, *bucket_by))
-    else:
-        writer = df.write.mode(mode).format("parquet")
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    staging, old = (f"{name}_{kind}_{uuid.uuid4().hex[:12]}" for kind in ("staging", "old"))
+    if partition_by and path is None and mode == "overwrite":
+        try:
+            df.write.format("parquet").saveAsTable(staging)
+            spark.table(staging).write.format("parquet").partitionBy(*partition_by).mode(mode).saveAsTable(name)
+        finally:
+            spark.sql(f"DROP TABLE IF EXISTS {staging}")
+        return
+    writer = (df.repartition(n, *bucket_by).write.bucketBy(n, *bucket_by) if bucket_by else df.write).format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if path is not None:
-        writer = writer.option("path", path)
-    writer.saveAsTable(name)
+    if path is not None or mode != "overwrite":
+        writer = writer if path is None else writer.option("path", path)
+        writer.mode(mode).saveAsTable(name)
+        return
+    try:
+        writer.mode("errorifexists").saveAsTable(staging)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {staging}")
+        raise
+    if not spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
+        return
+    spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+    try:
+        spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
+    except Exception:
+        spark.sql(f"ALTER TABLE {old} RENAME TO {name}")
+        raise
+    spark.sql(f"DROP TABLE {old}")
 
 
 def backup_table(spark: SparkSession, name: str, suffix: str = "_BACKUP",
@@ -56,8 +84,22 @@ def recent_rows(df: DataFrame, date_col: str = "INVOICE_DATE", as_of=None, years
 
 def refresh_table(spark: SparkSession, target: str, source: DataFrame,
                   date_col: str = "INVOICE_DATE", as_of=None, years: int = 2) -> None:
-    """Replace ``target`` with the last ``years`` years of ``source``."""
-    write_table(recent_rows(source, date_col, as_of, years), target, mode="overwrite")
+    """Replace the rows of ``target`` with the last ``years`` years of ``source``.
+
+    An existing table keeps its definition (layout, properties); rows are
+    matched to its columns by name. The rows are staged first, so ``source``
+    may read ``target`` and a failing query leaves it as it was.
+    """
+    rows = recent_rows(source, date_col, as_of, years)
+    if not spark.catalog.tableExists(target):
+        write_table(rows, target)
+        return
+    staging = f"{target}_staging_{uuid.uuid4().hex[:12]}"
+    try:
+        rows.write.format("parquet").saveAsTable(staging)
+        spark.table(staging).select(*spark.table(target).columns).write.insertInto(target, overwrite=True)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {staging}")
 
 
 def preview(df: DataFrame, n: int = 10, order_by: list[str] | None = None) -> DataFrame:

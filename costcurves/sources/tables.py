@@ -11,6 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.coerce import to_timestamp_strict
+
 # Default catalog names of the six inputs.
 DEFAULT_TABLES = {
     "invoice": "INVOICE",
@@ -41,13 +43,14 @@ def select_budget(df: DataFrame) -> DataFrame:
 
 
 def select_schedule(df: DataFrame) -> DataFrame:
-    """Schedule rows in canonical names (a key may repeat)."""
+    """Schedule rows in canonical names (a key may repeat). Dates are converted strictly (P9):
+    text, DATE and timestamp schedules read alike, unreadable text raises."""
     return df.select(
         F.col("PROJECTID").alias("PROJECT_NUMBER"),
         F.col("STAGECODE").alias("STAGE"),
         F.col("STAGESUBSTAGECODE").alias("SUB_STAGE"),
-        F.col("CURRENTSTART"),
-        F.col("CURRENTEND"),
+        to_timestamp_strict(df, "CURRENTSTART").alias("CURRENTSTART"),
+        to_timestamp_strict(df, "CURRENTEND").alias("CURRENTEND"),
     )
 
 

@@ -15,13 +15,13 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from costcurves.session import checkpoint_dir, local_session
+    from costcurves.session import local_session
 
     scratch = tempfile.mkdtemp(prefix="costcurves-test-")
     s = local_session(master="local[4]", shuffle_partitions=8, extra={
         "spark.sql.warehouse.dir": os.path.join(scratch, "warehouse"),
+        "spark.checkpoint.dir": "file://" + os.path.join(scratch, "shared"),
     })
-    checkpoint_dir(s, os.path.join(scratch, "checkpoints"))
     yield s
     s.stop()
 

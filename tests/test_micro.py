@@ -240,8 +240,8 @@ def test_net_actuals_matches_row_level_grouping(spark, sf_dir):
     u = union_cost_sources(i.invoice, i.pay_app, i.pay_req)
     b = budget_rollup(i.budget)
     net = net_actuals(u, b, i.schedule).select(*KEY, "INVOICE_DATE", "ACTUALS_COST")
-    rows = (enrich_actuals(u, b, i.schedule).groupBy(*KEY, "INVOICE_DATE")
-            .agg(F.sum("ACTUALS_COST").cast("decimal(38,2)").alias("ACTUALS_COST"))
+    rows = (enrich_actuals(u, b, i.schedule).dropna(subset=[*KEY, "INVOICE_DATE"]).groupBy(*KEY, "INVOICE_DATE")
+            .agg(F.sum("ACTUALS_COST").cast("decimal(38,10)").alias("ACTUALS_COST"))
             .filter("ACTUALS_COST != 0"))
     assert net.exceptAll(rows).count() == 0 and rows.exceptAll(net).count() == 0
 
@@ -273,29 +273,67 @@ def test_recent_rows_window_is_calendar_years_inclusive(spark):
     assert got == [D(2022, 2, 28), D(2024, 2, 29, 8)]
 
 
-@pytest.mark.parametrize("threshold", [0, 3, 1000])
-def test_split_hot_keys_gives_the_same_running_total(spark, sf_dir, threshold):
-    """Hot keys through the two-level prefix sum equal the single window,
-    on the fixture (date-valued) and on intra-day timestamps."""
-    from costcurves.operators.actuals import with_running_cost
-    from costcurves.sources.fixtures import fixture_inputs
+def test_running_total_of_timestamps(spark):
+    """Several rows a day, over many days and a repeated schedule: equal to one ordered window."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
 
-    i = fixture_inputs(spark, sf_dir)
-    u = union_cost_sources(i.invoice, i.pay_app, i.pay_req)
-    net = net_actuals(u, budget_rollup(i.budget), i.schedule)
-    plain = with_running_cost(net)
-    split = with_running_cost(net, split_hot_keys=threshold)
-    assert split.exceptAll(plain).count() == 0 and plain.exceptAll(split).count() == 0
+    from costcurves.schema import KEY
 
     times = spark.createDataFrame(
         [("P", "S", "X", D(2020, 1, 1 + d // 24, d % 24), Decimal(d % 7 - 2)) for d in range(24 * 5)]
         + [("Q", "S", "X", D(2020, 1, 2), Decimal("1"))], COST_SOURCE)
-    tnet = net_actuals(union_cost_sources(times), budget_rollup(_budget(spark)), _schedule(spark, []))
-    a = sorted(tuple(r) for r in with_running_cost(tnet).collect())
-    b = sorted(tuple(r) for r in with_running_cost(tnet, split_hot_keys=threshold, block="DAY").collect())
+    twice = _schedule(spark, [("P", "S", "X", D(2020, 1, 1), D(2020, 2, 1)), ("P", "S", "X", D(2020, 1, 3), None)])
+    net = net_actuals(union_cost_sources(times), budget_rollup(_budget(spark)), twice)
+    w = Window.partitionBy(*KEY).orderBy("INVOICE_DATE").rowsBetween(Window.unboundedPreceding, 0)
+    want = net.withColumn("CUMULATIVE_ACTUAL_COST", F.sum("ACTUALS_COST").over(w).cast("decimal(38,2)"))
+    got = actual_value([times], _budget(spark), twice)
+    assert got.columns == want.columns
+    a, b = (sorted(tuple(r) for r in df.collect()) for df in (want, got))
     assert a == b and len(a) > 24
 
 
+def test_costs_keep_the_precision_of_their_source(spark):
+    """Text and double costs below a cent are neither rounded nor dropped."""
+    rows = [("P", "S", "X", D(2020, 1, 1), v) for v in ("10.126", "10.126")] + [("P", "S", "X", D(2020, 1, 2), "0.004")]
+    text = spark.createDataFrame(rows, "PROJECTID string, STAGEPHASE_CODE string, SUBSTAGEACTIVITY_CODE string, "
+                                       "INVOICE_DATE timestamp_ntz, ACTUALS_COST string")
+    for src in (text, text.withColumn("ACTUALS_COST", text.ACTUALS_COST.cast("double"))):
+        got = {r.INVOICE_DATE.day: float(r.ACTUALS_COST) for r in
+               actual_value([src], _budget(spark), _schedule(spark, [])).collect()}
+        assert got == {1: 20.252, 2: 0.004}
+
+
+def test_fine_curve_values_stay_apart(spark):
+    """101 distinct values, 60 of them below 2e-7: no row merges and the value is not cut."""
+    values = [k * 3e-9 for k in range(60)] + [(k - 59) / 41 for k in range(60, 101)]
+    curve = spark.createDataFrame([("SS - x", k / 100, v) for k, v in enumerate(values)],
+                                  "SUBSTAGES string, PERCENT_COMPLETIONTIME double, NORM_PERCENT_CUMSPENT double")
+    budget = spark.createDataFrame([("P", "S", "SS", Decimal("100000000"))], BUDGET_SOURCE)
+    sched = _schedule(spark, [("P", "S", "SS", D(2020, 1, 1), D(2020, 12, 30))])
+    rows = planned_value(budget, sched, curve).collect()
+    assert len(rows) == 101
+    assert {r.NORMALIZED_PERCENT: r.PLANNED_CURVE_VALUE for r in rows} == {v: v * 1e8 for v in values}
+    daily = planned_value(budget, sched, curve, method="daily").collect()
+    assert sorted(tuple(r) for r in daily) == sorted(tuple(r) for r in rows)
+
+
+@pytest.mark.parametrize("kind", ["string", "date", "timestamp_ntz"])
+def test_schedule_dates_of_any_type(spark, kind):
+    typed = _schedule(spark, [("P", "S", "SS", D(2020, 1, 1), D(2020, 4, 9))])
+    sched = typed.select(*[typed[c].cast(kind).alias(c) if c.startswith("CURRENT") else typed[c] for c in typed.columns])
+    want, got = (planned_value(_budget(spark), s, _linear_curve(spark)) for s in (typed, sched))
+    assert dict(got.dtypes)["DATE"] == "timestamp_ntz"
+    assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in want.collect())
+
+
+def test_unreadable_schedule_date_raises(spark):
+    sched = _schedule(spark, [("P", "S", "SS", D(2020, 1, 1), D(2020, 4, 9))])
+    bad = sched.withColumn("CURRENTEND", sched.CURRENTEND.cast("string")).replace("2020-04-09 00:00:00", "soon")
+    with pytest.raises(Exception, match="unreadable timestamp"):
+        planned_value(_budget(spark), bad, _linear_curve(spark)).collect()
+
+
 def test_decimal_percent_column_matches_double(spark):
     """The curve's completion percent may arrive as a decimal."""
     dec_schema = T.StructType([

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from costcurves.functions.percent import (
     TIE_PERCENT,
     curve_percent_key,
-    explode_percent_first_days,
+    percent_first_days,
     schedule_percent_key,
 )
 
@@ -43,7 +43,7 @@ def test_first_day_matches_brute_force(spark):
         for i in range(d):
             expected.setdefault((d, _py_key(i, d)), i)
     durations = spark.range(1, MAX_D + 1).withColumnRenamed("id", "d")
-    got = explode_percent_first_days(durations, "d").collect()
+    got = durations.select("d", F.inline(percent_first_days(F.col("d")))).collect()
     assert {(r.d, r.PCT_KEY): r.DAY for r in got} == expected
 
 
