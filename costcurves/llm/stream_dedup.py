@@ -30,6 +30,8 @@ STATE_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    # An eighth of this is taken by each partition at once; an executor may hold dozens.
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "8",
     # Else each partition of the state reserves disk for its logs ahead.
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
