@@ -75,3 +75,30 @@ def block_of(c: Column, bounds: list[int]) -> Column:
     edges = F.array(*[F.lit(b).cast("long") for b in bounds])
     below = F.size(F.filter(edges, lambda b: b < c))
     return F.when(c.isNull(), F.lit(len(bounds))).otherwise(below).cast("int")
+
+
+#: Bits of the fixed-size filter of ``maybe_in``: one megabyte whatever the number of keys.
+FILTER_BITS = 1 << 23
+
+
+def maybe_in(rows: DataFrame, keys: DataFrame, c: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+    """``rows`` in two: those whose ``c`` may be among ``keys``, and those whose ``c`` certainly is not.
+
+    A bit a key's hash, built by partial aggregation, is broadcast: at most FILTER_BITS / 32768 bitmaps of 4 KB.
+    An exact join of the first part then moves few rows; the texts of the others are not shuffled.
+    """
+    place = F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
+    marks = keys.filter(F.col(c).isNotNull()).select(
+        F.bitmap_bucket_number(place).alias("filter_bucket"), F.bitmap_bit_position(place).alias("bit"))
+    marks = marks.groupBy("filter_bucket").agg(F.bitmap_construct_agg("bit").alias("filter_bits"))
+    found = rows.withColumn("filter_bucket", F.bitmap_bucket_number(place)).join(F.broadcast(marks), "filter_bucket", "left")
+    bit = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring("filter_bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.coalesce(F.col(c).isNotNull() & (F.getbit(byte, (bit % 8).cast("int")) == 1), F.lit(False))
+    return found.filter(hit).select(*rows.columns), found.filter(~hit).select(*rows.columns)
+
+
+def without(rows: DataFrame, keys: DataFrame, c: str = "doc_id") -> DataFrame:
+    """The rows whose ``c`` is not among ``keys``; null stays."""
+    doubtful, sure = maybe_in(rows, keys, c)
+    return sure.unionByName(doubtful.join(keys.select(c).distinct(), c, "left_anti").select(*rows.columns))

@@ -1,6 +1,6 @@
 """Operator 3: exact Jaccard join of word-shingle sets as a metric-space join.
 
-Jaccard distance is a metric. With links at distance EPS = 0.25 or less:
+Jaccard distance is a metric; links are pairs at a distance of 0.25 or less.
 
 1. Support. Of the shingles of a linked document at least three quarters occur in
    another document. Slices of documents send their shingles (once each, so that a shingle in
@@ -10,12 +10,13 @@ Jaccard distance is a metric. With links at distance EPS = 0.25 or less:
 2. Equal sets are one class, named by its smallest id; the rest works on classes.
 3. Regions. A class enters the region of each shingle of its prefix, rare shingles first; two
    linked classes meet in a region.
-4. Pivots. In a region of more than ``SMALL`` members, some members become pivots and all
-   others are compared with them. A member belongs to the Voronoi cell of its nearest pivot and
-   is replicated to every other cell that its window reaches: members x, y can link only if
-   d(x, p) and d(y, p) differ by EPS at most for each pivot p. Members within EPS of a pivot are
-   linked to it and so to each other; they go on only if some member outside lies within their
-   window. Cells are regions again and are joined in the same way; small ones by all pairs.
+4. Pivots. In a region of more than ``SMALL`` members the most central member and some others become
+   pivots, and all members are compared with them. Members linked to a pivot are connected with
+   each other through it. The others, the core, belong to the Voronoi cell of their nearest pivot, and every member of
+   the region is replicated to each other cell whose core its window reaches. The window is the triangle
+   inequality in the form that counts give: sets that share x and x' shingles with the pivot share at most
+   min(x, x') of the pivot's with each other. Cells are regions again: a core of few members is compared with its
+   cell, a larger one gets pivots of its own.
 5. Links become components by the smallest id reachable.
 
 Nothing is dropped: each prune follows from the bound or the triangle inequality.
@@ -37,12 +38,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, whole_text
-from .shingles import shingle_sets, sliced
+from .common import maybe_in, stored, whole_text
+from .shingles import mix, shingle_sets, sliced
 
 #: Links have 4 * intersection >= 3 * union.
-EPS = 0.25
-SMALL = 16
+SMALL = 64
+FEW = 256
 PIVOTS = 4
 RECORDS = "bucket int, ids binary, tokens binary, refs binary, sizes binary, digests binary, counts binary"
 LOCAL = np.uint16(65535)
@@ -67,8 +68,6 @@ def prefix_length(n: int, whole: bool) -> tuple[int, int]:
 
 def sent(rows: Iterator[list[tuple[int, np.ndarray]]], buckets: int, whole: bool) -> Iterator[pa.RecordBatch]:
     """Records of slices of (id, set): shingles by bucket, and the documents with what they share in the slice."""
-    schema = pa.schema([("bucket", pa.int32())] + [(c, pa.binary()) for c in (
-        "ids", "tokens", "refs", "sizes", "digests", "counts")])
     for part in rows:
         ids = np.array([i for i, _ in part], np.int64)
         lengths = [prefix_length(len(s), whole)[0] for _, s in part]
@@ -95,26 +94,38 @@ def sent(rows: Iterator[list[tuple[int, np.ndarray]]], buckets: int, whole: bool
             own = np.where(refs[k] == LOCAL, LOCAL, own.astype(np.uint16))
             six = np.ascontiguousarray((raw[k] >> np.uint64(8)).view(np.uint8).reshape(-1, 8)[:, :6])
             out.append((b, ids[known].tobytes(), six.tobytes(), own.astype(np.uint16).tobytes(), None, None, None))
-        digests = b"".join(digest_of(s) for _, s in part)
+        home = home_of(ids, buckets)
         sizes = np.array([len(s) for _, s in part], np.int64)
-        home = int(ids[0] % buckets) if len(ids) else 0
-        out.append((home, ids.tobytes(), None, None, sizes.tobytes(), digests, counts.tobytes()))
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)],
-                                         schema=schema)
+        digests = np.frombuffer(b"".join(digest_of(s) for _, s in part), "V16")
+        for b in np.unique(home).tolist():
+            k = np.flatnonzero(home == b)
+            out.append((b, ids[k].tobytes(), None, None, sizes[k].tobytes(), digests[k].tobytes(), counts[k].tobytes()))
+        yield records(out)
 
 
-def answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, n, digest, shared): the documents, and for each how many of its shingles other slices have."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("shared", pa.int64())])
+RECORD_SCHEMA = [("bucket", pa.int32())] + [(c, pa.binary()) for c in ("ids", "tokens", "refs", "sizes", "digests", "counts")]
+
+
+def records(rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [()] * len(RECORD_SCHEMA)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, RECORD_SCHEMA, strict=True)],
+                                      names=[n for n, _ in RECORD_SCHEMA])
+
+
+def home_of(ids: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket that gathers the answers to a document."""
+    return (mix(ids.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+
+
+def answered(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """The document records, and for each document how many of a bucket's shingles other slices have, by home."""
     tokens, owners, local = [], [], []
     for batch in batches:
         for r in batch.to_pylist():
-            ids = np.frombuffer(r["ids"], np.int64)
             if r["tokens"] is None:
-                digests = [r["digests"][16 * i:16 * i + 16] for i in range(len(ids))]
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.frombuffer(r["sizes"], np.int64)), pa.array(
-                    digests, pa.binary()), pa.array(np.frombuffer(r["counts"], np.int64))], schema=schema)
+                yield records([(r["bucket"], r["ids"], None, None, r["sizes"], r["digests"], r["counts"])])
                 continue
+            ids = np.frombuffer(r["ids"], np.int64)
             wide = np.zeros((len(r["tokens"]) // 6, 8), np.uint8)
             wide[:, :6] = np.frombuffer(r["tokens"], np.uint8).reshape(-1, 6)
             refs = np.frombuffer(r["refs"], np.uint16)
@@ -131,9 +142,30 @@ def answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     lone = new & np.r_[new[1:], True]
     heard = order[~lone]
     ids, counts = np.unique(owners[heard[~local[heard]]], return_counts=True)
-    none = pa.nulls(len(ids), pa.int64())
-    yield pa.RecordBatch.from_arrays([pa.array(ids), none, pa.nulls(len(ids), pa.binary()), pa.array(counts.astype(np.int64))],
-                                     schema=schema)
+    home = home_of(ids, buckets)
+    out = []
+    for b in np.unique(home).tolist():
+        k = np.flatnonzero(home == b)
+        out.append((b, ids[k].tobytes(), None, None, None, None, counts[k].astype(np.int64).tobytes()))
+    yield records(out)
+
+
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, n, digest, shared) of the documents at home here."""
+    rows = [r for batch in batches for r in batch.to_pylist()]
+    if not rows:
+        return
+    every = np.concatenate([np.frombuffer(r["ids"], np.int64) for r in rows])
+    counts = np.concatenate([np.frombuffer(r["counts"], np.int64) for r in rows])
+    known, place = np.unique(every, return_inverse=True)
+    total = np.bincount(place, weights=counts, minlength=len(known)).astype(np.int64)
+    for r in rows:
+        if r["sizes"] is not None:
+            ids = np.frombuffer(r["ids"], np.int64)
+            digests = [r["digests"][16 * i:16 * i + 16] for i in range(len(ids))]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(ids), pa.array(np.frombuffer(r["sizes"], np.int64)), pa.array(digests, pa.binary()),
+                pa.array(total[np.searchsorted(known, ids)])], names=["doc_id", "n", "digest", "shared"])
 
 
 def support(rows: DataFrame, read: Callable, whole: bool) -> DataFrame:
@@ -143,12 +175,11 @@ def support(rows: DataFrame, read: Callable, whole: bool) -> DataFrame:
     def send(batches):
         return sent(read(batches), buckets, whole)
 
-    records = rows.mapInArrow(send, RECORDS).repartition(buckets, "bucket")
-    heard = records.mapInArrow(answered, "doc_id long, n long, digest binary, shared long")
-    by_id = heard.groupBy("doc_id").agg(
-        F.sum("shared").alias("shared"),
-        F.collect_list(F.when(F.col("n").isNotNull(), F.struct("n", "digest"))).alias("sets"))
-    flat = by_id.select("doc_id", "shared", F.inline("sets"))
+    def answer(batches):
+        return answered(batches, buckets)
+
+    heard = rows.mapInArrow(send, RECORDS).repartition(buckets, "bucket").mapInArrow(answer, RECORDS)
+    flat = heard.repartition(buckets, "bucket").mapInArrow(gathered, "doc_id long, n long, digest binary, shared long")
     o = lambda n: F.floor((n * 3 + 3) / 4)
     need = o(F.col("n")) if whole else F.floor((o(F.col("n")) + 3) / 4)
     return flat.select("doc_id", "n", "digest", ((F.col("n") > 0) & (F.col("shared") >= need)).alias("supported"))
@@ -194,98 +225,136 @@ def as_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["id", "set"])
 
 
+def least_shared(na: Column, nb: Column) -> Column:
+    """Two sets of these sizes link when they share so many: 4 * shared >= 3 * (na + nb - shared)."""
+    return F.floor(((na + nb) * 3 + 6) / 7)
+
+
 def members_of(sets: DataFrame) -> DataFrame:
-    """(region, id, n, c): each set in the regions of its prefix's shared shingles, rarest first.
+    """(region, id, n, c, w, pos): each set in the regions of its prefix's shared shingles, rarest first.
 
-    c counts the set's shingles that occur in another set. The others come first in the order
-    and meet nobody, so n - c places of the prefix are used up by them.
+    c counts the set's shingles that occur in another set; the others come first in the order and meet
+    nobody. pos is the shingle's place. w sums over the shared shingles how many sets have
+    them: in a family of near copies it is largest for the set closest to all others.
     """
     tokens = sets.select("id", "n", F.explode("set").alias("token"))
     often = tokens.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
     known = tokens.join(often, "token").groupBy("id", "n").agg(
-        F.sort_array(F.collect_list(F.struct("df", "token"))).alias("known"))
+        F.sort_array(F.collect_list(F.struct("df", "token"))).alias("known"), F.sum("df").alias("w"))
     known = known.withColumn("c", F.size("known"))
     most = F.col("c") - F.floor((F.col("n") * 3 + 3) / 4) + 1
     known = known.filter(most > 0)
-    return known.select("id", "n", "c", F.explode(F.slice("known", F.lit(1), most.cast("int"))).alias("t")).select(
-        F.col("t.token").alias("region"), "id", "n", "c")
+    return known.select("id", "n", "c", "w", F.posexplode(F.slice("known", F.lit(1), most.cast("int"))).alias("p", "t")).select(
+        F.col("t.token").alias("region"), "id", "n", "c", "w", (F.col("n") - F.col("c") + F.col("p") + 1).alias("pos"))
 
 
-def may_link(a: str, b: str) -> Column:
-    """Sizes and shared shingles allow a link: 7 * overlap >= 3 * (na + nb) is the threshold."""
-    na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
-    return F.least(f"{a}.c", f"{b}.c") * 7 >= (na + nb) * 3
+def with_company(members: DataFrame) -> DataFrame:
+    """``members`` with the number of ``cores`` in their region, without those that no size of set in the region lets link.
+
+    Linked sets that share o shingles at least have a common one within the first n - o + 1 of each.
+    """
+    n = F.col("n")
+    regions = members.groupBy("region").agg(
+        F.count("*").alias("size"), F.sum(F.col("core").cast("int")).alias("cores"), F.collect_set("n").alias("sizes"))
 
+    def fits(s: Column) -> Column:
+        o = least_shared(n, s)
+        return (o <= F.col("c")) & (o <= s) & (F.col("pos") <= n - o + 1)
 
-def small_pairs(members: DataFrame) -> DataFrame:
-    """(a, b): all pairs of a region that may link, without those known to be connected through a pivot."""
-    a, b = members.alias("a"), members.alias("b")
-    apart = F.coalesce(F.col("a.ball") != F.col("b.ball"), F.lit(True))
-    found = a.join(b, (F.col("a.region") == F.col("b.region")) & (F.col("a.id") < F.col("b.id"))).filter(
-        may_link("a", "b") & apart & (F.col("a.core") | F.col("b.core")))
-    return found.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
+    found = members.join(regions.filter("size > 1 and cores > 0"), "region")
+    return found.filter(F.exists("sizes", fits)).drop("sizes", "size")
+
+
+def close_pairs(members: DataFrame) -> DataFrame:
+    """(a, b): pairs of a region with a core member that may link and are not connected through a pivot.
+
+    With x members in common with the region's pivot, two sets share at most the smaller x and, beyond the
+    pivot, the smaller c - x.
+    """
+    a, b = members.filter("core").alias("a"), members.alias("b")
+    col = F.col
+    o = least_shared(col("a.n"), col("b.n"))
+    window = F.least("a.x", "b.x") + F.least(col("a.c") - col("a.x"), col("b.c") - col("b.x")) >= o
+    prefix = (col("a.pos") <= col("a.n") - o + 1) & (col("b.pos") <= col("b.n") - o + 1)
+    apart = F.coalesce(col("a.label") != col("b.label"), F.lit(True))
+    once = F.when(col("b.core"), col("a.id") < col("b.id")).otherwise(col("a.id") != col("b.id"))
+    found = a.join(b, (col("a.region") == col("b.region")) & once & apart & prefix & window)
+    return found.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).distinct()
 
 
 def measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, distance, linked) of pairs of ids."""
+    """(a, b, shared, distance, linked) of pairs of ids."""
     one = sets.select(F.col("id").alias("a"), F.col("set").alias("set_a"))
     two = sets.select(F.col("id").alias("b"), F.col("set").alias("set_b"))
     both = pairs.join(one, "a").join(two, "b")
-    both = both.withColumn("shared", F.size(F.array_intersect("set_a", "set_b")).cast("long"))
+    both = both.withColumn("shared", F.size(F.array_intersect("set_a", "set_b")))
     both = both.withColumn("joint", F.size("set_a") + F.size("set_b") - F.col("shared"))
-    return both.select("a", "b", (1 - F.col("shared") / F.col("joint")).alias("distance"),
+    return both.select("a", "b", "shared", (1 - F.col("shared") / F.col("joint")).alias("distance"),
                        (F.col("shared") * 4 >= F.col("joint") * 3).alias("linked"))
 
 
 def pivoted(members: DataFrame, sets: DataFrame, level: int) -> tuple[DataFrame, DataFrame]:
-    """The distances to the pivots of each region, and the members of the regions' cells."""
-    draws = [F.min(F.struct(F.xxhash64("id", F.lit(level * PIVOTS + j)), "id"))["id"] for j in range(PIVOTS)]
+    """The measured pairs of pivots and members, and the members of the regions' cells."""
+    # Pivots are core members: the most central one, the others drawn by hash.
+    core_id = F.when(F.col("core"), F.col("id"))
+    draws = [F.max(F.when(F.col("core"), F.struct("w", "id")))["id"]] + [
+        F.min(F.when(F.col("core"), F.struct(F.xxhash64(core_id, F.lit(level * PIVOTS + j)), "id")))["id"]
+        for j in range(1, PIVOTS)]
     pivots = members.groupBy("region").agg(F.array_distinct(F.array(*draws)).alias("pivots"))
-    rest = members.join(pivots, "region")
-    to_pivot = rest.select("region", "id", "n", "c", F.explode("pivots").alias("pivot"),
-                           F.array_contains("pivots", F.col("id")).alias("is_pivot")).filter("id != pivot")
+    to_pivot = members.join(pivots, "region").select(
+        "region", "id", "n", "c", "w", "pos", "core", "label", "main", (F.array_position("pivots", F.col("id")) - 1).alias("own"),
+        F.posexplode("pivots").alias("rank", "pivot")).filter("id != pivot")
     pair = [F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")]
-    distances = stored(measured(to_pivot.select(*pair).distinct(), sets), "pivot-distances")
-
-    known = to_pivot.filter("not is_pivot").select("region", "id", "n", "c", "pivot", *pair).join(distances, ["a", "b"])
-    nearest = known.groupBy("region", "id", "n", "c").agg(
-        F.min(F.struct("distance", "pivot")).alias("near"), F.collect_list(F.struct("pivot", "distance", "linked")).alias("all"))
-    # A member no nearer than 2 EPS to any pivot belongs to the far cell. Its links to a near cell's
-    # core, which is within 2 EPS of that cell's pivot, need a distance to it of 3 EPS at most.
-    far = F.col("near.distance") > 2 * EPS
-    reach = F.least(F.col("near.distance") + 2 * EPS, F.lit(3 * EPS))
-    own = F.when(~far, F.col("near.pivot"))
-    cell = lambda p: F.struct(p["pivot"].alias("cell"), p["pivot"].eqNullSafe(own).alias("core"),
-                              p["distance"].alias("d"), p["linked"].alias("linked"))
-    inside = F.transform(F.filter("all", lambda p: p["distance"] <= reach), cell)
-    alone = F.struct(F.lit(None).cast("long").alias("cell"), F.lit(True).alias("core"), F.lit(1.0).alias("d"),
-                     F.lit(False).alias("linked"))
-    placed = nearest.select("region", "id", "n", "c", F.inline(F.when(far, F.array_append(inside, alone)).otherwise(inside)))
-    placed = placed.select(F.xxhash64("region", F.coalesce("cell", F.lit(-1)), F.col("cell").isNull()).alias("region"),
-                           "id", "n", "c", "core", "d", F.when(F.col("linked"), F.col("cell")).alias("ball"))
-    # In a cell, members of the pivot's ball matter only to members outside, within their window.
-    seen = placed.groupBy("region").agg(F.min(F.when(F.col("ball").isNull(), F.col("d"))).alias("least"),
-                                        F.count("*").alias("size"), F.max("core").alias("any_core"))
-    seen = seen.filter("size > 1 and any_core and least is not null").select("region", "least")
-    inner = placed.join(seen, "region").filter(F.col("ball").isNull() | (F.col("d") >= F.col("least") - EPS - 1e-9))
-    return distances, inner.select("region", "id", "n", "c", "core", "ball")
+    met = stored(measured(to_pivot.select(*pair).distinct(), sets), "pivot-distances")
+
+    known = to_pivot.select("*", *pair).join(met, ["a", "b"])
+    # Labels: members linked to a pivot are connected. A pivot takes over a label that one of them has from before,
+    # or else the smallest rank among the pivots that it is linked to.
+    labels = known.filter("linked").groupBy("region", "rank").agg(
+        F.min("label").alias("old"), F.min(F.when(F.col("own") >= 0, F.col("own"))).alias("tied"))
+    labels = labels.groupBy("region").agg(F.collect_list(F.struct("rank", F.coalesce(
+        "old", (F.least("rank", "tied") + (level + 1) * PIVOTS).cast("long")).alias("label"))).alias("labels"))
+    found = known.filter("own < 0").groupBy("region", "id", "n", "c", "w", "pos", "core", "label", "main").agg(
+        F.min(F.struct("distance", "rank")).alias("near"), F.collect_list(F.struct("rank", "shared", "linked")).alias("all"))
+    found = found.join(labels, "region", "left")
+    new = lambda rank: F.array_max(F.transform(
+        F.filter("labels", lambda x: x["rank"] == rank), lambda x: x["label"]))
+    linked_to = F.transform(F.filter("all", lambda p: p["linked"]), lambda p: new(p["rank"]))
+    found = found.withColumn("label", F.coalesce(F.array_min(linked_to), "label"))
+    # Members with the label of the first region's central pivot are connected, so two of them need no comparison. The
+    # others stay core members: they are compared with all that have another label.
+    found = found.withColumn("main", F.coalesce("main", new(F.lit(0)), F.lit(-1)))
+    found = found.withColumn("core", F.col("core") & ~F.col("label").eqNullSafe(F.col("main")))
+    placed = found.select("region", "id", "n", "c", "w", "pos", "label", "main", "core", F.col("near.rank").alias("own"),
+                          F.explode("all").alias("p"))
+    placed = placed.withColumns({"cell": F.col("p.rank"), "x": F.col("p.shared")})
+    placed = placed.withColumn("core", F.col("core") & (F.col("own") == F.col("cell")))
+    # A cell has the core members nearest to its pivot, and all others whose window reaches one of them.
+    cells = placed.filter("core").groupBy("region", "cell").agg(
+        F.max("x").alias("x_most"), F.max(F.col("c") - F.col("x")).alias("y_most"), F.min("n").alias("n_least"))
+    smallest = F.greatest(F.col("n_least"), F.floor((F.col("n") * 3 + 3) / 4))
+    reach = F.least("x", "x_most") + F.least(F.col("c") - F.col("x"), F.col("y_most")) >= least_shared(F.col("n"), smallest)
+    inner = placed.join(cells, ["region", "cell"]).filter(F.col("core") | reach)
+    return met, inner.select(F.xxhash64("region", "cell", F.lit(level)).alias("region"), "id", "n", "c", "w", "pos", "core",
+                             "label", "main", "x")
 
 
 def links_of(sets: DataFrame) -> DataFrame:
     """(a, b): links that connect what all links between the sets connect."""
-    members = members_of(sets).withColumns({"core": F.lit(True), "ball": F.lit(None).cast("long")})
+    none = F.lit(None).cast("long")
+    members = members_of(sets).withColumns({"core": F.lit(True), "label": none, "main": none, "x": F.lit(0)})
     pairs, links, level = [], [], 0
     while True:
+        # The bound doubles by level, so regions in which no pivot settles anything end in all pairs too.
+        bound = SMALL if level == 0 else FEW << level
         members = stored(members, f"pivot-members-{level}")
-        # The bound doubles by level, so regions in which no pivot separates anything end in all pairs too.
-        sizes = members.groupBy("region").agg(F.count("*").alias("size")).filter("size > 1")
-        bound = SMALL << level
-        pairs.append(small_pairs(members.join(sizes.filter(F.col("size") <= bound), "region", "left_semi")))
-        large = members.join(sizes.filter(F.col("size") > bound), "region", "left_semi")
+        members = stored(with_company(members), f"pivot-company-{level}")
+        pairs.append(close_pairs(members.filter(F.col("cores") <= bound)))
+        large = members.filter(F.col("cores") > bound).drop("cores")
         if large.isEmpty():
             break
-        distances, members = pivoted(large, sets, level)
-        links.append(distances.filter("linked").select("a", "b"))
+        met, members = pivoted(large, sets, level)
+        links.append(met.filter("linked").select("a", "b"))
         level += 1
     every = pairs[0]
     for p in pairs[1:]:
@@ -327,8 +396,10 @@ def linked_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     flags = stored(support(named, text_sets, whole=False), "pivot-support")
     classes = flags.filter("n > 0").groupBy("digest").agg(
         F.min("doc_id").alias("name"), F.max("supported").alias("supported")).withColumn("node", node_of(F.col("digest")))
-    wanted = classes.filter("supported").select(F.col("name").alias("doc_id")).distinct()
-    sets = named.join(wanted, "doc_id", "left_semi").mapInArrow(as_sets, "doc_id long, digest binary, set binary")
+    wanted = stored(classes.filter("supported").select(F.col("name").alias("doc_id")).distinct(), "pivot-wanted")
+    # Texts are not shuffled: a filter of fixed size leaves few besides the wanted ones, the join drops those.
+    sets = maybe_in(named, wanted)[0].mapInArrow(as_sets, "doc_id long, digest binary, set binary")
+    sets = sets.join(wanted, "doc_id", "left_semi")
     sets = sets.select(node_of(F.col("digest")).alias("doc_id"), "set").filter(F.octet_length("set") > 0)
     sets = stored(sets.dropDuplicates(["doc_id"]), "pivot-sets")
     # The same test on whole sets, with one set a class.
