@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .common import block_of, id_bounds, stored, whole_text
 from .shingles import sliced
-from .word_cache import BpeWords
+from .word_cache import AT_ONCE, BpeWords, kept_by_worker
 
 END_ID = 0
 FILE_BYTES = 64 << 20
@@ -203,7 +203,7 @@ def write_records(docs: DataFrame, tokenizer: str, folder: str, blocks: int, id_
     rows = rows.repartition(blocks, "block").sortWithinPartitions("block", F.col("doc_id").asc_nulls_first(), "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, found = BpeWords(tokenizer), []
+        words, found = kept_by_worker(("bpe", tokenizer), lambda: BpeWords(tokenizer)), []
         writer, at = None, (None, 0)
 
         def finish() -> None:
@@ -211,7 +211,7 @@ def write_records(docs: DataFrame, tokenizer: str, folder: str, blocks: int, id_
                 found.append((*writer.close(), *at))
 
         rows = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
-        for part in sliced(rows):
+        for part in sliced(rows, limit=AT_ONCE):
             encoded = words.encode([t for _, t, _ in part], END_ID)
             for block, group in groupby(zip(part, encoded, strict=True), lambda x: x[0][2]):
                 if writer is None or block != at[0] or writer.at >= file_bytes:

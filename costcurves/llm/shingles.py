@@ -101,13 +101,13 @@ def shingle_sets(texts: list[bytes | None]) -> list[np.ndarray]:
     return sets
 
 
-def sliced(rows: Iterable[tuple], size: int = 1) -> Iterator[list[tuple]]:
+def sliced(rows: Iterable[tuple], size: int = 1, limit: int = SLICE_BYTES) -> Iterator[list[tuple]]:
     """Rows in lists of bounded total bytes; ``size`` is the place of the sized value in a row."""
     part, total = [], 0
     for row in rows:
         part.append(row)
         total += len(row[size] or b"")
-        if total >= SLICE_BYTES or len(part) >= SLICE_TEXTS:
+        if total >= limit or len(part) >= SLICE_TEXTS:
             yield part
             part, total = [], 0
     if part:

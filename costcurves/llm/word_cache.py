@@ -8,27 +8,37 @@ not certain.
 
 from __future__ import annotations
 
-import re
+import sys
+from collections.abc import Callable
+from types import ModuleType
 
 import numpy as np
 from tokenizers import Tokenizer
 
 #: Pieces kept by a worker, some 150 bytes each; beyond that only those of the texts at hand stay.
-KEPT = 600_000
+KEPT = 250_000
+#: Bytes of text encoded at once.
+AT_ONCE = 1 << 20
 #: New pieces in one text for the library.
 JOINED = 200
 
 
+def kept_by_worker(key: object, make: Callable) -> object:
+    """``make()``, once for all tasks of a Python worker: what it learned serves the next task."""
+    store = sys.modules.setdefault("_kept_by_worker", ModuleType("_kept_by_worker")).__dict__
+    if key not in store:
+        store[key] = make()
+    return store[key]
+
+
 class CachedWords:
     """Ids of texts as little-endian bytes, ``width`` bytes an id."""
 
-    #: Texts that are encoded whole.
-    unsure = re.compile(r"\s | \s|\0")
-
     def __init__(self, tokenizer: Tokenizer):
         self.tokenizer = tokenizer
         self.width = 2 if tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.cache: dict[str, bytes] = {}
+        #: None marks a loose piece; texts with one are encoded whole.
+        self.cache: dict[str, bytes | None] = {}
 
     def packed(self, ids) -> bytes:
         return np.asarray(ids, f"<u{self.width}").tobytes()
@@ -37,22 +47,31 @@ class CachedWords:
         return [self.packed(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def cut(self, text: str) -> list[str]:
-        raise NotImplementedError
+        """The text's pieces at each space."""
+        return text.split(" ")
+
+    def loose(self, piece: str) -> bool:
+        """Whether the piece brings white space beside a space."""
+        return not piece or piece[0].isspace() or piece[-1].isspace()
 
     def pieces(self, new: list[str]) -> list[bytes]:
         return self.whole(new)
 
     def encode(self, texts: list[str], end_id: int | None = None) -> list[bytes]:
         end = b"" if end_id is None else end_id.to_bytes(self.width, "little")
-        cut = [None if self.unsure.search(t) else self.cut(t) for t in texts]
-        used = {p for ps in cut if ps is not None for p in ps}
-        new = list(used.difference(self.cache))
+        cut = [self.cut(t) for t in texts]
+        used = set().union(*cut)
+        new = used.difference(self.cache)
         if len(self.cache) + len(new) > KEPT:
             self.cache = {p: ids for p, ids in self.cache.items() if p in used}
-        self.cache.update(zip(new, self.pieces(new), strict=True))
-        rest = iter(self.whole([t for t, ps in zip(texts, cut, strict=True) if ps is None]))
+        loose = {p for p in new if self.loose(p)}
+        self.cache.update(dict.fromkeys(loose))
+        sound = list(new - loose)
+        self.cache.update(zip(sound, self.pieces(sound), strict=True))
         look = self.cache.__getitem__
-        return [(next(rest) if ps is None else b"".join(map(look, ps))) + end for ps in cut]
+        parts = [list(map(look, ps)) for ps in cut]
+        rest = iter(self.whole([t for t, ids in zip(texts, parts, strict=True) if None in ids]))
+        return [(next(rest) if None in ids else b"".join(ids)) + end for ids in parts]
 
 
 class BpeWords(CachedWords):
@@ -66,7 +85,11 @@ class BpeWords(CachedWords):
         self.bytes = np.array([len(tokenizer.id_to_token(i) or "") for i in range(tokenizer.get_vocab_size())])
 
     def cut(self, text: str) -> list[str]:
-        return text.replace(" ", "\0 ").split("\0")
+        first, *others = text.split(" ")
+        return [first, *map(" ".__add__, others)]
+
+    def loose(self, piece: str) -> bool:
+        return super().loose(piece[1:] if piece[:1] == " " else piece)
 
     def pieces(self, new: list[str]) -> list[bytes]:
         """Pieces with a space before them are encoded many in one text and told apart by their bytes."""
