@@ -7,7 +7,7 @@ splits into two pieces, better scores first) as model, byte fallback, and the in
 as decoder. Batches are encoded by ``threads`` threads of the library.
 
 Parity: every distinct piece of text that a worker encodes, and every text that it encodes whole, is also
-encoded by the sentencepiece library; ``parity`` tells whether all ids agree.
+encoded by the sentencepiece library; ``parity`` tells whether the ids agree for all pieces of a row's text.
 
 Defined cases: a null text reads as empty and has no ids. Characters without a piece become byte
 pieces, or the unknown id where the model has no byte pieces. Equal rows get equal results, null ids
@@ -32,7 +32,7 @@ from tokenizers import Regex, Tokenizer, decoders, models, normalizers
 
 from .common import whole_text
 from .shingles import sliced
-from .word_cache import KEPT, CachedWords
+from .word_cache import AT_ONCE, JOINED, KEPT, CachedWords, kept_by_worker
 
 MARK = "▁"
 THREADS = 2
@@ -144,13 +144,12 @@ def rebuilt(model: Model) -> Tokenizer:
 class SpmWords(CachedWords):
     """Pieces lose the space before them, which the dummy prefix gives back."""
 
-    unsure = re.compile(r"\s | \s|\0|^ | $")
-
     def __init__(self, data: bytes):
         self.model = parsed(data)
         super().__init__(rebuilt(self.model))
         self.other = SentencePieceProcessor(model_proto=data)
-        self.parity = True
+        #: Pieces and whole texts on which the two libraries differ.
+        self.bad: set[str] = set()
         self.marked = np.array([p.startswith(MARK) for p, _, _ in self.model.pieces])
         self.texts: dict[bytes, str] = {}
         inside = re.compile(f"[^{MARK}]{MARK}")
@@ -161,17 +160,51 @@ class SpmWords(CachedWords):
     def whole(self, texts: list[str]) -> list[bytes]:
         found = super().whole(texts)
         want = self.other.encode(texts, num_threads=1)
-        self.parity &= all(a == self.packed(b) for a, b in zip(found, want, strict=True))
+        self.bad.update(t for t, a, b in zip(texts, found, want, strict=True) if a != self.packed(b))
         return found
 
     def cut(self, text: str) -> list[str]:
-        return text.split(" ") if self.cuts else [text]
+        return super().cut(text) if self.cuts else [""]
+
+    def pieces(self, new: list[str]) -> list[bytes]:
+        """Words are encoded many in one text, by both libraries, and told apart by their marks."""
+        found: dict[str, bytes | None] = {p: None for p in new}
+        groups = [new[i:i + JOINED] for i in range(0, len(new), JOINED)]
+        joined = [" ".join(g) for g in groups]
+        ours = self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)
+        for group, e, want in zip(groups, ours, self.other.encode(joined, num_threads=1), strict=True):
+            ids = np.array(e.ids)
+            starts = np.flatnonzero(self.marked[ids])
+            if e.ids == want and len(starts) == len(group) and starts[0] == 0:
+                packed, edges = self.packed(ids), [*(starts * self.width).tolist(), len(ids) * self.width]
+                found.update((p, packed[a:b]) for p, a, b in zip(group, edges, edges[1:]))
+        left = [p for p, ids in found.items() if ids is None]
+        found.update(zip(left, self.whole(left), strict=True))
+        return list(found.values())
+
+    def parity(self, text: str) -> bool:
+        """Whether both libraries agree on all pieces of an encoded text."""
+        return not self.bad or (text not in self.bad and self.bad.isdisjoint(self.cut(text)))
+
+    def plain(self, encoded: list[bytes]) -> list[str]:
+        return self.tokenizer.decode_batch([np.frombuffer(e, f"<u{self.width}").tolist() for e in encoded],
+                                           skip_special_tokens=False)
+
+    def words_of(self, new: list[bytes]) -> list[str]:
+        """Decoded words, many in one text where their spaces tell them apart."""
+        groups = [new[i:i + JOINED] for i in range(0, len(new), JOINED)]
+        out: list[str] = []
+        for group, text in zip(groups, self.plain([b"".join(g) for g in groups]), strict=True):
+            # The first word of a text may begin without a mark; it cannot stand among others.
+            marks = self.marked[np.frombuffer(b"".join(w[:self.width] for w in group), f"<u{self.width}")]
+            words = text.split(" ")
+            out += words if len(words) == len(group) == marks.sum() else self.plain(group)
+        return out
 
     def decode(self, encoded: list[bytes]) -> list[str]:
         """Texts of ids. A word, from a piece with the mark to the next, is decoded by the library once."""
         if not self.cuts:
-            return self.tokenizer.decode_batch([np.frombuffer(e, f"<u{self.width}").tolist() for e in encoded],
-                                               skip_special_tokens=False)
+            return self.plain(encoded)
         cut = []
         for e in encoded:
             ids = np.frombuffer(e, f"<u{self.width}")
@@ -182,8 +215,7 @@ class SpmWords(CachedWords):
         new = list(used.difference(self.texts))
         if len(self.texts) + len(new) > KEPT:
             self.texts = {w: t for w, t in self.texts.items() if w in used}
-        self.texts.update(zip(new, self.tokenizer.decode_batch(
-            [np.frombuffer(w, f"<u{self.width}").tolist() for w in new], skip_special_tokens=False), strict=True))
+        self.texts.update(zip(new, self.words_of(new), strict=True))
         # The decoder drops the space of a word's mark; between words it is put back.
         return [" ".join(map(self.texts.__getitem__, ws)) for ws in cut]
 
@@ -196,10 +228,10 @@ def encoded(docs: DataFrame, model: bytes, threads: int = THREADS, id_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["RAYON_NUM_THREADS"] = str(threads)
-        words = SpmWords(model)
+        words = kept_by_worker(("spm", zlib.crc32(model), len(model)), lambda: SpmWords(model))
         for batch in batches:
             at = 0
-            for part in sliced(zip(batch.column(0), batch.column(1).to_pylist(), strict=True)):
+            for part in sliced(zip(batch.column(0), batch.column(1).to_pylist(), strict=True), limit=AT_ONCE):
                 found = words.encode([t for _, t in part])
                 ids = [np.frombuffer(e, f"<u{words.width}").astype(np.int32) for e in found]
                 offsets = np.cumsum([0] + [len(i) for i in ids]).astype(np.int32)
@@ -208,7 +240,7 @@ def encoded(docs: DataFrame, model: bytes, threads: int = THREADS, id_col: str =
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(at, len(part)),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids))),
-                    pa.array(decoded), pa.array(same), pa.array([words.parity] * len(part))],
+                    pa.array(decoded), pa.array(same), pa.array([words.parity(t) for _, t in part])],
                     names=["doc_id", "ids", "decoded", "round_trip", "parity"])
                 at += len(part)
 

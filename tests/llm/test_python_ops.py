@@ -117,15 +117,15 @@ def test_spm_parity(data):
     for _ in range(2):
         found = words.encode(texts)
         assert [np.frombuffer(f, f"<u{words.width}").tolist() for f in found] == library.encode(texts)
-        assert words.parity
+        assert all(map(words.parity, texts))
         assert words.decode(found) == library.decode(library.encode(texts))
 
 
 def test_spm_parity_is_checked(monkeypatch):
     words = spm_tokenizers.SpmWords(queries.spm_model())
     monkeypatch.setattr(words, "other", SentencePieceProcessor(model_proto=unigram_model()))
-    words.encode(["the cat"])
-    assert not words.parity
+    words.encode(["the cat", "no  two"])
+    assert not words.parity("the cat") and not words.parity("no  two")
 
 
 def test_spm_operator(spark):
