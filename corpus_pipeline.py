@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costcurves.llm import cotraining, pivot_join, poisson_mix, spm_tokenizers, stream_dedup
-from costcurves.llm.common import documents, stored
+from costcurves.llm.common import documents, stored, without
 from costcurves.llm.queries import spm_model
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -31,14 +31,14 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the smallest id."""
     gone = stored(stream_dedup.deduplicated(docs).filter("not kept").select("doc_id"), "pipeline-copies")
-    return docs.join(gone.distinct(), "doc_id", "left_anti").select(*COLUMNS)
+    return without(docs.select(*COLUMNS), gone)
 
 
 def drop_linked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by their shingles the one with the smallest id."""
     found = pivot_join.linked_documents(docs).filter("component_id != doc_id").select("doc_id")
     gone = stored(found, "pipeline-linked")
-    return docs.join(gone.distinct(), "doc_id", "left_anti").select(*COLUMNS)
+    return without(docs.select(*COLUMNS), gone)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
