@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from costcurves.llm import pivot_join
+from costcurves.llm import pivot_join, shingles
 
 
 def brute(rows):
@@ -64,6 +64,17 @@ def test_against_all_pairs(spark, monkeypatch, small, few):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == brute(rows)
 
 
+def test_pieces_of_long_texts(monkeypatch):
+    """Sets don't depend on where a long text is cut for hashing."""
+    rng = random.Random(3)
+    long = " ".join(rng.choice(["abc", "De", "é", "k" * rng.randint(1, 40)]) for _ in range(5000)).encode()
+    texts = [long, b"a b c d e f", None, b"", b"z" * 3000, long[::2]]
+    want = [s.tolist() for s in shingles.shingle_sets(texts)]
+    for size in (64, 1000, 4096):
+        monkeypatch.setattr(shingles, "PIECE", size)
+        assert [s.tolist() for s in shingles.shingle_sets(texts)] == want
+
+
 def test_edge_rows(spark):
     """Empty tables, null ids, repeated rows, extra columns with names used inside."""
     empty = spark.createDataFrame([], "doc_id long, text string")
