@@ -4,9 +4,10 @@ Usage: python tools/skew_probe.py [sf_dir]
 
 Derives (with Spark, into a fresh folder under /tmp) a copy of lineitem
 where every third order's lines belong to one supplier, return flag and
-part, i.e. to one (project, stage, sub-stage) key; runs actual_value,
-planned_value and the row-level actuals_enriched over it with the event log
-on, and prints per-stage task time and record counts (max vs median).
+part, i.e. to one (project, stage, sub-stage) key; runs planned_value, the
+row-level actuals_enriched, and actual_value with invoice dates spread over the
+seconds of their day over it with the event log on, and prints per-stage
+task time and record counts (max vs median).
 """
 
 from __future__ import annotations
@@ -25,12 +26,22 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import functions as F  # noqa: E402
 
+from costcurves.operators.actuals import actual_value  # noqa: E402
 from costcurves.plans.registry import queries  # noqa: E402
 from costcurves.session import local_session  # noqa: E402
+from costcurves.sources.fixtures import fixture_inputs  # noqa: E402
 
 QUERIES = ["actual_value", "planned_value", "actuals_enriched"]
 
 
+def _actual_by_second(spark, sf_dir):
+    """The actual curve over invoice dates with a second of the day from the row's cost."""
+    i = fixture_inputs(spark, sf_dir)
+    second = F.make_dt_interval(secs=F.pmod(F.xxhash64("ACTUALS_COST"), F.lit(86_400)).cast("decimal(18,6)"))
+    timed = [df.withColumn("INVOICE_DATE", F.col("INVOICE_DATE") + second) for df in (i.invoice, i.pay_app, i.pay_req)]
+    return actual_value(timed, i.budget, i.schedule)
+
+
 def _events(run: str) -> list[dict]:
     import zstandard
 
@@ -56,7 +67,7 @@ def main() -> None:
      .withColumn("l_partkey", F.when(hot, F.lit(7)).otherwise(F.col("l_partkey")))
      .repartition(8).write.parquet(f"{hot_dir}/lineitem.parquet"))
     spark.read.parquet(f"{src}/part.parquet").write.parquet(f"{hot_dir}/part.parquet")
-    q = queries()
+    q = queries() | {"actual_value": _actual_by_second}
     for name in QUERIES:
         spark.sparkContext.setJobGroup(name, name)
         t0 = time.time()
