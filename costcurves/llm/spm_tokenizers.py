@@ -22,6 +22,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -214,7 +215,8 @@ class SpmWords(CachedWords):
         used = {w for ws in cut for w in ws}
         new = list(used.difference(self.texts))
         if len(self.texts) + len(new) > KEPT:
-            self.texts = {w: t for w, t in self.texts.items() if w in used}
+            self.texts = dict(islice(self.texts.items(), KEPT // 2))
+            new = list(used.difference(self.texts))
         self.texts.update(zip(new, self.words_of(new), strict=True))
         # The decoder drops the space of a word's mark; between words it is put back.
         return [" ".join(map(self.texts.__getitem__, ws)) for ws in cut]

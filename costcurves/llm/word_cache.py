@@ -10,12 +10,13 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from itertools import islice
 from types import ModuleType
 
 import numpy as np
 from tokenizers import Tokenizer
 
-#: Pieces kept by a worker, some 150 bytes each; beyond that only those of the texts at hand stay.
+#: Pieces kept by a worker, some 150 bytes each; beyond that the half met first stays.
 KEPT = 250_000
 #: Bytes of text encoded at once.
 AT_ONCE = 1 << 20
@@ -63,7 +64,9 @@ class CachedWords:
         used = set().union(*cut)
         new = used.difference(self.cache)
         if len(self.cache) + len(new) > KEPT:
-            self.cache = {p: ids for p, ids in self.cache.items() if p in used}
+            # The pieces met first are the frequent ones.
+            self.cache = dict(islice(self.cache.items(), KEPT // 2))
+            new = used.difference(self.cache)
         loose = {p for p in new if self.loose(p)}
         self.cache.update(dict.fromkeys(loose))
         sound = list(new - loose)
