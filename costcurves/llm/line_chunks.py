@@ -11,6 +11,11 @@ Defined cases: a null text reads as empty and has no lines to remove. Chunks of
 one line, or without a character besides white space, stay. Null ids come last;
 rows that agree in id and text count as one and get the same answer. Only the id and
 text columns are read.
+
+Chunks miss the ends of a passage, and often all of a short one. ``without_passages`` takes each two
+neighbouring lines instead: a line goes if it stands in two lines that occur earlier without overlap, so a
+repeated passage of two lines or more goes whole. A line that repeats alone stays. A line is removed only for
+an equal one in an earlier place, so each line removed remains somewhere.
 """
 
 from __future__ import annotations
@@ -18,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, whole_text
+from .common import maybe_in, stored, whole_text
 
 WINDOW = 2
 #: A cut comes after about one in this many lines.
@@ -89,3 +94,47 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "doc_id", "text", F.size("lines").cast("long").alias("n_lines"), F.size("chunks").cast("long").alias("n_chunks"),
         (F.size("chunks") - F.size("kept")).cast("long").alias("removed_chunks"),
         (F.size("lines") - kept_lines).cast("long").alias("removed_lines"), clean.alias("clean_text"))
+
+
+def with_pairs(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, first, bytes, mark): each two neighbouring lines that hold more than white space."""
+    lines = F.split("text", "\n")
+    docs = docs.select("doc_id", "text_hash", lines.alias("lines"))
+    pairs = F.transform(F.slice("lines", F.lit(2), F.size("lines")), lambda x, i: F.struct(
+        i.alias("first"), F.concat(F.get("lines", i), F.lit("\n"), x).alias("bytes")))
+    flat = docs.select("doc_id", "text_hash", F.explode(pairs).alias("pair"))
+    flat = flat.filter(F.col("pair.bytes").rlike(r"[^\x20\x09-\x0D]"))
+    return flat.select("doc_id", "text_hash", "pair.first", "pair.bytes", F.xxhash64("pair.bytes").alias("mark"))
+
+
+def repeated_pairs(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, first): two lines from ``first`` on that occur earlier without overlap."""
+    flat = with_pairs(docs)
+    # Marks alone first; the bytes follow only for those that occur twice, which the filter lets through.
+    twice = stored(flat.groupBy("mark").count().filter("count > 1").select("mark"), "line-marks")
+    flat = maybe_in(flat, twice, "mark")[0]
+    flat = flat.select(F.sha2(F.col("bytes").cast("binary"), 256).alias("key"), "bytes", F.struct(
+        F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "first").alias("at"))
+    firsts = flat.groupBy("key").agg(F.count("*").alias("times"), F.min(F.struct("at", "bytes")).alias("first"))
+    firsts = firsts.filter("times > 1").select("key", "first")
+    later = flat.join(firsts, "key").filter((F.col("bytes") == F.col("first.bytes")) & (F.col("at") > F.col("first.at")))
+    same_row = F.col("at.doc_id").eqNullSafe(F.col("first.at.doc_id")) & (F.col("at.text_hash") == F.col("first.at.text_hash"))
+    later = later.filter(~same_row | (F.col("at.first") >= F.col("first.at.first") + 2))
+    return later.select("at.doc_id", "at.text_hash", F.col("at.first").alias("first"))
+
+
+def without_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, text, n_lines, removed_lines, clean_text) of every document."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
+    rows = rows.withColumn("text_hash", F.xxhash64("text"))
+    gone = stored(repeated_pairs(rows), "line-pairs")
+    by_doc = gone.groupBy("doc_id", "text_hash").agg(F.collect_set("first").alias("starts"))
+    by_doc = by_doc.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"), "starts")
+    rows = rows.join(by_doc, F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("text_hash") == F.col("gone_hash")), "left")
+    rows = rows.withColumn("lines", F.split("text", "\n"))
+    starts = F.coalesce("starts", F.array().cast("array<int>"))
+    removed = F.array_union(starts, F.transform(starts, lambda i: i + 1))
+    rows = rows.withColumn("kept", F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), removed))
+    clean = F.array_join(F.transform("kept", lambda i: F.get("lines", i)), "\n")
+    return rows.select("doc_id", "text", F.size("lines").cast("long").alias("n_lines"),
+                       (F.size("lines") - F.size("kept")).cast("long").alias("removed_lines"), clean.alias("clean_text"))

@@ -34,6 +34,13 @@ def op2_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("clean_text").cast("binary"), 256).alias("clean_sha256"))
 
 
+def op2_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_chunks.without_passages(documents(spark, sf_dir))
+    return rows.select(
+        "doc_id", "n_lines", "removed_lines", F.length("clean_text").cast("long").alias("clean_chars"),
+        F.sha2(F.col("clean_text").cast("binary"), 256).alias("clean_sha256"))
+
+
 def op3_pivot_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivot_join.linked_documents(documents(spark, sf_dir))
 
@@ -89,6 +96,6 @@ def op10_pii_boost(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_spotsigs, op2_line_chunks, op3_pivot_join, op4_poisson_mix, op5_rendezvous, op6_cotraining,
+        op1_spotsigs, op2_line_chunks, op2_passages, op3_pivot_join, op4_poisson_mix, op5_rendezvous, op6_cotraining,
         op7_record_files, op8_spm_tokenizers, op9_stream_dedup, op10_pii_boost)}
 

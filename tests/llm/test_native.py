@@ -104,6 +104,45 @@ def test_line_chunks_move_with_text(spark):
         assert set(texts[i].split("\n")) - set(rows[i]["clean_text"].split("\n")) <= set(passage)
 
 
+def plain_passages(texts):
+    """Lines of each text that stay, by the rule in plain Python."""
+    first, left = {}, []
+    for d, text in enumerate(texts):
+        lines, gone = (text or "").split("\n"), set()
+        for i, pair in enumerate(zip(lines, lines[1:])):
+            at = first.setdefault(pair, (d, i))
+            if "".join(pair).strip(" \t\n\v\f\r") and (at[0] < d or at[1] + 2 <= i):
+                gone |= {i, i + 1}
+        left.append([x for i, x in enumerate(lines) if i not in gone])
+    return left
+
+
+def test_short_passages_go(spark):
+    """Passages of 2 to 6 lines of over 50 words go whole, between lines of their own; one line alone stays."""
+    rng = random.Random(7)
+    line = lambda: " ".join(rng.choices("abcdefghijk", k=60))
+    for n in (1, 2, 3, 4, 6):
+        passages = [[line() for _ in range(n)] for _ in range(12)]
+        own = [[[line(), line()] for _ in range(2)] for _ in range(24)]
+        texts = ["\n".join([*a, *passages[k % 12], *b]) for k, (a, b) in enumerate(own)]
+        rows = {r["doc_id"]: r for r in line_chunks.without_passages(table(spark, texts)).collect()}
+        for k, (a, b) in enumerate(own):
+            gone = n if k >= 12 and n > 1 else 0
+            assert rows[k]["removed_lines"] == gone
+            assert rows[k]["clean_text"] == ("\n".join([*a, *b]) if gone else texts[k])
+
+
+def test_passages_against_plain(spark, sf_dir):
+    rng = random.Random(3)
+    texts = ["\n".join(rng.choices(["a", "b", "c d", "", " "], k=rng.randrange(12))) for _ in range(60)]
+    given = [r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy("doc_id").collect()]
+    for case in (texts, ODD, ["a\na\na\na\na"], given):
+        want = plain_passages(case)
+        for r in line_chunks.without_passages(with_clashes(table(spark, case))).collect():
+            assert r["clean_text"] == "\n".join(want[r["doc_id"]])
+            assert r["removed_lines"] == r["n_lines"] - len(want[r["doc_id"]])
+
+
 def test_poisson_steps(spark):
     rates = [0.0, 0.01, 0.93, 3.0, 40.0, 900.0]
     df = spark.createDataFrame([(r,) for r in rates], "rate double")
