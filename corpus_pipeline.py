@@ -5,9 +5,9 @@ the classifier rejects go, of equal texts the row with the smallest id stays, of
 documents the one with the smallest id, each remaining one appears as often as its Poisson count
 says, and every copy is encoded.
 
-Defined cases: null texts and metadata pass through as the operators define them. Rows with null ids
-are classified, are never duplicates of a row with an id and never linked. Rows equal in id and text
-share their fate. An empty table gives an empty result. Columns besides those of ``documents`` are left out.
+Defined cases: null texts and metadata pass through as the operators define them. Ids that repeat or are
+null do not join rows: each row is a document of its own, the smallest id stays, null counting as the
+largest, and exactly one row of each group does. An empty table gives an empty result. Columns besides those of ``documents`` are left out.
 """
 
 from __future__ import annotations
@@ -30,15 +30,23 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the smallest id."""
-    gone = stored(stream_dedup.deduplicated(docs).filter("not kept").select("doc_id"), "pipeline-copies")
-    return without(docs.select(*COLUMNS), gone)
+    return stream_dedup.one_of_equal(docs.select(*COLUMNS))
 
 
 def drop_linked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by their shingles the one with the smallest id."""
-    found = pivot_join.linked_documents(docs).filter("component_id != doc_id").select("doc_id")
-    gone = stored(found, "pipeline-linked")
-    return without(docs.select(*COLUMNS), gone)
+    docs = docs.select(*COLUMNS)
+    if docs.groupBy("doc_id").count().filter("doc_id is null or count > 1").isEmpty():
+        found = pivot_join.linked_documents(docs).filter("component_id != doc_id").select("doc_id")
+        return without(docs, stored(found, "pipeline-linked"))
+    # Ids repeat or are null: each row gets a number of its own, fixed once written.
+    rows = stored(docs.withColumn("row", F.monotonically_increasing_id()), "pipeline-rows")
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64(*COLUMNS), F.col("row").alias("row")).alias("place")
+    found = pivot_join.linked_documents(rows, id_col="row").select(F.col("doc_id").alias("row"), "component_id")
+    found = stored(found.join(rows.select("row", place), "row"), "pipeline-linked")
+    first = found.groupBy("component_id").agg(F.min("place").alias("first")).select(F.col("first.row").alias("row"))
+    gone = stored(found.select("row").join(first, "row", "left_anti"), "pipeline-gone")
+    return without(rows, gone, "row").select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_folder, stored, whole_text
+from .common import maybe_in, shared_folder, stored, whole_text
 
 LANDED = "doc_id long, digest string, content string"
 FILES_PER_BATCH = 32
@@ -112,3 +112,21 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     advance(spark, landing, state)
     held = stored(keyed_state(spark, state), "dedup-held")
     return verified(spark.read.schema(LANDED).parquet(landing), held)
+
+
+def one_of_equal(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text, others) with one row of each normalised text: the smallest id, null last."""
+    spark, columns = docs.sparkSession, docs.columns
+    landing, state = shared_folder(spark, "dedup-landing"), shared_folder(spark, "dedup-state")
+    land(docs, landing)
+    advance(spark, landing, state)
+    hits = stored(keyed_state(spark, state).filter("n > 1").select("digest"), "dedup-held")
+    rows = docs.withColumn("digest", F.sha2(normalised(whole_text()).cast("binary"), 256))
+    # A row that the filter lets through without a hit is alone with its text and stays as such.
+    doubtful, sure = maybe_in(rows, hits, "digest")
+    # Ids repeat, so each row gets a number of its own, fixed once written.
+    doubtful = stored(doubtful.withColumn("row", F.monotonically_increasing_id()), "dedup-doubtful")
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64(*columns), F.col("row").alias("row"))
+    first = doubtful.groupBy("digest", normalised(whole_text()).alias("content")).agg(F.min(place).alias("first"))
+    left = doubtful.join(first.select(F.col("first.row").alias("row")), "row", "left_semi")
+    return sure.select(*columns).unionByName(left.select(*columns))

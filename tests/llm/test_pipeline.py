@@ -46,6 +46,26 @@ def test_stages(spark, sf_dir):
         assert stage(spark, docs, sf_dir).columns == corpus_pipeline.COLUMNS
 
 
+def test_rows_with_equal_or_null_ids(spark, sf_dir):
+    """Dedup stages judge rows, not ids: one row of each group stays, and no row goes for another's text."""
+    words = [" ".join(f"{w}{k}" for k in range(60)) for w in "abcdef"]
+    near = [w + " end" for w in words]
+    rows = [(1, words[0]), (2, words[0]), (2, words[1]), (3, words[2]), (3, words[2]), (None, words[3]), (None, words[3]),
+            (None, words[1]), (4, near[0]), (4, words[4]), (None, near[4]), (None, words[5]), (None, near[5]), (6, None), (6, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    key = lambda x: (x[0] is None, x[0] or 0, x[1] or "")
+    copies = corpus_pipeline.drop_copies(spark, docs, sf_dir)
+    got = sorted([(r["doc_id"], r["text"] or "") for r in copies.collect()], key=key)
+    want = [(1, words[0]), (2, words[1]), (3, words[2]), (None, words[3]), (4, near[0]), (4, words[4]),
+            (None, near[4]), (None, words[5]), (None, near[5]), (6, "")]
+    assert got == sorted(want, key=key)
+    left = corpus_pipeline.drop_linked(spark, docs, sf_dir).select("doc_id", "text").collect()
+    got = sorted([(r["doc_id"], r["text"]) for r in left if r["text"] and r["text"].split()[0] != "f0"], key=key)
+    assert got == sorted([(1, words[0]), (2, words[1]), (3, words[2]), (None, words[3]), (4, words[4])], key=key)
+    assert sum(r["text"] in (words[5], near[5]) for r in left) == 1
+
+
 def test_empty(spark, sf_dir, tmp_path):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     docs.limit(0).write.parquet(str(tmp_path / "documents.parquet"))
