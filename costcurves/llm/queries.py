@@ -64,7 +64,7 @@ def op7_record_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     folder = shared_folder(spark, "records")
     manifest = record_files.write_records(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), folder,
-                                          blocks)
+                                          blocks, added=True)
     return record_files.read_back(manifest, blocks).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 

@@ -192,9 +192,11 @@ def read_records(file: str, picks: list[int] | None = None, at_once: int = 8 <<
 
 
 def write_records(docs: DataFrame, tokenizer: str, folder: str, blocks: int, id_col: str = "doc_id",
-                  text_col: str = "text", file_bytes: int = FILE_BYTES) -> DataFrame:
+                  text_col: str = "text", file_bytes: int = FILE_BYTES, added: bool = False) -> DataFrame:
     """Write all documents to ``folder`` and return the manifest, stored: one row a file, with its first id's place.
 
+    ``added``: as in ``BpeWords``.
+
     Columns: file, block, part (files are in order of block and part), records, ids, start.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
@@ -203,7 +205,7 @@ def write_records(docs: DataFrame, tokenizer: str, folder: str, blocks: int, id_
     rows = rows.repartition(blocks, "block").sortWithinPartitions("block", F.col("doc_id").asc_nulls_first(), "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, found = kept_by_worker(("bpe", tokenizer), lambda: BpeWords(tokenizer)), []
+        words, found = kept_by_worker(("bpe", tokenizer, added), lambda: BpeWords(tokenizer, added)), []
         writer, at = None, (None, 0)
 
         def finish() -> None:

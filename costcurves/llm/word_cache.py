@@ -78,16 +78,23 @@ class CachedWords:
 
 
 class BpeWords(CachedWords):
-    """Byte-level BPE: a piece keeps the space before it."""
+    """Byte-level BPE: a piece keeps the space before it.
 
-    def __init__(self, path: str):
+    ``added``: the file's added tokens get their ids where a text spells them out, as the library does by default;
+    otherwise special ones are encoded as any other text.
+    """
+
+    def __init__(self, path: str, added: bool = False):
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
+        tokenizer.encode_special_tokens = not added
         super().__init__(tokenizer)
+        self.added = [t.content for t in tokenizer.get_added_tokens_decoder().values()] if added else []
         #: Bytes that each id stands for: a byte-level token has one character a byte.
         self.bytes = np.array([len(tokenizer.id_to_token(i) or "") for i in range(tokenizer.get_vocab_size())])
 
     def cut(self, text: str) -> list[str]:
+        if any(t in text for t in self.added):
+            return [""]  # loose: the text is encoded whole
         first, *others = text.split(" ")
         return [first, *map(" ".__add__, others)]
 

@@ -83,6 +83,24 @@ def test_record_files(spark, tmp_path):
         assert doc_id == in_order[k][0] and ids.tolist() == in_order[k][1].tolist()
 
 
+def test_record_query_equals_unmodified_library(spark, tmp_path):
+    """The query's ids are those of the library as it reads the file, also where a text spells out an added token."""
+    texts = [*ODD, "a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y z", "<|endof text|>"]
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    plain = Tokenizer.from_file(path)
+    words = BpeWords(path, added=True)
+    for case in (texts, texts[::-1], texts):
+        want = [e.ids for e in plain.encode_batch(case, add_special_tokens=False)]
+        assert [np.frombuffer(e, "<u2").tolist() for e in words.encode(case)] == want
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    start = 0
+    for r in queries.op7_record_files(spark, str(tmp_path)).orderBy("doc_id").collect():
+        ids = np.array(plain.encode(texts[r["doc_id"]], add_special_tokens=False).ids + [0], "<u4")
+        assert (r["start"], r["n_tokens"], r["ids_crc32"]) == (start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+    assert 50256 in plain.encode(texts[-4], add_special_tokens=False).ids
+
+
 def number(n):
     out = b""
     while n > 127:
