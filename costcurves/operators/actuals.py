@@ -151,6 +151,9 @@ def actual_value(cost_sources: list[DataFrame], budget: DataFrame, schedule: Dat
     """
     costs = _daily_costs(union_cost_sources(*cost_sources)).withColumn(
         "_DAY", F.date_trunc("DAY", F.col("INVOICE_DATE")).cast("timestamp_ntz"))
+    # The join on _DAY infers this filter and pushes it to the scans of the rows, but not through the window of the day
+    # totals. Stated here, both read the same plan, and the sources are read and summed once.
+    costs = costs.filter(F.col("_DAY").isNotNull())
     kind = costs.schema["ACTUALS_COST"].dataType
     earlier = Window.partitionBy(*KEY).orderBy("_DAY").rowsBetween(Window.unboundedPreceding, -1)
     days = costs.groupBy(*KEY, "_DAY").agg(F.sum("ACTUALS_COST").alias("_TOTAL"))

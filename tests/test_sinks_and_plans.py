@@ -120,6 +120,16 @@ def test_actual_plan_pre_aggregates_before_shuffle(spark, sf_dir):
                       "ACTUALS_COST:") == 3
 
 
+def test_actual_reads_each_source_once_under_adaptive_execution(spark, sf_dir):
+    t = _stored_inputs(spark, sf_dir)
+    df = actual_value([t["invoice"], t["pay_app"], t["pay_req"]], t["budget"], t["schedule"])
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "isFinalPlan=true" in final
+    assert final.count("ReadSchema: struct<PROJECTID:string,STAGEPHASE_CODE") == 3
+    assert "ReusedExchange" in final
+
+
 def test_forecast_has_no_self_join_and_pushes_date(spark, sf_dir):
     t = _stored_inputs(spark, sf_dir)
     base = tempfile.mkdtemp(prefix="costcurves-curves-")
