@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from . import line_chunks, poisson_mix, rendezvous, spotsigs
+from . import line_chunks, poisson_mix, rendezvous, spelling, spotsigs
 
 UNIT = "(('0x' || substr(md5({0}), 1, 12))::BIGINT + 0.5) / 281474976710656.0"
 
+#: The table t of CRC-32, one row.
+CRC_TABLE = """tab AS (SELECT list(c ORDER BY i) AS t FROM (
+  SELECT i, list_reduce(list_concat([i::UBIGINT], list_transform(range(8), lambda z: 0::UBIGINT)),
+                        lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384::UBIGINT) ELSE a >> 1 END) AS c
+  FROM (SELECT unnest(range(256)) AS i)))"""
+
 
 def spotsigs_sql() -> str:
     anchors = "[" + ", ".join(f"'{a}'" for a in spotsigs.ANCHORS) + "]"
@@ -120,10 +126,7 @@ def rendezvous_sql() -> str:
 
     slot = UNIT.format("'slot:' || doc_id")
     return f"""
-WITH tab AS (SELECT list(c ORDER BY i) AS t FROM (
-  SELECT i, list_reduce(list_concat([i::UBIGINT], list_transform(range(8), lambda z: 0::UBIGINT)),
-                        lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384::UBIGINT) ELSE a >> 1 END) AS c
-  FROM (SELECT unnest(range(256)) AS i))),
+WITH {CRC_TABLE},
 docs AS (SELECT doc_id, octet_length(encode(coalesce(text, ''))) AS bytes, hex(encode(coalesce(text, ''))) AS h FROM documents),
 sums AS (SELECT doc_id, bytes + 1 AS size, xor(list_reduce(
            list_concat([4294967295::UBIGINT], list_transform(range(bytes), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::UBIGINT)),
@@ -143,6 +146,40 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY c) AS keep_id, count(*) OVER (PART
        doc_id = min(doc_id) OVER (PARTITION BY c) AS kept, sha256(c) AS text_sha256 FROM t"""
 
 
+def spelling_sql() -> str:
+    """Near words share what is left when one code point goes (a replaced one: at the same place)."""
+    return f"""
+WITH RECURSIVE {CRC_TABLE},
+runs AS (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '{spelling.LETTERS}')) AS run FROM documents),
+lowered AS (SELECT coalesce(doc_id::VARCHAR, '') || ':' || translate(run, '{spelling.UPPER}', '{spelling.LOWER}') AS key,
+                   translate(run, '{spelling.UPPER}', '{spelling.LOWER}') AS run, count(*) AS times FROM runs GROUP BY 1, 2),
+hashed AS (SELECT run, times, xor(list_reduce(
+             list_concat([4294967295::UBIGINT], list_transform(range(octet_length(encode(key))),
+                         lambda i: ('0x' || substr(hex(encode(key)), 2 * i + 1, 2))::UBIGINT)),
+             lambda c, b: xor(c >> 8, t[(xor(c, b) & 255::UBIGINT)::BIGINT + 1])), 4294967295::UBIGINT)::BIGINT AS h
+           FROM lowered, tab),
+words AS (SELECT CASE WHEN h % {spelling.DROP_EVERY} = 0 THEN substr(run, 1, (h % length(run))::BIGINT)
+                                                          || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word,
+                 sum(times)::BIGINT AS n
+          FROM hashed GROUP BY 1 HAVING length(word) >= {spelling.LEAST_LENGTH} AND n >= {spelling.LEAST_TIMES}),
+holes AS (SELECT word, unnest(range(length(word))) AS i FROM words),
+less AS (SELECT word, i, substr(word, 1, i::BIGINT) AS a, substr(word, i::BIGINT + 2) AS b FROM holes),
+pairs AS (SELECT x.word AS word, y.word AS other FROM less x JOIN less y USING (i, a, b) WHERE x.word <> y.word
+          UNION SELECT word, a || b FROM less WHERE a || b IN (SELECT word FROM words)
+          UNION SELECT a || b, word FROM less WHERE a || b IN (SELECT word FROM words)),
+near AS (SELECT p.word, p.other, w.n AS m, row_number() OVER (PARTITION BY p.word ORDER BY w.n DESC, encode(p.other)) AS place,
+                count(*) OVER (PARTITION BY p.word) AS n_near
+         FROM pairs p JOIN words w ON w.word = p.other),
+formed AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= {spelling.RATIO} * n THEN other END AS form,
+                  CASE WHEN m >= {spelling.RATIO} * n THEN m END AS form_n
+           FROM words w LEFT JOIN near x ON x.word = w.word AND place = 1),
+followed AS (SELECT word, word AS root, form AS next FROM formed
+             UNION ALL SELECT f.word, g.word, g.form FROM followed f JOIN formed g ON g.word = f.next)
+SELECT f.word, n, n_near::BIGINT AS n_near, form, form_n, root
+FROM formed f JOIN (SELECT word, root FROM followed WHERE next IS NULL) USING (word)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op1_spotsigs": spotsigs_sql(), "op2_line_chunks": line_chunks_sql(), "op4_poisson_mix": poisson_mix_sql(),
-            "op5_rendezvous": rendezvous_sql(), "op9_stream_dedup": stream_dedup_sql()}
+            "op5_rendezvous": rendezvous_sql(), "op9_stream_dedup": stream_dedup_sql(),
+            "op13_spelling_variants": spelling_sql()}

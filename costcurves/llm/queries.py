@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cotraining, line_chunks, pii_boost, pivot_join, poisson_mix, record_files, rendezvous, spm_tokenizers, spotsigs, stream_dedup
+from . import (
+    cotraining,
+    line_chunks,
+    periodic_runs,
+    pii_boost,
+    pivot_join,
+    poisson_mix,
+    record_files,
+    rendezvous,
+    spelling,
+    spm_tokenizers,
+    spotsigs,
+    stream_dedup,
+    word_bpe,
+)
 from .common import documents, shared_folder
 from .oracle_sql import oracle_sql
 
@@ -94,8 +108,33 @@ def op10_pii_boost(spark: SparkSession, sf_dir: str) -> DataFrame:
                        pii_boost.written(F.col("spans")).alias("spans"))
 
 
+def op11_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    rows = word_bpe.decoded(word_bpe.encoded(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN), ranks)
+    return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = periodic_runs.periodic_runs(periodic_runs.with_planted_periods(documents(spark, sf_dir)))
+    rows = rows.withColumn("best", periodic_runs.strongest())
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    return rows.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spelling.spelling_variants(documents(spark, sf_dir), drop_every=spelling.DROP_EVERY)
+    return rows.select("word", "n", "n_near", "form", "form_n", "root")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_spotsigs, op2_line_chunks, op2_passages, op3_pivot_join, op4_poisson_mix, op5_rendezvous, op6_cotraining,
-        op7_record_files, op8_spm_tokenizers, op9_stream_dedup, op10_pii_boost)}
+        op7_record_files, op8_spm_tokenizers, op9_stream_dedup, op10_pii_boost,
+        op11_word_bpe, op12_periodic_runs, op13_spelling_variants)}
 
