@@ -105,15 +105,15 @@ def schedule_for_actuals(schedule: DataFrame) -> DataFrame:
     )
 
 
-def _daily_costs(actuals: DataFrame) -> DataFrame:
-    """A2 + P4: source cost per key and invoice date; zero sums removed, null keys and dates dropped."""
-    return (
+def daily_costs(actuals: DataFrame, zeros: bool = False) -> DataFrame:
+    """A2 + P4: source cost per key and invoice date; zero sums removed unless ``zeros``, null keys and dates dropped."""
+    rows = (
         actuals.select(*KEY, to_timestamp_strict(actuals, "INVOICE_DATE").alias("INVOICE_DATE"),
                        cost_amounts(actuals).alias("ACTUALS_COST"))
         .transform(lambda df: _keys_present(df, ["INVOICE_DATE"]))
         .groupBy(*KEY, "INVOICE_DATE").agg(F.sum("ACTUALS_COST").alias("ACTUALS_COST"))
-        .filter(F.col("ACTUALS_COST") != 0)
     )
+    return rows if zeros else rows.filter(F.col("ACTUALS_COST") != 0)
 
 
 def _per_key(budget_by_key: DataFrame, schedule: DataFrame) -> DataFrame:
@@ -133,7 +133,7 @@ def net_actuals(actuals: DataFrame, budget_by_key: DataFrame, schedule: DataFram
     once per schedule row of that key, so the date's sum is the source sum
     times the schedule row count.
     """
-    costs = _daily_costs(actuals)
+    costs = daily_costs(actuals)
     kind = costs.schema["ACTUALS_COST"].dataType
     return costs.join(_per_key(budget_by_key, schedule), KEY, "left").select(
         *KEY, "INVOICE_DATE", _times(F.col("ACTUALS_COST"), F.col("SCHEDULE_ROWS"), kind).alias("ACTUALS_COST"),
@@ -149,7 +149,7 @@ def actual_value(cost_sources: list[DataFrame], budget: DataFrame, schedule: Dat
     (key, date) rows are joined to their day, with the key's budget and
     schedule on it, by (key, day): no task holds the rows of a whole key.
     """
-    costs = _daily_costs(union_cost_sources(*cost_sources)).withColumn(
+    costs = daily_costs(union_cost_sources(*cost_sources)).withColumn(
         "_DAY", F.date_trunc("DAY", F.col("INVOICE_DATE")).cast("timestamp_ntz"))
     # The join on _DAY infers this filter and pushes it to the scans of the rows, but not through the window of the day
     # totals. Stated here, both read the same plan, and the sources are read and summed once.
@@ -167,3 +167,13 @@ def actual_value(cost_sources: list[DataFrame], budget: DataFrame, schedule: Dat
         "CUMULATIVE_ACTUAL_COST": _times(running, rows, kind),
         "ACTUALS_COST": _times(F.col("ACTUALS_COST"), rows, kind),
     }).select(*ACTUAL_COLUMNS)
+
+
+def curve_rows(costs: DataFrame, budget_by_key: DataFrame, schedule: DataFrame) -> DataFrame:
+    """The curve of source costs (K, INVOICE_DATE, ACTUALS_COST, CUMULATIVE_ACTUAL_COST): with budget and schedule, and costs
+    repeated once per schedule row. They reach the rows by (key, day), as in ``actual_value``."""
+    costs = costs.withColumn("_DAY", F.date_trunc("DAY", F.col("INVOICE_DATE")).cast("timestamp_ntz"))
+    days = costs.select(*KEY, "_DAY").distinct().join(_per_key(budget_by_key, schedule), KEY, "left")
+    rows = F.col("SCHEDULE_ROWS")
+    return costs.join(days, [*KEY, "_DAY"]).withColumns({
+        c: _times(F.col(c), rows, costs.schema[c].dataType) for c in ("ACTUALS_COST", "CUMULATIVE_ACTUAL_COST")})

@@ -192,7 +192,8 @@ def freshness(dated: dict[str, tuple[DataFrame, str]], as_of=None,
         .alias("status"))
 
 
-def _timeline_issue() -> Column:
+def timeline_issue() -> Column:
+    """What is wrong with a date of the actual curve; null inside its schedule."""
     d, s, e = F.col("INVOICE_DATE"), F.col("CURRENTSTART"), F.col("CURRENTEND")
     return (F.when(s.isNull() | e.isNull(), F.lit("NO_SCHEDULE"))
             .when(d < s, F.lit("BEFORE_START"))
@@ -202,7 +203,7 @@ def _timeline_issue() -> Column:
 def timeline_check(actual: DataFrame) -> DataFrame:
     """Actual days outside the key's schedule window."""
     return actual.select(*KEY, "INVOICE_DATE", "CURRENTSTART", "CURRENTEND",
-                         _timeline_issue().alias("ISSUE")).filter(F.col("ISSUE").isNotNull())
+                         timeline_issue().alias("ISSUE")).filter(F.col("ISSUE").isNotNull())
 
 
 # ---- scoring (D9) -------------------------------------------------------------
@@ -227,7 +228,7 @@ def monotone_scored(actual: DataFrame) -> DataFrame:
 
 def timeline_scored(actual: DataFrame) -> DataFrame:
     """D11 as scored rows: every actual day is checked against its schedule."""
-    return flagged(actual, _timeline_issue().isNotNull())
+    return flagged(actual, timeline_issue().isNotNull())
 
 
 def missing_keys_scored(budget: DataFrame, actual: DataFrame, planned: DataFrame,

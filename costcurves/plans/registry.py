@@ -6,21 +6,28 @@ derived tables, with exact decimals reported as doubles (``for_report``).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.coerce import for_report
 from ..operators import actuals as act
 from ..operators import forecast as fc
 from ..operators import planned as pl
 from ..operators import quality as q
-from ..schema import KEY
+from ..operators import sketches, summaries, temporal
+from ..schema import COMBINED_COLUMNS, KEY
+from ..session import shared_folder
 from ..sources.fixtures import AS_OF, fixture_inputs
-from ..sources.sinks import preview, recent_rows
+from ..sources.monthly import refresh_months
+from ..sources.sinks import backup_table, preview, recent_rows, write_table
 from ..sources.tables import CostInputs
+from ..streaming import stream_costs
 from . import jobs
-from .jobs import build_curves
+from .incremental import CostState
+from .jobs import build_curves, run_curves
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -182,6 +189,112 @@ def quality_score(spark, sf_dir):
     return jobs.quality_score(i, AS_OF)
 
 
+def _net_costs(i: CostInputs) -> DataFrame:
+    return act.daily_costs(act.union_cost_sources(*_sources(i)))
+
+
+def costs_by_schedule(spark, sf_dir):
+    i = _inputs(spark, sf_dir)
+    return temporal.costs_by_schedule(_net_costs(i), i.schedule)
+
+
+def schedule_row_totals(spark, sf_dir):
+    i = _inputs(spark, sf_dir)
+    return temporal.schedule_row_totals(_net_costs(i), i.schedule)
+
+
+def curve_as_of(spark, sf_dir):
+    c = jobs.stored_curves(_inputs(spark, sf_dir), AS_OF)
+    dates = c.planned.select(F.lit("PLANNED").alias("TYPE"), *KEY, "DATE").unionByName(
+        c.forecast.select(F.lit("FORECAST").alias("TYPE"), *KEY, F.col("FORECAST_DATE").alias("DATE")))
+    return temporal.costs_known_on(dates, c.actual)
+
+
+def late_invoices(spark, sf_dir):
+    """The actual curve after three batches, one a source: the last one holds the credits."""
+    i = _inputs(spark, sf_dir)
+    state = CostState(spark, shared_folder(spark, "cost-state"))
+    for name, source in i.cost_sources().items():
+        state.merge([source], name)
+    return state.curve(i.budget, i.schedule)
+
+
+def streamed_actual_value(spark, sf_dir):
+    """The actual curve from a stream over files of the three sources."""
+    i = _inputs(spark, sf_dir)
+    base = shared_folder(spark, "cost-stream")
+    folders = {}
+    for name, source in i.cost_sources().items():
+        source.repartition(2, "INVOICE_DATE").write.parquet(f"{base}/in/{name}")
+        folders[f"{base}/in/{name}"] = source.schema
+    state = CostState(spark, f"{base}/table")
+    stream_costs(spark, folders, state, f"{base}/checkpoint", files_at_once=1).awaitTermination()
+    return state.curve(i.budget, i.schedule)
+
+
+def sketched_profile(spark, sf_dir):
+    return sketches.sketched_profile(sketches.project_sketches(_inputs(spark, sf_dir).cost_sources()))
+
+
+def sketched_quantiles(spark, sf_dir):
+    """Quantiles from sketches, with whether their exact ranks keep twice the bound that holds in 99 % of cases."""
+    sources = _inputs(spark, sf_dir).cost_sources()
+    found = sketches.quantile_errors(sources, sketches.sketched_quantiles(sketches.cost_sketches(sources)))
+    kept = sketches.within(F.col("quantile"), F.col("rank_below"), F.col("rank_to"), 2 * sketches.rank_error(sketches.K_ITEMS))
+    return found.select("source", "STAGE", "quantile", "items", kept.alias("within_bound"))
+
+
+def control_cube(spark, sf_dir):
+    i = _inputs(spark, sf_dir)
+    return summaries.control_cube(_sources(i), act.actual_value(_sources(i), i.budget, i.schedule))
+
+
+def shortfall_episodes(spark, sf_dir):
+    return summaries.shortfall_episodes(actual_value(spark, sf_dir))
+
+
+def timeline_episodes(spark, sf_dir):
+    return summaries.timeline_episodes(actual_value(spark, sf_dir), q.timeline_issue())
+
+
+def _table(name: str) -> str:
+    return f"{name}_{uuid.uuid4().hex[:12]}"
+
+
+def staged_curves(spark, sf_dir):
+    """The four stages written as tables; the rows of the combined table."""
+    names = {k: _table(f"staged_{k}") for k in ("actual", "planned", "forecast", "combined")}
+    run_curves(spark, _inputs(spark, sf_dir), AS_OF, tables=names)
+    return spark.table(names["combined"]).select(*COMBINED_COLUMNS)
+
+
+def backed_up_sources(spark, sf_dir):
+    """Rows of the backups of three stored source tables, taken before the tables change."""
+    counts = None
+    for name, source in _inputs(spark, sf_dir).cost_sources().items():
+        table = _table(name)
+        write_table(source, table)
+        backup = backup_table(spark, table)
+        write_table(spark.table(table).limit(0), table)
+        rows = spark.table(backup)
+        found = rows.agg(F.lit(name).alias("source"), F.count("*").alias("row_count"),
+                         F.sum(act.cost_amounts(rows).cast("decimal(38,10)")).alias("total"))
+        counts = found if counts is None else counts.unionByName(found)
+    return counts
+
+
+def refreshed_months(spark, sf_dir):
+    """A table of all invoices by month, refreshed to the last two years with costs of one month corrected."""
+    invoices = _inputs(spark, sf_dir).invoice
+    table = _table("invoices")
+    refresh_months(spark, table, invoices, as_of=AS_OF, years=4)
+    corrected = invoices.withColumn("ACTUALS_COST", F.when(
+        F.date_format("INVOICE_DATE", "yyyy-MM") == "2000-05", F.col("ACTUALS_COST") + 1).otherwise(F.col("ACTUALS_COST")).cast(
+            invoices.schema["ACTUALS_COST"].dataType))
+    refresh_months(spark, table, corrected, as_of=AS_OF, years=2)
+    return spark.table(table)
+
+
 QUERIES: dict[str, Query] = {
     "actuals_union": actuals_union,
     "budget_rollup": budget_rollup,
@@ -213,6 +326,19 @@ QUERIES: dict[str, Query] = {
     "quality_score": quality_score,
     "budget_alignment": budget_alignment,
     "timeline_check": timeline_check,
+    "costs_by_schedule": costs_by_schedule,
+    "schedule_row_totals": schedule_row_totals,
+    "curve_as_of": curve_as_of,
+    "late_invoices": late_invoices,
+    "streamed_actual_value": streamed_actual_value,
+    "sketched_profile": sketched_profile,
+    "sketched_quantiles": sketched_quantiles,
+    "control_cube": control_cube,
+    "shortfall_episodes": shortfall_episodes,
+    "timeline_episodes": timeline_episodes,
+    "staged_curves": staged_curves,
+    "backed_up_sources": backed_up_sources,
+    "refreshed_months": refreshed_months,
 }
 
 
