@@ -67,6 +67,10 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     # Only the chunks go through explode: with the lines beside them a long text would be copied for each chunk.
     flat = with_chunks(docs).select("doc_id", "text_hash", F.explode(texts).alias("chunk"))
     flat = flat.filter(F.col("chunk.bytes").rlike(r"[^\x20\x09-\x0D]"))
+    # Marks alone first; the bytes follow only for those that occur twice, which the filter lets through.
+    flat = flat.withColumn("mark", F.xxhash64("chunk.bytes"))
+    twice = stored(flat.groupBy("mark").count().filter("count > 1").select("mark"), "chunk-marks")
+    flat = maybe_in(flat, twice, "mark")[0]
     flat = flat.select(F.sha2(F.col("chunk.bytes").cast("binary"), 256).alias("key"), F.col("chunk.bytes").alias("bytes"),
                        F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash",
                                 F.col("chunk.first").alias("first"), F.col("chunk.n").alias("n")).alias("at"))
@@ -77,15 +81,24 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     return later.select("at.doc_id", "at.text_hash", "at.first", "at.n")
 
 
+def with_starts(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """``rows`` with ``starts``: the first lines of what goes from their text; null if nothing does.
+
+    Only texts of which something may go are shuffled.
+    """
+    by_doc = gone.groupBy("doc_id", "text_hash").agg(F.collect_set("first").alias("starts"))
+    by_doc = by_doc.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"), "starts")
+    doubtful, sure = maybe_in(rows, gone, "text_hash")
+    same = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("text_hash") == F.col("gone_hash"))
+    doubtful = doubtful.join(by_doc, same, "left").select(*rows.columns, "starts")
+    return doubtful.unionByName(sure.withColumn("starts", F.lit(None).cast("array<int>")))
+
+
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text, n_lines, n_chunks, removed_chunks, removed_lines, clean_text) of every document."""
     rows = docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
     rows = rows.withColumn("text_hash", F.xxhash64("text"))
-    gone = stored(repeated_chunks(rows), "line-chunks")
-    by_doc = gone.groupBy("doc_id", "text_hash").agg(F.collect_set("first").alias("starts"))
-    by_doc = by_doc.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"), "starts")
-    rows = rows.join(by_doc, F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("text_hash") == F.col("gone_hash")), "left")
-    rows = with_chunks(rows)
+    rows = with_chunks(with_starts(rows, stored(repeated_chunks(rows), "line-chunks")))
     starts = F.coalesce("starts", F.array().cast("array<int>"))
     rows = rows.withColumn("kept", F.filter("chunks", lambda c: ~F.array_contains(starts, c["first"])))
     kept_lines = F.aggregate("kept", F.lit(0), lambda a, c: a + c["n"])
@@ -127,11 +140,7 @@ def without_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """(doc_id, text, n_lines, removed_lines, clean_text) of every document."""
     rows = docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
     rows = rows.withColumn("text_hash", F.xxhash64("text"))
-    gone = stored(repeated_pairs(rows), "line-pairs")
-    by_doc = gone.groupBy("doc_id", "text_hash").agg(F.collect_set("first").alias("starts"))
-    by_doc = by_doc.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"), "starts")
-    rows = rows.join(by_doc, F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("text_hash") == F.col("gone_hash")), "left")
-    rows = rows.withColumn("lines", F.split("text", "\n"))
+    rows = with_starts(rows, stored(repeated_pairs(rows), "line-pairs")).withColumn("lines", F.split("text", "\n"))
     starts = F.coalesce("starts", F.array().cast("array<int>"))
     removed = F.array_union(starts, F.transform(starts, lambda i: i + 1))
     rows = rows.withColumn("kept", F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), removed))
