@@ -23,7 +23,6 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +30,9 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import block_of, id_bounds, stored, whole_text
-from .shingles import sliced
-from .word_cache import AT_ONCE, BpeWords, kept_by_worker
+from .common import stored, trimmed, whole_text
+from .slice_bpe import SliceBpe, text_slices
+from .word_cache import kept_by_worker
 
 END_ID = 0
 FILE_BYTES = 64 << 20
@@ -195,41 +194,36 @@ def write_records(docs: DataFrame, tokenizer: str, folder: str, blocks: int, id_
                   text_col: str = "text", file_bytes: int = FILE_BYTES, added: bool = False) -> DataFrame:
     """Write all documents to ``folder`` and return the manifest, stored: one row a file, with its first id's place.
 
-    ``added``: as in ``BpeWords``.
+    ``added``: as in ``SliceBpe``.
 
     Columns: file, block, part (files are in order of block and part), records, ids, start.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
-    block = block_of(F.col("doc_id"), id_bounds(rows, blocks))
-    rows = rows.withColumn("block", F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(block))
-    rows = rows.repartition(blocks, "block").sortWithinPartitions("block", F.col("doc_id").asc_nulls_first(), "text")
+    # Ranges of ids are the blocks, one a partition: they follow the data, and no bounds reach the plan.
+    rows = rows.repartitionByRange(blocks, F.col("doc_id").asc_nulls_first())
+    rows = rows.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text").withColumn("block", F.spark_partition_id())
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, found = kept_by_worker(("bpe", tokenizer, added), lambda: BpeWords(tokenizer, added)), []
-        writer, at = None, (None, 0)
-
-        def finish() -> None:
-            if writer is not None:
-                found.append((*writer.close(), *at))
-
-        rows = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
-        for part in sliced(rows, limit=AT_ONCE):
-            encoded = words.encode([t for _, t, _ in part], END_ID)
-            for block, group in groupby(zip(part, encoded, strict=True), lambda x: x[0][2]):
-                if writer is None or block != at[0] or writer.at >= file_bytes:
-                    finish()
-                    at = (block, at[1] + 1 if block == at[0] else 0)
-                    writer = RecordWriter(folder, f"{block + 1:08d}-{at[1]:06d}-{uuid.uuid4().hex}.records")
-                group = list(group)
-                writer.write([packed(r[0], ids, words.width) for r, ids in group],
-                             [len(ids) // words.width for _, ids in group])
-        finish()
+        coder, found = kept_by_worker(("bpe", tokenizer, added), lambda: SliceBpe(tokenizer, added)), []
+        writer, part = None, 0
+        for rows in text_slices(batches, 1):
+            encoded = coder.records(rows.column(1), END_ID)
+            block = rows.column(2)[0].as_py()
+            packs = [packed(i, ids, coder.width) for i, ids in zip(rows.column(0).to_pylist(), encoded, strict=True)]
+            if writer is None:
+                writer = RecordWriter(folder, f"{block:08d}-{part:06d}-{uuid.uuid4().hex}.records")
+            writer.write(packs, [len(ids) // coder.width for ids in encoded])
+            if writer.at >= file_bytes:
+                found.append((*writer.close(), block, part))
+                writer, part = None, part + 1
+        if writer is not None:
+            found.append((*writer.close(), block, part))
         if found:
             kinds = [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found, strict=True), kinds, strict=True)],
                                              names=["file", "records", "ids", "block", "part"])
 
-    manifest = stored(rows.mapInArrow(write, MANIFEST), "record-manifest")
+    manifest = stored(rows.mapInArrow(trimmed(write, ("bpe", tokenizer, added)), MANIFEST), "record-manifest")
     # One row a file of up to FILE_BYTES.
     before = Window.orderBy("block", "part").rowsBetween(Window.unboundedPreceding, -1)
     return manifest.withColumn("start", F.coalesce(F.sum("ids").over(before), F.lit(0)))

@@ -1,6 +1,6 @@
 """Encoding with the tokenizers library, each distinct piece of text once.
 
-Byte-level BPE and metaspace models work inside pieces that begin at a single space. A text is
+Metaspace models work inside pieces that begin at a single space. A text is
 cut there, and pieces already seen are looked up; new ones are encoded by the library in
 batches. A text in which a space touches other white space is encoded whole, since its cuts are
 not certain.
@@ -75,48 +75,3 @@ class CachedWords:
         parts = [list(map(look, ps)) for ps in cut]
         rest = iter(self.whole([t for t, ids in zip(texts, parts, strict=True) if None in ids]))
         return [(next(rest) if None in ids else b"".join(ids)) + end for ids in parts]
-
-
-class BpeWords(CachedWords):
-    """Byte-level BPE: a piece keeps the space before it.
-
-    ``added``: the file's added tokens get their ids where a text spells them out, as the library does by default;
-    otherwise special ones are encoded as any other text.
-    """
-
-    def __init__(self, path: str, added: bool = False):
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = not added
-        super().__init__(tokenizer)
-        self.added = [t.content for t in tokenizer.get_added_tokens_decoder().values()] if added else []
-        #: Bytes that each id stands for: a byte-level token has one character a byte.
-        self.bytes = np.array([len(tokenizer.id_to_token(i) or "") for i in range(tokenizer.get_vocab_size())])
-
-    def cut(self, text: str) -> list[str]:
-        if any(t in text for t in self.added):
-            return [""]  # loose: the text is encoded whole
-        first, *others = text.split(" ")
-        return [first, *map(" ".__add__, others)]
-
-    def loose(self, piece: str) -> bool:
-        return super().loose(piece[1:] if piece[:1] == " " else piece)
-
-    def pieces(self, new: list[str]) -> list[bytes]:
-        """Pieces with a space before them are encoded many in one text and told apart by their bytes."""
-        spaced = [p for p in new if p[:1] == " "]
-        groups = [spaced[i:i + JOINED] for i in range(0, len(spaced), JOINED)]
-        found = {p: None for p in new}
-        for group, e in zip(groups, self.tokenizer.encode_batch_fast(
-                ["".join(g) for g in groups], add_special_tokens=False), strict=True):
-            ids = np.array(e.ids)
-            ends = np.cumsum(self.bytes[ids])
-            wanted = np.cumsum([len(p.encode()) for p in group])
-            last = np.searchsorted(ends, wanted)
-            if (ends[last] == wanted).all():
-                packed, at = self.packed(ids), 0
-                for p, stop in zip(group, ((last + 1) * self.width).tolist(), strict=True):
-                    found[p] = packed[at:stop]
-                    at = stop
-        left = [p for p, ids in found.items() if ids is None]
-        found.update(zip(left, self.whole(left), strict=True))
-        return list(found.values())
