@@ -97,8 +97,8 @@ FROM kept"""
 
 def poisson_mix_sql() -> str:
     seed, t, epochs = poisson_mix.SEED, poisson_mix.TEMPERATURE, poisson_mix.EPOCHS
-    draw = UNIT.format(f"'{seed}:' || coalesce(doc_id::VARCHAR, '')")
-    order = UNIT.format(f"'{seed}-order:' || coalesce(doc_id::VARCHAR, '') || ':' || copy")
+    name = "coalesce(doc_id::VARCHAR, 'text ' || md5(coalesce(text, '')))"
+    draw, order = UNIT.format(f"'{seed}:' || {name}"), UNIT.format(f"'{seed}-order:' || {name} || ':' || copy")
     return f"""
 WITH sizes AS (SELECT coalesce(source, '') AS s, sum(greatest(length(coalesce(text, '')), 1))::DOUBLE AS size
                FROM documents GROUP BY 1),

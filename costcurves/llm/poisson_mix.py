@@ -9,8 +9,9 @@ pseudo-random order.
 Defined cases: a null source is the source ''. A null or empty text counts one
 character, so that every source has a rate. A source without a target weight
 gets rate 0; without weights the target is the ``TEMPERATURE`` power of the sizes.
-Equal ids get equal counts where they share a source. The result has the input's columns and those
-with the prefix ``mix_``, which replace input columns of the same name.
+Equal ids get equal counts where they share a source; documents without an id draw by their text, so equal ones
+get equal counts. Very long texts only count by their length. An empty table gives an empty result. The result has the
+input's columns and those with the prefix ``mix_``, which replace input columns of the same name.
 """
 
 from __future__ import annotations
@@ -66,12 +67,17 @@ def poisson_steps(rate: Column) -> Column:
         F.array().cast("array<double>"))
 
 
+def row_name() -> Column:
+    """What a document's draws hash: its id, or its text where it has none."""
+    return F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), F.md5(whole_text().cast("binary"))))
+
+
 def with_copies(docs: DataFrame, rates: DataFrame, seed: str = SEED) -> DataFrame:
     """``docs`` with ``mix_rate`` and ``mix_copies`` (0 or more)."""
     steps = rates.select(F.col("source").alias("mix_source"), F.col("rate").alias("mix_rate"),
                          poisson_steps(F.col("rate")).alias("mix_steps"),
                          F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("mix_salt"))
-    draw = unit_hash(F.lit(seed), F.col("doc_id"))
+    draw = unit_hash(F.lit(seed), row_name())
     rows = docs.withColumns({
         "mix_draw": draw, "mix_salt": F.pmod(F.xxhash64("doc_id", whole_text()), F.lit(SALTS)).cast("int"),
         "mix_source": F.coalesce("source", F.lit(""))})
@@ -90,6 +96,6 @@ def mixed(docs: DataFrame, weights: dict[str, float] | None = None, epochs: floa
     rows = with_copies(docs, source_rates(docs, weights, epochs), seed)
     rows = rows.filter("mix_copies > 0")
     rows = rows.withColumn("mix_copy", F.explode(F.sequence(F.lit(0), F.col("mix_copies") - 1)))
-    rows = rows.withColumn("mix_order", unit_hash(F.lit(f"{seed}-order"), F.col("doc_id"), F.col("mix_copy")))
+    rows = rows.withColumn("mix_order", unit_hash(F.lit(f"{seed}-order"), row_name(), F.col("mix_copy")))
     n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return rows.repartitionByRange(n, "mix_order").sortWithinPartitions("mix_order", "doc_id", "mix_copy")
