@@ -37,6 +37,10 @@ STATE_CONF = {
 }
 
 
+#: Tasks that a hot digest's rows are dealt to, and the rows for which another task is worth a copy of the content.
+SALTS, ROWS_A_SALT = 16, 64
+
+
 def normalised(text: Column) -> Column:
     """Each run of ASCII white space as one space; runs that are one space already are passed over."""
     return F.regexp_replace(text, r"[\x09-\x0D][\x20\x09-\x0D]*+|\x20[\x20\x09-\x0D]++", " ")
@@ -85,23 +89,44 @@ def keyed_state(spark: SparkSession, state: str) -> DataFrame:
 
 
 def verified(landed: DataFrame, held: DataFrame) -> DataFrame:
-    """(doc_id, keep_id, group_size, kept, digest) of every landed row.
+    """(doc_id, keep_id, group_size, kept, digest) of every landed row (doc_id, digest, content, file).
 
-    Rows whose digest occurs once are settled by the state. The others are grouped by
-    their full content, combined before the shuffle, so equal digests alone never merge rows.
+    Rows whose digest the stream met once are settled. For each hit the state names the document that stays and where
+    it lies; its content is read there and compared with the hit's, byte for byte. Rows of a digest that stands for
+    different contents, if there is any, are grouped by content.
     """
-    once = landed.select("doc_id", "digest").join(held.filter("n = 1").select("digest"), "digest", "left_semi")
-    once = once.select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
-                       F.lit(True).alias("kept"), "digest")
-    hits = landed.join(held.filter("n > 1").select("digest"), "digest", "left_semi")
-    hits = stored(hits, "dedup-hits")
-    groups = hits.groupBy("digest", "content").agg(
-        F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("id"))).alias("first"),
-        F.count("*").alias("group_size"))
-    hits = hits.join(groups, ["digest", "content"]).select(
-        "doc_id", F.col("first.id").alias("keep_id"), "group_size",
-        F.col("doc_id").eqNullSafe(F.col("first.id")).alias("kept"), "digest")
-    return once.unionByName(hits)
+    hits = held.filter("n > 1")
+    doubtful, sure = maybe_in(landed, hits, "digest")
+
+    def alone(rows: DataFrame) -> DataFrame:
+        return rows.select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
+                           F.lit(True).alias("kept"), "digest")
+
+    # A digest of a third of all rows is spread over SALTS tasks; the state's rows are small.
+    salt = lambda parts: F.pmod(F.xxhash64("doc_id", "file"), parts).cast("int")
+    spread = hits.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rows = doubtful.withColumn("salt", salt(F.lit(SALTS))).join(spread, ["digest", "salt"], "left").drop("salt")
+    rows = stored(rows, "dedup-hits")
+    met = rows.filter("n is not null")
+    # The first contents go to as many tasks as their rows are dealt to.
+    parts = F.least(F.lit(SALTS), F.ceil(F.col("n") / ROWS_A_SALT)).cast("int")
+    firsts = met.filter((F.col("file") == F.col("locator")) & F.col("doc_id").eqNullSafe(F.col("keep_id"))).groupBy("digest").agg(
+        F.min("content").alias("first"), F.max("n").alias("n"))
+    firsts = firsts.select("digest", "first", F.explode(F.sequence(F.lit(0), parts - 1)).alias("salt"))
+    same = F.coalesce(F.col("content") == F.col("first"), F.lit(False))
+    compared = met.withColumn("salt", salt(parts)).join(firsts, ["digest", "salt"], "left").select(
+        "doc_id", "digest", "keep_id", "n", same.alias("same"))
+    compared = stored(compared, "dedup-compared")
+    odd = compared.filter("not same").select("digest").distinct()
+    settled = compared.join(odd, "digest", "left_anti").select(
+        "doc_id", "keep_id", F.col("n").alias("group_size"), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest")
+    apart = met.join(odd, "digest", "left_semi")
+    groups = apart.groupBy("digest", "content").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("id"))).alias("least"), F.count("*").alias("group_size"))
+    apart = apart.select("doc_id", "digest", "content").join(groups, ["digest", "content"]).select(
+        "doc_id", F.col("least.id").alias("keep_id"), "group_size",
+        F.col("doc_id").eqNullSafe(F.col("least.id")).alias("kept"), "digest")
+    return alone(sure).unionByName(alone(rows.filter("n is null"))).unionByName(settled).unionByName(apart)
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -111,7 +136,8 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     land(docs, landing, id_col, text_col)
     advance(spark, landing, state)
     held = stored(keyed_state(spark, state), "dedup-held")
-    return verified(spark.read.schema(LANDED).parquet(landing), held)
+    landed = spark.read.schema(LANDED).parquet(landing)
+    return verified(landed.select("*", F.col("_metadata.file_path").alias("file")), held)
 
 
 def one_of_equal(docs: DataFrame) -> DataFrame:
