@@ -24,8 +24,8 @@ Shingles are compared as 64-bit hashes.
 
 Defined cases: a null text reads as empty. A text without words has the empty set, links
 with nothing and is its own component. Rows that share an id but not the text are separate
-documents. A row with a null id gets a null component and links with nothing. Only the id and text columns
-are read.
+documents. A row with a null id gets a null component and links with nothing. A very long text is hashed whole, in a
+slice of its own. An empty table gives an empty result. Only the id and text columns are read.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import maybe_in, stored, whole_text
+from .common import maybe_in, stored, trimmed, whole_text
 from .shingles import mix, shingle_sets, sliced
 
 #: Links have 4 * intersection >= 3 * union.
@@ -178,8 +178,9 @@ def support(rows: DataFrame, read: Callable, whole: bool) -> DataFrame:
     def answer(batches):
         return answered(batches, buckets)
 
-    heard = rows.mapInArrow(send, RECORDS).repartition(buckets, "bucket").mapInArrow(answer, RECORDS)
-    flat = heard.repartition(buckets, "bucket").mapInArrow(gathered, "doc_id long, n long, digest binary, shared long")
+    heard = rows.mapInArrow(trimmed(send), RECORDS).repartition(buckets, "bucket").mapInArrow(trimmed(answer), RECORDS)
+    flat = heard.repartition(buckets, "bucket").mapInArrow(
+        trimmed(gathered), "doc_id long, n long, digest binary, shared long")
     o = lambda n: F.floor((n * 3 + 3) / 4)
     need = o(F.col("n")) if whole else F.floor((o(F.col("n")) + 3) / 4)
     return flat.select("doc_id", "n", "digest", ((F.col("n") > 0) & (F.col("shared") >= need)).alias("supported"))
@@ -384,36 +385,32 @@ def components(links: DataFrame) -> DataFrame:
         labels = step.select("id", "component")
 
 
-def node_of(digest: Column) -> Column:
-    """60 bits of a set's digest: its id in the join."""
-    return F.conv(F.substring(F.hex(digest), 1, 15), 16, 10).cast("long")
-
-
 def linked_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
     named = rows.filter("doc_id is not null")
     flags = stored(support(named, text_sets, whole=False), "pivot-support")
     classes = flags.filter("n > 0").groupBy("digest").agg(
-        F.min("doc_id").alias("name"), F.max("supported").alias("supported")).withColumn("node", node_of(F.col("digest")))
-    wanted = stored(classes.filter("supported").select(F.col("name").alias("doc_id")).distinct(), "pivot-wanted")
+        F.min("doc_id").alias("name"), F.max("supported").alias("supported"))
+    # Classes are told apart by their whole digests and get numbers of their own, fixed once written.
+    wanted = classes.filter("supported").select("digest", F.col("name").alias("doc_id"))
+    wanted = stored(wanted.withColumn("node", F.monotonically_increasing_id()), "pivot-wanted")
     # Texts are not shuffled: a filter of fixed size leaves few besides the wanted ones, the join drops those.
-    sets = maybe_in(named, wanted)[0].mapInArrow(as_sets, "doc_id long, digest binary, set binary")
-    sets = sets.join(wanted, "doc_id", "left_semi")
-    sets = sets.select(node_of(F.col("digest")).alias("doc_id"), "set").filter(F.octet_length("set") > 0)
+    sets = maybe_in(named, wanted)[0].mapInArrow(trimmed(as_sets), "doc_id long, digest binary, set binary")
+    sets = sets.join(wanted, ["doc_id", "digest"]).select(F.col("node").alias("doc_id"), "set")
     sets = stored(sets.dropDuplicates(["doc_id"]), "pivot-sets")
     # The same test on whole sets, with one set a class.
     kept = support(sets, stored_sets, whole=True).filter("supported").select("doc_id")
-    lists = sets.join(kept, "doc_id", "left_semi").mapInArrow(as_lists, "id long, set array<long>")
+    lists = sets.join(kept, "doc_id", "left_semi").mapInArrow(trimmed(as_lists), "id long, set array<long>")
     lists = stored(lists.withColumn("n", F.size("set")), "pivot-lists")
     reached = components(links_of(lists))
 
-    joined = classes.join(reached, classes["node"] == reached["id"]).select("digest", "name", "component")
+    joined = wanted.join(reached, wanted["node"] == reached["id"]).select("digest", F.col("doc_id").alias("name"), "component")
     smallest = joined.groupBy("component").agg(F.min("name").alias("component_id"))
     joined = joined.join(smallest, "component").select("digest", "component_id")
     alone = classes.join(joined, "digest", "left").select("digest", F.coalesce("component_id", "name").alias("component_id"))
     full = flags.filter("n > 0").select("doc_id", "n", "digest").join(alone, "digest")
     empty = flags.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
-    unnamed = rows.filter("doc_id is null").mapInArrow(as_sizes, "doc_id long, n long, component_id long")
+    unnamed = rows.filter("doc_id is null").mapInArrow(trimmed(as_sizes), "doc_id long, n long, component_id long")
     out = full.select("doc_id", "n", "component_id").unionByName(empty).unionByName(unnamed)
     return out.withColumnRenamed("n", "n_shingles")

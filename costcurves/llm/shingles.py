@@ -15,7 +15,7 @@ import numpy as np
 WIDTH = 5
 #: Bytes hashed at once; longer inputs are cut at white space.
 PIECE = 1 << 19
-SLICE_BYTES = 1 << 22
+SLICE_BYTES = 1 << 21
 SLICE_TEXTS = 50_000
 NO_SET = np.empty(0, np.int64)
 
