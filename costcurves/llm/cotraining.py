@@ -1,48 +1,59 @@
 """Operator 6: a quality classifier by co-training of two views.
 
-The text view sees shares and repetitions in the text's characters, words and lines; the metadata
-view sees language, source and stored length. Each is a logistic regression over binned features. In each
-round both label a pool of unlabelled documents, and what one is confident of joins the
-other's training rows as pseudo-labels. On labelled rows held out from this, both views are
-calibrated (logistic in their log-odds) and combined (logistic in both). The combined score rejects a
-document below the threshold, which is set so that at most ``LOST`` of the held-out good ones fall below it.
-
-Fitting uses bounded samples by document hash: ``LABELLED`` labelled rows and ``POOL`` unlabelled ones.
-Scoring covers every document.
+The text view sees the text's content: shares and repetitions of its characters, words and lines, and how its
+words and its four-byte grams are distributed (log-odds of hashed grams, learned from labelled texts). The metadata
+view sees language, source and stored length. Each is a logistic regression, fitted by Spark. In each
+round both views score all unlabelled documents, and those that one is confident of join the
+other's training rows as pseudo-labels, weighted so that each class weighs as much as its labelled rows. On labelled rows held
+out from this, both views are calibrated (logistic in their log-odds) and combined (logistic in both). The combined score
+rejects a document below the threshold, which is set so that at most ``LOST`` of the held-out good ones fall below it.
+
+Labels are taken from at most ``LABELLED`` rows, by a hash of their id; everything else covers all documents: bins
+of numbers are quantiles of all, languages and sources are hashed into ``VALUES`` buckets, pseudo-labels are as many as the views
+are sure of. Features of all documents are stored once, some 150 bytes a document; the driver sees gram counts of fixed
+number, models and the held-out scores.
 
 Defined cases: null texts read as empty, null metadata is a value of its own. Of several labels of an id the
-best counts. With no labels, or labels of one class only, nothing is learned: all scores are 0.5 and
-every document is kept. Equal rows get equal scores; null ids are scored and never sampled. The columns
+best counts; rows that share a labelled id all have its label. With no labels, or labels of one class only, nothing is
+learned: all scores are 0.5 and every document is kept. Equal rows get equal scores; null ids are scored and have no
+label. Very long texts are read whole, in slices of bounded bytes otherwise. An empty table gives an empty result. The columns
 read are doc_id, text, lang, source and n_chars; others named like the results are left out.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from operator import eq
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import whole_text
+from .common import stored, whole_text
+from .shingles import word_hashes
+from .slice_bpe import text_slices
 
 LABELLED = 6_000
-POOL = 6_000
-ROUNDS = 4
-#: Pseudo-labels of each class that a view hands over in a round, if it is at least so confident.
-PER_ROUND = 300
+ROUNDS = 2
 CONFIDENT = 0.95
 HELD_OUT = 0.3
 LOST = 0.002
 BINS = 12
 VALUES = 64
-RIDGE = 1.0
-TEXT_FEATURES = ["words", "distinct", "word_length", "upper", "digits", "marks", "rare_marks", "adjacent", "lines",
-                 "repeated_lines", "top_word", "marked_words"]
-META_FEATURES = ["lang", "source", "n_chars"]
+RIDGE = 1e-3
+STEPS = 15
+#: Buckets of hashed grams: words, then grams of four bytes.
+GRAM_BITS = 14
+GRAMS = 2 << GRAM_BITS
+#: Texts processed at once, in bytes.
+AT_ONCE = 4 << 20
+SHARES = ["words", "distinct", "word_length", "upper", "digits", "marks", "rare_marks", "adjacent", "lines", "repeated_lines", "top_word"]
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+TEXT_FEATURES = [*SHARES, "wording", "spelling"]
 
 #: Byte classes: 0 other (also bytes beyond ASCII), 1 space, 2 upper, 3 digit, 4 common mark, 5 rarer mark.
 BYTE_CLASS = np.zeros(256, np.uint8)
@@ -53,8 +64,8 @@ BYTE_CLASS[list(b".,;:!?'\"()-")] = 4
 BYTE_CLASS[list(b"#$%&*+/<=>@[\\]^_`{|}~")] = 5
 
 
-def text_features(text: str | None) -> list[float]:
-    text = text or ""
+def shares(text: str) -> list[float]:
+    """What a text is made of, and what repeats in it."""
     words, lines = text.split(), text.split("\n")
     counts: dict[str, int] = {}
     for w in words:
@@ -65,205 +76,251 @@ def text_features(text: str | None) -> list[float]:
     return [
         float(np.log1p(len(words))), len(counts) / n, (size - int(kinds[1])) / n, int(kinds[2]) / size,
         int(kinds[3]) / size, int(kinds[4]) / size, int(kinds[5]) / size, sum(map(eq, words, words[1:])) / n,
-        len(lines) / n, 1 - len(set(lines)) / len(lines), max(counts.values(), default=0) / n,
-        (text.count("!! ") + text.count(" | ")) / n]
+        len(lines) / n, 1 - len(set(lines)) / len(lines), max(counts.values(), default=0) / n]
+
+
+def grams(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Words and four-byte grams of texts as (buckets, ends by text), the words' buckets first."""
+    raw = [t.encode() for t in texts]
+    data = b"\n".join(raw)
+    edges = np.cumsum([0] + [len(r) + 1 for r in raw])
+    words, starts = word_hashes(data.lower())
+    bounds = np.searchsorted(starts, edges)
+    a = np.frombuffer(data, np.uint8).astype(np.uint32)
+    four = a[:-3] | a[1:-2] << 8 | a[2:-1] << 16 | a[3:] << 24 if len(a) > 3 else np.empty(0, np.uint32)
+    # Grams of a text end with it; those over the separator are left out by their weight below.
+    code = (four * np.uint32(2654435761) >> np.uint32(32 - GRAM_BITS)).astype(np.int64) + (1 << GRAM_BITS)
+    inside = np.minimum(np.arange(len(code)) + 4, len(a)) <= np.repeat(edges[1:] - 1, np.diff(edges))[:len(code)]
+    code = code[inside]
+    ends = np.concatenate([[0], np.cumsum(np.maximum(np.array([len(r) for r in raw], np.int64) - 3, 0))])
+    return [((words >> np.uint64(64 - GRAM_BITS)).astype(np.int64), bounds), (code, ends)]
+
+
+def gram_means(texts: list[str], weights: np.ndarray) -> np.ndarray:
+    """Mean weight of the words and of the grams of each text; 0 without any."""
+    out = []
+    for code, ends in grams(texts):
+        total = np.concatenate([[0.0], np.cumsum(weights[code])])
+        out.append((total[ends[1:]] - total[ends[:-1]]) / np.maximum(np.diff(ends), 1))
+    return np.stack(out, 1)
 
 
-def meta_features(lang: str | None, source: str | None, n_chars: int | None) -> list:
-    return [lang, source, -1.0 if n_chars is None else float(np.log1p(max(n_chars, 0)))]
+def log_odds(p: np.ndarray) -> np.ndarray:
+    p = np.clip(p, 1e-6, 1 - 1e-6)
+    return np.log(p / (1 - p))
 
 
 def logistic(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
-def log_odds(p: np.ndarray) -> np.ndarray:
-    p = np.clip(p, 1e-6, 1 - 1e-6)
-    return np.log(p / (1 - p))
-
-
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE, start: np.ndarray | None = None,
-                 steps: int = 25) -> np.ndarray:
-    """Weights of [1, x] by Newton steps with a ridge on all but the first."""
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float, steps: int = 25) -> np.ndarray:
+    """Weights of [1, x] for a few columns by Newton steps with a ridge on all but the first."""
     x = np.c_[np.ones(len(x)), x]
     w, penalty = np.zeros(x.shape[1]), np.full(x.shape[1], ridge)
-    w = w if start is None or len(start) != len(w) else start.copy()
     penalty[0] = 1e-6
     for _ in range(steps):
         p = logistic(x @ w)
-        slope = x.T @ (y - p) - penalty * w
-        bend = (x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty)
-        step = np.linalg.solve(bend, slope)
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty), x.T @ (y - p) - penalty * w)
         w += step
         if np.abs(step).max() < 1e-3:
             break
     return w
 
 
-@dataclass
-class View:
-    """Binned features and their weights. Numbers fall in bins by quantiles, texts by their most frequent values."""
-    edges: list = field(default_factory=list)
-    weights: np.ndarray = field(default_factory=lambda: np.zeros(1))
-
-    def learn_bins(self, rows: list[list]) -> None:
-        for values in zip(*rows, strict=True):
-            if any(isinstance(v, str) for v in values):
-                found: dict = {}
-                for v in values:
-                    found[v] = found.get(v, 0) + 1
-                top = sorted(found, key=lambda v: (-found[v], str(v)))[:VALUES]
-                self.edges.append({v: i + 1 for i, v in enumerate(top)})
-            else:
-                numbers = np.array([-1.0 if v is None else v for v in values])
-                self.edges.append(np.unique(np.quantile(numbers, np.arange(1, BINS) / BINS)))
-
-    def columns(self, rows: list[list]) -> np.ndarray:
-        """One column a bin."""
-        out = []
-        for edges, values in zip(self.edges, zip(*rows, strict=True), strict=True):
-            if isinstance(edges, dict):
-                place, n = np.array([edges.get(v, 0) for v in values]), len(edges) + 1
-            else:
-                place = np.searchsorted(edges, np.array([-1.0 if v is None else v for v in values]), side="right")
-                n = len(edges) + 1
-            out.append(np.eye(n)[place])
-        return np.concatenate(out, axis=1)
-
-    def fit(self, x: np.ndarray, y: np.ndarray) -> None:
-        self.weights = fit_logistic(x, y, start=self.weights)
-
-    def score(self, x: np.ndarray) -> np.ndarray:
-        return logistic(self.weights[0] + x @ self.weights[1:])
+def logit(p: Column) -> Column:
+    p = F.least(F.greatest(p, F.lit(1e-6)), F.lit(1 - 1e-6))
+    return F.ln(p / (1 - p))
+
+
+def sigmoid(x: Column) -> Column:
+    return 1 / (1 + F.exp(-F.least(F.greatest(x, F.lit(-35.0)), F.lit(35.0))))
 
 
 @dataclass
 class Scorer:
-    text: View
-    meta: View
-    text_scale: np.ndarray
-    meta_scale: np.ndarray
-    joint: np.ndarray
+    weights: np.ndarray
+    edges: dict[str, list[float]]
+    models: dict[str, LogisticRegressionModel]
+    scales: dict[str, list[float]]
+    joint: list[float]
     threshold: float
+    sample: DataFrame
+
+    def score(self, rows: DataFrame) -> DataFrame:
+        """``rows`` of features with p_text, p_meta, p_quality and keep."""
+        for v in VIEWS:
+            rows = scored_by(self.models[v], rows, self.edges, v)
+            a, b = self.scales[v]
+            rows = rows.withColumn(f"p_{v}", sigmoid(F.lit(a) + F.lit(b) * logit(F.col(f"p_{v}"))))
+        a, t, m = self.joint
+        rows = rows.withColumn("p_quality", sigmoid(F.lit(a) + F.lit(t) * logit(F.col("p_text")) + F.lit(m) * logit(F.col("p_meta"))))
+        return rows.withColumn("keep", F.col("p_quality") >= F.lit(self.threshold))
+
+
+def above(name: str, edges: list[float]) -> list[Column]:
+    return [(F.col(name) >= F.lit(e)).cast("double") for e in edges]
+
+
+def bucket(name: str) -> list[Column]:
+    """A value's hash bucket, one column each; null has its own."""
+    place = F.when(F.col(name).isNull(), F.lit(VALUES)).otherwise(F.pmod(F.xxhash64(F.col(name).cast("string")), F.lit(VALUES)))
+    return [(place == i).cast("double") for i in range(VALUES + 1)]
 
-    def score(self, text_rows: list[list], meta_rows: list[list]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        t = calibrated(self.text_scale, self.text.score(self.text.columns(text_rows)))
-        m = calibrated(self.meta_scale, self.meta.score(self.meta.columns(meta_rows)))
-        both = np.c_[log_odds(t), log_odds(m)]
-        return t, m, logistic(self.joint[0] + both @ self.joint[1:])
-
-
-def calibrated(scale: np.ndarray, p: np.ndarray) -> np.ndarray:
-    return logistic(scale[0] + scale[1] * log_odds(p))
-
-
-def confident(p: np.ndarray, free: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places among the free ones with the surest scores, and their pseudo-labels."""
-    at = np.flatnonzero(free)
-    good = at[np.argsort(-p[at], kind="stable")][:PER_ROUND]
-    bad = at[np.argsort(p[at], kind="stable")][:PER_ROUND]
-    good, bad = good[p[good] >= CONFIDENT], bad[p[bad] <= 1 - CONFIDENT]
-    return np.r_[good, bad], np.r_[np.ones(len(good)), np.zeros(len(bad))]
-
-
-def co_train(text: list[list], meta: list[list], labels: list[int | None], held_out: list[bool],
-             rounds: int = ROUNDS) -> Scorer | None:
-    """Fit on rows with a label, pseudo-label those without; None if the labels show one class only."""
-    known = np.array([v is not None for v in labels], bool)
-    y = np.array([0.0 if v is None else float(v) for v in labels])
-    apart = known & np.array(held_out, bool)
-    base = known & ~apart
-    if not all(len(set(y[rows])) == 2 for rows in (apart, base)):
-        return None
-    views, data = (View(), View()), []
-    for view, rows in zip(views, (text, meta), strict=True):
-        view.learn_bins(rows)
-        data.append(view.columns(rows))
-    train = [np.flatnonzero(base), np.flatnonzero(base)]
-    given = [y[train[0]], y[train[1]]]
-    free = [~known, ~known]
-    for _ in range(rounds + 1):
-        for v in range(2):
-            views[v].fit(data[v][train[v]], given[v])
-        for v in range(2):  # what view v is sure of goes to the other one
-            at, pseudo = confident(views[v].score(data[v]), free[1 - v])
-            free[1 - v] = free[1 - v].copy()
-            free[1 - v][at] = False
-            train[1 - v], given[1 - v] = np.r_[train[1 - v], at], np.r_[given[1 - v], pseudo]
-    scales = [fit_logistic(log_odds(views[v].score(data[v][apart]))[:, None], y[apart], 1e-3) for v in range(2)]
-    t, m = (calibrated(scales[v], views[v].score(data[v][apart])) for v in range(2))
-    joint = fit_logistic(np.c_[log_odds(t), log_odds(m)], y[apart], 1e-1)
-    scorer = Scorer(*views, *scales, joint, 0.5)
-    p = scorer.score([r for r, a in zip(text, apart, strict=True) if a], [r for r, a in zip(meta, apart, strict=True) if a])[2]
-    scorer.threshold = float(min(0.5, np.quantile(p[y[apart] == 1], LOST)))
-    return scorer
-
-
-def sampled(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int = POOL) -> DataFrame:
-    """(doc_id, quality, held_out): ids for fitting, at most ``labelled`` + ``pool``, by their hash."""
+
+VIEWS = {
+    "text": lambda edges: [c for f in TEXT_FEATURES for c in above(f"f_{f}", edges[f])],
+    "meta": lambda edges: [*bucket("lang"), *bucket("source"), *above("f_n_chars", edges["n_chars"])],
+}
+
+
+def vector(edges: dict[str, list[float]], view: str) -> Column:
+    return array_to_vector(F.array(F.lit(1e-9), *VIEWS[view](edges)))
+
+
+def scored_by(model: LogisticRegressionModel, rows: DataFrame, edges: dict, view: str) -> DataFrame:
+    """``rows`` with p_<view>."""
+    names = rows.columns
+    out = model.setFeaturesCol("_x").transform(rows.withColumn("_x", vector(edges, view)))
+    return out.select(*[c for c in names if c != f"p_{view}"], vector_to_array(F.col("probability"))[1].alias(f"p_{view}"))
+
+
+def fit_view(rows: DataFrame, edges: dict, view: str) -> LogisticRegressionModel:
+    """A view's model of rows with ``y`` and ``weight``."""
+    return LogisticRegression(featuresCol="_x", labelCol="y", weightCol="weight", maxIter=STEPS, regParam=RIDGE,
+                              standardization=False).fit(rows.select("y", "weight", vector(edges, view).alias("_x")))
+
+
+def sampled(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> DataFrame:
+    """(doc_id, quality, held_out, fold): at most ``labelled`` ids with a label, by their hash."""
     order = F.md5(F.col("doc_id").cast("string").cast("binary"))
     known = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(
         F.max("quality").cast("int").alias("quality"))
-    ids = docs.filter("doc_id is not null").select("doc_id").distinct()
-    unknown = ids.join(known, "doc_id", "left_anti").orderBy(order).limit(pool)
-    known = ids.join(known, "doc_id").orderBy(order).limit(labelled)
+    known = docs.filter("doc_id is not null").select("doc_id").distinct().join(known, "doc_id").orderBy(order).limit(labelled)
     share = F.conv(F.substring(order, 17, 8), 16, 10).cast("double") / F.lit(2.0**32)
-    return known.select("doc_id", "quality", (share < HELD_OUT).alias("held_out")).unionByName(
-        unknown.select("doc_id", F.lit(None).cast("int").alias("quality"), F.lit(False).alias("held_out")))
-
-
-def fitted(docs: DataFrame, labels: DataFrame) -> Scorer | None:
-    # The sample has at most LABELLED + POOL ids by construction.
-    chosen = docs.select("doc_id", "text", "lang", "source", "n_chars").join(F.broadcast(sampled(docs, labels)), "doc_id")
-
-    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            feats = [text_features(t) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(feats, pa.list_(pa.float64())), b.column("lang"), b.column("source"),
-                 b.column("n_chars"), b.column("quality"), b.column("held_out")],
-                names=["doc_id", "features", "lang", "source", "n_chars", "quality", "held_out"])
-
-    fields = chosen.schema
-    schema = "doc_id {}, features array<double>, lang string, source string, n_chars {}, quality int, held_out boolean".format(
-        fields["doc_id"].dataType.simpleString(), fields["n_chars"].dataType.simpleString())
-    rows = chosen.mapInArrow(describe, schema).dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
-    if not rows:
-        return None
-    return co_train([list(r["features"]) for r in rows], [meta_features(r["lang"], r["source"], r["n_chars"]) for r in rows],
-                    [r["quality"] for r in rows], [r["held_out"] for r in rows])
-
-
-def scores(scorer: Scorer | None, b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Text, metadata and combined scores of a batch, and what is kept."""
-    if scorer is None or not b.num_rows:
-        half = np.full(b.num_rows, 0.5)
-        return half, half, half, np.ones(b.num_rows, bool)
-    meta = [meta_features(*r) for r in zip(*(b.column(c).to_pylist() for c in META_FEATURES), strict=True)]
-    t, m, p = scorer.score([text_features(x.as_py()) for x in b.column("text")], meta)
-    return t, m, p, p >= scorer.threshold
+    return known.select("doc_id", "quality", (share < HELD_OUT).alias("held_out"),
+                        (F.conv(F.substring(order, 25, 4), 16, 10).cast("int") % 2).alias("fold"))
+
+
+def gram_weights(docs: DataFrame, sample: DataFrame) -> np.ndarray:
+    """Log-odds of each bucket: rows 0 and 1 without the labelled texts of that fold, row 2 from all of them."""
+    # The sample has at most LABELLED ids by construction.
+    rows = docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(sample.filter("not held_out")), "doc_id")
+    rows = rows.select("text", (F.col("fold") * 2 + F.col("quality")).alias("group"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in text_slices(batches, 0, AT_ONCE):
+            groups, total = part.column(1).to_pylist(), {}
+            for g in sorted(set(groups)):
+                texts = [t for t, k in zip(part.column(0).to_pylist(), groups, strict=True) if k == g]
+                total[g] = np.bincount(np.concatenate([c for c, _ in grams(texts)]), minlength=GRAMS)
+            for g, n in total.items():
+                at = np.flatnonzero(n)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), g)), pa.array(at), pa.array(n[at])],
+                                                 names=["group", "bucket", "n"])
+
+    found = np.zeros((4, GRAMS))
+    for r in rows.mapInArrow(count, "group long, bucket long, n long").groupBy("group", "bucket").agg(F.sum("n").alias("n")).collect():
+        found[r["group"], r["bucket"]] = r["n"]
+    folds = found.reshape(2, 2, GRAMS)
+    sums = [folds[1], folds[0], folds[0] + folds[1]]
+    half = 1 << GRAM_BITS
+    out = []
+    for s in sums:
+        parts = []
+        for part in (s[:, :half], s[:, half:]):
+            share = (part + 1) / (part.sum(1, keepdims=True) + half)
+            parts.append(np.log(share[1] / share[0]))
+        out.append(np.concatenate(parts))
+    return np.stack(out)
+
+
+def described(docs: DataFrame, weights: np.ndarray, sample: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text, lang, source, n_chars, others) with quality, held_out, fold and the features f_*.
+
+    The grams of a text of the sample, which others learn from, are weighted without its own fold.
+    """
+    rows = docs.join(F.broadcast(sample), "doc_id", "left").select(*docs.columns, "quality", "held_out", "fold")
+    rows = rows.withColumn("f_n_chars", F.coalesce(F.ln(F.greatest(F.col("n_chars").cast("double"), F.lit(0.0)) + 1), F.lit(-1.0)))
+    names, place, fold = rows.columns, docs.columns.index("text"), len(docs.columns) + 2
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in text_slices(batches, place, AT_ONCE):
+            texts = [t or "" for t in part.column(place).to_pylist()]
+            own = np.array([shares(t) for t in texts]).reshape(len(texts), len(SHARES))
+            folds = np.array([2 if f is None else f for f in part.column(fold).to_pylist()])
+            means = np.zeros((len(texts), 2))
+            for f in np.unique(folds).tolist():
+                at = np.flatnonzero(folds == f)
+                means[at] = gram_means([texts[i] for i in at.tolist()], weights[f])
+            values = [pa.array(c) for c in np.c_[own, means].T.copy()]
+            yield pa.RecordBatch.from_arrays([*part.columns, *values], names=[*names, *(f"f_{f}" for f in TEXT_FEATURES)])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    return rows.mapInArrow(run, schema + "".join(f", f_{f} double" for f in TEXT_FEATURES))
+
+
+def learned(docs: DataFrame, labels: DataFrame) -> tuple[Scorer | None, DataFrame | None]:
+    """The scorer and the stored features of all documents; (None, None) if the labels show one class only."""
+    docs = docs.select("doc_id", whole_text().alias("text"), "lang", "source", "n_chars")
+    sample = stored(sampled(docs, labels), "cotraining-sample")
+    classes = {(r["held_out"], r["quality"]) for r in sample.select("held_out", "quality").distinct().collect()}
+    if not {(h, q) for h in (False, True) for q in (0, 1)} <= classes:
+        return None, None
+    weights = gram_weights(docs, sample)
+    rows = stored(described(docs, weights, sample).drop("text"), "cotraining-features")
+    cuts = [(i + 1) / BINS for i in range(BINS - 1)]
+    names = [*TEXT_FEATURES, "n_chars"]
+    found = rows.agg(*[F.percentile_approx(f"f_{f}", cuts, 10_000).alias(f) for f in names]).first()
+    edges = {f: sorted(set(found[f] or [])) for f in names}
+
+    base = rows.filter("quality is not null and not held_out").withColumns({"y": F.col("quality").cast("double"), "weight": F.lit(1.0)})
+    free = rows.filter("quality is null")
+    size = {r["quality"]: r["count"] for r in base.groupBy("quality").count().collect()}
+    models = {v: fit_view(base, edges, v) for v in VIEWS}
+    for _ in range(ROUNDS):
+        sure = {}
+        for v in VIEWS:  # what view v is sure of
+            p = F.col(f"p_{v}")
+            rated = scored_by(models[v], free, edges, v).filter((p >= CONFIDENT) | (p <= 1 - CONFIDENT))
+            sure[v] = stored(rated.withColumn("y", (p > 0.5).cast("double")), "cotraining-sure")
+        for v, other in (("text", "meta"), ("meta", "text")):
+            counts = {r["y"]: r["count"] for r in sure[other].groupBy("y").count().collect()}
+            weight = F.when(F.col("y") == 1, F.lit(size[1] / max(counts.get(1.0, 0), 1))).otherwise(
+                F.lit(size[0] / max(counts.get(0.0, 0), 1)))
+            more = sure[other].withColumn("weight", F.least(weight, F.lit(1.0)))
+            models[v] = fit_view(base.unionByName(more.select(*base.columns)), edges, v)
+
+    apart = rows.filter("quality is not null and held_out")
+    for v in VIEWS:
+        apart = scored_by(models[v], apart, edges, v)
+    # Held-out rows of at most LABELLED ids.
+    seen = apart.select("p_text", "p_meta", "quality").orderBy("p_text", "p_meta", "quality").toPandas()
+    y = seen["quality"].to_numpy(float)
+    scales = {v: fit_logistic(log_odds(seen[f"p_{v}"].to_numpy())[:, None], y, 1e-3).tolist() for v in VIEWS}
+    both = [logistic(scales[v][0] + scales[v][1] * log_odds(seen[f"p_{v}"].to_numpy())) for v in VIEWS]
+    joint = fit_logistic(np.stack([log_odds(p) for p in both], 1), y, 1e-1)
+    p = logistic(joint[0] + np.stack([log_odds(p) for p in both], 1) @ joint[1:])
+    threshold = float(min(0.5, np.quantile(p[y == 1], LOST)))
+    # The least held-out score itself stays, however the last digit comes out.
+    return Scorer(weights, edges, models, scales, joint.tolist(), threshold - 1e-9, sample), rows
 
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, p_text, p_meta, p_quality, keep) of every document."""
-    scorer = fitted(docs, labels)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *map(pa.array, scores(scorer, b))],
-                                             names=["doc_id", "p_text", "p_meta", "p_quality", "keep"])
-
-    rows = docs.select("doc_id", whole_text().alias("text"), "lang", "source", "n_chars")
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, p_text double, p_meta double, p_quality double, keep boolean")
+    scorer, rows = learned(docs, labels)
+    if scorer is None:
+        half = [F.lit(0.5).alias(c) for c in ("p_text", "p_meta", "p_quality")]
+        return docs.select("doc_id", *half, F.lit(True).alias("keep"))
+    return scorer.score(rows).select("doc_id", "p_text", "p_meta", "p_quality", "keep")
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns."""
-    scorer = fitted(docs, labels)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield b.filter(pa.array(scores(scorer, b)[3]))
-
-    return docs.mapInArrow(run, docs.schema)
+    scorer, _ = learned(docs, labels)
+    if scorer is None:
+        return docs
+    others = [c for c in docs.columns if c not in COLUMNS]
+    rows = docs.select(*COLUMNS, *([F.struct(*others).alias("_others")] if others else []))
+    kept = scorer.score(described(rows, scorer.weights, scorer.sample)).filter("keep")
+    return kept.select(*[F.col(f"_others.`{c}`").alias(c) if c in others else F.col(c) for c in docs.columns])
