@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import whole_text
+from .common import trimmed, whole_text
 from .shingles import sliced
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -223,7 +223,7 @@ def periodic_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 [pa.array([i for i, _ in part], pa.int64()), pa.array(runs, RUN_TYPE),
                  pa.array(collapsed, pa.binary()).cast(pa.string())], names=["doc_id", "runs", "collapsed"])
 
-    return rows.mapInArrow(find, f"doc_id long, runs {RUNS}, collapsed string")
+    return rows.mapInArrow(trimmed(find), f"doc_id long, runs {RUNS}, collapsed string")
 
 
 def strongest(runs: Column | str = "runs") -> Column:

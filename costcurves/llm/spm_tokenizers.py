@@ -11,7 +11,8 @@ encoded by the sentencepiece library; ``parity`` tells whether the ids agree for
 
 Defined cases: a null text reads as empty and has no ids. Characters without a piece become byte
 pieces, or the unknown id where the model has no byte pieces. Equal rows get equal results, null ids
-pass through. Only the id and text columns are read; other columns named like the results are left out.
+pass through. Very long texts are encoded whole. An empty table gives an empty result. Only the id and text
+columns are read; other columns named like the results are left out.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Regex, Tokenizer, decoders, models, normalizers
 
-from .common import whole_text
+from .common import trimmed, whole_text
 from .shingles import sliced
 from .word_cache import AT_ONCE, JOINED, KEPT, CachedWords, kept_by_worker
 
@@ -227,10 +228,11 @@ def encoded(docs: DataFrame, model: bytes, threads: int = THREADS, id_col: str =
     the text encoded, agreement with sentencepiece."""
     rows = docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
     kind = dict(rows.dtypes)["doc_id"]
+    key = ("spm", zlib.crc32(model), len(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["RAYON_NUM_THREADS"] = str(threads)
-        words = kept_by_worker(("spm", zlib.crc32(model), len(model)), lambda: SpmWords(model))
+        words = kept_by_worker(key, lambda: SpmWords(model))
         for batch in batches:
             at = 0
             for part in sliced(zip(batch.column(0), batch.column(1).to_pylist(), strict=True), limit=AT_ONCE):
@@ -246,4 +248,4 @@ def encoded(docs: DataFrame, model: bytes, threads: int = THREADS, id_col: str =
                     names=["doc_id", "ids", "decoded", "round_trip", "parity"])
                 at += len(part)
 
-    return rows.mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded string, round_trip boolean, parity boolean")
+    return rows.mapInArrow(trimmed(run, key), f"doc_id {kind}, ids array<int>, decoded string, round_trip boolean, parity boolean")

@@ -34,9 +34,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import whole_text
+from .common import trimmed, whole_text
 from .periodic_runs import Numbers
 from .shingles import sliced
+from .slice_bpe import stretches
 from .word_cache import kept_by_worker
 
 #: Bytes of text in a slice. The larger, the fewer rows of frequent pre-tokens; a task holds the numbers of one slice.
@@ -90,14 +91,6 @@ def parts(rows: list[tuple]) -> pa.RecordBatch:
                                       names=[n for n, _ in PART_TYPES])
 
 
-def picked(counts: np.ndarray, flat: np.ndarray, picks: np.ndarray) -> np.ndarray:
-    """The stretches ``picks`` of ``flat``, one after another; ``counts`` are the lengths of all stretches."""
-    starts = np.cumsum(counts) - counts
-    taken = counts[picks]
-    before = np.cumsum(taken) - taken
-    return flat[np.repeat(starts[picks] - before, taken) + np.arange(int(taken.sum()))]
-
-
 def answers(batches: Iterator[pa.RecordBatch], encode: Callable[[str], list[int]]) -> Iterator[pa.RecordBatch]:
     """The ids of each pre-token for every slice that has it; pre-tokens come sorted."""
     last, last_ids = None, None
@@ -118,7 +111,7 @@ def answers(batches: Iterator[pa.RecordBatch], encode: Callable[[str], list[int]
         slices, numbers, which = slices[order], numbers[order], which[order]
         edges = np.flatnonzero(np.r_[True, slices[1:] != slices[:-1], True]).tolist()
         return parts([(int(slices[a]), b - a, None, squeezed(counts[which[a:b]]), squeezed(np.diff(numbers[a:b], prepend=0)),
-                       squeezed(picked(counts, flat, which[a:b]))) for a, b in zip(edges[:-1], edges[1:], strict=True)])
+                       squeezed(stretches(counts, flat, which[a:b]))) for a, b in zip(edges[:-1], edges[1:], strict=True)])
 
     for batch in batches:
         if not batch.num_rows:
@@ -153,13 +146,13 @@ def put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 order = np.argsort(numbers)
                 if (numbers[order] != np.arange(len(numbers))).any():
                     raise RuntimeError("a slice's answers are not those of its words: rows came in another order")
-                counts, flat = n[order], picked(n, ids, order)
+                counts, flat = n[order], stretches(n, ids, order)
                 heard = []
             lengths = np.frombuffer(r["counts"], "<i8")
             numbers = unsqueezed(r["numbers"], r["n"])
             if len(numbers) and int(numbers.max()) >= len(counts):
                 raise RuntimeError("a slice lacks answers: rows came in another order")
-            ids = picked(counts, flat, numbers).astype(np.int32)
+            ids = stretches(counts, flat, numbers).astype(np.int32)
             ends = np.concatenate([[0], np.cumsum(counts[numbers])])[np.concatenate([[0], np.cumsum(lengths)])]
             yield pa.RecordBatch.from_arrays([pa.array(r["doc_ids"], pa.int64()), pa.ListArray.from_arrays(
                 pa.array(ends, pa.int32()), pa.array(ids))], names=["doc_id", "ids"])
@@ -192,10 +185,10 @@ def encoded(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", t
             "words", pat_str=r"[\s\S]+", mergeable_ranks=read_ranks(ranks), special_tokens={}))
         return answers(batches, coder.encode_ordinary)
 
-    dealt = rows.mapInArrow(words, "word binary, slice long, number int").repartition("word").sortWithinPartitions("word")
-    joined = dealt.mapInArrow(answer, PARTS).unionByName(rows.mapInArrow(sequences, PARTS))
+    dealt = rows.mapInArrow(trimmed(words), "word binary, slice long, number int").repartition("word").sortWithinPartitions("word")
+    joined = dealt.mapInArrow(trimmed(answer, ("ranks", ranks)), PARTS).unionByName(rows.mapInArrow(trimmed(sequences), PARTS))
     joined = joined.repartition("slice").sortWithinPartitions("slice", F.col("doc_ids").isNotNull())
-    return joined.mapInArrow(put_together, "doc_id long, ids array<int>")
+    return joined.mapInArrow(trimmed(put_together), "doc_id long, ids array<int>")
 
 
 def decoded(rows: DataFrame, ranks: str, ids_col: str = "ids") -> DataFrame:
