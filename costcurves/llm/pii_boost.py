@@ -8,11 +8,16 @@ feature pattern, counted over all documents, coincides with a base span. Scores
 calibrated by pooled rates, and candidates whose calibrated rate reaches
 ``THRESHOLD`` and that touch no base span are added.
 
+Secrets (keys, tokens, passwords) have no base pattern. Their generator proposes every long run of letters and
+digits; the trees learn from format alone which runs stand behind an assignment to a word such as key or
+token, and the calibrated ones are added wherever they stand, with or without such a word.
+
 Only pattern counts reach the driver: each feature has a few values, so their
 number has a fixed bound whatever the number of documents.
 
 Defined cases: a null text reads as empty and has no spans. Rows are independent, so
-repeated rows and equal ids get one answer each. Patterns are possessive, so very
+repeated rows and equal ids get one answer each; null ids pass through. An empty table gives an empty result.
+Very long texts are searched whole; patterns are possessive, so very
 long runs of digits need no deep recursion. Only the id and text columns are read.
 """
 
@@ -28,6 +33,8 @@ from .common import stored, whole_text
 
 # The kinds in their order, the base patterns and the candidate generators.
 KINDS = ["email", "ip", "card", "phone"]
+SECRET = "secret"
+ALL_KINDS = [*KINDS, SECRET]
 BASE = {
     "email": r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
@@ -39,13 +46,15 @@ CANDIDATES = {
     "ip": r"[0-9]{1,3}+(?: ?(?:\.|[\[(]\.[\])]|[\[(]dot[\])]) ?[0-9]{1,3}+){3}",
     "card": r"[0-9](?:[\x20.-]{0,2}[0-9]){11,22}+",
     "phone": r"[+(]?[0-9](?:[\x20().-]{0,3}[0-9]){6,16}+",
+    "secret": r"(?<![A-Za-z0-9_+/=-])(?=[A-Za-z_+/=-]*+[0-9])(?=[0-9_+/=-]*+[A-Za-z])[A-Za-z0-9_+/=-]{16,}+",
 }
 #: A text without a match of these holds no span and no candidate of the kind.
 GATES = {"email": r"@|[\[( ]at[\]) ]", "ip": r"[0-9] ?[.\[(]", "card": r"[0-9](?:[\x20.-]{0,2}[0-9]){11}",
-         "phone": r"[0-9](?:[\x20().-]{0,3}[0-9]){6}"}
+         "phone": r"[0-9](?:[\x20().-]{0,3}[0-9]){6}", "secret": r"[A-Za-z0-9_+/=-]{16}"}
 CUES = {"email": r"(?i)mail|contact|write", "ip": r"(?i)\bip\b|host|address|server",
-        "card": r"(?i)card|visa|master|credit", "phone": r"(?i)phone|tel|call|fax|mobile"}
-FEATURES = ["digits", "groups", "opens", "written", "luhn", "left", "right", "cue"]
+        "card": r"(?i)card|visa|master|credit", "phone": r"(?i)phone|tel|call|fax|mobile",
+        "secret": r"(?i)(?:key|token|secret|passw(?:or)?d|pwd|auth|bearer|credential)[A-Za-z0-9_-]*+\x20?[=:]?\x20?[\x22']?$"}
+FEATURES = ["digits", "groups", "opens", "written", "luhn", "left", "right", "cue", "length", "share", "case", "hex"]
 CONTEXT = 24
 TREES, DEPTH, RATE = 24, 2, 0.3
 THRESHOLD = 0.95
@@ -110,12 +119,25 @@ def side(c: Column) -> Column:
             .otherwise(3))
 
 
+def secret_of(s: Column, before: Column, digits: Column) -> Column:
+    """A long run of letters and digits with the features of its format; ``cue`` is what the trees learn to tell."""
+    part, size = s["part"], F.length(s["part"])
+    case = part.rlike("[a-z]").cast("int") + 2 * part.rlike("[A-Z]").cast("int")
+    return F.struct(
+        s["start"], s["end"], *[F.lit(0).alias(f) for f in FEATURES[:7]], before.rlike(CUES[SECRET]).cast("int").alias("cue"),
+        F.least(F.floor(size / 8), F.lit(8)).cast("int").alias("length"),
+        F.floor(8 * F.length(digits) / size).cast("int").alias("share"), case.alias("case"),
+        part.rlike("^[0-9a-fA-F]*+$").cast("int").alias("hex"))
+
+
 def candidate_spans(text: Column, kind: str) -> Column:
     """array<(start, end, features...)> of the generator's matches."""
     def described(s: Column) -> Column:
         part, digits = s["part"], digits_of(s["part"])
         before = F.substring(text, F.greatest(s["start"] - CONTEXT, F.lit(0)) + 1,
                              F.least(s["start"], F.lit(CONTEXT)))
+        if kind == SECRET:
+            return secret_of(s, before, digits)
         return F.struct(
             s["start"], s["end"],
             F.least(F.length(digits), F.lit(24)).alias("digits"),
@@ -125,7 +147,7 @@ def candidate_spans(text: Column, kind: str) -> Column:
             (luhn(digits) if kind == "card" else F.lit(False)).cast("int").alias("luhn"),
             side(F.substring(before, -1, 1)).alias("left"),
             side(F.substring(text, s["end"] + 1, F.lit(1))).alias("right"),
-            before.rlike(CUES[kind]).cast("int").alias("cue"))
+            before.rlike(CUES[kind]).cast("int").alias("cue"), *[F.lit(0).alias(f) for f in FEATURES[8:]])
 
     return F.transform(located(text, CANDIDATES[kind], GATES[kind]), described)
 
@@ -138,12 +160,14 @@ def with_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """(doc_id, base_<kind>, free_<kind>) stored once; free candidates carry ``hit``: they touch a base span."""
     rows = docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
     rows = rows.withColumns({f"base_{k}": base_spans(F.col("text"), k) for k in KINDS}
-                            | {f"free_{k}": candidate_spans(F.col("text"), k) for k in KINDS}).drop("text")
+                            | {f"free_{k}": candidate_spans(F.col("text"), k) for k in ALL_KINDS}).drop("text")
 
     def marked(k: str) -> Column:
+        if k == SECRET:  # the cue is the label; as a feature it is left out
+            return F.transform(f"free_{k}", lambda c: c.withField("hit", c["cue"]).withField("cue", F.lit(0)))
         return F.transform(f"free_{k}", lambda c: c.withField("hit", touches(F.col(f"base_{k}"), c).cast("int")))
 
-    return rows.withColumns({f"free_{k}": marked(k) for k in KINDS})
+    return rows.withColumns({f"free_{k}": marked(k) for k in ALL_KINDS})
 
 
 @dataclass
@@ -237,10 +261,10 @@ def fitted(spans: DataFrame) -> dict[str, Model]:
         return F.transform(f"free_{k}", lambda c: F.struct(F.lit(k).alias("kind"), *[c[f].alias(f) for f in FEATURES],
                                                            c["hit"].alias("hit")))
 
-    counts = spans.select(F.explode(F.concat(*[keyed(k) for k in KINDS])).alias("c")).groupBy(
+    counts = spans.select(F.explode(F.concat(*[keyed(k) for k in ALL_KINDS])).alias("c")).groupBy(
         "c.kind", *[f"c.{f}" for f in FEATURES]).agg(F.count("*").alias("n"), F.sum("c.hit").alias("hits"))
     rows = [r.asDict() for r in counts.orderBy("kind", *FEATURES).collect()]
-    return {k: fit([r for r in rows if r["kind"] == k]) for k in KINDS}
+    return {k: fit([r for r in rows if r["kind"] == k]) for k in ALL_KINDS}
 
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -250,14 +274,15 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     def shaped(spans: str | Column, k: str) -> Column:
         return F.transform(spans, lambda s: F.struct(
-            s["start"].alias("start"), F.lit(KINDS.index(k)).alias("rank"), F.lit(k).alias("kind"), s["end"].alias("end")))
+            s["start"].alias("start"), F.lit(ALL_KINDS.index(k)).alias("rank"), F.lit(k).alias("kind"), s["end"].alias("end")))
 
     def passing(k: str) -> Column:
         score, least = models[k].column, models[k].least
-        return F.filter(f"free_{k}", lambda c: (c["hit"] == 0) & (score(c) >= least - 1e-9))
+        new = lambda c: F.lit(True) if k == SECRET else c["hit"] == 0
+        return F.filter(f"free_{k}", lambda c: new(c) & (score(c) >= least - 1e-9))
 
     base = F.concat(*[shaped(f"base_{k}", k) for k in KINDS])
-    added = [shaped(passing(k), k) for k in KINDS if models[k].least < math.inf]
+    added = [shaped(passing(k), k) for k in ALL_KINDS if models[k].least < math.inf]
     rows = rows.withColumn("base", F.sort_array(base))
     # A candidate that touches a base span of any kind is part of what that span already covers.
     free = F.filter(F.concat(*added), lambda c: ~touches(F.col("base"), c)) if added else F.slice("base", 1, 0)

@@ -105,7 +105,9 @@ def op10_pii_boost(spark: SparkSession, sf_dir: str) -> DataFrame:
     count = {k: pii_boost.count_of("base", k).cast("long").alias(f"n_{k}") for k in pii_boost.KINDS}
     digest = F.sha2(pii_boost.written(F.col("base")).cast("binary"), 256)
     return rows.select("doc_id", *count.values(), digest.alias("base_sha256"),
-                       pii_boost.written(F.col("spans")).alias("spans"))
+                       pii_boost.written(F.col("spans")).alias("spans"),
+                       pii_boost.count_of("spans", pii_boost.SECRET).cast("long").alias("n_secret"),
+                       (F.size("spans") - F.size("base")).cast("long").alias("n_added"))
 
 
 def op11_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

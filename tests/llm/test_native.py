@@ -286,3 +286,31 @@ def test_pii_redaction(spark):
     df = table(spark, ["call +1 (375) 555-4393 or a@b.c now"])
     spans = pii_boost.personal_data(df).join(df.select("doc_id", "text"), "doc_id")
     assert spans.select(pii_boost.redacted(F.col("text"), F.col("spans")).alias("t")).first()["t"] == "call [phone] or [email] now"
+
+
+def test_secrets_are_learned_from_their_format(spark):
+    """Spans of secrets equal a plain rule on the format that the trees must find; other long runs stay."""
+    rnd = random.Random(4)
+    hexes = lambda n: "".join(rnd.choice("0123456789abcdef") for _ in range(n))
+    texts, want = [], []
+    for i in range(300):
+        run, other = hexes(40), f"Part-{rnd.randrange(10**6):06d}-{'LongNameOfThing'[:8 + i % 6]}x"
+        cue = ["token = \"", "api_key: ", "SECRET='"][i % 3] if i < 299 else "sum of file "
+        texts.append(f"some words {cue}{run}\" and {other} here, also plainwordsofsixteenletters and 1234567890123456789012")
+        start = texts[-1].index(run)
+        want.append([f"secret:{start}:{start + 40}"])
+    rows = {r["doc_id"]: r["spans"] for r in pii_boost.personal_data(table(spark, texts)).select(
+        "doc_id", pii_boost.written(F.col("spans")).alias("spans")).collect()}
+    assert [[s for s in rows[i].split(",") if s.startswith("secret")] for i in range(300)] == want
+    few = pii_boost.personal_data(table(spark, texts[:5])).select(F.size("spans").alias("n")).collect()
+    assert all(r["n"] == 0 for r in few)  # too few to calibrate
+
+
+def test_secrets_of_the_table(spark, sf_dir):
+    """Whole table: the spans are those of quoted runs of forty hexadecimal digits after token."""
+    big = sf_dir.replace("sf0.001", "sf0.1")
+    docs = spark.read.parquet(f"{big}/documents.parquet")
+    found = {r["doc_id"]: r["n_secret"] for r in queries.op10_pii_boost(spark, big).collect()}
+    plain = {r["doc_id"]: len(re.findall(r'(?i)token = "[0-9a-f]{40}"', r["text"] or "")) for r in docs.collect()}
+    assert sum(plain.values()) >= 100
+    assert found == plain
