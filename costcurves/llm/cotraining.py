@@ -158,24 +158,26 @@ class Scorer:
         return rows.withColumn("keep", F.col("p_quality") >= F.lit(self.threshold))
 
 
-def above(name: str, edges: list[float]) -> list[Column]:
-    return [(F.col(name) >= F.lit(e)).cast("double") for e in edges]
+def above(name: str, edges: list[float]) -> Column:
+    """One number an edge: 1 from the edge on."""
+    return F.transform(F.lit(np.array(edges, float)), lambda e: (F.col(name) >= e).cast("double"))
 
 
-def bucket(name: str) -> list[Column]:
-    """A value's hash bucket, one column each; null has its own."""
+def bucket(name: str) -> Column:
+    """A value's hash bucket, one number each; null has its own."""
     place = F.when(F.col(name).isNull(), F.lit(VALUES)).otherwise(F.pmod(F.xxhash64(F.col(name).cast("string")), F.lit(VALUES)))
-    return [(place == i).cast("double") for i in range(VALUES + 1)]
+    return F.transform(F.sequence(F.lit(0), F.lit(VALUES)), lambda i: (i == place).cast("double"))
 
 
 VIEWS = {
-    "text": lambda edges: [c for f in TEXT_FEATURES for c in above(f"f_{f}", edges[f])],
-    "meta": lambda edges: [*bucket("lang"), *bucket("source"), *above("f_n_chars", edges["n_chars"])],
+    "text": lambda edges: [above(f"f_{f}", edges[f]) for f in TEXT_FEATURES],
+    "meta": lambda edges: [bucket("lang"), bucket("source"), above("f_n_chars", edges["n_chars"])],
 }
 
 
 def vector(edges: dict[str, list[float]], view: str) -> Column:
-    return array_to_vector(F.array(F.lit(1e-9), *VIEWS[view](edges)))
+    # Arrays of lambdas keep the plan small; the first number keeps the vector from being empty.
+    return array_to_vector(F.concat(F.array(F.lit(1e-9)), *VIEWS[view](edges)))
 
 
 def scored_by(model: LogisticRegressionModel, rows: DataFrame, edges: dict, view: str) -> DataFrame:
