@@ -2,9 +2,10 @@
 
 The text view sees the text's content: shares and repetitions of its characters, words and lines, and how its
 words and its four-byte grams are distributed (log-odds of hashed grams, learned from labelled texts). The metadata
-view sees language, source and stored length. Each is a logistic regression, fitted by Spark. In each
+view sees language, source and stored length. Each is a logistic regression on binned features. In each
 round both views score all unlabelled documents, and those that one is confident of join the
-other's training rows as pseudo-labels, weighted so that each class weighs as much as its labelled rows. On labelled rows held
+other's training rows as pseudo-labels, weighted so that each class weighs no more than its labelled rows. A fitting step is one
+pass over the stored features of all documents, which adds up slopes and curvatures of both views. On labelled rows held
 out from this, both views are calibrated (logistic in their log-odds) and combined (logistic in both). The combined score
 rejects a document below the threshold, which is set so that at most ``LOST`` of the held-out good ones fall below it.
 
@@ -22,30 +23,32 @@ read are doc_id, text, lang, source and n_chars; others named like the results a
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, replace
 from operator import eq
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, whole_text
+from .common import stored, trimmed, whole_text
 from .shingles import word_hashes
 from .slice_bpe import text_slices
 
 LABELLED = 6_000
 ROUNDS = 2
+#: Newton steps in a round; each starts from the weights before.
+STEPS = 3
 CONFIDENT = 0.95
 HELD_OUT = 0.3
 LOST = 0.002
 BINS = 12
 VALUES = 64
-RIDGE = 1e-3
-STEPS = 15
+RIDGE = 1.0
+#: Tasks that add up what the partitions have found.
+ADDERS = 16
 #: Buckets of hashed grams: words, then grams of four bytes.
 GRAM_BITS = 14
 GRAMS = 2 << GRAM_BITS
@@ -128,69 +131,67 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float, steps: int = 25) ->
     return w
 
 
-def logit(p: Column) -> Column:
-    p = F.least(F.greatest(p, F.lit(1e-6)), F.lit(1 - 1e-6))
-    return F.ln(p / (1 - p))
+VIEWS = ("text", "meta")
+META = ["b_lang", "b_source", "f_n_chars"]
 
 
-def sigmoid(x: Column) -> Column:
-    return 1 / (1 + F.exp(-F.least(F.greatest(x, F.lit(-35.0)), F.lit(35.0))))
+def design(view: str, columns: dict[str, np.ndarray], edges: dict[str, np.ndarray]) -> np.ndarray:
+    """The view's matrix: 1, then one number an edge of each feature (1 from the edge on), one a bucket of values."""
+    n = len(columns["f_n_chars"])
+    above = lambda f, e: (columns[f][:, None] >= e[None, :]).astype(float)
+    if view == "text":
+        parts = [above(f"f_{f}", edges[f]) for f in TEXT_FEATURES]
+    else:
+        parts = [*(np.eye(VALUES + 1)[columns[c].astype(np.int64)] for c in ("b_lang", "b_source")), above("f_n_chars", edges["n_chars"])]
+    return np.concatenate([np.ones((n, 1)), *parts], axis=1)
 
 
-@dataclass
-class Scorer:
-    weights: np.ndarray
-    edges: dict[str, list[float]]
-    models: dict[str, LogisticRegressionModel]
-    scales: dict[str, list[float]]
-    joint: list[float]
-    threshold: float
-    sample: DataFrame
+def numbers(part: pa.RecordBatch, names: list[str]) -> dict[str, np.ndarray]:
+    return {c: part.column(part.schema.get_field_index(c)).to_numpy(zero_copy_only=False).astype(float) for c in names}
 
-    def score(self, rows: DataFrame) -> DataFrame:
-        """``rows`` of features with p_text, p_meta, p_quality and keep."""
-        for v in VIEWS:
-            rows = scored_by(self.models[v], rows, self.edges, v)
-            a, b = self.scales[v]
-            rows = rows.withColumn(f"p_{v}", sigmoid(F.lit(a) + F.lit(b) * logit(F.col(f"p_{v}"))))
-        a, t, m = self.joint
-        rows = rows.withColumn("p_quality", sigmoid(F.lit(a) + F.lit(t) * logit(F.col("p_text")) + F.lit(m) * logit(F.col("p_meta"))))
-        return rows.withColumn("keep", F.col("p_quality") >= F.lit(self.threshold))
 
+NUMBERS = [*(f"f_{f}" for f in TEXT_FEATURES), *META]
 
-def above(name: str, edges: list[float]) -> Column:
-    """One number an edge: 1 from the edge on."""
-    return F.transform(F.lit(np.array(edges, float)), lambda e: (F.col(name) >= e).cast("double"))
 
+def curvature(x: np.ndarray, y: np.ndarray, weight: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Slope and curvature of the weighted log-likelihood at w, without the ridge."""
+    p = logistic(x @ w)
+    return x.T @ (weight * (y - p)), (x * (weight * p * (1 - p))[:, None]).T @ x
 
-def bucket(name: str) -> Column:
-    """A value's hash bucket, one number each; null has its own."""
-    place = F.when(F.col(name).isNull(), F.lit(VALUES)).otherwise(F.pmod(F.xxhash64(F.col(name).cast("string")), F.lit(VALUES)))
-    return F.transform(F.sequence(F.lit(0), F.lit(VALUES)), lambda i: (i == place).cast("double"))
 
+def stepped(w: np.ndarray, slope: np.ndarray, bend: np.ndarray) -> np.ndarray:
+    penalty = np.full(len(w), RIDGE)
+    penalty[0] = 1e-6
+    return w + np.linalg.solve(bend + np.diag(penalty), slope - penalty * w)
 
-VIEWS = {
-    "text": lambda edges: [above(f"f_{f}", edges[f]) for f in TEXT_FEATURES],
-    "meta": lambda edges: [bucket("lang"), bucket("source"), above("f_n_chars", edges["n_chars"])],
-}
 
+def sure_of(p: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows without a label that a view is confident of, and their pseudo-labels."""
+    return ~known & ((p >= CONFIDENT) | (p <= 1 - CONFIDENT)), (p > 0.5).astype(float)
 
-def vector(edges: dict[str, list[float]], view: str) -> Column:
-    # Arrays of lambdas keep the plan small; the first number keeps the vector from being empty.
-    return array_to_vector(F.concat(F.array(F.lit(1e-9)), *VIEWS[view](edges)))
 
+@dataclass
+class Scorer:
+    grams: np.ndarray
+    edges: dict[str, np.ndarray]
+    weights: dict[str, np.ndarray]
+    scales: dict[str, np.ndarray]
+    joint: np.ndarray
+    threshold: float
+    sample: DataFrame
 
-def scored_by(model: LogisticRegressionModel, rows: DataFrame, edges: dict, view: str) -> DataFrame:
-    """``rows`` with p_<view>."""
-    names = rows.columns
-    out = model.setFeaturesCol("_x").transform(rows.withColumn("_x", vector(edges, view)))
-    return out.select(*[c for c in names if c != f"p_{view}"], vector_to_array(F.col("probability"))[1].alias(f"p_{view}"))
+    def raw(self, columns: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        return {v: logistic(design(v, columns, self.edges) @ self.weights[v]) for v in VIEWS}
 
+    def score(self, columns: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Text, metadata and combined scores, and what is kept."""
+        p = {v: logistic(self.scales[v][0] + self.scales[v][1] * log_odds(x)) for v, x in self.raw(columns).items()}
+        both = logistic(self.joint[0] + np.stack([log_odds(p[v]) for v in VIEWS], 1) @ self.joint[1:])
+        return p["text"], p["meta"], both, both >= self.threshold
 
-def fit_view(rows: DataFrame, edges: dict, view: str) -> LogisticRegressionModel:
-    """A view's model of rows with ``y`` and ``weight``."""
-    return LogisticRegression(featuresCol="_x", labelCol="y", weightCol="weight", maxIter=STEPS, regParam=RIDGE,
-                              standardization=False).fit(rows.select("y", "weight", vector(edges, view).alias("_x")))
+    def without_sample(self) -> Scorer:
+        """What tasks need."""
+        return replace(self, sample=None)
 
 
 def sampled(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> DataFrame:
@@ -237,13 +238,19 @@ def gram_weights(docs: DataFrame, sample: DataFrame) -> np.ndarray:
     return np.stack(out)
 
 
-def described(docs: DataFrame, weights: np.ndarray, sample: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, text, lang, source, n_chars, others) with quality, held_out, fold and the features f_*.
+def described(docs: DataFrame, weights: np.ndarray, sample: DataFrame, schema, finish: Callable) -> DataFrame:
+    """``docs`` (doc_id, text, lang, source, n_chars, others) with quality, held_out, fold, b_* and the features f_*.
+
+    ``finish`` makes of each batch what ``schema`` says.
 
     The grams of a text of the sample, which others learn from, are weighted without its own fold.
     """
     rows = docs.join(F.broadcast(sample), "doc_id", "left").select(*docs.columns, "quality", "held_out", "fold")
-    rows = rows.withColumn("f_n_chars", F.coalesce(F.ln(F.greatest(F.col("n_chars").cast("double"), F.lit(0.0)) + 1), F.lit(-1.0)))
+    place_of = lambda c: F.when(F.col(c).isNull(), F.lit(VALUES)).otherwise(
+        F.pmod(F.xxhash64(F.col(c).cast("string")), F.lit(VALUES))).cast("int")
+    rows = rows.withColumns({
+        "b_lang": place_of("lang"), "b_source": place_of("source"),
+        "f_n_chars": F.coalesce(F.ln(F.greatest(F.col("n_chars").cast("double"), F.lit(0.0)) + 1), F.lit(-1.0))})
     names, place, fold = rows.columns, docs.columns.index("text"), len(docs.columns) + 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,10 +263,92 @@ def described(docs: DataFrame, weights: np.ndarray, sample: DataFrame) -> DataFr
                 at = np.flatnonzero(folds == f)
                 means[at] = gram_means([texts[i] for i in at.tolist()], weights[f])
             values = [pa.array(c) for c in np.c_[own, means].T.copy()]
-            yield pa.RecordBatch.from_arrays([*part.columns, *values], names=[*names, *(f"f_{f}" for f in TEXT_FEATURES)])
+            full = pa.RecordBatch.from_arrays([*part.columns, *values], names=[*names, *(f"f_{f}" for f in TEXT_FEATURES)])
+            yield finish(full)
+
+    return rows.mapInArrow(trimmed(run), schema)
+
+
+def dropped(batch: pa.RecordBatch, names: list[str]) -> pa.RecordBatch:
+    return batch.select([c for c in batch.schema.names if c not in names])
+
+
+FEATURES = ("quality int, held_out boolean, fold int, b_lang int, b_source int, f_n_chars double, "
+            + ", ".join(f"f_{f} double" for f in TEXT_FEATURES))
+
+
+def pseudo_counts(rows: DataFrame, scorer: Scorer) -> dict[str, np.ndarray]:
+    """For each view, how many unlabelled documents it is sure are bad and good."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            known = part.column("quality").is_valid().to_numpy(zero_copy_only=False)
+            found = []
+            for v, p in scorer.raw(numbers(part, NUMBERS)).items():
+                sure, y = sure_of(p, known)
+                found += [(v, int(c), int((sure & (y == c)).sum())) for c in (0, 1)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*found, strict=True)], names=["view", "y", "n"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    return rows.mapInArrow(run, schema + "".join(f", f_{f} double" for f in TEXT_FEATURES))
+    out = {v: np.zeros(2) for v in VIEWS}
+    for r in rows.mapInArrow(count, "view string, y long, n long").groupBy("view", "y").agg(F.sum("n").alias("n")).collect():
+        out[r["view"]][r["y"]] = r["n"]
+    return out
+
+
+def step_over(rows: DataFrame, given: Scorer, now: dict[str, np.ndarray], weight: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """One Newton step of both views over all documents.
+
+    Labelled rows count 1. Unlabelled ones that the other view of ``given`` is sure of count ``weight`` of their class.
+    """
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = {}
+        for part in batches:
+            if not part.num_rows:
+                continue
+            columns = numbers(part, NUMBERS)
+            known = part.column("quality").is_valid().to_numpy(zero_copy_only=False)
+            apart = pc.fill_null(part.column("held_out"), False).to_numpy(zero_copy_only=False)
+            quality = pc.fill_null(part.column("quality"), 0).to_numpy(zero_copy_only=False).astype(float)
+            p = given.raw(columns)
+            for v, other in zip(VIEWS, VIEWS[::-1], strict=True):
+                sure, guess = sure_of(p[other], known)
+                y = np.where(known, quality, guess)
+                rate = np.where(known & ~apart, 1.0, np.where(sure, weight[other][y.astype(int)], 0.0))
+                at = rate > 0
+                x = design(v, {c: a[at] for c, a in columns.items()}, given.edges)
+                slope, bend = curvature(x, y[at], rate[at], now[v])
+                before = sums.get(v, (0.0, 0.0))
+                sums[v] = (before[0] + slope, before[1] + bend)
+        yield packed(sums)
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = {}
+        for part in batches:
+            for v, slope, bend in unpacked(part.to_pylist()):
+                before = sums.get(v, (0.0, 0.0))
+                sums[v] = (before[0] + slope, before[1] + bend)
+        yield packed(sums)
+
+    kind = "view string, slope binary, bend binary"
+    # Some 300 kB a partition, added up by a few tasks: at most ADDERS rows a view reach the driver.
+    found = rows.mapInArrow(partial, kind).repartition(ADDERS).mapInArrow(added, kind).collect()
+    out = {}
+    for v in VIEWS:
+        mine = [(s, b) for w, s, b in unpacked([r.asDict() for r in found]) if w == v]
+        out[v] = stepped(now[v], sum(s for s, _ in mine), sum(b for _, b in mine))
+    return out
+
+
+def packed(sums: dict) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array([s.tobytes() for s, _ in sums.values()], pa.binary()),
+                                       pa.array([b.tobytes() for _, b in sums.values()], pa.binary())], names=["view", "slope", "bend"])
+
+
+def unpacked(rows: list[dict]) -> list[tuple[str, np.ndarray, np.ndarray]]:
+    out = []
+    for r in rows:
+        slope = np.frombuffer(r["slope"])
+        out.append((r["view"], slope, np.frombuffer(r["bend"]).reshape(len(slope), len(slope))))
+    return out
 
 
 def learned(docs: DataFrame, labels: DataFrame) -> tuple[Scorer | None, DataFrame | None]:
@@ -269,43 +358,45 @@ def learned(docs: DataFrame, labels: DataFrame) -> tuple[Scorer | None, DataFram
     classes = {(r["held_out"], r["quality"]) for r in sample.select("held_out", "quality").distinct().collect()}
     if not {(h, q) for h in (False, True) for q in (0, 1)} <= classes:
         return None, None
-    weights = gram_weights(docs, sample)
-    rows = stored(described(docs, weights, sample).drop("text"), "cotraining-features")
+    grams = gram_weights(docs, sample)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = described(docs, grams, sample, f"doc_id {kind}, {FEATURES}", lambda b: dropped(b, ["text", "lang", "source", "n_chars"]))
+    rows = stored(rows, "cotraining-features")
     cuts = [(i + 1) / BINS for i in range(BINS - 1)]
     names = [*TEXT_FEATURES, "n_chars"]
     found = rows.agg(*[F.percentile_approx(f"f_{f}", cuts, 10_000).alias(f) for f in names]).first()
-    edges = {f: sorted(set(found[f] or [])) for f in names}
-
-    base = rows.filter("quality is not null and not held_out").withColumns({"y": F.col("quality").cast("double"), "weight": F.lit(1.0)})
-    free = rows.filter("quality is null")
-    size = {r["quality"]: r["count"] for r in base.groupBy("quality").count().collect()}
-    models = {v: fit_view(base, edges, v) for v in VIEWS}
-    for _ in range(ROUNDS):
-        sure = {}
-        for v in VIEWS:  # what view v is sure of
-            p = F.col(f"p_{v}")
-            rated = scored_by(models[v], free, edges, v).filter((p >= CONFIDENT) | (p <= 1 - CONFIDENT))
-            sure[v] = stored(rated.withColumn("y", (p > 0.5).cast("double")), "cotraining-sure")
-        for v, other in (("text", "meta"), ("meta", "text")):
-            counts = {r["y"]: r["count"] for r in sure[other].groupBy("y").count().collect()}
-            weight = F.when(F.col("y") == 1, F.lit(size[1] / max(counts.get(1.0, 0), 1))).otherwise(
-                F.lit(size[0] / max(counts.get(0.0, 0), 1)))
-            more = sure[other].withColumn("weight", F.least(weight, F.lit(1.0)))
-            models[v] = fit_view(base.unionByName(more.select(*base.columns)), edges, v)
-
-    apart = rows.filter("quality is not null and held_out")
+    edges = {f: np.unique(found[f] or []) for f in names}
+
+    # The labelled sample has at most LABELLED ids.
+    known = rows.filter("quality is not null").orderBy("doc_id", *[f"f_{f}" for f in TEXT_FEATURES]).toPandas()
+    columns = {c: known[c].to_numpy(float) for c in NUMBERS}
+    y, apart = known["quality"].to_numpy(float), known["held_out"].to_numpy(bool)
+    x = {v: design(v, columns, edges) for v in VIEWS}
+    weights = {}
     for v in VIEWS:
-        apart = scored_by(models[v], apart, edges, v)
-    # Held-out rows of at most LABELLED ids.
-    seen = apart.select("p_text", "p_meta", "quality").orderBy("p_text", "p_meta", "quality").toPandas()
-    y = seen["quality"].to_numpy(float)
-    scales = {v: fit_logistic(log_odds(seen[f"p_{v}"].to_numpy())[:, None], y, 1e-3).tolist() for v in VIEWS}
-    both = [logistic(scales[v][0] + scales[v][1] * log_odds(seen[f"p_{v}"].to_numpy())) for v in VIEWS]
-    joint = fit_logistic(np.stack([log_odds(p) for p in both], 1), y, 1e-1)
-    p = logistic(joint[0] + np.stack([log_odds(p) for p in both], 1) @ joint[1:])
+        weights[v] = np.zeros(x[v].shape[1])
+        for _ in range(3 * STEPS):
+            weights[v] = stepped(weights[v], *curvature(x[v][~apart], y[~apart], np.ones((~apart).sum()), weights[v]))
+    none = np.zeros(3)
+    scorer = Scorer(grams, edges, weights, dict.fromkeys(VIEWS, none), none, 0.5, None)
+    size = np.array([(y[~apart] == c).sum() for c in (0, 1)])
+    for _ in range(ROUNDS):
+        sure = pseudo_counts(rows, scorer)
+        weight = {v: np.minimum(size / np.maximum(n, 1), 1.0) for v, n in sure.items()}
+        now = scorer.weights
+        for _ in range(STEPS):
+            now = step_over(rows, scorer, now, weight)
+        scorer = replace(scorer, weights=now)
+
+    seen = scorer.raw({c: a[apart] for c, a in columns.items()})
+    y = y[apart]
+    scales = {v: fit_logistic(log_odds(seen[v])[:, None], y, 1e-3) for v in VIEWS}
+    both = np.stack([log_odds(logistic(scales[v][0] + scales[v][1] * log_odds(seen[v]))) for v in VIEWS], 1)
+    joint = fit_logistic(both, y, 1e-1)
+    p = logistic(joint[0] + both @ joint[1:])
     threshold = float(min(0.5, np.quantile(p[y == 1], LOST)))
     # The least held-out score itself stays, however the last digit comes out.
-    return Scorer(weights, edges, models, scales, joint.tolist(), threshold - 1e-9, sample), rows
+    return replace(scorer, scales=scales, joint=joint, threshold=threshold - 1e-9, sample=sample), rows
 
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -314,7 +405,15 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     if scorer is None:
         half = [F.lit(0.5).alias(c) for c in ("p_text", "p_meta", "p_quality")]
         return docs.select("doc_id", *half, F.lit(True).alias("keep"))
-    return scorer.score(rows).select("doc_id", "p_text", "p_meta", "p_quality", "keep")
+    scorer = scorer.without_sample()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            yield pa.RecordBatch.from_arrays([part.column(0), *map(pa.array, scorer.score(numbers(part, NUMBERS)))],
+                                             names=["doc_id", "p_text", "p_meta", "p_quality", "keep"])
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"doc_id {kind}, p_text double, p_meta double, p_quality double, keep boolean")
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -322,7 +421,13 @@ def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     scorer, _ = learned(docs, labels)
     if scorer is None:
         return docs
+    sample, scorer = scorer.sample, scorer.without_sample()
     others = [c for c in docs.columns if c not in COLUMNS]
     rows = docs.select(*COLUMNS, *([F.struct(*others).alias("_others")] if others else []))
-    kept = scorer.score(described(rows, scorer.weights, scorer.sample)).filter("keep")
-    return kept.select(*[F.col(f"_others.`{c}`").alias(c) if c in others else F.col(c) for c in docs.columns])
+    names = rows.columns
+
+    def kept(part: pa.RecordBatch) -> pa.RecordBatch:
+        return part.select(names).filter(pa.array(scorer.score(numbers(part, NUMBERS))[3]))
+
+    found = described(rows, scorer.grams, sample, rows.schema, kept)
+    return found.select(*[F.col(f"_others.`{c}`").alias(c) if c in others else F.col(c) for c in docs.columns])
