@@ -35,7 +35,10 @@ def spotsigs_sql() -> str:
   SELECT doc_id, list_sort(list_distinct(list(words[p + 1] || ' ' || {chain}))) AS sigs
   FROM {name}_flat WHERE p - k + {last} < len(content) GROUP BY doc_id),
 {name} AS (
-  SELECT w.doc_id, CASE WHEN f.sigs IS NOT NULL THEN f.sigs WHEN len(w.words) > 0 THEN [array_to_string(w.words, ' ')]
+  SELECT w.doc_id, CASE WHEN f.sigs IS NOT NULL THEN f.sigs
+                        WHEN len(w.words) > 0 THEN list_sort(list_distinct(list_transform(
+                          range(1, greatest(len(w.words) - {spotsigs.SHINGLE - 1}, 1) + 1),
+                          lambda i: array_to_string(w.words[i:i + {spotsigs.SHINGLE - 1}], ' '))))
                         ELSE []::VARCHAR[] END AS sigs
   FROM {name}_words w LEFT JOIN {name}_found f USING (doc_id))"""
 

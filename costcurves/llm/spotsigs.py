@@ -6,11 +6,11 @@ the set of its signatures, and its string form the SHA-256 of the sorted set.
 Two fingerprints are compared by Jaccard; sets whose length partitions lie too
 far apart to reach the wanted likeness are settled without intersecting them.
 
-Defined cases: a null text reads as empty. A text with words but no full chain
-has one signature, its word sequence. A text without words has the empty set;
-two empty sets are alike (1.0), an empty and a filled one are not (0.0).
-Rows with equal ids are ordered by text, null ids come last. Only the id and
-text columns are read, so extra columns cannot clash.
+Defined cases: a null text reads as empty. A text with words but no full chain, as in a language without
+anchors, has its shingles of ``SHINGLE`` words (fewer words: all of them) as signatures. A text without words has the
+empty set; two empty sets are alike (1.0), an empty and a filled one are not (0.0).
+Rows with equal ids are ordered by a hash of their text, null ids come last. A very long text is read whole. An empty
+table gives an empty result. Only the id and text columns are read, so extra columns cannot clash.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ ANCHORS = [
 ]
 CHAIN = 3
 DISTANCE = 1
+SHINGLE = 5
 WORD_BREAK = r"[^\p{L}\p{N}]+"
 THRESHOLD = 0.75
 
@@ -55,7 +56,9 @@ def with_signatures(df: DataFrame, text: str, out: str, anchors: list[str] = ANC
 
     found = F.filter(F.transform(places, signature), lambda s: s.isNotNull())
     df = df.withColumn(out, F.sort_array(F.array_distinct(found)))
-    alone = F.when(F.size(words) > 0, F.array(F.array_join(words, " "))).otherwise(F.array().cast("array<string>"))
+    shingles = F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - SHINGLE + 1, F.lit(1))),
+                           lambda i: F.array_join(F.slice(words, i, F.lit(SHINGLE)), " "))
+    alone = F.when(F.size(words) > 0, F.sort_array(F.array_distinct(shingles))).otherwise(F.array().cast("array<string>"))
     return df.withColumn(out, F.when(F.size(out) > 0, F.col(out)).otherwise(alone)).drop(words, content, places)
 
 
