@@ -282,11 +282,14 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         return F.filter(f"free_{k}", lambda c: new(c) & (score(c) >= least - 1e-9))
 
     base = F.concat(*[shaped(f"base_{k}", k) for k in KINDS])
-    added = [shaped(passing(k), k) for k in ALL_KINDS if models[k].least < math.inf]
+    added = [shaped(passing(k), k) for k in KINDS if models[k].least < math.inf]
     rows = rows.withColumn("base", F.sort_array(base))
-    # A candidate that touches a base span of any kind is part of what that span already covers.
-    free = F.filter(F.concat(*added), lambda c: ~touches(F.col("base"), c)) if added else F.slice("base", 1, 0)
-    return rows.withColumn("spans", F.sort_array(F.concat("base", free))).select("doc_id", "base", "spans")
+    none = F.slice("base", 1, 0)
+    # A candidate that touches a base span of any kind is part of what that span already covers. A secret is
+    # more than the digits in it, and stays beside such a span.
+    free = F.filter(F.concat(*added), lambda c: ~touches(F.col("base"), c)) if added else none
+    secrets = shaped(passing(SECRET), SECRET) if models[SECRET].least < math.inf else none
+    return rows.withColumn("spans", F.sort_array(F.concat("base", free, secrets))).select("doc_id", "base", "spans")
 
 
 def count_of(spans: str | Column, kind: str) -> Column:

@@ -535,7 +535,8 @@ SELECT PROJECTID, STAGEPHASE_CODE, SUBSTAGEACTIVITY_CODE, INVOICE_DATE,
        strftime(INVOICE_DATE, '%Y-%m') AS MONTH
 FROM invoice_t WHERE INVOICE_DATE >= {_AS_OF_TS} - INTERVAL 2 YEAR"""
 for _name, _same in (("late_invoices", "actual_value"), ("streamed_actual_value", "actual_value"),
-                     ("staged_curves", "combined_curves")):
+                     ("staged_curves", "combined_curves"), ("combined_from_numeric_keys", "combined_curves"),
+                     ("planned_without_null_projects", "planned_value")):
     _FINAL[_name] = _FINAL[_same]
 
 # The same query, reached on the Spark side by the day explosion.

@@ -18,6 +18,7 @@ from ..operators import forecast as fc
 from ..operators import planned as pl
 from ..operators import quality as q
 from ..operators import sketches, summaries, temporal
+from ..operators.combine import combined_curves as combined_curves_of
 from ..schema import COMBINED_COLUMNS, KEY
 from ..session import shared_folder
 from ..sources.fixtures import AS_OF, fixture_inputs
@@ -257,6 +258,22 @@ def timeline_episodes(spark, sf_dir):
     return summaries.timeline_episodes(actual_value(spark, sf_dir), q.timeline_issue())
 
 
+def planned_without_null_projects(spark, sf_dir):
+    """P5: the planned curve of budget and schedule rows of which some have no project."""
+    i = _inputs(spark, sf_dir)
+    none = F.lit(None).cast("string")
+    budget = i.budget.unionByName(i.budget.withColumn("PROJECT_NUMBER", none))
+    schedule = i.schedule.unionByName(i.schedule.withColumn("PROJECTID", none))
+    return pl.planned_value(budget, schedule, i.norm_curve)
+
+
+def combined_from_numeric_keys(spark, sf_dir):
+    """P10: the combined table of curves whose project is a number."""
+    _, c = _curves(spark, sf_dir)
+    numeric = [df.withColumn("PROJECT_NUMBER", F.col("PROJECT_NUMBER").cast("long")) for df in (c.actual, c.planned, c.forecast)]
+    return combined_curves_of(*numeric)
+
+
 def _table(name: str) -> str:
     return f"{name}_{uuid.uuid4().hex[:12]}"
 
@@ -336,6 +353,8 @@ QUERIES: dict[str, Query] = {
     "control_cube": control_cube,
     "shortfall_episodes": shortfall_episodes,
     "timeline_episodes": timeline_episodes,
+    "planned_without_null_projects": planned_without_null_projects,
+    "combined_from_numeric_keys": combined_from_numeric_keys,
     "staged_curves": staged_curves,
     "backed_up_sources": backed_up_sources,
     "refreshed_months": refreshed_months,

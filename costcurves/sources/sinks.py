@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,11 +16,9 @@ def write_table(df: DataFrame, name: str, mode: str = "overwrite", path: str | N
                 partition_by: list[str] | None = None) -> None:
     """Replace (or append to) a catalog table with ``df``.
 
-    An overwrite writes a staging table first and swaps names when it is whole,
-    so a failed write leaves the old table as it was and readers never find
-    none for longer than the renames take. A table at a fixed ``path`` is
-    overwritten in place, and one with partition folders, which the catalog
-    keeps by location, from the whole staging table.
+    An overwrite writes a staging table, once, and swaps names when it is whole, so a failed write leaves the old
+    table as it was and readers never find none for longer than the renames take. A table at a fixed ``path`` is
+    overwritten in place.
 
     With ``bucket_by`` the table is hash-bucketed on those columns (``buckets``
     defaults to ``spark.sql.shuffle.partitions``). The rows are first
@@ -31,14 +30,7 @@ def write_table(df: DataFrame, name: str, mode: str = "overwrite", path: str | N
     """
     spark = df.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    staging, old = (f"{name}_{kind}_{uuid.uuid4().hex[:12]}" for kind in ("staging", "old"))
-    if partition_by and path is None and mode == "overwrite":
-        try:
-            df.write.format("parquet").saveAsTable(staging)
-            spark.table(staging).write.format("parquet").partitionBy(*partition_by).mode(mode).saveAsTable(name)
-        finally:
-            spark.sql(f"DROP TABLE IF EXISTS {staging}")
-        return
+    staging = _beside(name, "staging")
     writer = (df.repartition(n, *bucket_by).write.bucketBy(n, *bucket_by) if bucket_by else df.write).format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -51,14 +43,38 @@ def write_table(df: DataFrame, name: str, mode: str = "overwrite", path: str | N
     except Exception:
         spark.sql(f"DROP TABLE IF EXISTS {staging}")
         raise
+    _take_name(spark, staging, name)
+
+
+def _beside(name: str, kind: str) -> str:
+    return f"{name}_{kind}_{uuid.uuid4().hex[:12]}"
+
+
+def _rename(spark: SparkSession, name: str, to: str) -> None:
+    """Rename a table; its partitions follow its folder."""
+    spark.sql(f"ALTER TABLE {name} RENAME TO {to}")
+    about = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE FORMATTED {to}").collect()}
+    if "# Partition Information" not in about:
+        return
+    for row in spark.sql(f"SHOW PARTITIONS {to}").collect():
+        spec = [part.split("=", 1) for part in row["partition"].split("/")]
+        values = ", ".join("{} = '{}'".format(k, unquote(v).replace("'", "\\'")) for k, v in spec)
+        spark.sql(f"ALTER TABLE {to} PARTITION ({values}) SET LOCATION '{about['Location']}/{row['partition']}'")
+
+
+def _take_name(spark: SparkSession, staging: str, name: str) -> None:
+    """``staging`` becomes the table ``name``; the table that has the name goes when that has succeeded."""
     if not spark.catalog.tableExists(name):
-        spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
+        _rename(spark, staging, name)
         return
-    spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+    old = _beside(name, "old")
+    _rename(spark, name, old)
     try:
-        spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
+        _rename(spark, staging, name)
     except Exception:
-        spark.sql(f"ALTER TABLE {old} RENAME TO {name}")
+        if spark.catalog.tableExists(name):
+            spark.sql(f"DROP TABLE {name}")
+        _rename(spark, old, name)
         raise
     spark.sql(f"DROP TABLE {old}")
 
@@ -87,19 +103,26 @@ def refresh_table(spark: SparkSession, target: str, source: DataFrame,
     """Replace the rows of ``target`` with the last ``years`` years of ``source``.
 
     An existing table keeps its definition (layout, properties); rows are
-    matched to its columns by name. The rows are staged first, so ``source``
-    may read ``target`` and a failing query leaves it as it was.
+    matched to its columns by name. They are written once, to a new table of the same
+    definition that takes the name when it is whole, so ``source`` may read ``target``, and a failure at any
+    point leaves the old table.
     """
     rows = recent_rows(source, date_col, as_of, years)
     if not spark.catalog.tableExists(target):
         write_table(rows, target)
         return
-    staging = f"{target}_staging_{uuid.uuid4().hex[:12]}"
+    staging = _beside(target, "staging")
+    spark.sql(f"CREATE TABLE {staging} LIKE {target}")
     try:
-        rows.write.format("parquet").saveAsTable(staging)
-        spark.table(staging).select(*spark.table(target).columns).write.insertInto(target, overwrite=True)
-    finally:
+        kept = [r for r in spark.sql(f"SHOW TBLPROPERTIES {target}").collect() if not r["key"].startswith(("spark.sql.", "transient"))]
+        if kept:
+            pairs = ", ".join("'{}' = '{}'".format(r["key"], r["value"].replace("'", "\\'")) for r in kept)
+            spark.sql(f"ALTER TABLE {staging} SET TBLPROPERTIES ({pairs})")
+        rows.select(*spark.table(target).columns).write.insertInto(staging)
+        _take_name(spark, staging, target)
+    except Exception:
         spark.sql(f"DROP TABLE IF EXISTS {staging}")
+        raise
 
 
 def preview(df: DataFrame, n: int = 10, order_by: list[str] | None = None) -> DataFrame:

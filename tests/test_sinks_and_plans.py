@@ -187,6 +187,37 @@ def test_failed_overwrite_keeps_the_old_table(spark, sf_dir):
     assert not [t.name for t in spark.catalog.listTables() if "staging" in t.name.lower()]
 
 
+@pytest.mark.parametrize("partitions", [None, ["k"]])
+def test_failed_last_step_keeps_the_old_table(spark, monkeypatch, partitions):
+    """Overwrite and refresh write a table once and swap at the end: a failure of the swap itself leaves the old rows."""
+    from costcurves.sources import sinks
+
+    name = f"SWAP_{len(partitions or [])}"
+    frame = lambda n: spark.range(n).select("id", F.concat(F.lit("a b="), F.col("id") % 2).alias("k"),
+                                            F.lit(dt.datetime(2001, 1, 1)).cast("timestamp_ntz").alias("INVOICE_DATE"))
+    write_table(frame(6), name, partition_by=partitions)
+    real, calls = sinks._rename, []
+
+    def rename(spark, a, b):
+        calls.append((a, b))
+        if "staging" in a:
+            raise RuntimeError("the swap fails")
+        real(spark, a, b)
+
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "_rename", rename)
+        for run in (lambda: write_table(frame(2), name, partition_by=partitions),
+                    lambda: refresh_table(spark, name, frame(3), as_of=dt.date(2001, 6, 1))):
+            with pytest.raises(RuntimeError):
+                run()
+            assert sorted(r.id for r in spark.table(name).collect()) == list(range(6))
+    write_table(frame(4), name, partition_by=partitions)
+    assert sorted((r.id, r.k) for r in spark.table(name).collect()) == [(i, f"a b={i % 2}") for i in range(4)]
+    refresh_table(spark, name, frame(3), as_of=dt.date(2001, 6, 1))
+    assert spark.table(name).count() == 3 and spark.table(name).filter("k = 'a b=1'").count() == 1
+    assert not [t.name for t in spark.catalog.listTables() if name.lower() in t.name.lower() and t.name.lower() != name.lower()]
+
+
 def test_refresh_keeps_the_table_definition(spark, sf_dir):
     inv = fixture_inputs(spark, sf_dir).invoice
     spark.sql("DROP TABLE IF EXISTS R_INVOICE")
