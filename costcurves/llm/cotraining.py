@@ -39,7 +39,7 @@ from .slice_bpe import text_slices
 
 LABELLED = 6_000
 ROUNDS = 2
-#: Newton steps in a round; each starts from the weights before.
+#: Steps of the fit in a round; each starts from the weights before.
 STEPS = 3
 CONFIDENT = 0.95
 HELD_OUT = 0.3
@@ -47,6 +47,7 @@ LOST = 0.002
 BINS = 12
 VALUES = 64
 RIDGE = 1.0
+CALM = 0.1
 #: Tasks that add up what the partitions have found.
 ADDERS = 16
 #: Buckets of hashed grams: words, then grams of four bytes.
@@ -117,20 +118,34 @@ def logistic(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float, steps: int = 25) -> np.ndarray:
-    """Weights of [1, x] for a few columns by Newton steps with a ridge on all but the first."""
-    x = np.c_[np.ones(len(x)), x]
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float, steps: int = 50) -> np.ndarray:
+    """Weights of the columns of x by Newton steps with a ridge on all but the first, which is 1.
+
+    A step is halved until it helps: separable rows would else throw the weights far off.
+    """
     w, penalty = np.zeros(x.shape[1]), np.full(x.shape[1], ridge)
     penalty[0] = 1e-6
+
+    def loss(w: np.ndarray) -> float:
+        z = np.where(y > 0.5, 1, -1) * (x @ w)
+        return float(np.logaddexp(0, -z).sum() + (penalty * w * w).sum() / 2)
+
     for _ in range(steps):
         p = logistic(x @ w)
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty), x.T @ (y - p) - penalty * w)
-        w += step
-        if np.abs(step).max() < 1e-3:
+        bend = (x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty + 1e-9)
+        step, now = np.linalg.solve(bend, x.T @ (y - p) - penalty * w), loss(w)
+        while loss(w + step) > now and np.abs(step).max() > 1e-9:
+            step = step / 2
+        w = w + step
+        if np.abs(step).max() < 1e-4:
             break
     return w
 
 
+def with_one(x: np.ndarray) -> np.ndarray:
+    return np.c_[np.ones(len(x)), x]
+
+
 VIEWS = ("text", "meta")
 META = ["b_lang", "b_source", "f_n_chars"]
 
@@ -154,9 +169,11 @@ NUMBERS = [*(f"f_{f}" for f in TEXT_FEATURES), *META]
 
 
 def curvature(x: np.ndarray, y: np.ndarray, weight: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Slope and curvature of the weighted log-likelihood at w, without the ridge."""
-    p = logistic(x @ w)
-    return x.T @ (weight * (y - p)), (x * (weight * p * (1 - p))[:, None]).T @ x
+    """Slope of the weighted log-likelihood at w and the bound of its curvature (a quarter), both without the ridge.
+
+    A step by the bound never makes the fit worse, whatever the weights before.
+    """
+    return x.T @ (weight * (y - logistic(x @ w))), (x * (weight / 4)[:, None]).T @ x
 
 
 def stepped(w: np.ndarray, slope: np.ndarray, bend: np.ndarray) -> np.ndarray:
@@ -295,7 +312,7 @@ def pseudo_counts(rows: DataFrame, scorer: Scorer) -> dict[str, np.ndarray]:
 
 
 def step_over(rows: DataFrame, given: Scorer, now: dict[str, np.ndarray], weight: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-    """One Newton step of both views over all documents.
+    """One step of both views' fits over all documents.
 
     Labelled rows count 1. Unlabelled ones that the other view of ``given`` is sure of count ``weight`` of their class.
     """
@@ -371,12 +388,7 @@ def learned(docs: DataFrame, labels: DataFrame) -> tuple[Scorer | None, DataFram
     known = rows.filter("quality is not null").orderBy("doc_id", *[f"f_{f}" for f in TEXT_FEATURES]).toPandas()
     columns = {c: known[c].to_numpy(float) for c in NUMBERS}
     y, apart = known["quality"].to_numpy(float), known["held_out"].to_numpy(bool)
-    x = {v: design(v, columns, edges) for v in VIEWS}
-    weights = {}
-    for v in VIEWS:
-        weights[v] = np.zeros(x[v].shape[1])
-        for _ in range(3 * STEPS):
-            weights[v] = stepped(weights[v], *curvature(x[v][~apart], y[~apart], np.ones((~apart).sum()), weights[v]))
+    weights = {v: fit_logistic(design(v, columns, edges)[~apart], y[~apart], RIDGE) for v in VIEWS}
     none = np.zeros(3)
     scorer = Scorer(grams, edges, weights, dict.fromkeys(VIEWS, none), none, 0.5, None)
     size = np.array([(y[~apart] == c).sum() for c in (0, 1)])
@@ -390,9 +402,9 @@ def learned(docs: DataFrame, labels: DataFrame) -> tuple[Scorer | None, DataFram
 
     seen = scorer.raw({c: a[apart] for c, a in columns.items()})
     y = y[apart]
-    scales = {v: fit_logistic(log_odds(seen[v])[:, None], y, 1e-3) for v in VIEWS}
+    scales = {v: fit_logistic(with_one(log_odds(seen[v])), y, CALM) for v in VIEWS}
     both = np.stack([log_odds(logistic(scales[v][0] + scales[v][1] * log_odds(seen[v]))) for v in VIEWS], 1)
-    joint = fit_logistic(both, y, 1e-1)
+    joint = fit_logistic(with_one(both), y, CALM)
     p = logistic(joint[0] + both @ joint[1:])
     threshold = float(min(0.5, np.quantile(p[y == 1], LOST)))
     # The least held-out score itself stays, however the last digit comes out.
