@@ -9,8 +9,8 @@ its bytes are compared with that first occurrence.
 
 Defined cases: a null text reads as empty and has no lines to remove. Chunks of
 one line, or without a character besides white space, stay. Null ids come last;
-rows that agree in id and text count as one and get the same answer. Only the id and
-text columns are read.
+rows that agree in id and text count as one and get the same answer. A very long text is cut like any other. An
+empty table gives an empty result. Only the id and text columns are read.
 
 Chunks miss the ends of a passage, and often all of a short one. ``without_passages`` takes each two
 neighbouring lines instead: a line goes if it stands in two lines that occur earlier without overlap, so a

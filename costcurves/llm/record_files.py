@@ -13,8 +13,8 @@ Each task writes its own new files in the shared folder and returns their manife
 attempts are in no manifest row. Readers check both sums.
 
 Defined cases: a null text reads as empty and has the end id only. Null document ids are written as the
-smallest i64 and come first. Equal ids are ordered by text. An empty table writes no file and gives an
-empty manifest. Only the id and text columns are read.
+smallest i64 and come first. Equal ids are ordered by text. A very long text is one record. An empty table writes no
+file and gives an empty manifest. Only the id and text columns are read.
 """
 
 from __future__ import annotations

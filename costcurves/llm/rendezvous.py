@@ -7,7 +7,8 @@ more shard only takes rows into itself.
 Defined cases: a null key hashes as the empty string, so all null keys share a
 shard. Equal keys share a shard. A null text has size 1 and the checksum of the
 empty text. Rows that agree in key, size and checksum take neighbouring slots in
-any order. Only the id and text columns are read.
+any order. A very long text only counts by its bytes and checksum. An empty table gives an empty result. Only the id
+and text columns are read.
 """
 
 from __future__ import annotations
