@@ -278,11 +278,20 @@ def _table(name: str) -> str:
     return f"{name}_{uuid.uuid4().hex[:12]}"
 
 
+def _until_exit(spark: SparkSession, table: str) -> DataFrame:
+    """A table of this run; its files go when the driver's JVM ends."""
+    about = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE FORMATTED {table}").collect()}
+    path = spark._jvm.org.apache.hadoop.fs.Path(about["Location"])
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return spark.table(table)
+
+
 def staged_curves(spark, sf_dir):
     """The four stages written as tables; the rows of the combined table."""
     names = {k: _table(f"staged_{k}") for k in ("actual", "planned", "forecast", "combined")}
     run_curves(spark, _inputs(spark, sf_dir), AS_OF, tables=names)
-    return spark.table(names["combined"]).select(*COMBINED_COLUMNS)
+    tables = {k: _until_exit(spark, t) for k, t in names.items()}
+    return tables["combined"].select(*COMBINED_COLUMNS)
 
 
 def backed_up_sources(spark, sf_dir):
@@ -293,7 +302,8 @@ def backed_up_sources(spark, sf_dir):
         write_table(source, table)
         backup = backup_table(spark, table)
         write_table(spark.table(table).limit(0), table)
-        rows = spark.table(backup)
+        _until_exit(spark, table)
+        rows = _until_exit(spark, backup)
         found = rows.agg(F.lit(name).alias("source"), F.count("*").alias("row_count"),
                          F.sum(act.cost_amounts(rows).cast("decimal(38,10)")).alias("total"))
         counts = found if counts is None else counts.unionByName(found)
@@ -309,7 +319,7 @@ def refreshed_months(spark, sf_dir):
         F.date_format("INVOICE_DATE", "yyyy-MM") == "2000-05", F.col("ACTUALS_COST") + 1).otherwise(F.col("ACTUALS_COST")).cast(
             invoices.schema["ACTUALS_COST"].dataType))
     refresh_months(spark, table, corrected, as_of=AS_OF, years=2)
-    return spark.table(table)
+    return _until_exit(spark, table)
 
 
 QUERIES: dict[str, Query] = {
@@ -343,6 +353,10 @@ QUERIES: dict[str, Query] = {
     "quality_score": quality_score,
     "budget_alignment": budget_alignment,
     "timeline_check": timeline_check,
+}
+
+#: Operators beyond the batch job.
+ADDED: dict[str, Query] = {
     "costs_by_schedule": costs_by_schedule,
     "schedule_row_totals": schedule_row_totals,
     "curve_as_of": curve_as_of,
@@ -371,4 +385,4 @@ def reported(fn: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    return {name: reported(fn) for name, fn in QUERIES.items()}
+    return {name: reported(fn) for name, fn in (QUERIES | ADDED).items()}
