@@ -348,3 +348,61 @@ def test_decimal_percent_column_matches_double(spark):
     a = sorted(tuple(r) for r in planned_value(_budget(spark), sched, as_double).collect())
     b = sorted(tuple(r) for r in planned_value(_budget(spark), sched, as_decimal).collect())
     assert a == b and len(a) > 50
+
+
+def _exact_inputs(spark):
+    """Budgets of many digits and negative ones, a curve with repeated, missing and null values, odd durations."""
+    kind = "SUBSTAGES string, PERCENT_COMPLETIONTIME double, NORM_PERCENT_CUMSPENT decimal(18,10)"
+    points = [("SS - x", k / 100, None if k == 50 else Decimal((k * 7) % 60) / 100 + Decimal(k) * Decimal("0.0000000123"))
+              for k in range(101) if k != 37]
+    curve = spark.createDataFrame(points + [("T - y", k / 100, Decimal(k // 10) / 10) for k in range(101)], kind)
+    keys = [(f"P{i}", "S", "SS" if i % 3 else "T" if i % 2 else "NONE") for i in range(12)]
+    budget = _budget(spark, [(*k, Decimal("98765432101234.5679") * (-1) ** i / (i + 1)) for i, k in enumerate(keys)])
+    schedule = _schedule(spark, [(*k, D(2019, 12, 1, i), D(2019, 12, 1, i) + dt.timedelta(days=3 + i * 37))
+                                 for i, k in enumerate(keys)])
+    return budget, schedule, curve, keys
+
+
+@pytest.mark.parametrize("method", ["bucket", "daily"])
+def test_planned_curve_by_key_equals_windows_over_its_rows(spark, method):
+    from costcurves.operators.planned import dedup_and_accumulate
+
+    budget, schedule, curve, _ = _exact_inputs(spark)
+    got = planned_value(budget, schedule, curve, method=method)
+    want = dedup_and_accumulate(planned_daily(budget, schedule, curve))
+    assert got.dtypes == want.dtypes
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_forecast_of_inputs_equals_that_of_planned_rows(spark):
+    from costcurves.operators.forecast import forecast_of_inputs, future_weights, future_weights_of_inputs
+    from costcurves.schema import KEY
+
+    budget, schedule, curve, keys = _exact_inputs(spark)
+    source = spark.createDataFrame([(*k, D(2020, 1, 1 + i), Decimal("40.10")) for i, k in enumerate(keys[:-2])], COST_SOURCE)
+    actual = actual_value([source], budget, schedule)
+    planned = planned_value(budget, schedule, curve)
+    for as_of in (dt.date(2019, 11, 1), dt.date(2019, 12, 20), dt.date(2020, 6, 1), dt.date(2030, 1, 1)):
+        for new, old in ((forecast_of_inputs, forecast_value), (future_weights_of_inputs, future_weights)):
+            got, want = new(budget, schedule, curve, actual, as_of), old(planned, actual, as_of)
+            assert got.dtypes == want.dtypes and got.columns[:3] == KEY
+            assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_planned_and_forecast_rows_are_neither_shuffled_nor_sorted(spark):
+    from costcurves.operators.forecast import forecast_of_inputs
+
+    budget, schedule, curve, keys = _exact_inputs(spark)
+    source = spark.createDataFrame([(*k, D(2020, 1, 1), Decimal("40.10")) for k in keys], COST_SOURCE)
+    actual = actual_value([source], budget, schedule)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (planned_value(budget, schedule, curve), forecast_of_inputs(budget, schedule, curve, actual, dt.date(2020, 1, 5))):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            above = plan[:plan.index("Generate inline(CURVE")]
+            assert not any(x in above for x in ("Exchange", "Sort", "Window", "Aggregate", "Join"))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
