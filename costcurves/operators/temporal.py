@@ -15,8 +15,11 @@ from ..functions.coerce import to_timestamp_strict
 from ..schema import KEY
 from ..sources.tables import select_schedule
 
-#: Days of a block. A block's rows are one window partition; its last values one row of the next step.
+#: Days of a bucket of intervals.
 BLOCK_DAYS = 32
+#: Days of a block of rows. A block's rows are one window partition; its last values one row of the next step, so blocks of
+#: keys with few rows should not be as many as these.
+ROW_DAYS = 256
 #: Each coarser level of schedule buckets is so many times as wide.
 FAN = 64
 #: Days 1 to 9999-12-31 lie in few buckets of the widest level.
@@ -32,34 +35,48 @@ def block_of(ts: Column, days: int) -> Column:
     return F.floor(day_number(ts) / days).cast("int")
 
 
-def carry_forward(rows: DataFrame, keys: list[str], time: str, columns: list[str], order: str | None = None,
-                  block_days: int = BLOCK_DAYS) -> DataFrame:
+def blocked(rows: DataFrame, keys: list[str], time: str, days: int = ROW_DAYS) -> DataFrame:
+    """``rows`` with their ``_BLOCK``, dealt by (key, block); rows with a null key or time drop.
+
+    What follows by these needs no further shuffle of the rows, and plans that read the same columns share this one: the
+    filters that a join by key and block would infer on one side are stated here.
+    """
+    placed = rows.withColumn("_BLOCK", block_of(F.col(time), days))
+    for c in (*keys, time, "_BLOCK"):
+        placed = placed.filter(F.col(c).isNotNull())
+    return placed.repartition(*keys, "_BLOCK")
+
+
+def carry_forward(rows: DataFrame, keys: list[str], time: str, columns: list[str], order: Column | None = None,
+                  block_days: int = ROW_DAYS) -> DataFrame:
     """``rows`` with each of ``columns`` replaced by its last non-null value at or before the row's time.
 
     ``order`` ranks rows of one time (ascending, nulls first). The last value is carried inside a block of days
     by one window, and from block to block by a window over one row a block. Rows with a null key or time get no
-    value from others. ``rows`` is read twice, the second time for its keys, times and values only: a stored table is
-    best.
+    value from others. ``rows`` is shuffled once, by (key, block), and read again for those with nulls.
     """
     kept = [c for c in rows.columns if c not in columns]
-    by = [F.col(time).asc()] + ([F.col(order).asc()] if order else [])
-    rows = rows.withColumn("_BLOCK", block_of(F.col(time), block_days))
-    present = F.col(time).isNotNull()
+    by = [F.col(time), *([] if order is None else [order])]
+    lost = F.col(time).isNull()
     for k in keys:
-        present = present & F.col(k).isNotNull()
-    last = F.struct(F.col(time), *([F.col(order)] if order else []))
-    ends = rows.filter(present).groupBy(*keys, "_BLOCK").agg(*[
-        F.max_by(c, F.when(F.col(c).isNotNull(), last)).alias(c) for c in columns])
+        lost = lost | F.col(k).isNull()
+    empty = rows.filter(lost).withColumns({c: F.lit(None).cast(rows.schema[c].dataType) for c in columns})
+    rows = blocked(rows, keys, time, block_days)
+    last = F.struct(*by)
+    # All columns are read, so that the blocks' ends and the rows come from one shuffle.
+    others = [F.count(c) for c in kept if c not in (*keys, time)]
+    ends = rows.groupBy(*keys, "_BLOCK").agg(sum(others, F.lit(0)).alias("_READ"), F.max(last).alias("_LAST"), *[
+        F.max_by(c, F.when(F.col(c).isNotNull(), last)).alias(c) for c in columns]).filter("_READ >= 0 and _LAST is not null")
     earlier = Window.partitionBy(*keys).orderBy("_BLOCK").rowsBetween(Window.unboundedPreceding, -1)
     carried = ends.select(*keys, "_BLOCK", *[F.last(c, ignorenulls=True).over(earlier).alias(f"_BEFORE_{c}") for c in columns])
-    inside = Window.partitionBy(*keys, "_BLOCK").orderBy(*by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    filled = rows.withColumns({c: F.when(present, F.last(c, ignorenulls=True).over(inside)) for c in columns})
+    inside = Window.partitionBy(*keys, "_BLOCK").orderBy(*[c.asc() for c in by]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    filled = rows.withColumns({c: F.last(c, ignorenulls=True).over(inside) for c in columns})
     return filled.join(carried, [*keys, "_BLOCK"], "left").select(
-        *kept, *[F.coalesce(c, f"_BEFORE_{c}").alias(c) for c in columns])
+        *kept, *[F.coalesce(c, f"_BEFORE_{c}").alias(c) for c in columns]).unionByName(empty.select(*kept, *columns))
 
 
 def as_of_join(left: DataFrame, right: DataFrame, keys: list[str], left_time: str, right_time: str,
-               columns: list[str], block_days: int = BLOCK_DAYS) -> DataFrame:
+               columns: list[str], block_days: int = ROW_DAYS) -> DataFrame:
     """Every row of ``left`` with ``columns`` and ``right_time`` of the last ``right`` row of its key at or before its time.
 
     A left join: null without such a row, and for null keys and times. Of right rows of one key and time the one with
@@ -69,26 +86,32 @@ def as_of_join(left: DataFrame, right: DataFrame, keys: list[str], left_time: st
     clash = {right_time, *columns} & (set(left.columns) - {left_time})
     if clash:
         raise ValueError(f"both sides have columns {sorted(clash)}")
-    matched = F.struct(F.col(right_time), *[F.col(c) for c in columns])
-    a = left.select(*keys, F.col(left_time).alias("_TIME"), F.struct(*[F.col(c) for c in left.columns]).alias("_ROW"))
-    b = right.dropna(subset=[*keys, right_time]).groupBy(*keys, F.col(right_time).alias("_TIME")).agg(
-        F.max(matched).alias("_MATCH"))
-    both = b.select("*", F.lit(0).alias("_SIDE"), F.lit(None).cast(a.schema["_ROW"].dataType).alias("_ROW")).unionByName(
-        a.select("*", F.lit(1).alias("_SIDE"), F.lit(None).cast(b.schema["_MATCH"].dataType).alias("_MATCH")))
-    found = carry_forward(both, keys, "_TIME", ["_MATCH"], "_SIDE", block_days).filter("_SIDE = 1")
-    match = [F.col(f"_MATCH.{c}").alias(c) for c in ([] if right_time == left_time else [right_time]) + columns]
-    return found.select("_ROW.*", *match)
+    # Rows carry their keys and time once. Right rows come before left ones of their time, the greatest last.
+    others = [c for c in left.columns if c not in (*keys, left_time)]
+    a = left.select(*keys, F.col(left_time).alias("_TIME"), F.struct(F.lit(1).alias("_LEFT"), *others).alias("_ROW"))
+    b = right.dropna(subset=[*keys, right_time]).select(
+        *keys, F.col(right_time).alias("_TIME"), F.struct(F.col(right_time).alias("_AT"), *columns).alias("_MATCH"))
+    both = b.select("*", F.lit(None).cast(a.schema["_ROW"].dataType).alias("_ROW")).unionByName(
+        a.select("*", F.lit(None).cast(b.schema["_MATCH"].dataType).alias("_MATCH")))
+    order = F.struct(F.col("_ROW").isNotNull(), "_MATCH")
+    found = carry_forward(both, keys, "_TIME", ["_MATCH"], order, block_days).filter("_ROW is not null")
+    row = [F.col(c) if c in keys else F.col("_TIME").alias(c) if c == left_time else F.col(f"_ROW.{c}") for c in left.columns]
+    match = [F.col("_MATCH._AT" if c == right_time else f"_MATCH.{c}").alias(c)
+             for c in ([] if right_time == left_time else [right_time]) + columns]
+    return found.select(*row, *match)
 
 
 def running(rows: DataFrame, keys: list[str], time: str, amount: str, total: str, combine: Callable = F.sum) -> DataFrame:
     """``rows`` (one a key and time) with ``total``: ``amount`` combined up to the row's time.
 
-    Two levels: one value a block, and one window inside each block. ``combine`` is F.sum, F.max or F.min.
+    Two levels: one value a block, and one window inside each block. ``combine`` is F.sum, F.max or F.min. Rows
+    that are ``blocked`` already keep their ``_BLOCK`` and are not shuffled.
     """
     kind = rows.schema[amount].dataType
-    rows = rows.withColumn("_BLOCK", block_of(F.col(time), BLOCK_DAYS))
-    earlier = Window.partitionBy(*keys).orderBy("_BLOCK").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = rows.groupBy(*keys, "_BLOCK").agg(combine(amount).alias("_SUM")).select(
+    dealt = "_BLOCK" in rows.columns
+    rows = rows if dealt else blocked(rows, keys, time)
+    earlier = Window.partitionBy(*keys).orderBy("_LAST").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = rows.groupBy(*keys, "_BLOCK").agg(combine(amount).alias("_SUM"), F.max(time).alias("_LAST")).select(
         *keys, "_BLOCK", combine("_SUM").over(earlier).alias("_BEFORE"))
     inside = Window.partitionBy(*keys, "_BLOCK").orderBy(time).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumn(total, combine(amount).over(inside))
@@ -96,7 +119,7 @@ def running(rows: DataFrame, keys: list[str], time: str, amount: str, total: str
         both = F.col(total) + F.coalesce("_BEFORE", F.lit(0))
     else:
         both = {F.max: F.greatest, F.min: F.least}[combine](total, "_BEFORE")
-    return rows.join(blocks, [*keys, "_BLOCK"]).withColumn(total, both.cast(kind)).drop("_BLOCK", "_BEFORE")
+    return rows.join(blocks, [*keys, "_BLOCK"]).withColumn(total, both.cast(kind)).drop("_BEFORE", *([] if dealt else ["_BLOCK"]))
 
 
 def bucketed_intervals(intervals: DataFrame, start: str, end: str, days: int = BLOCK_DAYS, fan: int = FAN) -> DataFrame:
