@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from ..schema import AMOUNT, KEY
 from .actuals import cost_amounts, union_cost_sources
-from .temporal import running
+from .temporal import blocked, running
 
 
 def control_cube(cost_sources: list[DataFrame], actual: DataFrame) -> DataFrame:
@@ -48,9 +48,10 @@ def shortfall_episodes(actual: DataFrame) -> DataFrame:
     FIRST_DATE, LAST_DATE, DATES, the length in days, the greatest depth, and whether the curve has come back since.
     """
     value = "CUMULATIVE_ACTUAL_COST"
-    rows = actual.select(*KEY, "INVOICE_DATE", value)
-    rows = running(rows, KEY, "INVOICE_DATE", value, "_PEAK", F.max)
-    last = actual.groupBy(*KEY).agg(F.max("INVOICE_DATE").alias("_LAST"))
+    # The curve is computed and dealt by (key, block) once. The last date is read with its value: the same columns, the same shuffle.
+    curve = blocked(actual.select(*KEY, "INVOICE_DATE", value), KEY, "INVOICE_DATE")
+    rows = running(curve, KEY, "INVOICE_DATE", value, "_PEAK", F.max)
+    last = curve.groupBy(*KEY).agg(F.max(F.struct("INVOICE_DATE", value))["INVOICE_DATE"].alias("_LAST"))
     depth = (F.col("_PEAK") - F.col(value)).cast(actual.schema[value].dataType)
     found = episodes(rows, KEY, "INVOICE_DATE", F.col(value) < F.col("_PEAK"), [F.max(depth).alias("DEPTH")])
     length = F.datediff(F.col("LAST_DATE").cast("date"), F.col("FIRST_DATE").cast("date")) + 1
