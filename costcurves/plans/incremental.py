@@ -4,8 +4,8 @@ The state is one table of net costs, one row a key and invoice date: (K, INVOICE
 RUNNING_COST), in folders by a hash of the key. A batch is summed per key and date and merged:
 
 * only folders that hold a key of the batch are read and written; files of the others keep their names;
-* dates of the batch get its costs added, and every date of a touched key from there on is shifted by the running total
-  of the batch. Running totals are not summed again over the old rows.
+* dates of the batch get its costs added, and the running totals of the touched folders are summed again, in blocks of
+  days: their rows are shuffled once, which a shift of the old totals would need as well.
 
 Dates whose costs cancel out stay in the state with 0, since a later batch may change them; the curve leaves
 them out. A merge first writes its rows apart and then replaces the touched folders (dynamic partition
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.actuals import budget_rollup, curve_rows, daily_costs, union_cost_sources
-from ..operators.temporal import carry_forward, running
+from ..operators.temporal import blocked, running
 from ..schema import ACTUAL_COLUMNS, FREE_SCALE, KEY, MONEY_DIGITS
 
 PARTS = 64
@@ -103,12 +103,9 @@ class CostState:
 
 def merged(state: DataFrame, changes: DataFrame) -> DataFrame:
     """The state's rows with a batch of changes (K, INVOICE_DATE, ACTUALS_COST, PART), one a key and date."""
-    on = [*KEY, "PART", "INVOICE_DATE"]
-    shifts = running(changes.withColumnRenamed("ACTUALS_COST", "_CHANGE"), [*KEY, "PART"], "INVOICE_DATE", "_CHANGE", "_SHIFT")
-    rows = state.join(shifts, on, "full")
-    # A date of the batch takes the running total known before it; every date takes the shift known on it.
-    rows = carry_forward(rows, [*KEY, "PART"], "INVOICE_DATE", ["RUNNING_COST", "_SHIFT"])
-    zero = F.lit(0).cast(AMOUNT_TYPE)
-    total = lambda a, b: (F.coalesce(a, zero) + F.coalesce(b, zero)).cast(AMOUNT_TYPE)
-    return rows.select(*KEY, "INVOICE_DATE", total("ACTUALS_COST", "_CHANGE").alias("ACTUALS_COST"),
-                       total("RUNNING_COST", "_SHIFT").alias("RUNNING_COST"), "PART")
+    old = state.select(*KEY, "PART", "INVOICE_DATE", "ACTUALS_COST")
+    rows = blocked(old.unionByName(changes.select(*old.columns)), [*KEY, "PART"], "INVOICE_DATE")
+    # Both sides have one row a key and date, so nothing is summed before this one shuffle.
+    rows = rows.groupBy(*KEY, "PART", "_BLOCK", "INVOICE_DATE").agg(F.sum("ACTUALS_COST").cast(AMOUNT_TYPE).alias("ACTUALS_COST"))
+    rows = running(rows, [*KEY, "PART"], "INVOICE_DATE", "ACTUALS_COST", "RUNNING_COST")
+    return rows.select(*KEY, "INVOICE_DATE", "ACTUALS_COST", F.col("RUNNING_COST").cast(AMOUNT_TYPE).alias("RUNNING_COST"), "PART")
