@@ -45,6 +45,8 @@ from .shingles import mix, shingle_sets, sliced
 SMALL = 64
 FEW = 256
 PIVOTS = 4
+#: Rows for which the support test takes another bucket.
+ROWS_A_BUCKET = 2500
 RECORDS = "bucket int, ids binary, tokens binary, refs binary, sizes binary, digests binary, counts binary"
 LOCAL = np.uint16(65535)
 
@@ -170,7 +172,9 @@ def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def support(rows: DataFrame, read: Callable, whole: bool) -> DataFrame:
     """(doc_id, n, digest, supported) of every row; ``supported``: enough of its shingles occur elsewhere."""
-    buckets = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 2
+    # A slice sends a record to each bucket that it has shingles for, so buckets are no more than the rows need.
+    most = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 2
+    buckets = max(1, min(most, -(-rows.count() // ROWS_A_BUCKET)))
 
     def send(batches):
         return sent(read(batches), buckets, whole)
