@@ -15,7 +15,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-from .word_cache import JOINED
+from .shingles import sliced
+from .word_cache import AT_ONCE, JOINED
 
 SLICE = 8 << 20
 
@@ -53,9 +54,13 @@ class SliceBpe:
 
     def whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of each text, all ids)."""
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        counts = np.fromiter(map(len, found), np.int64, len(found))
-        return counts, np.fromiter(chain.from_iterable(found), np.int64, int(counts.sum()))
+        counts, ids = [np.empty(0, np.int64)], [np.empty(0, np.int32)]
+        # The library's results hold some hundred bytes a token: few at a time.
+        for part in sliced(((t,) for t in texts), size=0, limit=AT_ONCE):
+            found = [e.ids for e in self.tokenizer.encode_batch_fast([t for t, in part], add_special_tokens=False)]
+            counts.append(np.fromiter(map(len, found), np.int64, len(found)))
+            ids.append(np.fromiter(chain.from_iterable(found), np.int32, int(counts[-1].sum())))
+        return np.concatenate(counts), np.concatenate(ids)
 
     def spaced(self, pieces: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """As ``whole``, of pieces of these many bytes with a space before each: many in one text, told apart by their bytes."""
