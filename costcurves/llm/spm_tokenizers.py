@@ -33,7 +33,7 @@ from sentencepiece import SentencePieceProcessor
 from tokenizers import Regex, Tokenizer, decoders, models, normalizers
 
 from .common import trimmed, whole_text
-from .shingles import sliced
+from .slice_bpe import text_slices
 from .word_cache import AT_ONCE, JOINED, KEPT, CachedWords, kept_by_worker
 
 MARK = "▁"
@@ -233,19 +233,17 @@ def encoded(docs: DataFrame, model: bytes, threads: int = THREADS, id_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["RAYON_NUM_THREADS"] = str(threads)
         words = kept_by_worker(key, lambda: SpmWords(model))
-        for batch in batches:
-            at = 0
-            for part in sliced(zip(batch.column(0), batch.column(1).to_pylist(), strict=True), limit=AT_ONCE):
-                found = words.encode([t for _, t in part])
-                ids = [np.frombuffer(e, f"<u{words.width}").astype(np.int32) for e in found]
-                offsets = np.cumsum([0] + [len(i) for i in ids]).astype(np.int32)
-                decoded = words.decode(found)
-                same = [t == d for (_, t), d in zip(part, decoded, strict=True)]
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(at, len(part)),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids))),
-                    pa.array(decoded), pa.array(same), pa.array([words.parity(t) for _, t in part])],
-                    names=["doc_id", "ids", "decoded", "round_trip", "parity"])
-                at += len(part)
+        # Slices are cut before their texts become Python strings.
+        for rows in text_slices(batches, 1, AT_ONCE):
+            texts = rows.column(1).to_pylist()
+            found = words.encode(texts)
+            ids = [np.frombuffer(e, f"<u{words.width}").astype(np.int32) for e in found]
+            offsets = np.cumsum([0] + [len(i) for i in ids]).astype(np.int32)
+            decoded = words.decode(found)
+            same = [t == d for t, d in zip(texts, decoded, strict=True)]
+            yield pa.RecordBatch.from_arrays([
+                rows.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids))),
+                pa.array(decoded), pa.array(same), pa.array([words.parity(t) for t in texts])],
+                names=["doc_id", "ids", "decoded", "round_trip", "parity"])
 
     return rows.mapInArrow(trimmed(run, key), f"doc_id {kind}, ids array<int>, decoded string, round_trip boolean, parity boolean")

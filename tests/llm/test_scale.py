@@ -5,9 +5,11 @@ from __future__ import annotations
 import glob
 
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 
-from costcurves.llm import pivot_join, slice_bpe, stream_dedup
+from costcurves.llm import pivot_join, slice_bpe, spm_tokenizers, stream_dedup
+from costcurves.llm.queries import spm_model
 from costcurves.llm.word_cache import AT_ONCE
 
 
@@ -44,3 +46,20 @@ def test_texts_are_encoded_few_at_a_time():
     counts, ids = coder.whole(texts)
     assert coder.tokenizer.most <= AT_ONCE + len(texts[-1])
     assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
+def test_sentencepiece_slices_have_few_texts(spark, monkeypatch):
+    seen = []
+    real = spm_tokenizers.text_slices
+
+    def cut(batches, column, limit):
+        for rows in real(batches, column, limit):
+            seen.append(rows.column(column).nbytes)
+            yield rows
+
+    monkeypatch.setattr(spm_tokenizers, "text_slices", cut)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(30)), pa.array(["a b c " * 50_000] * 30)], names=["doc_id", "text"])
+    assert sum(rows.num_rows for rows in spm_tokenizers.text_slices(iter([batch]), 1, AT_ONCE)) == 30
+    assert max(seen) <= AT_ONCE + 1024
+    docs = spark.createDataFrame([(i, f"text {i} of some words " * 20) for i in range(50)], "doc_id long, text string")
+    assert spm_tokenizers.encoded(docs, spm_model()).filter("size(ids) > 0").count() == 50
