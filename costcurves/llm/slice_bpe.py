@@ -2,7 +2,8 @@
 
 Byte-level BPE works inside pre-tokens that begin at a single space between characters that are no white space, so
 texts are cut there. Cutting, finding the distinct pieces and putting the ids together are array operations; the library
-sees distinct pieces only. Texts whose cuts are not certain, or that spell out an added token, are encoded whole.
+sees distinct pieces only, and those that a worker keeps from the slices before only once. Texts whose cuts are not
+certain, or that spell out an added token, are encoded whole.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from .shingles import sliced
 from .word_cache import AT_ONCE, JOINED
 
 SLICE = 8 << 20
+#: Pieces that a worker keeps from slice to slice, those met first, and the most bytes of one: some 20 MB with their ids, 80 at most.
+KEPT_PIECES, KEPT_BYTES = 500_000, 32
 
 
 def text_slices(batches: Iterator[pa.RecordBatch], column: int, limit: int = SLICE) -> Iterator[pa.RecordBatch]:
@@ -51,6 +54,8 @@ class SliceBpe:
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added else []
         #: Bytes that each id stands for: a byte-level token has one character a byte.
         self.bytes = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(self.tokenizer.get_vocab_size())])
+        #: Pieces kept, and as ``whole`` their ids with a space before each.
+        self.kept, self.kept_counts, self.kept_ids = pa.array([], pa.string()), np.empty(0, np.int64), np.empty(0, np.int32)
 
     def whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of each text, all ids)."""
@@ -73,6 +78,22 @@ class SliceBpe:
             return self.whole([" " + p for p in pieces])
         return np.diff(last + 1, prepend=0), flat
 
+    def looked_up(self, pieces: pa.Array, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(unit of each piece, ids of each unit, all ids) of distinct pieces as for ``spaced``: only new ones are encoded."""
+        place = pc.index_in(pieces, value_set=self.kept.cast(pieces.type))
+        old = place.is_valid().to_numpy(zero_copy_only=False)
+        new, size = pieces.filter(place.is_null()), sizes[~old]
+        counts, flat = self.spaced(new.to_pylist(), size)
+        unit = np.empty(len(pieces), np.int64)
+        unit[old], unit[~old] = place.drop_null().to_numpy(), len(self.kept) + np.arange(len(new))
+        all_counts, all_ids = np.concatenate([self.kept_counts, counts]), np.concatenate([self.kept_ids, flat])
+        keep = np.flatnonzero(size <= KEPT_BYTES)[:KEPT_PIECES - len(self.kept)]
+        if len(keep):
+            self.kept = pa.concat_arrays([self.kept.cast(pieces.type), new.take(pa.array(keep))])
+            self.kept_counts = np.concatenate([self.kept_counts, counts[keep]])
+            self.kept_ids = np.concatenate([self.kept_ids, stretches(counts, flat, keep)])
+        return unit, all_counts, all_ids
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of each text, all ids) of texts without nulls."""
         n = len(texts)
@@ -90,18 +111,21 @@ class SliceBpe:
         for token in self.added:
             certain &= ~pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
 
-        # Units: distinct pieces, then each certain text's first piece, then each other text whole.
+        # Units: kept and new distinct pieces, then each certain text's first piece, then each other text whole.
         inner = np.repeat(certain, sizes) & ~first
         used = np.zeros(len(distinct), bool)
         used[which[inner]] = True
         heads = [distinct[w] for w in which[starts[certain]].tolist()]
         rest = [t for t, c in zip(texts.to_pylist(), certain.tolist(), strict=True) if not c] if not certain.all() else []
-        found = [self.spaced([p for p, u in zip(distinct, used.tolist(), strict=True) if u], lengths[used]), self.whole(heads), self.whole(rest)]
-        counts, flat = (np.concatenate(x) for x in zip(*found, strict=True))
-        unit = np.cumsum(used)[which] - 1
+        place, *found = self.looked_up(coded.dictionary.filter(pa.array(used)), lengths[used])
+        words = len(found[0])
+        counts, flat = (np.concatenate(x) for x in zip(found, self.whole(heads), self.whole(rest), strict=True))
+        units = np.zeros(len(distinct), np.int64)
+        units[used] = place
+        unit = units[which]
         firsts = np.empty(n, np.int64)
-        firsts[certain] = used.sum() + np.arange(len(heads))
-        firsts[~certain] = used.sum() + len(heads) + np.arange(len(rest))
+        firsts[certain] = words + np.arange(len(heads))
+        firsts[~certain] = words + len(heads) + np.arange(len(rest))
         unit[starts] = firsts
         kept = inner | first
         ids = stretches(counts, flat, unit[kept])

@@ -63,3 +63,20 @@ def test_sentencepiece_slices_have_few_texts(spark, monkeypatch):
     assert max(seen) <= AT_ONCE + 1024
     docs = spark.createDataFrame([(i, f"text {i} of some words " * 20) for i in range(50)], "doc_id long, text string")
     assert spm_tokenizers.encoded(docs, spm_model()).filter("size(ids) > 0").count() == 50
+
+
+def test_pieces_are_encoded_once_by_a_worker(monkeypatch):
+    """Pieces of earlier slices are not given to the library again; past the bound they are, with the same ids."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = pa.array([" ".join(f"word{(i + k) % 400}" for k in range(200)) for i in range(30)] + ["", "a  b\n c", "x " + "y" * 100])
+    plain = slice_bpe.SliceBpe(path).tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)
+    for bound in (500_000, 7):
+        monkeypatch.setattr(slice_bpe, "KEPT_PIECES", bound)
+        coder, seen = slice_bpe.SliceBpe(path), []
+        real = coder.spaced
+        monkeypatch.setattr(coder, "spaced", lambda pieces, sizes: seen.append(len(pieces)) or real(pieces, sizes))  # noqa: B023
+        for _ in range(3):
+            counts, ids = coder.encode(texts)
+            assert counts.tolist() == [len(e.ids) for e in plain] and ids.tolist() == [i for e in plain for i in e.ids]
+        assert len(coder.kept) == len(coder.kept_counts) == min(bound, seen[0] - 1)  # the piece of 100 letters is not kept
+        assert seen[1:] == [seen[0] - len(coder.kept)] * 2 and coder.kept_counts.sum() == len(coder.kept_ids)
