@@ -8,6 +8,8 @@ says, and every copy is encoded.
 Defined cases: null texts and metadata pass through as the operators define them. Ids that repeat or are
 null do not join rows: each row is a document of its own, the smallest id stays, null counting as the
 largest, and exactly one row of each group does. An empty table gives an empty result. Columns besides those of ``documents`` are left out.
+
+A session that sets no bound on the bytes of an Arrow batch gets one (``common.with_small_batches``); it changes no result.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costcurves.llm import cotraining, pivot_join, poisson_mix, spm_tokenizers, stream_dedup
-from costcurves.llm.common import documents, stored, without
+from costcurves.llm.common import documents, stored, with_small_batches, without
 from costcurves.llm.queries import spm_model
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -24,6 +26,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained classifier accepts."""
+    with_small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return cotraining.accepted(docs.select(*COLUMNS), labels)
 
@@ -35,6 +38,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_linked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by their shingles the one with the smallest id."""
+    with_small_batches(spark)
     docs = docs.select(*COLUMNS)
     if docs.groupBy("doc_id").count().filter("doc_id is null or count > 1").isEmpty():
         found = pivot_join.linked_documents(docs).filter("component_id != doc_id").select("doc_id")
@@ -56,6 +60,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SentencePiece ids of every copy; ``round_trip``: the ids decode to the text."""
+    with_small_batches(spark)
     rows = spm_tokenizers.encoded(docs, spm_model())
     return rows.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", "round_trip", "parity")
 

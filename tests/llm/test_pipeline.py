@@ -2,10 +2,12 @@
 
 import re
 
+import pyarrow as pa
 from sentencepiece import SentencePieceProcessor
 
 import corpus_pipeline
 from costcurves.llm import cotraining, poisson_mix, queries
+from costcurves.llm.common import BATCH_BYTES
 
 from .test_pivot_join import brute
 
@@ -71,3 +73,31 @@ def test_empty(spark, sf_dir, tmp_path):
     docs.limit(0).write.parquet(str(tmp_path / "documents.parquet"))
     spark.read.parquet(f"{sf_dir}/labels.parquet").write.parquet(str(tmp_path / "labels.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_workers_get_few_bytes_at_once(spark, sf_dir, monkeypatch):
+    """Batches of long texts are bounded by bytes in the last stage, not by rows alone; a session's own bound stays."""
+    seen = []
+    real = corpus_pipeline.spm_tokenizers.encoded
+
+    def counted(docs, model):
+        def sizes(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["bytes"])
+
+        seen.extend(r["bytes"] for r in docs.select("doc_id", "text").mapInArrow(sizes, "bytes long").collect())
+        return real(docs, model)
+
+    monkeypatch.setattr(corpus_pipeline.spm_tokenizers, "encoded", counted)
+    docs = spark.range(0, 600, 1, 1).selectExpr("id as doc_id", "repeat(concat('word', id, ' '), 10000) as text", "'en' as lang",
+                                                "'s' as source", "1L as n_chars")
+    before = spark.conf.get(BATCH_BYTES, None)
+    try:
+        spark.conf.unset(BATCH_BYTES)
+        corpus_pipeline.encode(spark, docs, sf_dir)
+        assert sum(seen) > 40 << 20 and max(seen) < 10 << 20
+        spark.conf.set(BATCH_BYTES, "2m")
+        corpus_pipeline.encode(spark, docs, sf_dir)
+        assert spark.conf.get(BATCH_BYTES) == "2m"
+    finally:
+        spark.conf.unset(BATCH_BYTES) if before is None else spark.conf.set(BATCH_BYTES, before)
