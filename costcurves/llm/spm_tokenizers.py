@@ -34,10 +34,12 @@ from tokenizers import Regex, Tokenizer, decoders, models, normalizers
 
 from .common import trimmed, whole_text
 from .slice_bpe import text_slices
-from .word_cache import AT_ONCE, JOINED, KEPT, CachedWords, kept_by_worker
+from .word_cache import JOINED, KEPT, CachedWords, kept_by_worker
 
 MARK = "▁"
 THREADS = 2
+#: Bytes of text encoded at once: their words as Python objects take some fifty times that.
+SLICE = 1 << 18
 # Numbers of the message's fields and of its enumerations.
 PIECES, TRAINER, NORMALISER = 1, 2, 3
 PIECE_TEXT, PIECE_SCORE, PIECE_TYPE = 1, 2, 3
@@ -154,6 +156,8 @@ class SpmWords(CachedWords):
         self.bad: set[str] = set()
         self.marked = np.array([p.startswith(MARK) for p, _, _ in self.model.pieces])
         self.texts: dict[bytes, str] = {}
+        #: Pieces of the last slice that were new, by their ids: ``texts`` holds the very objects of ``cache``, not copies.
+        self.fresh: dict[bytes, tuple[bytes, str]] = {}
         inside = re.compile(f"[^{MARK}]{MARK}")
         #: Whether texts may be cut: no piece reaches over a space that follows another character.
         self.cuts = self.model.dummy_prefix and self.model.escape_spaces and not any(
@@ -182,6 +186,7 @@ class SpmWords(CachedWords):
                 found.update((p, packed[a:b]) for p, a, b in zip(group, edges, edges[1:]))
         left = [p for p, ids in found.items() if ids is None]
         found.update(zip(left, self.whole(left), strict=True))
+        self.fresh = {ids: (ids, p) for p, ids in found.items()}
         return list(found.values())
 
     def parity(self, text: str) -> bool:
@@ -218,7 +223,8 @@ class SpmWords(CachedWords):
         if len(self.texts) + len(new) > KEPT:
             self.texts = dict(islice(self.texts.items(), KEPT // 2))
             new = list(used.difference(self.texts))
-        self.texts.update(zip(new, self.words_of(new), strict=True))
+        held = [self.fresh.get(w, (w, "")) for w in new]
+        self.texts.update((ids, p if p == t else t) for (ids, p), t in zip(held, self.words_of(new), strict=True))
         # The decoder drops the space of a word's mark; between words it is put back.
         return [" ".join(map(self.texts.__getitem__, ws)) for ws in cut]
 
@@ -234,7 +240,7 @@ def encoded(docs: DataFrame, model: bytes, threads: int = THREADS, id_col: str =
         os.environ["RAYON_NUM_THREADS"] = str(threads)
         words = kept_by_worker(key, lambda: SpmWords(model))
         # Slices are cut before their texts become Python strings.
-        for rows in text_slices(batches, 1, AT_ONCE):
+        for rows in text_slices(batches, 1, SLICE):
             texts = rows.column(1).to_pylist()
             found = words.encode(texts)
             ids = [np.frombuffer(e, f"<u{words.width}").astype(np.int32) for e in found]

@@ -80,3 +80,25 @@ def test_pieces_are_encoded_once_by_a_worker(monkeypatch):
             assert counts.tolist() == [len(e.ids) for e in plain] and ids.tolist() == [i for e in plain for i in e.ids]
         assert len(coder.kept) == len(coder.kept_counts) == min(bound, seen[0] - 1)  # the piece of 100 letters is not kept
         assert seen[1:] == [seen[0] - len(coder.kept)] * 2 and coder.kept_counts.sum() == len(coder.kept_ids)
+
+
+def test_sentencepiece_worker_holds_little(spark, monkeypatch):
+    """A worker cuts batches in slices of at most 256 KB, and what it keeps to decode are the objects that it keeps to encode."""
+    held, seen = [], []
+    words = spm_tokenizers.SpmWords(spm_model())
+    monkeypatch.setattr(spm_tokenizers, "trimmed", lambda f, keeps: held.append(f) or f)
+    monkeypatch.setattr(spm_tokenizers, "kept_by_worker", lambda key, make: words)
+    docs = spark.createDataFrame([(0, "")], "doc_id long, text string")
+    spm_tokenizers.encoded(docs, spm_model())
+    real = words.encode
+    monkeypatch.setattr(words, "encode", lambda texts: seen.append(sum(map(len, texts))) or real(texts))
+    texts = [" ".join(f"word{(7 * i + k) % 900}" for k in range(400)) for i in range(300)] + ["", "a  b\n c", "x " * 200_000]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    out = pa.Table.from_batches(held[0](iter([batch])))
+    assert sum(seen) == sum(map(len, texts)) and sorted(seen)[-2] <= 1 << 18 and max(seen) == 400_000
+    want = words.other.encode(texts, num_threads=1)
+    assert out["ids"].to_pylist() == want and all(out["parity"].to_pylist())
+    assert out["decoded"].to_pylist()[:300] == texts[:300]
+    keys, values = {id(p) for p in words.cache}, {id(v) for v in words.cache.values()}
+    numbered = [(ids, t) for ids, t in words.texts.items() if t.startswith("word")]
+    assert len(numbered) == 900 and all(id(ids) in values and id(t) in keys for ids, t in numbered)
