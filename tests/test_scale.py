@@ -6,11 +6,13 @@ import datetime as dt
 import os
 import re
 import tempfile
+from decimal import Decimal
 
 import pytest
 
 from costcurves.operators import summaries, temporal
-from costcurves.operators.actuals import actual_value
+from costcurves.operators.actuals import actual_value, position_of_costs
+from costcurves.operators.forecast import actual_position
 from costcurves.operators.planned import planned_value
 from costcurves.plans import incremental, jobs, registry
 from costcurves.schema import KEY
@@ -88,3 +90,35 @@ def test_stored_plans_cut_budget_and_schedule_from_the_facts(spark, sf_dir):
     shared = registry._planned_inputs(spark, sf_dir)
     assert "l_suppkey" not in "\n".join(plan(shared.schedule))
     assert sorted(map(str, shared.schedule.collect())) == sorted(map(str, fixture_inputs(spark, sf_dir).schedule.collect()))
+
+
+def test_curve_queries_join_and_deal_the_costs_once(plain, sf_dir):
+    _, c = registry._curves(plain, sf_dir)
+    for df in (c.combined, c.forecast, c.position):
+        lines = plan(df)
+        assert "l_extendedprice" not in "\n".join(lines)
+        # The union of the sources is summed once, by key and date, and dealt once, by key and block.
+        assert shuffles(df, "INVOICE_DATE") == 1
+        assert sum("REPARTITION_BY_COL" in x and "Reused" not in x for x in lines) == 1
+    # No row of the actual curve is made for the forecast.
+    assert not any("Join" in x and "_DAYS" in x for x in plan(c.forecast))
+
+
+COST = "PROJECTID string, STAGEPHASE_CODE string, SUBSTAGEACTIVITY_CODE string, INVOICE_DATE timestamp_ntz, ACTUALS_COST decimal(18,2)"
+
+
+def test_position_of_costs_is_that_of_the_curve(spark):
+    d0 = dt.datetime(2019, 12, 30)
+    rows = [("P", "S", "A", d0 + dt.timedelta(days=d), Decimal(c)) for d, c in ((0, 10), (0, 5), (300, -4), (900, 7), (901, 3), (901, -3))]
+    rows += [("Q", "S", "A", d0, Decimal(2)), ("Q", "S", "A", d0, Decimal(-2)), ("R", "S", "A", d0, Decimal(1)), (None, "S", "A", d0, Decimal(9)),
+             ("R", "S", "A", None, Decimal(9)), ("T", "S", "A", d0 - dt.timedelta(days=40_000), Decimal(4))]
+    costs = spark.createDataFrame(rows, COST)
+    budget = spark.createDataFrame([("P", "S", "A", Decimal(5)), ("P", "S", "A", Decimal(6)), ("T", "S", "A", None)],
+                                   f"{NAMES}, BUDGET_CURRENT_APPROVED decimal(20,4)")
+    schedule = spark.createDataFrame([("P", "S", "A", d0, d0), ("P", "S", "A", d0, None)], "PROJECTID string, STAGECODE string, "
+                                     "STAGESUBSTAGECODE string, CURRENTSTART timestamp_ntz, CURRENTEND timestamp_ntz")
+    want = actual_position(actual_value([costs, costs], budget, schedule))
+    got = position_of_costs([costs, costs], budget, schedule)
+    assert got.dtypes == want.dtypes
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() == 3
+    assert {r.PROJECT_NUMBER: int(r.TOTAL_ACTUAL_COST) for r in got.collect()} == {"P": 72, "R": 2, "T": 8}
