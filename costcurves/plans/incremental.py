@@ -5,26 +5,26 @@ RUNNING_COST), in folders by a hash of the key. A batch is summed per key and da
 
 * only folders that hold a key of the batch are read and written; files of the others keep their names;
 * dates of the batch get its costs added, and the running totals of the touched folders are summed again, in blocks of
-  days: their rows are shuffled once, which a shift of the old totals would need as well.
+  days: their rows are shuffled once, which a shift of the old totals would need as well. What a key has before a block
+  comes with the rows, as one more row of the block, and rows are dealt by (folder, block), so they are written where they lie.
 
 Dates whose costs cancel out stay in the state with 0, since a later batch may change them; the curve leaves
-them out. A merge first writes its rows apart and then replaces the touched folders (dynamic partition
-overwrite, which moves whole folders at its commit): until then a failure leaves the old state, and lost
-executors never read a folder that is being replaced. The numbers of the touched folders, at most ``PARTS``, are all that the driver
-sees.
+them out. A merge first writes its folders apart and then moves them, one by one, to the place of the touched ones: until then a
+failure leaves the old state, and lost executors never read a folder that is being replaced. The numbers of the touched
+folders, at most ``PARTS``, are all that the driver sees.
 
 Merged batches leave their name beside the table, so a batch that is delivered again changes nothing. Should the driver end
-between the two writes, the batch is merged again from the rows that it had written apart: the state that they were
-computed from is named in them, and rows of touched folders are whole, so writing them twice is harmless.
+while folders are moved, the next call with the batch's name moves the others: rows of touched folders are whole, and one
+that was moved is no longer apart.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.actuals import budget_rollup, curve_rows, daily_costs, union_cost_sources
-from ..operators.temporal import blocked, running
+from ..operators.temporal import ROW_DAYS, block_of
 from ..schema import ACTUAL_COLUMNS, FREE_SCALE, KEY, MONEY_DIGITS
 
 PARTS = 64
@@ -81,18 +81,26 @@ class CostState:
             changes.write.mode("overwrite").parquet(f"{staged}-changes")
             changes = self.spark.read.schema(changes.schema).parquet(f"{staged}-changes")
             touched = sorted(r["PART"] for r in changes.select("PART").distinct().collect())
-            merged(self.rows().filter(F.col("PART").isin(touched)), changes).write.mode("overwrite").parquet(staged)
-        self._replace(self.spark.read.schema(STATE).parquet(staged))
+            merged(self.rows().filter(F.col("PART").isin(touched)), changes).write.partitionBy("PART").option(
+                "partitionOverwriteMode", "static").mode("overwrite").parquet(staged)
+        self._replace(staged)
         files, path = self._path(f"{self.done}/{batch}")
         files.create(path).close()
         for name in (staged, f"{staged}-changes"):
             files, path = self._path(name)
             files.delete(path, True)
 
-    def _replace(self, rows: DataFrame) -> None:
+    def _replace(self, staged: str) -> None:
         """Put whole folders in the place of old ones."""
-        rows.hint("rebalance", "PART").write.partitionBy("PART").option("partitionOverwriteMode", "dynamic").mode(
-            "overwrite").parquet(self.table)
+        files, path = self._path(staged)
+        _, table = self._path(self.table)
+        files.mkdirs(table)
+        for found in files.listStatus(path):
+            if found.getPath().getName().startswith("PART="):
+                _, target = self._path(f"{self.table}/{found.getPath().getName()}")
+                files.delete(target, True)
+                if not files.rename(found.getPath(), target):
+                    raise OSError(f"{found.getPath()} was not moved to {target}")
 
     def curve(self, budget: DataFrame, schedule: DataFrame) -> DataFrame:
         """The actual curve of all batches so far, as ``actual_value`` gives it for their rows together."""
@@ -104,8 +112,19 @@ class CostState:
 def merged(state: DataFrame, changes: DataFrame) -> DataFrame:
     """The state's rows with a batch of changes (K, INVOICE_DATE, ACTUALS_COST, PART), one a key and date."""
     old = state.select(*KEY, "PART", "INVOICE_DATE", "ACTUALS_COST")
-    rows = blocked(old.unionByName(changes.select(*old.columns)), [*KEY, "PART"], "INVOICE_DATE")
+    rows = old.unionByName(changes.select(*old.columns)).dropna(subset=[*KEY, "INVOICE_DATE"])
     # Both sides have one row a key and date, so nothing is summed before this one shuffle.
-    rows = rows.groupBy(*KEY, "PART", "_BLOCK", "INVOICE_DATE").agg(F.sum("ACTUALS_COST").cast(AMOUNT_TYPE).alias("ACTUALS_COST"))
-    rows = running(rows, [*KEY, "PART"], "INVOICE_DATE", "ACTUALS_COST", "RUNNING_COST")
-    return rows.select(*KEY, "INVOICE_DATE", "ACTUALS_COST", F.col("RUNNING_COST").cast(AMOUNT_TYPE).alias("RUNNING_COST"), "PART")
+    rows = rows.withColumn("_BLOCK", block_of(F.col("INVOICE_DATE"), ROW_DAYS)).repartition("PART", "_BLOCK")
+    # The last date is read, so that sums and rows read the same columns and share the shuffle.
+    sums = rows.groupBy("PART", "_BLOCK", *KEY).agg(F.sum("ACTUALS_COST").alias("_SUM"), F.max("INVOICE_DATE").alias("_LAST"))
+    earlier = Window.partitionBy(*KEY, "PART").orderBy("_LAST").rowsBetween(Window.unboundedPreceding, -1)
+    # A row without a date, the first of its block; a key's first block needs none.
+    before = sums.withColumn("ACTUALS_COST", F.sum("_SUM").over(earlier).cast(AMOUNT_TYPE)).filter("ACTUALS_COST is not null")
+    before = before.withColumn("INVOICE_DATE", F.lit(None).cast("timestamp_ntz")).select(*rows.columns)
+    # Dealt as the rows are, so the union of both is.
+    rows = rows.unionByName(before.repartition(int(state.sparkSession.conf.get("spark.sql.shuffle.partitions")), "PART", "_BLOCK"))
+    rows = rows.groupBy("PART", "_BLOCK", *KEY, "INVOICE_DATE").agg(F.sum("ACTUALS_COST").cast(AMOUNT_TYPE).alias("ACTUALS_COST"))
+    inside = Window.partitionBy("PART", "_BLOCK", *KEY).orderBy(F.col("INVOICE_DATE").asc_nulls_first()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("RUNNING_COST", F.sum("ACTUALS_COST").over(inside).cast(AMOUNT_TYPE)).filter("INVOICE_DATE is not null")
+    return rows.select(*KEY, "INVOICE_DATE", "ACTUALS_COST", "RUNNING_COST", "PART")

@@ -9,6 +9,7 @@ import tempfile
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from costcurves.operators import summaries, temporal
 from costcurves.operators.actuals import actual_value, position_of_costs
@@ -16,6 +17,7 @@ from costcurves.operators.forecast import actual_position
 from costcurves.operators.planned import planned_value
 from costcurves.plans import incremental, jobs, registry
 from costcurves.schema import KEY
+from costcurves.session import shared_folder
 from costcurves.sources.fixtures import fixture_inputs
 
 NAMES = "PROJECT_NUMBER string, STAGE string, SUB_STAGE string"
@@ -122,3 +124,50 @@ def test_position_of_costs_is_that_of_the_curve(spark):
     assert got.dtypes == want.dtypes
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() == 3
     assert {r.PROJECT_NUMBER: int(r.TOTAL_ACTUAL_COST) for r in got.collect()} == {"P": 72, "R": 2, "T": 8}
+
+
+def kept_state(spark, name):
+    """A state of two merged batches of 40 keys, and the second batch."""
+    d0 = dt.datetime(2020, 1, 1)
+    batch = lambda days, c: spark.createDataFrame(
+        [(f"P{k}", "S", "A", d0 + dt.timedelta(days=d), Decimal(c + k)) for k in range(40) for d in days], COST)
+    state = incremental.CostState(spark, shared_folder(spark, name), parts=4)
+    state.merge([batch((0, 300, 700), 1)], "b1")
+    return state, batch((10, 300, 800), 5)
+
+
+def test_merge_of_stored_rows_shuffles_them_once_and_writes_them_where_they_lie(plain):
+    state, _ = kept_state(plain, "test-stored")
+    rows = state.rows().filter(F.col("PART").isin([0, 1, 2, 3]))
+    found = incremental.merged(rows, rows.select(*KEY, "INVOICE_DATE", "ACTUALS_COST", "PART"))
+    lines = plan(found)
+    assert sum("REPARTITION_BY_COL" in x and "Reused" not in x for x in lines) == 1
+    # The rows, one row a block to its key, and back.
+    assert sum("Exchange hashpartitioning" in x and "Reused" not in x for x in lines) == 3
+    assert not any("Join" in x for x in lines)
+    made = found.withColumn("_TASK", F.spark_partition_id())
+    blocks = made.groupBy("PART", temporal.block_of(F.col("INVOICE_DATE"), temporal.ROW_DAYS)).agg(F.countDistinct("_TASK").alias("n"))
+    assert {r.n for r in blocks.collect()} == {1}
+
+
+def test_merge_goes_on_where_moving_folders_ended(spark, monkeypatch):
+    state, second = kept_state(spark, "test-moved")
+    whole, _ = kept_state(spark, "test-whole")
+    whole.merge([second], "b2")
+    real, moved = incremental.CostState._path, []
+
+    def path(self, name):
+        if "/state/PART=" in name:
+            moved.append(name)
+            if len(moved) == 3:
+                raise RuntimeError("the driver ends here")
+        return real(self, name)
+
+    with monkeypatch.context() as m:
+        m.setattr(incremental.CostState, "_path", path)
+        with pytest.raises(RuntimeError):
+            state.merge([second], "b2")
+    state.merge([second], "b2")
+    state.merge([second], "b2")
+    rows = lambda s: sorted(map(str, s.rows().collect()))
+    assert len(moved) == 3 and rows(state) == rows(whole) and state.rows().count() == 40 * 5
