@@ -63,8 +63,9 @@ class CostState:
 
     def set_totals(self, totals: DataFrame, batch: str) -> None:
         """Make these (K, INVOICE_DATE, ACTUALS_COST) the costs of their dates, whatever the state has for them."""
-        old = self.rows().select(*KEY, "INVOICE_DATE", F.col("ACTUALS_COST").alias("_OLD"), "PART")
-        new = self._placed(totals.dropna(subset=[*KEY, "INVOICE_DATE"])).join(old, [*KEY, "PART", "INVOICE_DATE"], "left")
+        old = self.rows().select(*KEY, "INVOICE_DATE", F.col("ACTUALS_COST").alias("_OLD"))
+        # By key and date, as a stream's totals are dealt already.
+        new = self._placed(totals.dropna(subset=[*KEY, "INVOICE_DATE"])).join(old, [*KEY, "INVOICE_DATE"], "left")
         change = (F.col("ACTUALS_COST") - F.coalesce("_OLD", F.lit(0))).cast(AMOUNT_TYPE)
         self._write(new.withColumn("ACTUALS_COST", change).drop("_OLD").filter("ACTUALS_COST != 0"), batch)
 

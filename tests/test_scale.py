@@ -9,6 +9,7 @@ import tempfile
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from costcurves.operators import summaries, temporal
@@ -171,3 +172,37 @@ def test_merge_goes_on_where_moving_folders_ended(spark, monkeypatch):
     state.merge([second], "b2")
     rows = lambda s: sorted(map(str, s.rows().collect()))
     assert len(moved) == 3 and rows(state) == rows(whole) and state.rows().count() == 40 * 5
+
+
+def test_totals_by_key_and_date_are_not_shuffled_to_meet_the_state(plain, monkeypatch):
+    state, second = kept_state(plain, "test-totals")
+    totals = second.toDF(*KEY, "INVOICE_DATE", "ACTUALS_COST").repartition(*KEY, "INVOICE_DATE")
+    found = []
+    monkeypatch.setattr(incremental.CostState, "_write", lambda self, changes, batch: found.append(changes))
+    state.set_totals(totals, "t")
+    # The totals as they come, and the state.
+    assert shuffles(found[0], "INVOICE_DATE") == 2
+    assert {(r.PROJECT_NUMBER, (r.INVOICE_DATE - dt.datetime(2020, 1, 1)).days): int(r.ACTUALS_COST) for r in found[0].collect()} == {
+        (f"P{k}", d): 4 if d == 300 else 5 + k for k in range(40) for d in (10, 300, 800)}
+
+
+def test_stream_query_writes_its_files_without_a_shuffle(spark, sf_dir, monkeypatch):
+    """Each source's files are read in two micro-batches, and its rows are not shuffled to make them."""
+    written, real = [], DataFrameWriter.parquet
+
+    def parquet(self, path, *a, **b):
+        if "/in/" in path:
+            written.append("\n".join(plan(self._df)))
+        return real(self, path, *a, **b)
+
+    batches, totals = [], incremental.CostState.set_totals
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    monkeypatch.setattr(incremental.CostState, "set_totals", lambda self, rows, batch: (batches.append(batch), totals(self, rows, batch)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        registry.streamed_actual_value(spark, sf_dir)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(written) == 3 and not any("Exchange" in x for x in written)
+    assert len(batches) == 2
