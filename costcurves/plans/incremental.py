@@ -124,8 +124,11 @@ def merged(state: DataFrame, changes: DataFrame) -> DataFrame:
     before = before.withColumn("INVOICE_DATE", F.lit(None).cast("timestamp_ntz")).select(*rows.columns)
     # Dealt as the rows are, so the union of both is.
     rows = rows.unionByName(before.repartition(int(state.sparkSession.conf.get("spark.sql.shuffle.partitions")), "PART", "_BLOCK"))
-    rows = rows.groupBy("PART", "_BLOCK", *KEY, "INVOICE_DATE").agg(F.sum("ACTUALS_COST").cast(AMOUNT_TYPE).alias("ACTUALS_COST"))
-    inside = Window.partitionBy("PART", "_BLOCK", *KEY).orderBy(F.col("INVOICE_DATE").asc_nulls_first()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    rows = rows.withColumn("RUNNING_COST", F.sum("ACTUALS_COST").over(inside).cast(AMOUNT_TYPE)).filter("INVOICE_DATE is not null")
+    by_date = Window.partitionBy("PART", "_BLOCK", *KEY).orderBy(F.col("INVOICE_DATE").asc_nulls_first())
+    to_row, date = by_date.rowsBetween(Window.unboundedPreceding, Window.currentRow), by_date.rangeBetween(Window.currentRow, Window.currentRow)
+    # One sort and one window, without an aggregate before: the last row of a date has what the date's rows add up to.
+    rows = rows.select(*KEY, "PART", "INVOICE_DATE", F.lead("INVOICE_DATE").over(by_date).alias("_NEXT"),
+                       F.sum("ACTUALS_COST").over(date).cast(AMOUNT_TYPE).alias("ACTUALS_COST"),
+                       F.sum("ACTUALS_COST").over(to_row).cast(AMOUNT_TYPE).alias("RUNNING_COST"))
+    rows = rows.filter("INVOICE_DATE is not null and (_NEXT is null or _NEXT <> INVOICE_DATE)")
     return rows.select(*KEY, "INVOICE_DATE", "ACTUALS_COST", "RUNNING_COST", "PART")
